@@ -20,6 +20,7 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -31,7 +32,6 @@ def local_session(cpus: int | str = "*", partitions: int = 8, app: str = "leadsm
                .config("spark.driver.memory", "16g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    spark.conf.set("spark.ui.showConsoleProgress", "false")
     checkpoint_dir(spark)
     return spark
 
