@@ -131,7 +131,7 @@ def before_separator(x, sep: str = " - ") -> Column:
 def company_key(x) -> Column:
     """Lower, drop legal/industry words, keep [a-z0-9 ], collapse."""
     low = F.lower(F.coalesce(_c(x), F.lit("")))
-    no_words = F.regexp_replace(low, r"\b(" + "|".join(COMPANY_NOISE_WORDS) + r")\b", "")
+    no_words = F.regexp_replace(low, r"\b(" + "|".join(COMPANY_NOISE_WORDS) + r")\b\.?", "")
     only = F.regexp_replace(no_words, r"[^a-z0-9\s]", "")
     return strip(F.regexp_replace(only, r"\s+", " "))
 
@@ -211,3 +211,36 @@ def phone(tel_href, text) -> Column:
     """Number from a tel: link, else the visible text."""
     from_link = F.nullif(F.regexp_replace(F.coalesce(_c(tel_href), F.lit("")), "^tel:", ""), F.lit(""))
     return strip(F.coalesce(from_link, _c(text), F.lit("")))
+
+
+# Professional-title patterns removed from a clinic name, in
+# the order they are applied (case-insensitive).
+TITLE_PATTERNS = [
+    r',?\s+D\.?D\.?S\.?(?:\s|,|$)',
+    r',?\s+D\.?M\.?D\.?(?:\s|,|$)',
+    r',?\s+D\.?D\.?S\.?,?\s+.*?(?:P\.?C\.?|PLLC|LLC|P\.?A\.?)',
+    r',?\s+D\.?D\.?S\.?,?\s+.*?(?:M\.?A\.?|B\.?A\.?|B\.?S\.?)',
+    r',?\s+P\.?C\.?(?:\s|$)',
+    r',?\s+P\.?L\.?L\.?C\.?(?:\s|$)',
+    r',?\s+P\.?A\.?(?:\s|$)',
+    r',?\s+LLC\.?(?:\s|$)',
+    r'"?\s*"?\s*D\.?D\.?S\.?.*',
+    r'"?\s*[A-Z][A-Z\s\.]+DDS',
+    r'"?\s*[A-Z][A-Z\s\.]+DMD',
+]
+
+
+def clean_title_name(x) -> Column:
+    """Strip, drop a leading quote and leading dots, remove the title
+    patterns in order, keep the quoted part when there is a quote, drop a
+    trailing quote, collapse whitespace."""
+    s = strip(_c(x))
+    s = F.regexp_replace(s, r"""^["']""", "")
+    s = F.regexp_replace(s, r"^\s*\.\s*", "")
+    for p in TITLE_PATTERNS:
+        s = F.regexp_replace(s, "(?i)" + p, "")
+    quoted = F.regexp_extract(s, r'^"?([^"]+?)(?:"\s+|"$)', 1)
+    unquoted = F.regexp_replace(F.regexp_replace(s, '^"', ""), '"$', "")
+    s = F.when(~s.contains('"'), s).when(quoted != "", strip(quoted)).otherwise(unquoted)
+    s = F.regexp_replace(s, r"""["']$""", "")
+    return strip(F.regexp_replace(s, r"\s+", " "))

@@ -8,6 +8,7 @@ from leadsmith.plans.registry import ORACLES, QUERIES
 
 MODULES = [
     "leadsmith.plans.q_candidates",
+    "leadsmith.plans.q_scalars",
 ]
 
 
