@@ -9,6 +9,8 @@ from leadsmith.plans.registry import ORACLES, QUERIES
 MODULES = [
     "leadsmith.plans.q_candidates",
     "leadsmith.plans.q_scalars",
+    "leadsmith.plans.q_filters",
+    "leadsmith.plans.q_rank",
 ]
 
 
