@@ -47,10 +47,12 @@ def hit_rate(df: DataFrame, hit: Column, error: Column, group: Sequence[str] = (
 
 
 def engagement(df: DataFrame, group: str, views: Column, likes: Column, comments: Column) -> DataFrame:
-    """Totals with missing = 0, mean views (2 dp, NULL when no
-    sample) and rate = (likes + comments) / views * 100 (4 dp, NULL when no
-    views): a ratio of sums, not a mean of ratios."""
-    z = F.lit(0).cast("double")
+    """A10-A12 over integer counts: totals with missing = 0, mean views
+    (2 dp, NULL when no sample) and rate = (likes + comments) / views * 100
+    (4 dp, NULL when no views): a ratio of sums, not a mean of ratios.
+    Integer sums are exact, so the result does not depend on the order in
+    which partial sums are combined."""
+    z = F.lit(0).cast("bigint")
     out = df.groupBy(group).agg(
         F.count(F.lit(1)).alias("n_sampled"),
         F.sum(F.coalesce(views, z)).alias("total_views"),
@@ -58,13 +60,10 @@ def engagement(df: DataFrame, group: str, views: Column, likes: Column, comments
         F.sum(F.coalesce(comments, z)).alias("total_comments"),
         F.avg(views).alias("_mean"))
     return out.select(
-        group, "n_sampled",
-        F.round("total_views", 4).alias("total_views"),
-        F.round("total_likes", 4).alias("total_likes"),
-        F.round("total_comments", 4).alias("total_comments"),
+        group, "n_sampled", "total_views", "total_likes", "total_comments",
         F.round("_mean", 2).alias("mean_views"),
         F.round((F.col("total_likes") + F.col("total_comments")) * 100.0
-                / F.nullif(F.col("total_views"), F.lit(0.0)), 4).alias("engagement_rate"))
+                / F.nullif(F.col("total_views"), F.lit(0)), 4).alias("engagement_rate"))
 
 
 def empty_sample(entities: DataFrame, key: str, stats: DataFrame, zero_cols: Sequence[str]) -> DataFrame:

@@ -11,6 +11,8 @@ MODULES = [
     "leadsmith.plans.q_scalars",
     "leadsmith.plans.q_filters",
     "leadsmith.plans.q_rank",
+    "leadsmith.plans.q_lookups",
+    "leadsmith.plans.q_reports",
 ]
 
 
