@@ -13,6 +13,7 @@ MODULES = [
     "leadsmith.plans.q_rank",
     "leadsmith.plans.q_lookups",
     "leadsmith.plans.q_reports",
+    "leadsmith.plans.q_sources",
 ]
 
 
