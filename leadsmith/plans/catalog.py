@@ -14,6 +14,7 @@ MODULES = [
     "leadsmith.plans.q_lookups",
     "leadsmith.plans.q_reports",
     "leadsmith.plans.q_sources",
+    "leadsmith.plans.q_streaming",
 ]
 
 
