@@ -78,10 +78,11 @@ def registered_domain(url, suffixes: Sequence[str] = PUBLIC_SUFFIXES) -> Column:
     tails = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
                         lambda i: F.struct(i.alias("i"),
                                            F.array_join(F.slice(labels, i, n - i + 1), ".").alias("t")))
-    known = F.filter(tails, lambda s: F.array_contains(suf, s["t"]) & (s["i"] > 1))
-    best = F.get(known, 0)
+    known = F.filter(tails, lambda s: F.array_contains(suf, s["t"]))
+    best = F.get(known, 0)  # longest known suffix
     out = F.concat(F.get(labels, best["i"] - 2), F.lit("."), best["t"])
-    return F.coalesce(F.when(F.size(known) > 0, out), F.lit(""))
+    # the host itself is a public suffix (or none is known): no registered domain
+    return F.coalesce(F.when((F.size(known) > 0) & (best["i"] > 1), out), F.lit(""))
 
 
 def blocked_substring(domain, blocklist: Sequence[str]) -> Column:

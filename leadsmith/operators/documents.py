@@ -128,16 +128,17 @@ def visible_text_of(html: str | None) -> tuple[str, int]:
 VISIBLE_SCHEMA = T.StructType([T.StructField("text", T.StringType()), T.StructField("tel_count", T.IntegerType())])
 
 
-@F.pandas_udf(VISIBLE_SCHEMA)
-def visible_text(html: pd.Series) -> pd.DataFrame:
-    """X3/X4 as one Arrow-batched UDF returning struct<text, tel_count>.
-
-    Marked non-deterministic where it is used so a filter on its output
-    does not evaluate it twice (SURVEY §4.3)."""
+def _visible_batch(html: pd.Series) -> pd.DataFrame:
     out = [visible_text_of(h) for h in html]
     return pd.DataFrame({"text": [t for t, _ in out], "tel_count": [n for _, n in out]})
 
 
+# X3/X4 as one Arrow-batched UDF returning struct<text, tel_count>. Marked
+# non-deterministic so a filter on its output does not evaluate it twice
+# (SURVEY §4.3); native filters therefore belong in an earlier select.
+visible_text = F.pandas_udf(_visible_batch, VISIBLE_SCHEMA).asNondeterministic()
+
+
 def tel_note(count) -> Column:
     """X4 as a separate projection, never folded into the text."""
     return F.when(_c(count) > 0, F.format_string("%d click-to-call (tel:) links", _c(count)))

@@ -14,12 +14,16 @@ from pyspark.sql import functions as F
 from leadsmith.functions.text import nonblank
 
 
-def funnel(df: DataFrame, stages: Sequence[tuple[str, Column]], group: Sequence[str] = ()) -> DataFrame:
-    """A5: rows surviving each cumulative stage (stage k = all conditions <= k)."""
-    aggs, acc = [F.count(F.lit(1)).alias("n_raw")], None
+def funnel(df: DataFrame, stages: Sequence[tuple[str, Column]], group: Sequence[str] = (),
+           distinct: tuple[str, str] | None = None) -> DataFrame:
+    """A5: rows surviving each cumulative stage (stage k = all conditions <= k);
+    ``distinct=(name, key)`` adds the de-duplicated count after the last stage."""
+    aggs, acc = [F.count(F.lit(1)).alias("n_raw")], F.lit(True)
     for name, cond in stages:
-        acc = cond if acc is None else (acc & cond)
-        aggs.append(F.count_if(F.coalesce(acc, F.lit(False))).alias(f"n_{name}"))
+        acc = acc & F.coalesce(cond, F.lit(False))
+        aggs.append(F.count_if(acc).alias(f"n_{name}"))
+    if distinct is not None:
+        aggs.append(F.count_distinct(F.when(acc, F.col(distinct[1]))).alias(f"n_{distinct[0]}"))
     return df.groupBy(*group).agg(*aggs)
 
 

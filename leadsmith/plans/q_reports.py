@@ -24,14 +24,11 @@ SELECT count(*) AS n_raw,
                  THEN p_name END) AS n_unique
 FROM part""")
 def a05_funnel(spark, sf):
-    """A5: every stage count from one aggregate pass."""
-    p = table(spark, sf, "part")
+    """A5: every stage count from one aggregate pass (no join of counts)."""
     from leadsmith.operators.predicates import in_range
+    p = table(spark, sf, "part")
     stages = [("nonblank", X.nonblank("p_name")), ("in_range", in_range(F.col("p_retailprice") / 20.0, 5, 50))]
-    f = M.funnel(p, stages)
-    uniq = p.where(X.nonblank("p_name") & in_range(F.col("p_retailprice") / 20.0, 5, 50)) \
-            .agg(F.count_distinct("p_name").alias("n_unique"))
-    return f.crossJoin(uniq)
+    return M.funnel(p, stages, distinct=("unique", "p_name"))
 
 
 _A6_BASE = f"""WITH fl AS (SELECT l_orderkey, {', '.join(['l_linenumber', 'l_partkey', 'l_suppkey', 'l_quantity', 'l_extendedprice'])},

@@ -40,8 +40,8 @@ def _reg_sql(h: str) -> str:
     labels = f"string_split({h}, '.')"
     tails = (f"list_filter(list_transform(range(1, len({labels}) + 1), lambda i: "
              f"{{'i': i, 't': array_to_string({labels}[i:], '.')}}), "
-             f"lambda s: list_contains({Q.sql_list(D.PUBLIC_SUFFIXES)}, s.t) AND s.i > 1)")
-    return (f"coalesce(CASE WHEN len({tails}) > 0 THEN {labels}[{tails}[1].i - 1] || '.' || {tails}[1].t END, '')")
+             f"lambda s: list_contains({Q.sql_list(D.PUBLIC_SUFFIXES)}, s.t))")
+    return (f"coalesce(CASE WHEN len({tails}) > 0 AND {tails}[1].i > 1 THEN {labels}[{tails}[1].i - 1] || '.' || {tails}[1].t END, '')")
 
 
 @register("n04_registered_domain", f"""

@@ -172,10 +172,9 @@ t AS (SELECT max(day) + 3 AS today FROM e)
 SELECT max(day) AS day FROM e, t WHERE day BETWEEN today - 4 AND today - 1""")
 def d02_latest_available(spark, sf):
     """Newest day with data within a 4-day look-back before 'today'."""
-    e = table(spark, sf, "events").select(F.to_date("ts").alias("day")).distinct()
-    t = e.agg(F.date_add(F.max("day"), 3).alias("today"))
-    j = e.crossJoin(t)  # t is exactly one row
-    return j.where(F.col("day").between(F.date_sub("today", 4), F.date_sub("today", 1))).agg(F.max("day").alias("day"))
+    e = table(spark, sf, "events").select(F.to_date("ts").alias("day"))
+    today = e.agg(F.date_add(F.max("day"), 3)).scalar()  # scalar subquery, no join
+    return e.where(F.col("day").between(F.date_sub(today, 4), F.date_sub(today, 1))).agg(F.max("day").alias("day"))
 
 
 @register("d03_missing_days", """
