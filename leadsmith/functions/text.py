@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 # line/paragraph separators, and the four information separators).
 WS_CLASS = (r"[\t\n\x{0B}\f\r \x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
             r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
+# The same characters as a plain set, for the native (linear-time) trims.
+WS_CHARS = ("\t\n\x0b\x0c\r \x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
+            + "\u2028\u2029\u202f\u205f\u3000")
 
 
 def _c(x) -> Column:
@@ -24,8 +27,16 @@ def _c(x) -> Column:
 
 
 def strip(x) -> Column:
-    """Unicode-aware strip (Spark ``trim`` only removes spaces)."""
-    return F.regexp_replace(_c(x), f"^{WS_CLASS}+|{WS_CLASS}+$", "")
+    """Unicode-aware strip (plain ``trim`` only removes spaces).
+
+    ``btrim`` with an explicit character set is native and linear; an
+    anchored ``\\s+$`` regex backtracks quadratically on long space runs."""
+    return F.btrim(_c(x), F.lit(WS_CHARS))
+
+
+def rstrip(x) -> Column:
+    """Trailing whitespace only (``str.rstrip()``)."""
+    return F.rtrim(_c(x), F.lit(WS_CHARS))
 
 
 def collapse_ws(x) -> Column:
@@ -54,13 +65,15 @@ def to_number(x) -> Column:
 
     Spark would accept '5d' or 'Infinity'; the regex guard rejects them.
     """
-    s = strip(_c(x).cast("string"))
-    return F.when(s.rlike(NUMERIC_RE), s.try_cast("double"))
+    # one reference to the input: the match itself is cast (no second
+    # evaluation of a possibly costly argument such as a JSON extraction)
+    matched = F.regexp_extract(strip(_c(x).cast("string")), "(" + NUMERIC_RE + ")", 1)
+    return F.nullif(matched, F.lit("")).try_cast("double")
 
 
 def to_int_truncated(x) -> Column:
     """F2: coerce, then truncate toward zero (50.9 -> 50)."""
-    return F.when(to_number(x).isNotNull(), to_number(x).cast("bigint"))
+    return to_number(x).cast("bigint")
 
 
 def to_long_opt(x) -> Column:

@@ -17,6 +17,11 @@ from leadsmith.sources import landed as S
 from leadsmith.sources.tables import table
 
 
+def _scratch(spark, name: str) -> str:
+    import uuid
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 @register("s01_paged_scan", """
 WITH r AS (SELECT c_nationkey AS state, c_custkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS rn
            FROM customer)
@@ -87,12 +92,16 @@ def s04_fixed_width(spark, sf):
     v = lambda s: F.expr(s.replace("VARCHAR", "STRING"))
     line = F.concat(F.rpad(v(_FORM), 12, " "), F.rpad(v(_NAME), 62, " "), v(_CIK), F.lit("  "), _ymd_spark(),
                     F.lit("  "), v(_PATH))
-    lines = o.select("o_orderkey", line.alias("value"))
-    header = (table(spark, sf, "region").select(F.lit(-1).cast("bigint").alias("o_orderkey"),
-                                                 F.concat(F.lit("Form Type   Company Name "), F.col("r_name")).alias("value"))
-              .unionByName(table(spark, sf, "region").select(F.lit(-2).cast("bigint").alias("o_orderkey"),
-                                                             F.lit("-" * 120).alias("value"))))
-    return S.index_rows(lines.unionByName(header), "value", keep=["o_orderkey"])
+    lines = o.select(line.alias("value"))
+    header = (table(spark, sf, "region").select(F.concat(F.lit("Form Type   Company Name "), F.col("r_name")).alias("value"))
+              .unionByName(table(spark, sf, "region").select(F.lit("-" * 120).alias("value"))))
+    # land the rendered index as text files in the shared scratch folder and
+    # scan them back, as daily index files would be read
+    path = _scratch(spark, "index")
+    lines.unionByName(header).write.mode("overwrite").text(path)
+    parsed = S.index_rows(spark.read.text(path), "value")
+    return parsed.select(F.regexp_extract("rel_path", r"/0*([0-9]+)\.txt$", 1).cast("bigint").alias("o_orderkey"),
+                         "form_type", "company_name", "cik", "date_filed", "rel_path")
 
 
 @register("s05_whole_documents", """
