@@ -98,3 +98,30 @@ def blocked_suffix(domain, suffixes: Sequence[str]) -> Column:
 def blocked_exact(domain, names: Sequence[str]) -> Column:
     """domain equals one of a small literal set."""
     return F.coalesce(F.lower(_c(domain)).isin([n.lower() for n in names]), F.lit(False))
+
+
+def host_suffixes(domain) -> Column:
+    """Every dot-suffix of a host, longest first ('a.b.com' -> a.b.com, b.com, com)."""
+    labels = F.split(F.lower(_c(domain)), r"\.")
+    n = F.size(labels)
+    return F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
+                       lambda i: F.array_join(F.slice(labels, i, n - i + 1), "."))
+
+
+def drop_blocked(df, domain: str, blocklist, mode: str = "suffix", entry: str = "domain"):
+    """Remove rows whose domain is on a (possibly large) blocklist table.
+
+    ``exact``: hash anti-join on the domain. ``suffix``: the domain or any of
+    its parent domains is listed. Distinct domains are exploded into their
+    suffixes and hash-joined to the list (never a nested-loop join on
+    ``contains``), and the blocked domains are anti-joined back, so the
+    explode grows with distinct domains, not rows. A hot domain is split by
+    AQE's skew handling of the anti-join.
+    """
+    bl = blocklist.select(F.lower(F.col(entry)).alias("_b")).distinct()
+    if mode == "exact":
+        return df.join(bl, F.lower(F.col(domain)) == bl["_b"], "left_anti")
+    doms = df.select(F.col(domain).alias("_d")).distinct()
+    ex = doms.select("_d", F.explode(host_suffixes("_d")).alias("_b"))
+    blocked = ex.join(bl, "_b").select("_d").distinct()
+    return df.join(blocked, F.col(domain) == blocked["_d"], "left_anti")

@@ -210,3 +210,19 @@ def validate_response(resp) -> Column:
         F.when(ok, truncate(strip(F.get_json_object(r, "$.booking_system")), 100))
          .otherwise(F.lit("Unknown")).alias("booking_system"),
         F.when(ok, F.get_json_object(r, "$.agentic_reasoning")).otherwise(reason).alias("reasoning"))
+
+
+# --- E5: pluggable batch scorer ----------------------------------------------
+
+SCORE_SCHEMA = "icp_score int, booking_system string, reasoning string"
+
+
+def score_with(scorer, text, schema: str = SCORE_SCHEMA) -> Column:
+    """E5: apply a user scorer ``pd.Series[str] -> pd.DataFrame`` in Arrow
+    batches. Marked non-deterministic so it runs once per row even when its
+    output is filtered; filter on native columns in an earlier select."""
+    def run(texts: pd.Series) -> pd.DataFrame:  # hints resolved here, whatever the caller's are
+        return scorer(texts)
+
+    udf = F.pandas_udf(run, schema).asNondeterministic()
+    return udf(_c(text))

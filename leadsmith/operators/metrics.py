@@ -86,3 +86,13 @@ def manifest(df: DataFrame, error: Column | None = None) -> DataFrame:
               .when(F.col("n_failed") < F.col("n_processed"), F.lit("PARTIAL"))
               .otherwise(F.lit("FAILED")))
     return out.select(status.alias("status"), "n_processed", "n_failed")
+
+
+def with_counters(df: DataFrame, name: str, counters: dict[str, Column]):
+    """Stage counters collected as a side effect of the job that
+    consumes ``df`` (no extra pass): returns (df, Observation)."""
+    from pyspark.sql import Observation
+    obs = Observation(name)
+    aggs = [F.count(F.lit(1)).alias("n_rows")] + [F.count_if(F.coalesce(c, F.lit(False))).alias(k)
+                                                  for k, c in counters.items()]
+    return df.observe(obs, *aggs), obs

@@ -105,3 +105,17 @@ SELECT CASE WHEN d IS NULL OR trim(d) = '' THEN 'not_found'
 FROM f GROUP BY 1""")
 def a08_outcome_counts(spark, sf):
     return C.outcome_counts(j08_first_hit(spark, sf))
+
+
+@register("j07_blocklist_antijoin", f"""
+WITH h AS (SELECT page_id, {Q.host('url')} AS host FROM pages),
+b AS (SELECT DISTINCT regexp_replace(host, '^blog\\.', '') AS b FROM h WHERE starts_with(host, 'blog.'))
+SELECT page_id, host FROM h WHERE NOT EXISTS (SELECT 1 FROM b WHERE h.host = b.b OR ends_with(h.host, '.' || b.b))""")
+def j07_blocklist_antijoin(spark, sf):
+    """A blocklist table (here: parents of every blog host, derived from
+    the data, so it grows with it) removes a host and all its sub-domains
+    through a hash anti-join on exploded suffixes."""
+    p = table(spark, sf, "pages").select("page_id", D.host("url").alias("host"))
+    blocklist = p.where(F.col("host").startswith("blog.")).select(
+        F.regexp_replace("host", r"^blog\.", "").alias("domain"))
+    return D.drop_blocked(p, "host", blocklist, mode="suffix")

@@ -89,3 +89,24 @@ def test_response_validation(spark):
     for i, _, score, system in cases:
         assert (got[i]["icp_score"], got[i]["booking_system"]) == (score, system), i
     assert got[7]["reasoning"].startswith("Scoring error")
+
+
+def test_pluggable_scorer_and_counters(spark):
+    import pandas as pd
+
+    from leadsmith.operators import metrics as M
+
+    def scorer(texts: pd.Series) -> pd.DataFrame:
+        n = texts.fillna("").str.len()
+        return pd.DataFrame({"icp_score": (n % 100).astype("int32"), "booking_system": "stub",
+                             "reasoning": "length"})
+
+    df = spark.createDataFrame([(1, "abc"), (2, "hello world")], "id int, t string")
+    scored = df.select("id", DOC.score_with(scorer, "t").alias("s")).where(F.col("s.icp_score") > 0)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    got = {r["id"]: r["s"]["icp_score"] for r in scored.collect()}
+    assert got == {1: 3, 2: 11}
+    counted, obs = M.with_counters(df, "stage", {"long_text": F.length("t") > 5})
+    counted.write.format("noop").mode("overwrite").save()
+    assert obs.get == {"n_rows": 2, "long_text": 1}

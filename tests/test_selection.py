@@ -119,3 +119,13 @@ def test_join_small_broadcasts_only_under_bound(spark):
     plan_small = L.join_small(big, small, "k", max_rows=50)._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" in plan_small
     assert L.join_small(big, small, "k", max_rows=5).count() == 100
+
+
+def test_drop_blocked_exact_and_suffix(spark):
+    df = spark.createDataFrame([(1, "shop.acme.example.com"), (2, "acme.example.com"), (3, "other.example.org"),
+                                (4, "notacme.example.com")], "id int, host string")
+    bl = spark.createDataFrame([("acme.example.com",)], "domain string")
+    assert rows(D.drop_blocked(df, "host", bl, "suffix"), "id") == [(3,), (4,)]
+    assert rows(D.drop_blocked(df, "host", bl, "exact"), "id") == [(1,), (3,), (4,)]
+    plan = D.drop_blocked(df, "host", bl, "suffix")._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan
