@@ -15,6 +15,7 @@ MODULES = [
     "leadsmith.plans.q_reports",
     "leadsmith.plans.q_sources",
     "leadsmith.plans.q_streaming",
+    "leadsmith.plans.q_flows",
 ]
 
 
