@@ -78,14 +78,28 @@ def running_sum(df: DataFrame, order: Sequence[str], value: str, group: Sequence
 
 
 def call_budget(df: DataFrame, order: Sequence[str], cost: Column | str, max_calls: int,
-                partitions: int | None = None) -> DataFrame:
+                partitions: int | None = None, min_cost: int | None = None) -> DataFrame:
     """Rows processed in order while the calls already made are < max.
 
     The budget is checked before a row, so a 2-call row may overshoot (C11).
     Adds ``cost``, ``calls_before`` and ``within_budget``.
+
+    ``min_cost >= 1`` is the caller's guarantee that every row costs at
+    least one call. Then no row after position ``max_calls`` can be within
+    budget, so the exact answer only needs the first ``max_calls`` rows in
+    order: a bounded top-k (no full sort, no shuffle of the table), a
+    running sum over those rows, and a join of that bounded set back.
+    Without the guarantee the general skew-safe running sum is used.
     """
     c = F.col(cost) if isinstance(cost, str) else cost
     d = df.withColumn("cost", c.cast("bigint"))
+    if min_cost is not None and min_cost >= 1:
+        head = d.orderBy(*order).limit(max_calls)
+        w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        first = head.select(*order, F.coalesce(F.sum("cost").over(w), F.lit(0)).cast("bigint").alias("calls_before"))
+        # at most max_calls rows: a proven bound for the broadcast
+        out = d.join(F.broadcast(first), list(order), "left")
+        return out.withColumn("within_budget", F.coalesce(F.col("calls_before") < max_calls, F.lit(False)))
     rs = running_sum(d, order, "cost", out="_cum", partitions=partitions)
     rs = rs.withColumn("calls_before", F.col("_cum") - F.col("cost")).drop("_cum")
     return rs.withColumn("within_budget", F.col("calls_before") < max_calls)

@@ -293,7 +293,7 @@ def brand_bridge(brands: DataFrame, suggest: DataFrame, contacts: DataFrame,
               .withColumn("outcome", F.coalesce("outcome", F.lit("not_found")))
     counts = C.outcome_counts(b)
     elig = b.withColumn("reason", P.eligibility("website", D.blocked_substring("website", cfg.blocklist)))
-    budget = B.call_budget(elig.where(F.col("reason") == "ok"), ["ordinal"], F.lit(1), cfg.max_calls)
+    budget = B.call_budget(elig.where(F.col("reason") == "ok"), ["ordinal"], F.lit(1), cfg.max_calls, min_cost=1)
     called = budget.where("within_budget").select("ordinal", "website")
     cand = contacts.withColumn("contact_name", X.full_name("first_name", "last_name"))
     levels = [("ops", X.contains_any("position", cfg.ops_keywords)),
@@ -320,7 +320,7 @@ def distributor_bridge(firms: DataFrame, suggest: DataFrame, people: DataFrame,
     elig = b.where(X.nonblank("website") & ~D.blocked_substring("website", cfg.blocklist))
     j = elig.join(p1.withColumnRenamed("domain", "website"), "website", "left")
     cost = F.when(F.col("id").isNotNull(), 2).otherwise(1)
-    within = B.call_budget(j, ["ordinal"], cost, cfg.max_calls).where("within_budget")
+    within = B.call_budget(j, ["ordinal"], cost, cfg.max_calls, min_cost=1).where("within_budget")
     m = within.join(matches.select("id", F.col("email").alias("m_email")), "id", "left")
     label = (F.when(F.col("first_name").isNull() & F.col("id").isNull(), "people:none")
              .when(F.col("id").isNull(), "people:no_id")

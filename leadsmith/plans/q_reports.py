@@ -165,7 +165,7 @@ def w07_budget(spark, sf):
     overshoot (C11). Skew-safe running sum, no single-partition window."""
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
     cost = 1 + F.when(F.col("o_orderstatus") == "F", 1).otherwise(0)
-    out = B.call_budget(o, ["o_orderkey"], cost, 500)
+    out = B.call_budget(o, ["o_orderkey"], cost, 500, min_cost=1)  # cost is 1 or 2 by construction
     return out.where("within_budget").select("o_orderkey", "cost", "calls_before")
 
 

@@ -49,3 +49,14 @@ def test_quota_slots(spark):
     by = {(r["u"], r["ts"]): (r["call_no"], r["window_no"]) for r in got.collect()}
     assert by[(0, 0)] == (1, 0) and by[(0, 98)] == (50, 0) and by[(0, 100)] == (51, 1)
     assert by[(1, 119)] == (60, 1)
+
+
+def test_budget_fast_path_equals_general(spark):
+    df = spark.range(300).select(((F.col("id") * 7919) % 1009).alias("k"),
+                                 F.when(F.col("id") % 3 == 0, 2).otherwise(1).alias("c"))
+    general = B.call_budget(df, ["k"], "c", 40, partitions=4)
+    fast = B.call_budget(df, ["k"], "c", 40, min_cost=1)
+    cols = ["k", "cost", "within_budget"]
+    assert rows(general, *cols) == rows(fast, *cols)
+    assert rows(general.where("within_budget"), "k", "calls_before") == \
+        rows(fast.where("within_budget"), "k", "calls_before")
