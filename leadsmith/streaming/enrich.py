@@ -42,8 +42,10 @@ def incremental_enrichment(spark: SparkSession, source: str, schema, lookup: Dat
     return q
 
 
-QUOTA_OUT = ("caller long, event_id long, ts timestamp, admitted_at timestamp, window_start timestamp, "
-             "deferred boolean")
+# Times stay on the event clock as given (no time-zone conversion): the
+# recurrence only compares and adds durations.
+QUOTA_OUT = ("caller long, event_id long, ts timestamp_ntz, admitted_at timestamp_ntz, "
+             "window_start timestamp_ntz, deferred boolean")
 QUOTA_STATE = "window_start long, n long, last long"
 
 
@@ -79,7 +81,8 @@ def _quota(cap: int, window_sec: float):
 def event_quota(events: DataFrame, caller: str, cap: int = 50, window_sec: float = 60.0) -> DataFrame:
     """Admission time per event under a fixed window anchored at the
     first call (works on a streaming or a static DataFrame)."""
-    ev = events.select(F.col(caller).cast("long").alias("caller"), F.col("event_id").cast("long"), "ts")
+    ev = events.select(F.col(caller).cast("long").alias("caller"), F.col("event_id").cast("long"),
+                       F.col("ts").cast("timestamp_ntz").alias("ts"))
     return ev.groupBy("caller").applyInPandasWithState(
         _quota(cap, window_sec), QUOTA_OUT, QUOTA_STATE, "append", GroupStateTimeout.NoTimeout)
 
