@@ -71,3 +71,62 @@ def p02_pitch_list(spark, sf):
     seeded sample of 30, enrichment columns dropped."""
     cfg = FL.PitchConfig(personal_domains=tuple(FL.P.PERSONAL_DOMAINS) + ("@fleet.example.com",))
     return FL.pitch_list(p01_carrier_leads(spark, sf), cfg)
+
+
+def _creator_inputs(spark, sf):
+    """Customers are channels, their orders the uploads playlist, line items
+    aggregated per order the video statistics (strings, as landed); nation
+    names are handles that resolve to no channel."""
+    c = table(spark, sf, "customer")
+    handles = c.select(F.col("c_name").alias("handle")).unionByName(
+        table(spark, sf, "nation").select(F.col("n_name").alias("handle")))
+    channels = c.select(F.col("c_name").alias("handle"), F.col("c_custkey").cast("string").alias("channel_id"),
+                        F.floor("c_acctbal").cast("bigint").cast("string").alias("subscriberCount"),
+                        F.when(F.col("c_nationkey") % 2 == 1, (F.col("c_custkey") * 10).cast("string"))
+                        .alias("viewCount"),
+                        F.concat(F.lit("u"), F.col("c_custkey").cast("string")).alias("uploads"))
+    playlist = table(spark, sf, "orders").select(
+        F.concat(F.lit("u"), F.col("o_custkey").cast("string")).alias("playlist_id"),
+        F.col("o_orderdate").alias("published_at"), F.col("o_orderkey").alias("video_id"))
+    n = F.count(F.lit(1))
+    stats = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("video_id")).agg(
+        F.floor(F.sum("l_quantity")).cast("bigint").cast("string").alias("viewCount"),
+        n.cast("string").alias("likeCount"),
+        F.when(n > 3, (n - 3).cast("string")).alias("commentCount"))
+    return handles, channels, playlist, stats
+
+
+PROFILE = ("handle string, channel_id string, subscribers bigint, channel_views bigint, "
+           "recent_totals struct<n_sampled:bigint,total_views:bigint,total_likes:bigint,total_comments:bigint>, "
+           "mean_views double, engagement_rate double")
+
+
+@register("p12_creator_profiles", """
+WITH h AS (SELECT DISTINCT CASE WHEN starts_with(trim(x), '@') THEN trim(x) ELSE '@' || trim(x) END AS handle
+           FROM (SELECT c_name AS x FROM customer UNION ALL SELECT n_name FROM nation)),
+ch AS (SELECT '@' || trim(c_name) AS handle, CAST(c_custkey AS VARCHAR) AS channel_id,
+              CAST(floor(c_acctbal) AS BIGINT) AS subscribers,
+              CASE WHEN c_nationkey % 2 = 1 THEN c_custkey * 10 END AS channel_views,
+              'u' || CAST(c_custkey AS VARCHAR) AS uploads FROM customer),
+rec AS (SELECT 'u' || CAST(o_custkey AS VARCHAR) AS uploads, o_orderkey AS video_id FROM orders
+        QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) <= 15),
+st AS (SELECT l_orderkey AS video_id, CAST(floor(sum(l_quantity)) AS BIGINT) AS vv, count(*) AS lk,
+              CASE WHEN count(*) > 3 THEN count(*) - 3 END AS cm FROM lineitem GROUP BY l_orderkey),
+agg AS (SELECT uploads, count(*) AS n_sampled, sum(coalesce(vv, 0)) AS tv, sum(coalesce(lk, 0)) AS tl,
+               sum(coalesce(cm, 0)) AS tc, avg(vv) AS mv
+        FROM rec LEFT JOIN st USING (video_id) GROUP BY uploads)
+SELECT h.handle, ch.channel_id, ch.subscribers, ch.channel_views, coalesce(agg.n_sampled, 0) AS n_sampled,
+       CAST(coalesce(tv, 0) AS BIGINT) AS total_views, CAST(coalesce(tl, 0) AS BIGINT) AS total_likes,
+       CAST(coalesce(tc, 0) AS BIGINT) AS total_comments, round(mv, 2) AS mean_views,
+       round((tl + tc) * 100.0 / nullif(tv, 0), 4) AS engagement_rate
+FROM h JOIN ch USING (handle) LEFT JOIN agg USING (uploads)""")
+def p12_creator_profiles(spark, sf):
+    """Handle -> channel -> newest 15 uploads -> statistics -> totals,
+    mean views, engagement rate; the nested JSON rows are read back flat
+    for the check (unknown handles go to the dead-letter output)."""
+    profiles, _dead, _manifest = FL.creator_profiles(*_creator_inputs(spark, sf))
+    p = profiles.select(F.from_json("profile", PROFILE).alias("p")).select("p.*")
+    return p.select("handle", "channel_id", "subscribers", "channel_views",
+                    *[F.col(f"recent_totals.{c}").alias(c) for c in
+                      ("n_sampled", "total_views", "total_likes", "total_comments")],
+                    "mean_views", "engagement_rate")
