@@ -130,3 +130,55 @@ def p12_creator_profiles(spark, sf):
                     *[F.col(f"recent_totals.{c}").alias(c) for c in
                       ("n_sampled", "total_views", "total_likes", "total_comments")],
                     "mean_views", "engagement_rate")
+
+
+_P11_FORM = "CASE o_orderstatus WHEN 'F' THEN 'D' WHEN 'O' THEN 'D/A' ELSE '10-K' END"
+_P11_NAME = ("concat('Customer ', CAST(o_custkey AS VARCHAR), CASE WHEN o_orderpriority = '5-LOW' THEN ' Land Trust' "
+             "ELSE ' Robotics Inc' END)")
+_P11_PATH = ("concat('edgar/data/', CAST(o_custkey AS VARCHAR), '/', lpad(CAST(o_orderkey // 2 AS VARCHAR), 10, '0'), "
+             "'-', CAST(o_custkey AS VARCHAR), '.txt')")
+_P11_DOC = """CASE c_custkey % 3
+ WHEN 0 THEN concat('<SEC-DOCUMENT>\n<edgarSubmission><primaryIssuer><issuerAddress><stateOrCountry>', n_name,
+   '</stateOrCountry></issuerAddress></primaryIssuer></edgarSubmission>')
+ WHEN 1 THEN concat('<SEC-HEADER>\nBUSINESS ADDRESS:\n  CITY: X\n  STATE: ', r_name, '\n</SEC-HEADER>')
+ END"""
+
+
+def _spark_sql(s: str) -> str:
+    return s.replace("VARCHAR", "STRING").replace("o_orderkey // 2", "o_orderkey div 2")
+
+
+@register("p11_funded_startups", f"""
+WITH l AS (SELECT date_trunc('month', o_orderdate) AS day, {_P11_FORM} AS form_type, {_P11_NAME} AS company_name,
+                  CAST(o_custkey AS VARCHAR) AS cik, strftime(o_orderdate, '%Y%m%d') AS ymd, {_P11_PATH} AS rel_path,
+                  o_custkey FROM orders WHERE o_orderstatus IN ('F', 'O')),
+a AS (SELECT *, regexp_extract(rel_path, '(?i)edgar/data/[0-9]+/([^/]+)\\.(txt|htm|html)$', 1) AS accession FROM l),
+d AS (SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY accession ORDER BY strftime(day, '%Y-%m-%d'), rel_path) = 1),
+k AS (SELECT * FROM d WHERE NOT ({' OR '.join(f"contains(lower(company_name), '{w}')" for w in FL.FilingConfig().institutional)}))
+SELECT accession, form_type, company_name, cik, concat_ws('-', substr(ymd, 1, 4), substr(ymd, 5, 2), substr(ymd, 7, 2)) AS date_filed,
+       CASE o_custkey % 3 WHEN 0 THEN n_name WHEN 1 THEN split_part(r_name, ' ', 1) ELSE '' END AS state, rel_path
+FROM k JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
+def p11_funded_startups(spark, sf):
+    """Daily index files (landed per month, scanned as one partitioned
+    directory, U2) -> parse (S4/F18) -> first listing per accession (A3) ->
+    institutional names out (F13) -> filing text by path (J13) -> location
+    (X1/X2) -> ISO date (N12). A third of the filings are missing: blank."""
+    from leadsmith.plans.q_sources import _scratch
+    o = table(spark, sf, "orders")
+    e = lambda s: F.expr(_spark_sql(s))
+    line = F.concat(F.rpad(e(_P11_FORM), 12, " "), F.rpad(e(_P11_NAME), 62, " "),
+                    F.lpad(F.col("o_custkey").cast("string"), 10, "0"), F.lit("  "),
+                    F.date_format("o_orderdate", "yyyyMMdd"), F.lit("  "), e(_P11_PATH))
+    path = _scratch(spark, "daily-index")
+    (o.select(F.date_format(F.date_trunc("month", "o_orderdate"), "yyyy-MM-dd").alias("day"), line.alias("value"))
+      .write.partitionBy("day").mode("overwrite").text(path))
+    index = spark.read.text(path).withColumn("day", F.col("day").cast("string"))
+    c = table(spark, sf, "customer")
+    n = table(spark, sf, "nation")
+    r = table(spark, sf, "region")
+    docs = (o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
+            .join(r, n.n_regionkey == r.r_regionkey)
+            .select(e(_P11_PATH).alias("rel_path"), F.expr(_P11_DOC).alias("text"))
+            .where(F.col("text").isNotNull()).dropDuplicates(["rel_path"]))
+    out, _counts = FL.funded_startups(index, docs)
+    return out
