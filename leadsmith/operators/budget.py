@@ -77,6 +77,10 @@ def running_sum(df: DataFrame, order: Sequence[str], value: str, group: Sequence
     return joined.withColumn(out, F.col(out) + F.coalesce(F.col("_off"), F.lit(0).cast(vtype))).drop("_pid", "_off")
 
 
+# Largest head the exact top-k budget path will broadcast.
+FAST_PATH_MAX_ROWS = 1_000_000
+
+
 def call_budget(df: DataFrame, order: Sequence[str], cost: Column | str, max_calls: int,
                 partitions: int | None = None, min_cost: int | None = None) -> DataFrame:
     """Rows processed in order while the calls already made are < max.
@@ -93,7 +97,7 @@ def call_budget(df: DataFrame, order: Sequence[str], cost: Column | str, max_cal
     """
     c = F.col(cost) if isinstance(cost, str) else cost
     d = df.withColumn("cost", c.cast("bigint"))
-    if min_cost is not None and min_cost >= 1:
+    if min_cost is not None and min_cost >= 1 and max_calls <= FAST_PATH_MAX_ROWS:
         head = d.orderBy(*order).limit(max_calls)
         w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
         first = head.select(*order, F.coalesce(F.sum("cost").over(w), F.lit(0)).cast("bigint").alias("calls_before"))

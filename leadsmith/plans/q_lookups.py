@@ -155,14 +155,18 @@ SELECT c_custkey, count(l_orderkey) AS n_items, round(coalesce(sum(l_quantity),
 FROM customer JOIN orders ON c_custkey = o_custkey JOIN lineitem ON o_orderkey = l_orderkey
 GROUP BY c_custkey""")
 def j12_chain(spark, sf):
-    """Channel -> playlist -> videos -> stats as chained equi joins;
-    aggregated after the joins, partial aggregation before the shuffle."""
+    """Channel -> playlist -> videos -> stats as chained equi joins.
+    Statistics are reduced per video (order) before the first join and per
+    channel after it, so the shuffles carry one row per order, then one per
+    customer, never raw line items; a hot channel is pre-aggregated."""
     c = table(spark, sf, "customer").select("c_custkey")
     o = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
-    li = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_orderkey", "l_quantity")
-    j = L.chain(c, [(o, "c_custkey"), (li, "o_orderkey")], how="inner")
-    return j.groupBy("c_custkey").agg(F.count("l_orderkey").alias("n_items"),
-                                      F.round(F.coalesce(F.sum("l_quantity"), F.lit(0.0)), 4).alias("total_qty"))
+    per_video = (table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey"))
+                 .agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("q")))
+    j = L.chain(o, [(per_video, "o_orderkey")], how="inner")
+    per_channel = j.groupBy("c_custkey").agg(F.sum("n").alias("n_items"), F.sum("q").alias("q"))
+    return L.chain(c, [(per_channel, "c_custkey")], how="inner").select(
+        "c_custkey", "n_items", F.round(F.coalesce("q", F.lit(0.0)), 4).alias("total_qty"))
 
 
 @register("j13_document_attach", """
