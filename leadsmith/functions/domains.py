@@ -15,7 +15,6 @@ from leadsmith.functions.text import _c, contains_any, endswith_any, strip
 
 # RFC 3986 scheme, then '//' and the authority up to '/', '?' or '#'.
 _NETLOC_RE = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)"
-_SCHEME_RE = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
 
 
 def netloc(url) -> Column:
