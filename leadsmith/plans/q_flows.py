@@ -182,3 +182,47 @@ def p11_funded_startups(spark, sf):
             .where(F.col("text").isNotNull()).dropDuplicates(["rel_path"]))
     out, _counts = FL.funded_startups(index, docs)
     return out
+
+
+_P8_DOMAIN = "concat(lower(split_part(o_orderpriority, '-', 2)), '.example.com')"
+_P8_LEVEL = ("CASE WHEN contains(lower(p_name), 'ring') THEN 0 WHEN contains(lower(p_name), 'bolt') THEN 1 "
+             "WHEN trim(p_name) <> '' THEN 2 ELSE 3 END")
+_P8_CONTACT_DOMAIN = ("CASE WHEN p_size <= 10 THEN 'urgent.example.com' WHEN p_size <= 20 THEN 'high.example.com' "
+                      "WHEN p_size <= 30 THEN 'medium.example.com' ELSE 'not specified.example.com' END")
+P8_CFG = dict(blocklist=("low",), max_calls=1000, ops_keywords=("ring",), exec_keywords=("bolt",))
+
+
+@register("p08_brand_bridge", f"""
+WITH s AS (SELECT o_custkey AS ordinal, o_orderkey AS rank, {_P8_DOMAIN} AS domain FROM orders),
+f AS (SELECT ordinal, arg_min(domain, rank) AS d FROM s GROUP BY ordinal),
+b AS (SELECT c_custkey AS ordinal, c_name AS brand_name,
+             CASE WHEN d IS NOT NULL AND trim(d) <> '' AND NOT contains(lower(d), 'low') THEN d END AS website
+      FROM customer LEFT JOIN f ON c_custkey = f.ordinal),
+called AS (SELECT ordinal, website FROM b WHERE coalesce(trim(website), '') <> '' AND NOT contains(lower(website), 'low')
+           QUALIFY row_number() OVER (ORDER BY ordinal) <= 1000),
+ct AS (SELECT {_P8_CONTACT_DOMAIN} AS domain, p_partkey AS pos, trim(concat_ws(' ', p_brand, p_type)) AS contact_name,
+              p_name AS position, concat(replace(p_name, ' ', '.'), CAST(p_partkey AS VARCHAR), '@x.example.com') AS value,
+              {_P8_LEVEL} AS lvl FROM part),
+best AS (SELECT domain, arg_min(contact_name, (lvl, pos)) AS contact_name, arg_min(position, (lvl, pos)) AS contact_title,
+                arg_min(value, (lvl, pos)) AS contact_email, arg_min(lvl, (lvl, pos)) AS lvl FROM ct GROUP BY domain),
+e AS (SELECT called.ordinal, contact_name, contact_title, contact_email,
+             CASE WHEN lvl IS NULL THEN 'contacts:none' ELSE 'contacts:' || ['ops', 'exec', 'generic', 'no_title'][lvl + 1] END AS email_source
+      FROM called LEFT JOIN best ON called.website = best.domain)
+SELECT b.ordinal, b.brand_name, b.website, e.contact_name, e.contact_title, e.contact_email, e.email_source
+FROM b LEFT JOIN e ON b.ordinal = e.ordinal""")
+def p08_brand_bridge(spark, sf):
+    """First suggest hit only -> eligibility -> call budget in seed order
+    -> ops / exec / titled / first contact cascade -> merged back. Suggest
+    hits map to five domains, so a handful of hot keys carry all contacts."""
+    brands = table(spark, sf, "customer").select(F.col("c_custkey").alias("ordinal"),
+                                                 F.col("c_name").alias("brand_name"))
+    suggest = table(spark, sf, "orders").select(F.col("o_custkey").alias("ordinal"), F.col("o_orderkey").alias("rank"),
+                                                F.expr(_P8_DOMAIN).alias("domain"))
+    contacts = table(spark, sf, "part").select(
+        F.expr(_P8_CONTACT_DOMAIN).alias("domain"), F.col("p_partkey").alias("pos"),
+        F.col("p_brand").alias("first_name"), F.col("p_type").alias("last_name"), F.col("p_name").alias("position"),
+        F.concat(F.replace("p_name", F.lit(" "), F.lit(".")), F.col("p_partkey").cast("string"),
+                 F.lit("@x.example.com")).alias("value"))
+    out, _counts = FL.brand_bridge(brands, suggest, contacts, FL.BridgeConfig(**P8_CFG))
+    return out.select("ordinal", "brand_name", "website", "contact_name", "contact_title", "contact_email",
+                      "email_source")

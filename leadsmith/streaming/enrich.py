@@ -89,8 +89,12 @@ def event_quota(events: DataFrame, caller: str, cap: int = 50, window_sec: float
 
 def run_quota_stream(spark: SparkSession, source: str, schema, caller: str, out: str, checkpoint: str,
                      cap: int = 50, window_sec: float = 60.0, glob: str | None = None,
-                     max_files: int | None = None):
-    """T2 end to end: file stream -> per-caller quota state -> parquet."""
+                     max_files: int | None = 1000):
+    """T2 end to end: file stream -> per-caller quota state -> parquet.
+
+    The state function orders one caller's rows of one micro-batch in
+    memory, so ``max_files`` bounds every micro-batch (and with it the
+    largest group a task holds); state carries over between batches."""
     reader = spark.readStream.schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
