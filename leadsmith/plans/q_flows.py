@@ -274,3 +274,36 @@ def p09_distributor_bridge(spark, sf):
                                 FL.BridgeConfig(blocklist=("low",), max_calls=1000))
     return out.select("ordinal", "company_name", "website", "contact_name", "contact_title", "contact_email",
                       "email_source")
+
+
+@register("p04_clinic_contacts", """
+WITH s AS (SELECT trim(s_name) AS clinic_name, concat('nation-', CAST(s_nationkey AS VARCHAR), '.example.com') AS website
+           FROM supplier),
+c AS (SELECT concat('nation-', CAST(c_nationkey AS VARCHAR), '.example.com') AS domain, c_custkey AS pos,
+             trim(c_name) AS contact_name, c_mktsegment AS position,
+             concat('c', CAST(c_custkey AS VARCHAR), '@clinic.example.com') AS value FROM customer),
+b AS (SELECT domain,
+             arg_min(contact_name, pos) FILTER (WHERE contains(lower(position), 'machinery')) AS m_name,
+             arg_min(position, pos) FILTER (WHERE contains(lower(position), 'machinery')) AS m_pos,
+             arg_min(value, pos) FILTER (WHERE contains(lower(position), 'machinery')) AS m_value,
+             arg_min(contact_name, pos) AS f_name, arg_min(position, pos) AS f_pos, arg_min(value, pos) AS f_value
+      FROM c GROUP BY domain)
+SELECT clinic_name, website, coalesce(m_name, f_name) AS contact_name,
+       CASE WHEN m_name IS NOT NULL THEN m_pos WHEN f_name IS NOT NULL THEN coalesce(nullif(trim(f_pos), ''), 'General/Unknown') END AS contact_title,
+       coalesce(m_value, f_value) AS contact_email,
+       CASE WHEN m_name IS NOT NULL THEN 'contacts:matched' WHEN f_name IS NOT NULL THEN 'contacts:fallback'
+            ELSE 'contacts:none' END AS email_source
+FROM s LEFT JOIN b ON s.website = b.domain""")
+def p04_clinic_contacts(spark, sf):
+    """Seed rows (name, site) -> first contact whose position has a
+    keyword, else the first contact with a default title (W4 + R10). The
+    contacts sit on one domain per nation: 25 hot keys."""
+    seed = table(spark, sf, "supplier").select(
+        F.col("s_name").alias("clinic_name"),
+        F.concat(F.lit("nation-"), F.col("s_nationkey").cast("string"), F.lit(".example.com")).alias("website"))
+    contacts = table(spark, sf, "customer").select(
+        F.concat(F.lit("nation-"), F.col("c_nationkey").cast("string"), F.lit(".example.com")).alias("domain"),
+        F.col("c_custkey").alias("pos"), F.col("c_name").alias("first_name"), F.lit(None).cast("string").alias("last_name"),
+        F.col("c_mktsegment").alias("position"),
+        F.concat(F.lit("c"), F.col("c_custkey").cast("string"), F.lit("@clinic.example.com")).alias("value"))
+    return FL.clinic_contacts(seed, contacts, keywords=("machinery",))
