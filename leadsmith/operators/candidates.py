@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leadsmith.functions.text import nonblank
+
 
 def _order(cols: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in cols])
@@ -48,7 +50,7 @@ def first_hit(df: DataFrame, entity: str, order: Sequence[str], value: str,
     first = df.groupBy(entity).agg(
         F.min_by(F.struct(F.col(value).alias("v"), blocked.alias("b")), _order(order)).alias("_h"))
     v = F.col("_h.v")
-    outcome = (F.when(v.isNull() | (F.trim(v) == ""), F.lit("not_found"))
+    outcome = (F.when(~nonblank(v), F.lit("not_found"))
                .when(F.col("_h.b"), F.lit("blocked"))
                .otherwise(F.lit("found")))
     return first.select(entity, F.when(outcome == "found", v).alias(value), outcome.alias("outcome"))

@@ -416,7 +416,7 @@ def creator_profiles(handles: DataFrame, channels: DataFrame, playlist: DataFram
     vids = recent.join(stats, "video_id", "left").withColumnRenamed("playlist_id", "uploads")
     per = M.engagement(vids.withColumn("_v", X.to_long_opt("viewCount")), "uploads", F.col("_v"),
                        X.to_long_opt("likeCount"), X.to_long_opt("commentCount"))
-    prof = M.empty_sample(good, "uploads", per.withColumn("n_sampled", F.col("n_sampled")),
+    prof = M.empty_sample(good, "uploads", per,
                           ["n_sampled", "total_views", "total_likes", "total_comments"])
     payload = prof.select("handle", "channel_id", F.to_json(F.struct(
         "handle", "channel_id", "subscribers", "channel_views",

@@ -138,7 +138,7 @@ SELECT s_suppkey, ({Q.strip(_F12)} = '' OR regexp_matches({Q.strip(_F12)}, '^[0-
 FROM supplier""")
 def f12_bad_address(spark, sf):
     s = table(spark, sf, "supplier")
-    return s.select("s_suppkey", P.bad_address(F.expr(_F12.replace("VARCHAR", "STRING"))).alias("bad"))
+    return s.select("s_suppkey", P.bad_address(Q.spark_expr(_F12)).alias("bad"))
 
 
 @register("f13_institutional", f"""

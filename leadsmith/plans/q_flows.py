@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from leadsmith.functions import text as X
 from leadsmith.plans import flows as FL
+from leadsmith.plans import sqlbits as Q
 from leadsmith.plans.registry import register
 from leadsmith.sources.tables import table
 
@@ -28,7 +29,7 @@ def _registry(spark, sf):
     return j.select(F.col("n_name").alias("state"), F.lit(0).alias("page"), F.col("c_custkey").alias("pos"),
                     F.floor("c_acctbal").cast("string").alias("dot_number"), F.col("c_name").alias("legal_name"),
                     (F.col("c_acctbal") / 100).cast("string").alias("nbr_power_unit"),
-                    F.expr(_EMAIL.replace("VARCHAR", "STRING")).alias("email_address"),
+                    Q.spark_expr(_EMAIL).alias("email_address"),
                     F.col("n_name").alias("phy_state"))
 
 
@@ -144,10 +145,6 @@ _P11_DOC = """CASE c_custkey % 3
  END"""
 
 
-def _spark_sql(s: str) -> str:
-    return s.replace("VARCHAR", "STRING").replace("o_orderkey // 2", "o_orderkey div 2")
-
-
 @register("p11_funded_startups", f"""
 WITH l AS (SELECT date_trunc('month', o_orderdate) AS day, {_P11_FORM} AS form_type, {_P11_NAME} AS company_name,
                   CAST(o_custkey AS VARCHAR) AS cik, strftime(o_orderdate, '%Y%m%d') AS ymd, {_P11_PATH} AS rel_path,
@@ -165,7 +162,7 @@ def p11_funded_startups(spark, sf):
     (X1/X2) -> ISO date (N12). A third of the filings are missing: blank."""
     from leadsmith.plans.q_sources import _scratch
     o = table(spark, sf, "orders")
-    e = lambda s: F.expr(_spark_sql(s))
+    e = Q.spark_expr
     line = F.concat(F.rpad(e(_P11_FORM), 12, " "), F.rpad(e(_P11_NAME), 62, " "),
                     F.lpad(F.col("o_custkey").cast("string"), 10, "0"), F.lit("  "),
                     F.date_format("o_orderdate", "yyyyMMdd"), F.lit("  "), e(_P11_PATH))
@@ -265,11 +262,11 @@ def p09_distributor_bridge(spark, sf):
                                                 F.expr(_P8_DOMAIN).alias("domain"))
     part = table(spark, sf, "part")
     people = part.select(F.expr(_P8_CONTACT_DOMAIN).alias("domain"), F.col("p_partkey").alias("pos"),
-                         F.expr(_P9_PERSON_ID.replace("VARCHAR", "STRING")).alias("id"),
+                         Q.spark_expr(_P9_PERSON_ID).alias("id"),
                          F.col("p_brand").alias("first_name"), F.col("p_type").alias("last_name"),
                          F.col("p_name").alias("title"))
     matches = part.select(F.col("p_partkey").cast("string").alias("id"),
-                          F.expr(_P9_MATCH.replace("VARCHAR", "STRING")).alias("email"))
+                          Q.spark_expr(_P9_MATCH).alias("email"))
     out = FL.distributor_bridge(firms, suggest, people, matches,
                                 FL.BridgeConfig(blocklist=("low",), max_calls=1000))
     return out.select("ordinal", "company_name", "website", "contact_name", "contact_title", "contact_email",

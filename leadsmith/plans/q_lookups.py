@@ -143,7 +143,7 @@ FROM h LEFT JOIN c ON h.handle = c.handle""")
 def j11_handle_resolution(spark, sf):
     """Handle -> id; unmatched handles carry an error (E2 dead letter)."""
     o = table(spark, sf, "orders")
-    h = o.select(X.handle(F.expr(_J11_HANDLE.replace("VARCHAR", "STRING"))).alias("handle")).distinct()
+    h = o.select(X.handle(Q.spark_expr(_J11_HANDLE)).alias("handle")).distinct()
     c = table(spark, sf, "customer").select(X.handle("c_name").alias("handle"),
                                             F.col("c_custkey").alias("channel_id"))
     j = h.join(c, "handle", "left")

@@ -53,7 +53,7 @@ QUALIFY row_number() OVER (PARTITION BY accession ORDER BY o_orderdate, o_orderk
 def a03_dedup_accession(spark, sf):
     """A3: the same filing listed on several days counts once (first day)."""
     o = table(spark, sf, "orders")
-    path = F.expr(_A3_PATH.replace("o_orderkey // 3", "o_orderkey div 3").replace("VARCHAR", "STRING"))
+    path = Q.spark_expr(_A3_PATH)
     t = o.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"), "o_orderdate")
     return DD.keep_first(t.withColumn("p", path), X.accession(F.col("p")), ["o_orderdate", "o_orderkey"],
                          cols=["o_orderkey", "day"], key_name="accession")

@@ -125,7 +125,7 @@ SELECT o_orderkey, coalesce(nullif(regexp_extract({_N10_PATH}, '(?i)edgar/data/[
   {Q.strip(_N10_PATH)}) AS accession FROM orders""")
 def n10_accession(spark, sf):
     o = table(spark, sf, "orders")
-    return o.select("o_orderkey", X.accession(F.expr(_N10_PATH.replace("lpad(CAST(o_orderkey AS VARCHAR)", "lpad(CAST(o_orderkey AS STRING)"))).alias("accession"))
+    return o.select("o_orderkey", X.accession(Q.spark_expr(_N10_PATH)).alias("accession"))
 
 
 @register("n11_strip_zeros", """
@@ -321,7 +321,9 @@ def r09_phone(spark, sf):
     return c.select("c_custkey", X.phone(link, text).alias("phone"))
 
 
-TIERS = ["{name} {city} {state} equipment dealer", "{name} {state} equipment dealer", "{name} {city} {state}"]
+# Search strings per entity, tight to loose (literal parts quoted).
+TIERS = [["name", "city", "state", "'equipment dealer'"], ["name", "state", "'equipment dealer'"],
+         ["name", "city", "state"]]
 
 
 @register("r11_query_tiers", """
@@ -338,11 +340,7 @@ def r11_query_tiers(spark, sf):
     n = table(spark, sf, "nation")
     b = c.join(n, c.c_nationkey == n.n_nationkey).select("c_custkey", F.col("c_name").alias("name"),
                                                           F.col("n_name").alias("city"), F.lit("Michigan").alias("state"))
-    arr = F.array(*[F.expr("format_string('%s', " + _fmt(t) + ")") for t in TIERS])
+    part = lambda p: F.lit(p.strip("'")) if p.startswith("'") else F.col(p)
+    arr = F.array(*[F.concat_ws(" ", *[part(p) for p in tier]) for tier in TIERS])
     return b.select("c_custkey", F.posexplode(arr).alias("tier", "query")) \
             .select("c_custkey", (F.col("tier") + 1).alias("tier"), "query")
-
-
-def _fmt(template: str) -> str:
-    parts = template.replace("{", "|{").replace("}", "}|").split("|")
-    return "concat(" + ", ".join(p[1:-1] if p.startswith("{") else f"'{p}'" for p in parts if p) + ")"

@@ -89,7 +89,7 @@ def s04_fixed_width(spark, sf):
     """S4 + F18 + N11: orders rendered as a fixed-width daily index (with
     header and dash lines), then parsed back columnar."""
     o = table(spark, sf, "orders")
-    v = lambda s: F.expr(s.replace("VARCHAR", "STRING"))
+    v = Q.spark_expr
     line = F.concat(F.rpad(v(_FORM), 12, " "), F.rpad(v(_NAME), 62, " "), v(_CIK), F.lit("  "), _ymd_spark(),
                     F.lit("  "), v(_PATH))
     lines = o.select(line.alias("value"))
@@ -282,7 +282,7 @@ FROM r""")
 def x06_validate_response(spark, sf):
     """Scorer responses validated: keys, int(), clamp, cut, defaults."""
     e = table(spark, sf, "events")
-    r = e.select("event_id", F.expr(_X6_RESP.replace("VARCHAR", "STRING")).alias("resp"))
+    r = e.select("event_id", Q.spark_expr(_X6_RESP).alias("resp"))
     v = DOC.validate_response("resp")
     return r.select("event_id", v["icp_score"].alias("icp_score"), v["booking_system"].alias("booking_system"),
                     v["reasoning"].alias("reasoning"))

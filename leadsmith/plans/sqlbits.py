@@ -5,6 +5,13 @@ from __future__ import annotations
 from leadsmith.functions.text import WS_CLASS
 
 
+def spark_expr(sql: str):
+    """A SQL snippet shared with the DuckDB twin, as a Spark Column
+    (Spark spells an unbounded text cast STRING and integer division div)."""
+    from pyspark.sql import functions as F
+    return F.expr(sql.replace("AS VARCHAR", "AS STRING").replace(" // ", " div "))
+
+
 def strip(x: str) -> str:
     return f"regexp_replace({x}, '^{WS_CLASS}+|{WS_CLASS}+$', '', 'g')"
 
