@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -260,3 +261,20 @@ def clean_title_name(x) -> Column:
     s = F.when(~s.contains('"'), s).when(quoted != "", strip(quoted)).otherwise(unquoted)
     s = F.regexp_replace(s, r"""["']$""", "")
     return strip(F.regexp_replace(s, r"\s+", " "))
+
+
+def title_case(x) -> Column:
+    """N14, native: Spark ``initcap`` (capitalises after spaces only)."""
+    return F.initcap(_c(x))
+
+
+def _title_batch(s: pd.Series) -> pd.Series:
+    return s.str.title()
+
+
+def title_case_exact(x) -> Column:
+    """N14, exact ``str.title`` (capitalises after any non-letter, so
+    "o'brien" -> "O'Brien", "smith-jones" -> "Smith-Jones"), as an
+    Arrow-batched pandas UDF for callers who need the reference's spelling."""
+    udf = F.pandas_udf(_title_batch, "string")
+    return udf(_c(x))

@@ -108,3 +108,9 @@ def test_full_name_is_null_safe(spark):
 def test_emails(spark):
     df = spark.createDataFrame([("write a.b@x.example.com or INFO@y.example.org.",)], "t string")
     assert df.select(X.extract_emails("t")).first()[0] == ["a.b@x.example.com", "INFO@y.example.org"]
+
+
+def test_title_case_native_and_exact(spark):
+    vals = ["o'brien equipment", "smith-jones co", "ACME tractor"]
+    assert one(spark, X.title_case, vals) == ["O'brien Equipment", "Smith-jones Co", "Acme Tractor"]
+    assert one(spark, X.title_case_exact, vals) == [v.title() for v in vals]

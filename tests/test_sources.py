@@ -126,3 +126,10 @@ def test_pending_and_preview(spark):
     pl = K.payload(todo, ["id", "company"]).first()["payload"]
     assert pl.startswith('{"status":"SUCCESS","count":3,"items":[')
     assert F is not None
+
+
+def test_run_mode_caps_rows(spark):
+    df = spark.range(20).withColumnRenamed("id", "ordinal")
+    test_mode = K.RunMode(name="test", row_cap=5, call_cap=5, output="out_test.csv")
+    assert [r["ordinal"] for r in test_mode.apply(df, ["ordinal"]).collect()] == [0, 1, 2, 3, 4]
+    assert K.RunMode().apply(df, ["ordinal"]).count() == 20
