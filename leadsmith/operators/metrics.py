@@ -50,22 +50,25 @@ def hit_rate(df: DataFrame, hit: Column, error: Column, group: Sequence[str] = (
     return out.withColumn("hit_pct", coverage_pct(F.col("n_hits"), F.col("n_attempted")))
 
 
-def engagement(df: DataFrame, group: str, views: Column, likes: Column, comments: Column) -> DataFrame:
-    """A10-A12 over integer counts: totals with missing = 0, mean views
-    (2 dp, NULL when no sample) and rate = (likes + comments) / views * 100
-    (4 dp, NULL when no views): a ratio of sums, not a mean of ratios.
-    Integer sums are exact, so the result does not depend on the order in
-    which partial sums are combined."""
+def engagement(df: DataFrame, group: str, views: Column, likes: Column, comments: Column,
+               present: Column | None = None) -> DataFrame:
+    """A10-A12 over integer counts. ``present`` marks items the statistics
+    service returned (default: every row). A returned item with a hidden
+    count contributes 0 and still counts as sampled, so the mean is
+    total / sampled (2 dp, NULL when nothing was sampled), and the rate is
+    (likes + comments) / views * 100 (4 dp, NULL when views total 0): a
+    ratio of sums, not a mean of ratios. Integer sums are exact, so results
+    do not depend on how partial sums are combined."""
     z = F.lit(0).cast("bigint")
+    keep = F.lit(True) if present is None else F.coalesce(present, F.lit(False))
     out = df.groupBy(group).agg(
-        F.count(F.lit(1)).alias("n_sampled"),
-        F.sum(F.coalesce(views, z)).alias("total_views"),
-        F.sum(F.coalesce(likes, z)).alias("total_likes"),
-        F.sum(F.coalesce(comments, z)).alias("total_comments"),
-        F.avg(views).alias("_mean"))
+        F.count_if(keep).alias("n_sampled"),
+        F.sum(F.when(keep, F.coalesce(views, z)).otherwise(z)).alias("total_views"),
+        F.sum(F.when(keep, F.coalesce(likes, z)).otherwise(z)).alias("total_likes"),
+        F.sum(F.when(keep, F.coalesce(comments, z)).otherwise(z)).alias("total_comments"))
     return out.select(
         group, "n_sampled", "total_views", "total_likes", "total_comments",
-        F.round("_mean", 2).alias("mean_views"),
+        F.round(F.col("total_views") / F.nullif(F.col("n_sampled"), F.lit(0)), 2).alias("mean_views"),
         F.round((F.col("total_likes") + F.col("total_comments")) * 100.0
                 / F.nullif(F.col("total_views"), F.lit(0)), 4).alias("engagement_rate"))
 

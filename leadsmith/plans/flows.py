@@ -413,9 +413,11 @@ def creator_profiles(handles: DataFrame, channels: DataFrame, playlist: DataFram
     resolved = h.join(ch, "handle", "left")
     good, bad = L.split_errors(resolved, F.when(F.col("channel_id").isNull(), F.lit("unknown handle")))
     recent = RK.recent_n(playlist, "playlist_id", [F.col("published_at").desc(), F.col("video_id").desc()], cfg.recent)
-    vids = recent.join(stats, "video_id", "left").withColumnRenamed("playlist_id", "uploads")
-    per = M.engagement(vids.withColumn("_v", X.to_long_opt("viewCount")), "uploads", F.col("_v"),
-                       X.to_long_opt("likeCount"), X.to_long_opt("commentCount"))
+    # videos the statistics service did not return are not sampled
+    vids = recent.join(stats.withColumn("_returned", F.lit(True)), "video_id", "left") \
+                 .withColumnRenamed("playlist_id", "uploads")
+    per = M.engagement(vids, "uploads", X.to_long_opt("viewCount"), X.to_long_opt("likeCount"),
+                       X.to_long_opt("commentCount"), present=F.col("_returned"))
     prof = M.empty_sample(good, "uploads", per,
                           ["n_sampled", "total_views", "total_likes", "total_comments"])
     payload = prof.select("handle", "channel_id", F.to_json(F.struct(

@@ -113,8 +113,8 @@ rec AS (SELECT 'u' || CAST(o_custkey AS VARCHAR) AS uploads, o_orderkey AS video
         QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) <= 15),
 st AS (SELECT l_orderkey AS video_id, CAST(floor(sum(l_quantity)) AS BIGINT) AS vv, count(*) AS lk,
               CASE WHEN count(*) > 3 THEN count(*) - 3 END AS cm FROM lineitem GROUP BY l_orderkey),
-agg AS (SELECT uploads, count(*) AS n_sampled, sum(coalesce(vv, 0)) AS tv, sum(coalesce(lk, 0)) AS tl,
-               sum(coalesce(cm, 0)) AS tc, avg(vv) AS mv
+agg AS (SELECT uploads, count(st.video_id) AS n_sampled, sum(coalesce(vv, 0)) AS tv, sum(coalesce(lk, 0)) AS tl,
+               sum(coalesce(cm, 0)) AS tc, sum(coalesce(vv, 0)) / nullif(count(st.video_id), 0) AS mv
         FROM rec LEFT JOIN st USING (video_id) GROUP BY uploads)
 SELECT h.handle, ch.channel_id, ch.subscribers, ch.channel_views, coalesce(agg.n_sampled, 0) AS n_sampled,
        CAST(coalesce(tv, 0) AS BIGINT) AS total_views, CAST(coalesce(tl, 0) AS BIGINT) AS total_likes,

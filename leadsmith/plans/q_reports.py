@@ -88,7 +88,7 @@ g AS (SELECT user_id, count(*) AS n_sampled,
   sum(coalesce(CASE WHEN event_type = 'view' THEN cnt END, 0)) AS tv,
   sum(coalesce(CASE WHEN event_type = 'click' THEN cnt END, 0)) AS tl,
   sum(coalesce(CASE WHEN event_type = 'purchase' THEN cnt END, 0)) AS tc,
-  avg(CASE WHEN event_type = 'view' THEN cnt END) AS mv FROM c GROUP BY user_id)"""
+  sum(coalesce(CASE WHEN event_type = 'view' THEN cnt END, 0)) / count(*) AS mv FROM c GROUP BY user_id)"""
 
 
 @register("a10_engagement_totals", f"""{_ENG_SQL}
@@ -102,7 +102,8 @@ def a10_engagement_totals(spark, sf):
 @register("a11_mean_views", f"""{_ENG_SQL}
 SELECT user_id, round(mv, 2) AS mean_views FROM g""")
 def a11_mean_views(spark, sf):
-    """Mean over the sampled items, 2 dp, NULL when none."""
+    """Total views / sampled items (an item without a view count
+    counts as 0 and is still sampled), 2 dp, NULL when none."""
     return _engagement(spark, sf).select("user_id", "mean_views")
 
 

@@ -180,11 +180,16 @@ def test_p11_funded_startups(spark):
 
 
 def test_p12_creator_profiles(spark):
-    handles = spark.createDataFrame([("alpha",), ("@beta",), ("ghost",)], "handle string")
-    channels = spark.createDataFrame([("@alpha", "c1", "100", "1000", "u1"), ("beta", "c2", None, "5", "u2")],
+    handles = spark.createDataFrame([("alpha",), ("@beta",), ("ghost",), ("gamma",)], "handle string")
+    channels = spark.createDataFrame([("@alpha", "c1", "100", "1000", "u1"), ("beta", "c2", None, "5", "u2"),
+                                      ("gamma", "c3", "7", "7", "u3")],
                                      "handle string, channel_id string, subscriberCount string, viewCount string, uploads string")
-    playlist = spark.createDataFrame([("u1", i, f"v{i}") for i in range(20)], "playlist_id string, published_at int, video_id string")
-    stats = spark.createDataFrame([(f"v{i}", str(10 * i), str(i), None) for i in range(20)],
+    playlist = spark.createDataFrame([("u1", i, f"v{i}") for i in range(20)] + [("u3", 1, "g1"), ("u3", 2, "g2"),
+                                                                                 ("u3", 3, "g3")],
+                                     "playlist_id string, published_at int, video_id string")
+    # g1: view count hidden (counts as 0, still sampled); g3: not returned
+    stats = spark.createDataFrame([(f"v{i}", str(10 * i), str(i), None) for i in range(20)] +
+                                  [("g1", None, "4", "1"), ("g2", "30", "2", None)],
                                   "video_id string, viewCount string, likeCount string, commentCount string")
     prof, dead, manifest = FL.creator_profiles(handles, channels, playlist, stats)
     p = {r["handle"]: json.loads(r["profile"]) for r in prof.collect()}
@@ -193,5 +198,8 @@ def test_p12_creator_profiles(spark):
                                   "total_likes": sum(range(5, 20)), "total_comments": 0}
     assert a["mean_views"] == 120.0 and a["engagement_rate"] == 10.0
     assert p["@beta"]["recent_totals"]["n_sampled"] == 0 and "mean_views" not in p["@beta"]   # A13
+    g = p["@gamma"]
+    assert g["recent_totals"] == {"n_sampled": 2, "total_views": 30, "total_likes": 6, "total_comments": 1}
+    assert g["mean_views"] == 15.0 and g["engagement_rate"] == round(7 / 30 * 100, 4)
     assert rows(dead) == [("@ghost", "unknown handle")]
-    assert manifest.first().asDict() == {"status": "PARTIAL", "n_processed": 3, "n_failed": 1}
+    assert manifest.first().asDict() == {"status": "PARTIAL", "n_processed": 4, "n_failed": 1}
