@@ -20,8 +20,8 @@ FROM documents""")
 def n01_strip(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", "text")
     clean = X.collapse_ws("text")
-    return d.select("doc_id", F.md5(clean).alias("clean_md5"), F.length(clean).alias("clean_len"),
-                    F.length(X.strip("text")).alias("strip_len"))
+    return d.select("doc_id", F.md5(clean).alias("clean_md5"), F.length(clean).cast("bigint").alias("clean_len"),
+                    F.length(X.strip("text")).cast("bigint").alias("strip_len"))
 
 
 @register("n02_domain_netloc", f"SELECT page_id, {Q.domain_netloc('url')} AS domain FROM pages")
@@ -188,7 +188,7 @@ FROM documents""")
 def n16_truncate(spark, sf):
     d = table(spark, sf, "documents")
     t4 = X.truncate("text", 4000)
-    return d.select("doc_id", F.md5(t4).alias("page_md5"), F.length(t4).alias("page_len"),
+    return d.select("doc_id", F.md5(t4).alias("page_md5"), F.length(t4).cast("bigint").alias("page_len"),
                     X.truncate("text", 100).alias("head"))
 
 

@@ -110,7 +110,7 @@ def s05_whole_documents(spark, sf):
     """S5 on the documents table (one row per document, whole text)."""
     d = table(spark, sf, "documents")
     return d.select(F.concat(F.lit("doc/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"),
-                    F.length("text").alias("n_text"), F.md5("text").alias("text_md5"))
+                    F.length("text").cast("bigint").alias("n_text"), F.md5("text").alias("text_md5"))
 
 
 @register("s06_csv_roundtrip", """
@@ -291,9 +291,9 @@ def x06_validate_response(spark, sf):
 @register("x09_nested_json", """
 WITH r AS (SELECT user_id, event_id, event_type FROM events
            QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) <= 15)
-SELECT user_id, to_json({'handle': concat('@user', CAST(user_id AS VARCHAR)),
+SELECT user_id, CAST(to_json({'handle': concat('@user', CAST(user_id AS VARCHAR)),
   'recent_totals': {'n': count(*), 'views': count(*) FILTER (WHERE event_type = 'view'),
-                    'clicks': count(*) FILTER (WHERE event_type = 'click')}}) AS profile
+                    'clicks': count(*) FILTER (WHERE event_type = 'click')}}) AS VARCHAR) AS profile
 FROM r GROUP BY user_id""")
 def x09_nested_json(spark, sf):
     """A nested profile per entity as one JSON object per row."""

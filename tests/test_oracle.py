@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
-from tools.oracle_check import TABLES, digest, spark_rows
+from tools.oracle_check import TABLES, digest, spark_rows, type_mismatches
 
 QUERIES = entry.queries()
 ORACLES = entry.oracle_sql()
@@ -35,6 +35,7 @@ def test_query_matches_duckdb(spark, con, name):
     drows = res.fetchall()
     srows = spark_rows(df)
     assert sorted(df.columns) == sorted(dcols)
+    assert type_mismatches(df, res) == []
     assert len(srows) == len(drows)
     assert digest(df.columns, srows)[0] == digest(dcols, drows)[0]
 
