@@ -55,3 +55,23 @@ def test_plan_has_no_nested_loop_join(spark, name):
     plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastNestedLoopJoin" not in plan
     assert "CartesianProduct" not in plan
+
+
+PARTITION_SAMPLE = ["a01_dedup_keep_first", "a07_rejection_counts", "j02_two_step_lookup", "w02_priority_confidence",
+                    "w06_recent_n", "w07_budget", "w08_quota_slots", "s02_page_prefix", "p01_carrier_leads",
+                    "p09_distributor_bridge"]
+
+
+@pytest.mark.parametrize("name", PARTITION_SAMPLE)
+def test_partition_independence(spark, name):
+    """SURVEY §5(d): the same result with 1 and with 13 shuffle partitions."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    out = []
+    try:
+        for n in ("1", "13"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            df = QUERIES[name](spark, SF_SMALL)
+            out.append(digest(df.columns, spark_rows(df))[0])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert out[0] == out[1]
