@@ -27,10 +27,16 @@ WITH r AS (SELECT c_nationkey AS state, c_custkey, row_number() OVER (PARTITION
            FROM customer)
 SELECT state, CAST((rn - 1) // 20 AS BIGINT) AS page, count(*) AS n_rows FROM r GROUP BY ALL""")
 def s01_paged_scan(spark, sf):
-    """Registry rows paged per partition key (20 per page, key order)."""
-    c = table(spark, sf, "customer").select(F.col("c_nationkey").alias("state"), "c_custkey")
+    """Registry rows paged per partition key (20 per page, key order),
+    landed as JSON under ``state=`` folders and scanned back with an
+    explicit schema (no inference pass); the state folders become a
+    partition column, so a filter on state prunes whole folders."""
+    c = table(spark, sf, "customer").select(F.col("c_nationkey").alias("state"), "c_custkey", "c_name")
     numbered = B.quota_slots(c, ["state"], ["c_custkey"], 20).withColumnRenamed("window_no", "page")
-    return numbered.groupBy("state", "page").agg(F.count(F.lit(1)).alias("n_rows"))
+    path = _scratch(spark, "registry")
+    numbered.select("state", "page", "c_custkey", "c_name").write.partitionBy("state").mode("overwrite").json(path)
+    pages = S.registry_pages(spark, path, "c_custkey bigint, c_name string, state int, page bigint")
+    return pages.groupBy("state", "page").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @register("s02_page_prefix", """

@@ -133,3 +133,17 @@ def test_run_mode_caps_rows(spark):
     test_mode = K.RunMode(name="test", row_cap=5, call_cap=5, output="out_test.csv")
     assert [r["ordinal"] for r in test_mode.apply(df, ["ordinal"]).collect()] == [0, 1, 2, 3, 4]
     assert K.RunMode().apply(df, ["ordinal"]).count() == 20
+
+
+def test_whole_documents_and_append(spark):
+    d = tempfile.mkdtemp(dir="/tmp")
+    for name, body in [("a.txt", "line 1\\nline 2\\n"), ("b.txt", "<edgarSubmission/>")]:
+        with open(f"{d}/{name}", "w") as fh:
+            fh.write(body)
+    docs = S.whole_documents(spark, d)
+    got = {os.path.basename(r["path"]): r["text"] for r in docs.collect()}
+    assert got == {"a.txt": "line 1\\nline 2\\n", "b.txt": "<edgarSubmission/>"}
+    out = f"{d}/done"
+    K.append(spark.createDataFrame([(1, "x")], "id int, v string"), out)
+    K.append(spark.createDataFrame([(2, "y")], "id int, v string"), out)
+    assert rows(spark.read.parquet(out)) == [(1, "x"), (2, "y")]
