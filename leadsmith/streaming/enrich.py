@@ -25,15 +25,22 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 def incremental_enrichment(spark: SparkSession, source: str, schema, lookup: DataFrame, key: str,
                            out: str, checkpoint: str, fmt: str = "parquet",
-                           max_files: int | None = None, glob: str | None = None):
+                           max_files: int | None = None, glob: str | None = None,
+                           event_time: str | None = None, dedupe_within: str = "1 day"):
     """Enrich new input files as they land; returns the finished query
-    (``availableNow``: process what is there, then stop)."""
+    (``availableNow``: process what is there, then stop).
+
+    With ``event_time``, a key that lands again (in a later file or batch)
+    within ``dedupe_within`` of its first arrival is enriched only once:
+    ``dropDuplicatesWithinWatermark`` keeps bounded state per key."""
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     stream = reader.format(fmt).load(source)
+    if event_time is not None:
+        stream = stream.withWatermark(event_time, dedupe_within).dropDuplicatesWithinWatermark([key])
     enriched = stream.join(lookup, key, "left")
     q = (enriched.writeStream.format("parquet").option("path", out)
          .option("checkpointLocation", checkpoint).outputMode("append")

@@ -53,3 +53,18 @@ def test_event_quota_matches_replay(spark):
     want = replay(secs, 3, 60)
     assert [(r["admitted_at"] - base).total_seconds() for r in out] == want
     assert sum(r["deferred"] for r in out) == 3  # calls at 3 s, 70 s and 73 s wait
+
+
+def test_incremental_enrichment_dedupes_across_batches(spark):
+    d = tempfile.mkdtemp(dir="/tmp")
+    schema = "company_id long, company string, landed_at timestamp"
+    look = spark.createDataFrame([(1, "a@x")], "company_id long, email string")
+    t0 = dt.datetime(2024, 1, 1, 12, 0)
+    spark.createDataFrame([(1, "A", t0), (2, "B", t0)], schema).write.parquet(f"{d}/in/f=1")
+    ST.incremental_enrichment(spark, f"{d}/in", schema, look, "company_id", f"{d}/out", f"{d}/ckpt",
+                              event_time="landed_at", dedupe_within="1 hour")
+    spark.createDataFrame([(1, "A again", t0 + dt.timedelta(minutes=5))], schema).write.parquet(f"{d}/in/f=2")
+    ST.incremental_enrichment(spark, f"{d}/in", schema, look, "company_id", f"{d}/out", f"{d}/ckpt",
+                              event_time="landed_at", dedupe_within="1 hour")
+    got = rows(spark.read.parquet(f"{d}/out"), "company_id", "company", "email")
+    assert got == [(1, "A", "a@x"), (2, "B", None)]
