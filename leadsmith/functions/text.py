@@ -69,7 +69,7 @@ def to_number(x) -> Column:
     # one reference to the input: the match itself is cast (no second
     # evaluation of a possibly costly argument such as a JSON extraction)
     matched = F.regexp_extract(strip(_c(x).cast("string")), "(" + NUMERIC_RE + ")", 1)
-    return F.nullif(matched, F.lit("")).try_cast("double")
+    return matched.try_cast("double")  # no match -> '' -> NULL
 
 
 def to_int_truncated(x) -> Column:
@@ -100,36 +100,48 @@ def keyword_rank(x, keywords: Sequence[str], default: int = 99) -> Column:
     return expr
 
 
+def _literal(s: str) -> str:
+    """A Java-regex literal for ``s``."""
+    if "\\E" not in s:
+        return "\\Q" + s + "\\E"
+    return "".join("\\" + ch if not ch.isalnum() else ch for ch in s)
+
+
+def _any_of(needles: Sequence[str], lower: bool) -> str:
+    return "(?:" + "|".join(_literal(n.lower() if lower else n) for n in needles) + ")"
+
+
+# Lists are matched with one regex of quoted literals rather than an OR of
+# ``contains``: the input expression is then evaluated once per row even in
+# a filter pushed into the scan, where Spark applies no common-subexpression
+# elimination (an OR of k tests would re-derive e.g. a URL's domain k times).
+
 def contains_any(x, needles: Sequence[str], lower: bool = True) -> Column:
-    """any needle is a substring (an OR of literals)."""
+    """any needle is a substring."""
     c = F.coalesce(_c(x), F.lit(""))
     if lower:
         c = F.lower(c)
     if not needles:
         return F.lit(False)
-    out = None
-    for n in needles:
-        t = c.contains(n.lower() if lower else n)
-        out = t if out is None else (out | t)
-    return out
+    if len(needles) == 1:
+        return c.contains(needles[0].lower() if lower else needles[0])
+    return c.rlike(_any_of(needles, lower))
 
 
 def startswith_any(x, prefixes: Sequence[str]) -> Column:
     """F8: lower(x) starts with any prefix."""
     c = F.lower(F.coalesce(_c(x), F.lit("")))
-    out = F.lit(False)
-    for p in prefixes:
-        out = out | c.startswith(p.lower())
-    return out
+    if not prefixes:
+        return F.lit(False)
+    return c.rlike("^" + _any_of(prefixes, True))
 
 
 def endswith_any(x, suffixes: Sequence[str]) -> Column:
-    """lower(x) ends with any suffix."""
+    """lower(x) ends with any suffix (``\\z``: the very end, unlike ``$``)."""
     c = F.lower(F.coalesce(_c(x), F.lit("")))
-    out = F.lit(False)
-    for s in suffixes:
-        out = out | c.endswith(s.lower())
-    return out
+    if not suffixes:
+        return F.lit(False)
+    return c.rlike(_any_of(suffixes, True) + "\\z")
 
 
 def full_name(first, last) -> Column:

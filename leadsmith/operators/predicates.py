@@ -32,9 +32,14 @@ BUSINESS_WORDS_RE = (r"(?i)\b(equipment|sales|supply|service|machinery|tractor|r
 
 
 def in_range(x, lo: float, hi: float) -> Column:
-    """F2 + F3: coerce, truncate, then closed range (50.9 -> 50 is kept, C6)."""
-    v = to_int_truncated(x)
-    return F.coalesce(v.between(lo, hi), F.lit(False))
+    """F2 + F3: coerce, truncate, then closed range (50.9 -> 50 is kept, C6).
+
+    ``lo <= v <= hi`` is written as one comparison on the distance from the
+    midpoint, so the coercion chain is referenced once: a filter pushed into
+    the scan gets no common-subexpression elimination, and ``between``
+    would evaluate it twice."""
+    v = to_int_truncated(x).cast("double")
+    return F.coalesce(F.abs(v * 2.0 - float(lo + hi)) <= float(hi - lo), F.lit(False))
 
 
 def role_address(email) -> Column:

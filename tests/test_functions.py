@@ -114,3 +114,18 @@ def test_title_case_native_and_exact(spark):
     vals = ["o'brien equipment", "smith-jones co", "ACME tractor"]
     assert one(spark, X.title_case, vals) == ["O'brien Equipment", "Smith-jones Co", "Acme Tractor"]
     assert one(spark, X.title_case_exact, vals) == [v.title() for v in vals]
+
+
+def test_list_matches_are_literal_and_single_pass(spark):
+    # regex metacharacters in list entries are literals; '\z' is the very end
+    assert one(spark, lambda c: X.contains_any(c, [".gov", "a+b"]), ["x.gov.example", "xgov", "A+B co"]) == \
+        [True, False, True]
+    assert one(spark, lambda c: X.endswith_any(c, ["@gmail.com", ".uk"]), ["a@gmail.com\n", "b@GMAIL.com", "x.uk"]) == \
+        [False, True, True]
+    assert one(spark, lambda c: X.startswith_any(c, ["info@", "a.b"]), ["Info@x", "axb", "a.b@c"]) == \
+        [True, False, True]
+    df = spark.createDataFrame([("https://www.blog.example.com/x",)], "u string")
+    from leadsmith.functions import domains as D
+    plan = df.where(X.contains_any(D.domain_netloc("u"), ["blog", "spam", "pills"]))._jdf.queryExecution() \
+             .optimizedPlan().toString()
+    assert plan.count("regexp_extract") == 1  # the derived domain is computed once in the filter
