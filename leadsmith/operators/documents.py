@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -145,19 +145,24 @@ def tel_note(count) -> Column:
 
 
 # --- X5 / X7: rubric score ---------------------------------------------------
+# The scoring logic is a chain of CASE branches. Spark does not share
+# subexpressions across CASE branches (they are conditionally evaluated), so
+# the costly inputs -- keyword counts over whole texts, JSON extractions --
+# are projected as columns first and the branches read those columns.
 
 def occurrences(text, needle: str) -> Column:
-    """Non-overlapping occurrences of a literal in lower(text)."""
+    """Non-overlapping occurrences of a literal in lower(text), one pass."""
     low = F.lower(F.coalesce(_c(text), F.lit("")))
-    return ((F.length(low) - F.length(F.replace(low, F.lit(needle.lower()), F.lit("")))) / len(needle)).cast("int")
+    return F.regexp_count(low, F.lit("\\Q" + needle.lower() + "\\E")).cast("int")
 
 
-def rubric_score(text, phone: Sequence[str], forms: Sequence[str], portals: Sequence[str]) -> Column:
+def with_rubric(df: DataFrame, text: str, phone: Sequence[str], forms: Sequence[str], portals: Sequence[str],
+                out: str = "score") -> DataFrame:
     """X5 + X7: deterministic tiers, portals checked first.
 
     tier 3 (portal named) 10-30, tier 1 (phone-first) 90-100, tier 2 (forms)
-    70-89, else 1; blank text scores 0 with a reason (X7). Returns
-    struct<icp_score int, booking_system string, reasoning string>.
+    70-89, else 1; blank text scores 0 with a reason (X7). Adds
+    ``out``: struct<icp_score int, booking_system string, reasoning string>.
     """
     def hits(words):
         total = F.lit(0)
@@ -165,8 +170,9 @@ def rubric_score(text, phone: Sequence[str], forms: Sequence[str], portals: Sequ
             total = total + occurrences(text, w)
         return total
 
-    hp, hf, hb = hits(phone), hits(forms), hits(portals)
-    blank = ~nonblank(text)
+    staged = df.withColumns({"_hp": hits(phone), "_hf": hits(forms), "_hb": hits(portals),
+                             "_blank": ~nonblank(text)})
+    hp, hf, hb, blank = F.col("_hp"), F.col("_hf"), F.col("_hb"), F.col("_blank")
     score = (F.when(blank, 0).when(hb > 0, 10 + F.least(F.lit(20), hb))
              .when(hp > 0, 90 + F.least(F.lit(10), hp)).when(hf > 0, 70 + F.least(F.lit(19), hf))
              .otherwise(1))
@@ -175,7 +181,9 @@ def rubric_score(text, phone: Sequence[str], forms: Sequence[str], portals: Sequ
     reason = (F.when(blank, "No homepage text available for analysis.")
               .when(hb > 0, "tier 3: booking portal named").when(hp > 0, "tier 1: phone-first wording")
               .when(hf > 0, "tier 2: forms or e-mail").otherwise("no tier matched"))
-    return F.struct(score.cast("int").alias("icp_score"), system.alias("booking_system"), reason.alias("reasoning"))
+    scored = F.struct(score.cast("int").alias("icp_score"), system.alias("booking_system"),
+                      reason.alias("reasoning"))
+    return staged.withColumn(out, scored).drop("_hp", "_hf", "_hb", "_blank")
 
 
 # --- X6: scorer response validation -----------------------------------------
@@ -183,14 +191,13 @@ def rubric_score(text, phone: Sequence[str], forms: Sequence[str], portals: Sequ
 REQUIRED_KEYS = ("icp_score", "booking_system", "agentic_reasoning")
 
 
-def validate_response(resp) -> Column:
+def with_validated_response(df: DataFrame, resp: str, out: str = "scored") -> DataFrame:
     """JSON with the three keys -> clamp score to 1..100 (after int()),
     booking system stripped and cut to 100 chars; anything else -> the
     default struct with a reason. ``"85"`` and ``85.7`` are accepted like
-    ``int()`` would (C17); non-numeric text is a scoring error."""
-    r = _c(resp)
+    ``int()`` would (C17); non-numeric text is a scoring error. Adds ``out``."""
+    r = F.col(resp)
     parsed = F.from_json(r, "map<string,string>")
-    valid_json = parsed.isNotNull()
     has_all = F.lit(True)
     for k in REQUIRED_KEYS:
         has_all = has_all & F.coalesce(F.map_contains_key(parsed, F.lit(k)), F.lit(False))
@@ -200,16 +207,19 @@ def validate_response(resp) -> Column:
     quoted = r.rlike(r'"icp_score"\s*:\s*"')
     num = F.when(quoted, F.when(raw_score.rlike(r"^\s*[+-]?[0-9]+\s*$"), strip(raw_score).try_cast("double"))) \
            .otherwise(to_number(raw_score))
-    score = clamp(num.cast("int"), 1, 100)
-    ok = valid_json & has_all & num.isNotNull()
-    reason = (F.when(~valid_json, F.lit("response parsing failed."))
-              .when(~has_all, F.lit("Failed to parse response."))
-              .when(num.isNull(), F.lit("Scoring error: ValueError")))
-    return F.struct(
-        F.when(ok, score).otherwise(F.lit(0)).alias("icp_score"),
-        F.when(ok, truncate(strip(F.get_json_object(r, "$.booking_system")), 100))
-         .otherwise(F.lit("Unknown")).alias("booking_system"),
-        F.when(ok, F.get_json_object(r, "$.agentic_reasoning")).otherwise(reason).alias("reasoning"))
+    staged = df.withColumns({
+        "_valid_json": parsed.isNotNull(), "_has_all": has_all, "_num": num,
+        "_system": truncate(strip(F.get_json_object(r, "$.booking_system")), 100),
+        "_reasoning": F.get_json_object(r, "$.agentic_reasoning")})
+    ok = F.col("_valid_json") & F.col("_has_all") & F.col("_num").isNotNull()
+    reason = (F.when(~F.col("_valid_json"), F.lit("response parsing failed."))
+              .when(~F.col("_has_all"), F.lit("Failed to parse response."))
+              .when(F.col("_num").isNull(), F.lit("Scoring error: ValueError")))
+    result = F.struct(
+        F.when(ok, clamp(F.col("_num").cast("int"), 1, 100)).otherwise(F.lit(0)).alias("icp_score"),
+        F.when(ok, F.col("_system")).otherwise(F.lit("Unknown")).alias("booking_system"),
+        F.when(ok, F.col("_reasoning")).otherwise(reason).alias("reasoning"))
+    return staged.withColumn(out, result).drop("_valid_json", "_has_all", "_num", "_system", "_reasoning")
 
 
 # --- E5: pluggable batch scorer ----------------------------------------------

@@ -169,8 +169,8 @@ def clinic_leads(registry: DataFrame, hits: DataFrame, pages: DataFrame, contact
     home = pages.select("domain", DOC.visible_text("html").alias("v"))
     c = c.join(home.select(F.col("domain").alias("website"), X.truncate("v.text", cfg.text_limit).alias("text")),
                "website", "left")
-    score = DOC.rubric_score("text", cfg.phone_words, cfg.form_words, cfg.portal_words)
-    c = c.withColumn("s", score).select("*", F.col("s.icp_score").alias("icp_score"),
+    c = DOC.with_rubric(c, "text", cfg.phone_words, cfg.form_words, cfg.portal_words, out="s")
+    c = c.select("*", F.col("s.icp_score").alias("icp_score"),
                                         F.col("s.booking_system").alias("booking_system"),
                                         F.col("s.reasoning").alias("agentic_reasoning")).drop("s", "text")
     # Clinics without a site keep score 0 and are dropped here

@@ -262,8 +262,8 @@ FROM h""")
 def x05_rubric(spark, sf):
     """X5 + X7: deterministic rubric tiers (portals first), blank text -> 0."""
     d = table(spark, sf, "documents").select("doc_id", "text")
-    s = DOC.rubric_score("text", PHONE, FORMS, PORTALS)
-    return d.select("doc_id", s["icp_score"].alias("icp_score"), s["booking_system"].alias("booking_system"))
+    s = DOC.with_rubric(d, "text", PHONE, FORMS, PORTALS, out="s")
+    return s.select("doc_id", F.col("s.icp_score").alias("icp_score"), F.col("s.booking_system").alias("booking_system"))
 
 
 _X6_RESP = """CASE event_id % 6
@@ -289,9 +289,9 @@ def x06_validate_response(spark, sf):
     """Scorer responses validated: keys, int(), clamp, cut, defaults."""
     e = table(spark, sf, "events")
     r = e.select("event_id", Q.spark_expr(_X6_RESP).alias("resp"))
-    v = DOC.validate_response("resp")
-    return r.select("event_id", v["icp_score"].alias("icp_score"), v["booking_system"].alias("booking_system"),
-                    v["reasoning"].alias("reasoning"))
+    v = DOC.with_validated_response(r, "resp", out="v")
+    return v.select("event_id", F.col("v.icp_score").alias("icp_score"), F.col("v.booking_system").alias("booking_system"),
+                    F.col("v.reasoning").alias("reasoning"))
 
 
 @register("x09_nested_json", """

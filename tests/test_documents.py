@@ -62,8 +62,8 @@ def test_visible_text_udf_runs_once_per_row(spark):
 def test_rubric_tiers(spark):
     df = spark.createDataFrame([(1, "Please call us to schedule"), (2, "Request an appointment form"),
                                 (3, "Book on ZocDoc or call us"), (4, "  "), (5, "hello")], "id int, t string")
-    s = DOC.rubric_score("t", ["call us"], ["request an appointment", "form"], ["zocdoc"])
-    got = {r["id"]: (r["s"]["icp_score"], r["s"]["booking_system"]) for r in df.select("id", s.alias("s")).collect()}
+    s = DOC.with_rubric(df, "t", ["call us"], ["request an appointment", "form"], ["zocdoc"], out="s")
+    got = {r["id"]: (r["s"]["icp_score"], r["s"]["booking_system"]) for r in s.collect()}
     assert got[1] == (91, "Phone Only")
     assert got[2] == (72, "Email/Form")
     assert got[3] == (11, "Portal")      # portals are checked first
@@ -85,7 +85,7 @@ def test_response_validation(spark):
         (10, '{"icp_score": 50, "booking_system": "' + "b" * 150 + '", "agentic_reasoning": "r"}', 50, "b" * 100),
     ]
     df = spark.createDataFrame([(i, r) for i, r, _, _ in cases], "id int, r string")
-    got = {row["id"]: row["v"] for row in df.select("id", DOC.validate_response("r").alias("v")).collect()}
+    got = {row["id"]: row["v"] for row in DOC.with_validated_response(df, "r", out="v").collect()}
     for i, _, score, system in cases:
         assert (got[i]["icp_score"], got[i]["booking_system"]) == (score, system), i
     assert got[7]["reasoning"].startswith("Scoring error")
