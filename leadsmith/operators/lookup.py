@@ -28,6 +28,25 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
     return big.join(small, on, how)
 
 
+def salted_join(big: DataFrame, small: DataFrame, on: str | Sequence[str], how: str = "left",
+                salt_buckets: int = 16, salt_from: Sequence[str] | None = None) -> DataFrame:
+    """Equi-join that splits hot keys explicitly.
+
+    ``small`` must be one row per key (a per-key reduction). Each of its
+    rows is replicated ``salt_buckets`` times with salt 0..n-1; each row of
+    ``big`` gets salt = hash(``salt_from`` columns) mod n, so a key holding
+    a third of ``big`` is spread over n tasks instead of one. The small side
+    grows n-fold (bounded by n x keys); results equal the plain join.
+    Use when AQE skew splitting is off or the join is not sort-merge.
+    """
+    keys = [on] if isinstance(on, str) else list(on)
+    src = list(salt_from or [c for c in big.columns if c not in keys])
+    salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in src]), F.lit(salt_buckets)))
+    salted_small = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)).cast(
+        "array<bigint>")))
+    return salted_big.join(salted_small, [*keys, "_salt"], how).drop("_salt")
+
+
 def best_contact(contacts: DataFrame, key: str, title: str, keywords: Sequence[str], pos: str,
                  keep: Sequence[str], confidence: str | None = None) -> DataFrame:
     """W1/W2 reduction of a contact table to one row per key."""
@@ -43,10 +62,12 @@ def best_contact(contacts: DataFrame, key: str, title: str, keywords: Sequence[s
 def contact_lookup(entities: DataFrame, contacts: DataFrame, key: str, title: str,
                    keywords: Sequence[str], pos: str, keep: Sequence[str],
                    confidence: str | None = None, found: str = "found",
-                   missing: str = "not_found") -> DataFrame:
-    """Attach the best-ranked contact per key, with a provenance label."""
+                   missing: str = "not_found", salt_buckets: int | None = None) -> DataFrame:
+    """Attach the best-ranked contact per key, with a provenance label.
+    ``salt_buckets`` splits hot keys explicitly (``salted_join``)."""
     best = best_contact(contacts, key, title, keywords, pos, keep, confidence)
-    out = entities.join(best, key, "left")
+    out = (salted_join(entities, best, key, "left", salt_buckets) if salt_buckets
+           else entities.join(best, key, "left"))
     return out.withColumn("source", F.when(F.col("title_rank").isNotNull(), F.lit(found))
                           .otherwise(F.lit(missing)))
 

@@ -129,3 +129,21 @@ def test_drop_blocked_exact_and_suffix(spark):
     assert rows(D.drop_blocked(df, "host", bl, "exact"), "id") == [(1,), (3,), (4,)]
     plan = D.drop_blocked(df, "host", bl, "suffix")._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan
+
+
+def test_salted_join_equals_plain_join_with_hot_key(spark):
+    # one domain holds a third of all companies
+    ent = spark.range(3000).select(F.col("id").alias("company_id"),
+                                   F.when(F.col("id") % 3 == 0, F.lit("hot.example.com"))
+                                   .otherwise(F.concat(F.lit("d"), (F.col("id") % 50).cast("string"),
+                                                       F.lit(".example.com"))).alias("domain"))
+    contacts = spark.range(200).select(
+        F.when(F.col("id") < 10, F.lit("hot.example.com"))
+        .otherwise(F.concat(F.lit("d"), (F.col("id") % 40).cast("string"), F.lit(".example.com"))).alias("domain"),
+        F.col("id").alias("pos"), F.when(F.col("id") % 4 == 0, F.lit("Owner")).otherwise(F.lit("Clerk")).alias("title"),
+        F.concat(F.lit("p"), F.col("id").cast("string"), F.lit("@x")).alias("email"))
+    plain = L.contact_lookup(ent, contacts, "domain", "title", ["owner"], "pos", ["email"])
+    salted = L.contact_lookup(ent, contacts, "domain", "title", ["owner"], "pos", ["email"], salt_buckets=8)
+    cols = ["company_id", "domain", "email", "title_rank", "source"]
+    assert rows(salted, *cols) == rows(plain, *cols)
+    assert salted.count() == 3000
