@@ -29,6 +29,8 @@ from leadsmith.sources import landed as S
 
 # --- P1 / P2: carriers -------------------------------------------------------
 
+# The registry fields a carrier page carries, and the output
+# columns of the carrier table in their order.
 CARRIER_FIELDS = ["dot_number", "legal_name", "dba_name", "nbr_power_unit", "telephone", "email_address",
                   "phy_street", "phy_city", "phy_state", "phy_zip"]
 CARRIER_OUTPUT = ["company", "usdot_number", "dba_name", "power_units", "phone", "email", "owner_name",

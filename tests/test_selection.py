@@ -100,8 +100,8 @@ def test_fallback_fill_labels(spark):
     base = spark.createDataFrame([(1,), (2,), (3,)], "k int")
     prim = spark.createDataFrame([(1, "p@x", "Owner"), (2, "", "GM")], "k int, email string, title string")
     sec = spark.createDataFrame([(2, "s@x", "CEO"), (3, None, None)], "k int, email string, title string")
-    got = L.fallback_fill(base, prim, sec, "k", ["email", "title"], ("apollo", "hunter", "not_found"))
-    assert rows(got) == [(1, "p@x", "Owner", "apollo"), (2, "s@x", "GM", "hunter"), (3, None, None, "not_found")]
+    got = L.fallback_fill(base, prim, sec, "k", ["email", "title"], ("people:found", "contacts:found", "not_found"))
+    assert rows(got) == [(1, "p@x", "Owner", "people:found"), (2, "s@x", "GM", "contacts:found"), (3, None, None, "not_found")]
 
 
 def test_keep_first_is_partition_independent(spark):
