@@ -259,6 +259,19 @@ TITLE_PATTERNS = [
 ]
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` (a one-element
+    ``transform``): CASE branches get no common-subexpression elimination,
+    so a costly value read in several branches would be recomputed."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _quoted_part(s: Column) -> Column:
+    quoted = F.regexp_extract(s, r'^"?([^"]+?)(?:"\s+|"$)', 1)
+    unquoted = F.regexp_replace(F.regexp_replace(s, '^"', ""), '"$', "")
+    return F.when(~s.contains('"'), s).when(quoted != "", strip(quoted)).otherwise(unquoted)
+
+
 def clean_title_name(x) -> Column:
     """Strip, drop a leading quote and leading dots, remove the title
     patterns in order, keep the quoted part when there is a quote, drop a
@@ -268,9 +281,7 @@ def clean_title_name(x) -> Column:
     s = F.regexp_replace(s, r"^\s*\.\s*", "")
     for p in TITLE_PATTERNS:
         s = F.regexp_replace(s, "(?i)" + p, "")
-    quoted = F.regexp_extract(s, r'^"?([^"]+?)(?:"\s+|"$)', 1)
-    unquoted = F.regexp_replace(F.regexp_replace(s, '^"', ""), '"$', "")
-    s = F.when(~s.contains('"'), s).when(quoted != "", strip(quoted)).otherwise(unquoted)
+    s = let(s, _quoted_part)
     s = F.regexp_replace(s, r"""["']$""", "")
     return strip(F.regexp_replace(s, r"\s+", " "))
 

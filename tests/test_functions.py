@@ -129,3 +129,8 @@ def test_list_matches_are_literal_and_single_pass(spark):
     plan = df.where(X.contains_any(D.domain_netloc("u"), ["blog", "spam", "pills"]))._jdf.queryExecution() \
              .optimizedPlan().toString()
     assert plan.count("regexp_extract") == 1  # the derived domain is computed once in the filter
+
+
+def test_title_cleaner_quoted_names(spark):
+    got = one(spark, X.clean_title_name, ['"Bright Smiles" Family Dentistry', 'Acme "Dental', '"Solo"'])
+    assert got == ["Bright Smiles", 'Acme "Dental', "Solo"]
