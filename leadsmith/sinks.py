@@ -40,9 +40,19 @@ def nested_json(df: DataFrame, path: str, manifest: DataFrame | None = None) ->
         manifest.coalesce(1).write.mode("overwrite").json(f"{path}/manifest")
 
 
-def payload(df: DataFrame, item_cols: Sequence[str], status: str = "SUCCESS") -> DataFrame:
+PAYLOAD_MAX_ITEMS = 10_000
+
+
+def payload(df: DataFrame, item_cols: Sequence[str], status: str = "SUCCESS",
+            max_items: int = PAYLOAD_MAX_ITEMS) -> DataFrame:
     """K3 for a small batch: ``{status, count, items:[...]}`` as one JSON string.
-    Only for results whose size is bounded by the batch request."""
+
+    All items end up in one row, so the input is counted first and refused
+    above ``max_items``; larger results go through ``nested_json`` (one
+    object per row plus a manifest)."""
+    n = df.count()
+    if n > max_items:
+        raise ValueError(f"{n} items exceed the single-payload bound {max_items}; use nested_json")
     items = F.collect_list(F.struct(*[F.col(c) for c in item_cols]))
     return df.agg(F.to_json(F.struct(F.lit(status).alias("status"), F.count(F.lit(1)).alias("count"),
                                      items.alias("items"))).alias("payload"))
