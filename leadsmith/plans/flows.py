@@ -133,7 +133,7 @@ def pitch_list(leads: DataFrame, cfg: PitchConfig = PitchConfig()) -> DataFrame:
 
 @dataclass(frozen=True)
 class ClinicConfig:
-    cap: int = 150
+    cap: int | None = 150          # registry rows taken (None: all)
     threshold: int = 70
     blocklist: tuple = ()
     # Keywords that mark a directory or reference site.
@@ -157,7 +157,9 @@ def clinic_leads(registry: DataFrame, hits: DataFrame, pages: DataFrame, contact
     pages: (domain, html); contacts: (domain, pos, first_name, last_name,
     position, value).
     """
-    clinics = S.registry_results(registry, "body", ["page"]).orderBy("page", "pos").limit(cfg.cap)
+    clinics = S.registry_results(registry, "body", ["page"])
+    if cfg.cap is not None:  # O4: the cap counts valid rows, a bounded top-k
+        clinics = clinics.orderBy("page", "pos").limit(cfg.cap)
     clinics = clinics.select(F.concat_ws(":", "page", "pos").alias("clinic_id"),
                              X.clean_title_name("name").alias("clinic_name"), "city", "state")
     h = hits.withColumn("domain", D.domain_netloc("href"))

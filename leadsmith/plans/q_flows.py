@@ -304,3 +304,35 @@ def p04_clinic_contacts(spark, sf):
         F.col("c_mktsegment").alias("position"),
         F.concat(F.lit("c"), F.col("c_custkey").cast("string"), F.lit("@clinic.example.com")).alias("value"))
     return FL.clinic_contacts(seed, contacts, keywords=("machinery",))
+
+
+@register("p03_clinic_leads", None)
+def p03_clinic_leads(spark, sf):
+    """P3 over the pages table (rows-only: the page text comes from the HTML
+    parser). Clinics are the distinct hosts, landed as registry JSON (S3);
+    their search hits are the pages in page order (J5 with F6/F7/F4); the
+    homepage is the page of the chosen hit (S11) whose visible text (X3) is
+    scored (X5) and kept at >= 70 (F17); no contact table, so contacts are
+    'no_match'. Rubric words are chosen to occur in this text."""
+    from leadsmith.functions import domains as D
+    p = table(spark, sf, "pages").select("page_id", "url", "html")
+    h = p.select("page_id", "url", D.host("url").alias("host"))
+    clinics = h.groupBy("host").agg(F.min("page_id").alias("first_page"))
+    body = F.to_json(F.struct(F.array(F.struct(
+        F.struct(F.col("host").alias("organization_name")).alias("basic"),
+        F.array(F.struct(F.lit("Springfield").alias("city"), F.lit("MI").alias("state"))).alias("addresses")))
+        .alias("results")))
+    registry = clinics.select(F.col("first_page").alias("page"), body.alias("body"))
+    # registry rows are keyed page:pos, pos is always 0 here
+    hits = h.join(clinics, "host").select(F.concat_ws(":", F.col("first_page"), F.lit(0)).alias("clinic_id"),
+                                          F.col("page_id").alias("rank"), F.col("url").alias("href"))
+    homepages = p.select(D.domain_netloc("url").alias("domain"), "html", "page_id") \
+                 .groupBy("domain").agg(F.min_by("html", "page_id").alias("html"))
+    contacts = p.where(F.lit(False)).select(
+        F.lit(None).cast("string").alias("domain"), F.lit(None).cast("long").alias("pos"),
+        F.lit(None).cast("string").alias("first_name"), F.lit(None).cast("string").alias("last_name"),
+        F.lit(None).cast("string").alias("position"), F.lit(None).cast("string").alias("value"))
+    cfg = FL.ClinicConfig(cap=None, blocklist=("blog", "cheap-pills"), phone_words=("the ",),
+                          form_words=("le ",), portal_words=("zocdoc",))
+    out, _rejections = FL.clinic_leads(registry, hits, homepages, contacts, cfg)
+    return out
