@@ -336,3 +336,32 @@ def p03_clinic_leads(spark, sf):
                           form_words=("le ",), portal_words=("zocdoc",))
     out, _rejections = FL.clinic_leads(registry, hits, homepages, contacts, cfg)
     return out
+
+
+def _p06_reg_sql() -> str:
+    from leadsmith.plans.q_scalars import _reg_sql
+    return _reg_sql(Q.host("url"))
+
+
+@register("p06_dealer_domains", f"""
+WITH h AS (SELECT {Q.host('url')} AS company_key, page_id AS rank,
+                  CASE split_part(regexp_extract(url, '^[a-z]+://[^/]*/([^/?#]*)', 1), '/', 1)
+                       WHEN 'en' THEN 1 WHEN 'fr' THEN 2 ELSE 3 END AS tier,
+                  {_p06_reg_sql()} AS domain FROM pages),
+v AS (SELECT * FROM h WHERE domain <> '' AND lower(domain) NOT IN ('example.net')),
+b AS (SELECT company_key, arg_min(domain, (tier, rank)) AS website, arg_min(tier, (tier, rank)) AS found_tier
+      FROM v GROUP BY company_key),
+d AS (SELECT DISTINCT company_key FROM h)
+SELECT d.company_key, b.website, b.found_tier FROM d LEFT JOIN b USING (company_key)""")
+def p06_dealer_domains(spark, sf):
+    """Dealers (here: every host) get the registered domain of their
+    first acceptable hit over (tier, rank), tiers from the hit's language
+    path, with an exact skip set of registered domains (F5, J6)."""
+    from leadsmith.functions import domains as D
+    p = table(spark, sf, "pages").select("page_id", "url")
+    seg = F.regexp_extract("url", r"^[a-z]+://[^/]*/([^/?#]*)", 1)
+    hits = p.select(D.host("url").alias("company_key"), F.col("page_id").alias("rank"),
+                    F.when(seg == "en", 1).when(seg == "fr", 2).otherwise(3).alias("tier"),
+                    F.col("url").alias("href"))
+    dealers = hits.select("company_key").distinct()
+    return FL.dealer_domains(dealers, hits, FL.DealerConfig(skip_domains=("example.net",)))
