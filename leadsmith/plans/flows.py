@@ -170,7 +170,10 @@ def clinic_leads(registry: DataFrame, hits: DataFrame, pages: DataFrame, contact
     rejections = C.rejection_counts(h, "clinic_id", ["rank"], reason)
     site = C.first_valid(h.withColumn("_r", reason), "clinic_id", ["rank"], F.col("_r") == "ok", ["domain"])
     c = clinics.join(site.select("clinic_id", F.col("domain").alias("website")), "clinic_id", "left")
-    home = pages.select("domain", DOC.visible_text("html").alias("v"))
+    # parse only the homepages some clinic chose, each once (a site shared
+    # by many clinics is still parsed once)
+    needed = c.select(F.col("website").alias("domain")).where(F.col("domain").isNotNull()).distinct()
+    home = pages.join(needed, "domain", "left_semi").select("domain", DOC.visible_text("html").alias("v"))
     c = c.join(home.select(F.col("domain").alias("website"), X.truncate("v.text", cfg.text_limit).alias("text")),
                "website", "left")
     c = DOC.with_rubric(c, "text", cfg.phone_words, cfg.form_words, cfg.portal_words, out="s")
