@@ -354,12 +354,13 @@ def machine_shops(result_pages: DataFrame, contacts: DataFrame, cfg: ShopConfig
     """P10: result links (S9, cap first) -> loose domain (N3) -> blank and
     blocked dropped, keep-first per domain (A4) -> contact by position
     keyword, else first (W4) -> sorted by name (K2). Provenance is kept (C12)."""
-    links = S.result_links(result_pages, "html", ["page_no"], cfg.cap)
-    links = links.withColumn("domain", D.domain_loose("href"))
-    shops = DD.dedupe_capped(links.withColumn("_g", F.lit(0)), "_g", "pos", cfg.cap, "domain",
-                             D.blocked_substring("domain", cfg.blocklist))
-    names = links.select("domain", "pos", X.before_separator("title").alias("company_name"))
-    s = shops.join(names, ["domain", "pos"]).select("company_name", F.col("domain").alias("website"))
+    links = S.result_links(result_pages, "html", ["page_no"], cfg.cap)   # cap applied per page first
+    links = links.select("page_no", "pos", D.domain_loose("href").alias("domain"),
+                         X.before_separator("title").alias("company_name"))
+    kept = links.where((F.col("domain") != "") & ~D.blocked_substring("domain", cfg.blocklist))
+    # first sighting of each domain over (page, position); the name rides along
+    shops = DD.keep_first(kept, "domain", ["page_no", "pos"], cols=["domain", "company_name", "page_no", "pos"])
+    s = shops.select("company_name", F.col("domain").alias("website"))
     cand = contacts.withColumn("contact_name", X.full_name("first_name", "last_name"))
     best = RK.match_else_first(cand, "domain", "pos", X.contains_any("position", cfg.positions),
                                ["contact_name", "position", "value"], labels=("contacts:matched", "contacts:fallback"))

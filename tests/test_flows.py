@@ -203,3 +203,16 @@ def test_p12_creator_profiles(spark):
     assert g["mean_views"] == 15.0 and g["engagement_rate"] == round(7 / 30 * 100, 4)
     assert rows(dead) == [("@ghost", "unknown handle")]
     assert manifest.first().asDict() == {"status": "PARTIAL", "n_processed": 4, "n_failed": 1}
+
+
+def test_p10_two_result_pages(spark):
+    link = '<a rel="noopener noreferrer" class="result__a" href="{h}">{t}</a>'
+    page0 = "".join(link.format(h=h, t=t) for h, t in [("https://a.example.com/", "Alpha - Home"),
+                                                       ("https://b.example.com/", "Beta")])
+    page1 = "".join(link.format(h=h, t=t) for h, t in [("https://b.example.com/x", "Beta again"),
+                                                       ("https://c.example.com/", "Gamma")])
+    pages = spark.createDataFrame([(0, page0), (1, page1)], "page_no int, html string")
+    empty = spark.createDataFrame([], "domain string, pos int, first_name string, last_name string, "
+                                      "position string, value string")
+    got = rows(FL.machine_shops(pages, empty), "company_name", "website")
+    assert got == [("Alpha", "a.example.com"), ("Beta", "b.example.com"), ("Gamma", "c.example.com")]
