@@ -42,12 +42,16 @@ def s01_paged_scan(spark, sf):
 @register("s02_page_prefix", """
 WITH p AS (SELECT l_returnflag AS k, l_orderkey // 4 AS page FROM lineitem),
 c AS (SELECT k, page, count(*) AS n FROM p GROUP BY k, page),
-s AS (SELECT k, min(page) FILTER (WHERE n < 16) AS stop, max(page) AS last FROM c GROUP BY k)
-SELECT p.k, count(*) AS n_rows, count(DISTINCT p.page) AS n_pages, bool_or(coalesce(last > stop, false)) AS truncated
-FROM p JOIN s USING (k) WHERE stop IS NULL OR p.page <= stop GROUP BY p.k""")
+g AS (SELECT k, min(page) + 1 AS gap FROM c
+      WHERE NOT EXISTS (SELECT 1 FROM c c2 WHERE c2.k = c.k AND c2.page = c.page + 1) GROUP BY k),
+s AS (SELECT k, min(page) FILTER (WHERE n < 16) AS short, min(page) AS first, max(page) AS last FROM c GROUP BY k),
+t AS (SELECT s.k, last, least(coalesce(short, gap), gap - 1, CASE WHEN first > 0 THEN -1 END) AS stop
+      FROM s JOIN g USING (k))
+SELECT p.k, count(*) AS n_rows, count(DISTINCT p.page) AS n_pages, bool_or(last > stop) AS truncated
+FROM p JOIN t USING (k) WHERE p.page <= stop GROUP BY p.k""")
 def s02_page_prefix(spark, sf):
-    """Each key ends at its first short page; rows after it are not read
-    (reported by ``truncated``)."""
+    """Each key ends at its first short page or before its first missing
+    page; rows after the cut are not read (reported by ``truncated``)."""
     li = table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("k"),
                                             (F.col("l_orderkey") / 4).cast("bigint").alias("page"))
     kept = S.page_prefix(li, "k", "page", 16)

@@ -25,21 +25,32 @@ def registry_pages(spark: SparkSession, path: str, schema: T.StructType | str) -
     return spark.read.schema(schema).json(path)
 
 
-def page_prefix(df: DataFrame, key: str, page: str, page_size: int) -> DataFrame:
-    """A key's data ends at its first short (or empty) page; later pages
-    are not part of the result. Adds ``truncated``: rows existed after the
-    stop page (the reference silently ignored them).
-
-    Page counts are one row per (key, page); the stop page per key is joined
-    back on the key (AQE broadcasts it when small, skew join splits a hot key).
+def page_prefix(df: DataFrame, key: str, page: str, page_size: int, first_page: int = 0) -> DataFrame:
+    """A key's data ends at its first short page, or before its first
+    missing page (a failed fetch returned nothing and ended that key);
+    later pages are not part of the result. Adds ``truncated``: rows existed
+    after the cut (the reference silently ignored them).
+
+    Everything runs on the page-count table (one row per key and page):
+    the first missing page is found with a hash anti-join of pages against
+    their successors, not with a window over a key's pages, so a key with
+    most of the pages is still spread over many tasks.
     """
     counts = df.groupBy(key, page).agg(F.count(F.lit(1)).alias("_n"))
-    stops = counts.groupBy(key).agg(F.min(F.when(F.col("_n") < page_size, F.col(page))).alias("_stop"),
-                                    F.max(page).alias("_last"))
-    j = df.join(stops, key, "left")
-    kept = j.where(F.col("_stop").isNull() | (F.col(page) <= F.col("_stop")))
-    return kept.withColumn("truncated", F.coalesce(F.col("_last") > F.col("_stop"), F.lit(False))) \
-               .drop("_stop", "_last")
+    succ = counts.select(key, (F.col(page) - 1).alias(page))
+    ends = counts.join(succ, [key, page], "left_anti")            # pages with no successor
+    gaps = ends.groupBy(key).agg((F.min(page) + 1).alias("_gap"))  # first missing page after a present one
+    per_key = counts.groupBy(key).agg(
+        F.min(F.when(F.col("_n") < page_size, F.col(page))).alias("_short"),
+        F.min(page).alias("_first"), F.max(page).alias("_last"))
+    cut = per_key.join(gaps, key, "left").select(
+        key, "_last",
+        # keep pages <= _stop
+        F.least(F.coalesce("_short", "_gap"), F.col("_gap") - 1,
+                F.when(F.col("_first") > first_page, F.lit(first_page - 1))).alias("_stop"))
+    j = df.join(cut, key, "left")
+    kept = j.where(F.col(page) <= F.col("_stop"))
+    return kept.withColumn("truncated", F.col("_last") > F.col("_stop")).drop("_stop", "_last")
 
 
 # --- S3: nested registry results ---------------------------------------------

@@ -39,6 +39,11 @@ def test_page_prefix_stops_at_short_page(spark):
     kept = S.page_prefix(df, "state", "page", 3)
     got = rows(kept.groupBy("state", "page", "truncated").count())
     assert got == [("MI", 0, True, 3), ("MI", 1, True, 2), ("OH", 0, False, 3)]
+    # a missing page (failed fetch) ends the key; a key whose first page is
+    # missing yields nothing
+    gap = spark.createDataFrame([("TX", 0)] * 3 + [("TX", 2)] * 3 + [("WA", 1)] * 3, "state string, page int")
+    kept = S.page_prefix(gap, "state", "page", 3)
+    assert rows(kept.groupBy("state", "page", "truncated").count()) == [("TX", 0, True, 3)]
 
 
 def test_registry_results(spark):
