@@ -323,13 +323,16 @@ def distributor_bridge(firms: DataFrame, suggest: DataFrame, people: DataFrame,
     first_name, last_name, title); matches: (id, email)."""
     first = C.first_hit(suggest, "ordinal", ["rank"], "domain", D.blocked_substring("domain", cfg.blocklist))
     b = firms.join(first.select("ordinal", F.col("domain").alias("website")), "ordinal", "left")
-    p1 = RK.best_per_group(people, "domain", ["pos"], ["id", "first_name", "last_name", "title"])
+    p1 = RK.best_per_group(people, "domain", ["pos"], ["id", "first_name", "last_name", "title"]) \
+           .withColumn("_person", F.lit(True))
     elig = b.where(X.nonblank("website") & ~D.blocked_substring("website", cfg.blocklist))
     j = elig.join(p1.withColumnRenamed("domain", "website"), "website", "left")
-    cost = F.when(F.col("id").isNotNull(), 2).otherwise(1)
+    # the e-mail match is requested (and counted) whenever a first person
+    # exists, with or without an id
+    cost = F.when(F.col("_person").isNotNull(), 2).otherwise(1)
     within = B.call_budget(j, ["ordinal"], cost, cfg.max_calls, min_cost=1).where("within_budget")
     m = within.join(matches.select("id", F.col("email").alias("m_email")), "id", "left")
-    label = (F.when(F.col("first_name").isNull() & F.col("id").isNull(), "people:none")
+    label = (F.when(F.col("_person").isNull(), "people:none")
              .when(F.col("id").isNull(), "people:no_id")
              .when(~X.nonblank("m_email"), "match:no_email").otherwise("match:ok"))
     enriched = m.select("ordinal", X.full_name("first_name", "last_name").alias("contact_name"),

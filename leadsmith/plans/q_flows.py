@@ -239,23 +239,23 @@ pp AS (SELECT {_P8_CONTACT_DOMAIN} AS domain, p_partkey AS pos, {_P9_PERSON_ID}
               p_type AS last_name, p_name AS title FROM part),
 p1 AS (SELECT domain, id, first_name, last_name, title FROM pp
        QUALIFY row_number() OVER (PARTITION BY domain ORDER BY pos) = 1),
-j AS (SELECT b.ordinal, p1.id, p1.first_name, p1.last_name, p1.title,
-             CASE WHEN p1.id IS NOT NULL THEN 2 ELSE 1 END AS cost
+j AS (SELECT b.ordinal, p1.id, p1.first_name, p1.last_name, p1.title, p1.domain IS NOT NULL AS has_person,
+             CASE WHEN p1.domain IS NOT NULL THEN 2 ELSE 1 END AS cost
       FROM b LEFT JOIN p1 ON b.website = p1.domain
       WHERE coalesce(trim(b.website), '') <> '' AND NOT contains(lower(b.website), 'low')),
 w AS (SELECT *, sum(cost) OVER (ORDER BY ordinal ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - cost AS calls_before FROM j),
 m AS (SELECT CAST(p_partkey AS VARCHAR) AS id, {_P9_MATCH} AS email FROM part),
 e AS (SELECT w.ordinal, trim(concat_ws(' ', coalesce(w.first_name, ''), coalesce(w.last_name, ''))) AS contact_name,
              w.title AS contact_title, m.email AS contact_email,
-             CASE WHEN w.first_name IS NULL AND w.id IS NULL THEN 'people:none' WHEN w.id IS NULL THEN 'people:no_id'
+             CASE WHEN NOT w.has_person THEN 'people:none' WHEN w.id IS NULL THEN 'people:no_id'
                   WHEN coalesce(trim(m.email), '') = '' THEN 'match:no_email' ELSE 'match:ok' END AS email_source
       FROM w LEFT JOIN m ON w.id = m.id WHERE calls_before < 1000)
 SELECT b.ordinal, b.company_name, b.website, e.contact_name, e.contact_title, e.contact_email, e.email_source
 FROM b LEFT JOIN e ON b.ordinal = e.ordinal""")
 def p09_distributor_bridge(spark, sf):
     """First suggest hit -> first person of the domain -> e-mail by
-    person id; a row costs 2 calls when a person id exists, else 1, and the
-    1000-call budget is checked before each row (C11)."""
+    person id; a row costs 2 calls when a first person exists, else 1, and
+    the 1000-call budget is checked before each row (C11)."""
     firms = table(spark, sf, "customer").select(F.col("c_custkey").alias("ordinal"),
                                                 F.col("c_name").alias("company_name"))
     suggest = table(spark, sf, "orders").select(F.col("o_custkey").alias("ordinal"), F.col("o_orderkey").alias("rank"),

@@ -144,7 +144,8 @@ def test_p9_distributor_bridge(spark):
     matches = spark.createDataFrame([("p1", "al@a.example.com")], "id string, email string")
     out = FL.distributor_bridge(firms, suggest, people, matches, FL.BridgeConfig(max_calls=3))
     got = {r["company_name"]: r["email_source"] for r in out.collect()}
-    # A costs 2 calls, B starts at 2 < 3 and costs 1, C starts at 3: not called
+    # A costs 2 calls; B has a person without an id, still 2 calls (the
+    # match is requested anyway), starting at 2 < 3; C starts at 4: not called
     assert got == {"A": "match:ok", "B": "people:no_id", "C": None}
 
 
