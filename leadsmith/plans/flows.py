@@ -145,6 +145,7 @@ class ClinicConfig:
     form_words: tuple = ("request an appointment", "fill out the form", "email us")
     portal_words: tuple = ("zocdoc", "nexhealth", "localmed", "patientreach", "calendly", "online portal")
     text_limit: int = 4000
+    max_calls: int | None = None   # contact lookups allowed, in registry order (W7)
 
 
 def clinic_leads(registry: DataFrame, hits: DataFrame, pages: DataFrame, contacts: DataFrame,
@@ -160,7 +161,7 @@ def clinic_leads(registry: DataFrame, hits: DataFrame, pages: DataFrame, contact
     clinics = S.registry_results(registry, "body", ["page"])
     if cfg.cap is not None:  # O4: the cap counts valid rows, a bounded top-k
         clinics = clinics.orderBy("page", "pos").limit(cfg.cap)
-    clinics = clinics.select(F.concat_ws(":", "page", "pos").alias("clinic_id"),
+    clinics = clinics.select(F.concat_ws(":", "page", "pos").alias("clinic_id"), "page", "pos",
                              X.clean_title_name("name").alias("clinic_name"), "city", "state")
     h = hits.withColumn("domain", D.domain_netloc("href"))
     reason = C.rejection_reason([("forbidden_keyword", D.blocked_substring("domain", cfg.forbidden_keywords)),
@@ -187,9 +188,18 @@ def clinic_leads(registry: DataFrame, hits: DataFrame, pages: DataFrame, contact
                        X.contains_any("position", cfg.manager_keywords), ["contact_name", "position", "value"])
     m = m.select(F.col("domain").alias("website"), "contact_name", F.col("position").alias("contact_title"),
                  F.col("value").alias("contact_email"))
-    out = c.join(m, "website", "left").withColumn(
-        "email_source", F.when(F.col("reason") != "ok", F.lit(""))
-        .when(X.nonblank("contact_email"), F.lit("contacts:found")).otherwise(F.lit("contacts:no_match")))
+    called = c.where(F.col("reason") == "ok")
+    if cfg.max_calls is not None:  # one lookup per eligible clinic, in registry order
+        called = B.call_budget(called, ["page", "pos"], F.lit(1), cfg.max_calls, min_cost=1).where("within_budget")
+    called = called.select("clinic_id", F.lit(True).alias("_called"))
+    j = c.join(called, "clinic_id", "left").join(m, "website", "left")
+    was_called = F.col("_called").isNotNull()
+    out = j.select(
+        *[F.col(x) for x in ("clinic_name", "city", "state", "website", "icp_score", "booking_system",
+                             "agentic_reasoning")],
+        *[F.when(was_called, F.col(x)).alias(x) for x in ("contact_name", "contact_title", "contact_email")],
+        F.when(~was_called, F.lit("")).when(X.nonblank("contact_email"), F.lit("contacts:found"))
+        .otherwise(F.lit("contacts:no_match")).alias("email_source"))
     cols = ["clinic_name", "city", "state", "website", "contact_name", "contact_title", "contact_email",
             "email_source", "icp_score", "booking_system", "agentic_reasoning"]
     return SO.sorted_output(out.select(*cols), ["clinic_name"]), rejections

@@ -217,3 +217,16 @@ def test_p10_two_result_pages(spark):
                                       "position string, value string")
     got = rows(FL.machine_shops(pages, empty), "company_name", "website")
     assert got == [("Alpha", "a.example.com"), ("Beta", "b.example.com"), ("Gamma", "c.example.com")]
+
+
+def test_p3_call_budget(spark):
+    res = [{"basic": {"organization_name": n}, "addresses": [{"city": "Troy", "state": "MI"}]} for n in ("A", "B", "C")]
+    registry_df = spark.createDataFrame([(0, json.dumps({"results": res}))], "page int, body string")
+    hits = spark.createDataFrame([(f"0:{i}", 0, f"https://c{i}.example.com/") for i in range(3)],
+                                 "clinic_id string, rank int, href string")
+    pages = spark.createDataFrame([(f"c{i}.example.com", "<p>call us</p>") for i in range(3)], "domain string, html string")
+    contacts = spark.createDataFrame([(f"c{i}.example.com", 0, "N", str(i), "Office Manager", f"m@c{i}") for i in range(3)],
+                                     "domain string, pos int, first_name string, last_name string, position string, value string")
+    out, _ = FL.clinic_leads(registry_df, hits, pages, contacts, FL.ClinicConfig(max_calls=2))
+    got = rows(out, "clinic_name", "contact_email", "email_source")
+    assert got == [("A", "m@c0", "contacts:found"), ("B", "m@c1", "contacts:found"), ("C", None, "")]
