@@ -68,12 +68,14 @@ def rejection_counts(df: DataFrame, entity: str, order: Sequence[str], reason: C
     """Rejections counted only up to each entity's first valid hit.
 
     The first-valid position is found with a map-side-combined aggregate,
-    then joined back on the entity key (one row per entity, so the join
-    side grows with entities, not hits; AQE picks broadcast when small).
+    then joined back on the entity key with a salted join (one row per
+    entity, replicated a few ways, so a hot entity is split across tasks).
     """
+    from leadsmith.operators.lookup import DEFAULT_SALT, salted_join
     tagged = df.withColumn("_reason", reason).withColumn("_ord", _order(order))
     first = tagged.groupBy(entity).agg(F.min(F.when(F.col("_reason") == "ok", F.col("_ord"))).alias("_stop"))
-    seen = (tagged.join(first, entity, "left")
+    # salted: an entity with a third of the hits is spread over several tasks
+    seen = (salted_join(tagged, first, entity, "left", DEFAULT_SALT, salt_from=["_ord"])
             .where(F.col("_stop").isNull() | (F.col("_ord") <= F.col("_stop"))))
     return seen.groupBy(F.col("_reason").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
 

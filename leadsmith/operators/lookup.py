@@ -18,6 +18,11 @@ from leadsmith.functions.text import blank_to_null, keyword_rank, nonblank
 from leadsmith.operators.ranking import best_per_group
 
 BROADCAST_MAX_ROWS = 1_000_000
+# Fact-to-per-key joins are salted this many ways by default. AQE's skew
+# split needs both join inputs to be plain shuffle reads; a per-key side
+# produced by an aggregate is not, so a hot key would stay in one task
+# (measured with tools/skew_check.py).
+DEFAULT_SALT = 8
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
@@ -62,7 +67,7 @@ def best_contact(contacts: DataFrame, key: str, title: str, keywords: Sequence[s
 def contact_lookup(entities: DataFrame, contacts: DataFrame, key: str, title: str,
                    keywords: Sequence[str], pos: str, keep: Sequence[str],
                    confidence: str | None = None, found: str = "found",
-                   missing: str = "not_found", salt_buckets: int | None = None) -> DataFrame:
+                   missing: str = "not_found", salt_buckets: int | None = DEFAULT_SALT) -> DataFrame:
     """Attach the best-ranked contact per key, with a provenance label.
     ``salt_buckets`` splits hot keys explicitly (``salted_join``)."""
     best = best_contact(contacts, key, title, keywords, pos, keep, confidence)

@@ -48,7 +48,8 @@ def page_prefix(df: DataFrame, key: str, page: str, page_size: int, first_page:
         # keep pages <= _stop
         F.least(F.coalesce("_short", "_gap"), F.col("_gap") - 1,
                 F.when(F.col("_first") > first_page, F.lit(first_page - 1))).alias("_stop"))
-    j = df.join(cut, key, "left")
+    from leadsmith.operators.lookup import DEFAULT_SALT, salted_join
+    j = salted_join(df, cut, key, "left", DEFAULT_SALT)  # a hot key is split across tasks
     kept = j.where(F.col(page) <= F.col("_stop"))
     return kept.withColumn("truncated", F.col("_last") > F.col("_stop")).drop("_stop", "_last")
 
