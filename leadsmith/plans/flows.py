@@ -175,8 +175,9 @@ def clinic_leads(registry: DataFrame, hits: DataFrame, pages: DataFrame, contact
     # by many clinics is still parsed once)
     needed = c.select(F.col("website").alias("domain")).where(F.col("domain").isNotNull()).distinct()
     home = pages.join(needed, "domain", "left_semi").select("domain", DOC.visible_text("html").alias("v"))
-    c = c.join(home.select(F.col("domain").alias("website"), X.truncate("v.text", cfg.text_limit).alias("text")),
-               "website", "left")
+    c = L.salted_join(c, home.select(F.col("domain").alias("website"),
+                                     X.truncate("v.text", cfg.text_limit).alias("text")), "website", "left",
+                      L.DEFAULT_SALT, salt_from=["clinic_id"])
     c = DOC.with_rubric(c, "text", cfg.phone_words, cfg.form_words, cfg.portal_words, out="s")
     c = c.select("*", F.col("s.icp_score").alias("icp_score"),
                                         F.col("s.booking_system").alias("booking_system"),
@@ -192,7 +193,8 @@ def clinic_leads(registry: DataFrame, hits: DataFrame, pages: DataFrame, contact
     if cfg.max_calls is not None:  # one lookup per eligible clinic, in registry order
         called = B.call_budget(called, ["page", "pos"], F.lit(1), cfg.max_calls, min_cost=1).where("within_budget")
     called = called.select("clinic_id", F.lit(True).alias("_called"))
-    j = c.join(called, "clinic_id", "left").join(m, "website", "left")
+    j = L.salted_join(c.join(called, "clinic_id", "left"), m, "website", "left", L.DEFAULT_SALT,
+                      salt_from=["clinic_id"])
     was_called = F.col("_called").isNotNull()
     out = j.select(
         *[F.col(x) for x in ("clinic_name", "city", "state", "website", "icp_score", "booking_system",
@@ -215,7 +217,7 @@ def clinic_contacts(seed: DataFrame, contacts: DataFrame, keywords=("office mana
     cand = contacts.withColumn("contact_name", X.full_name("first_name", "last_name"))
     best = RK.match_else_first(cand, "domain", "pos", X.contains_any("position", keywords),
                                ["contact_name", "position", "value"])
-    out = s.join(best, "domain", "left")
+    out = L.salted_join(s, best, "domain", "left", L.DEFAULT_SALT, salt_from=["clinic_name", "website"])
     title = F.when(F.col("outcome") == "fallback", F.coalesce(X.blank_to_null("position"), F.lit(default_title))) \
              .otherwise(F.col("position"))
     return SO.sorted_output(out.select("clinic_name", "website", "contact_name", title.alias("contact_title"),
@@ -278,7 +280,8 @@ def dealer_owners(dealers: DataFrame, contacts: DataFrame, cfg: DealerConfig = D
     best = RK.priority_pick(cand.where(X.nonblank("value")), "domain", "position", cfg.owner_titles, "pos",
                             ["name", "position", "value", "confidence"], default_rank=len(cfg.owner_titles),
                             confidence="confidence")
-    j = d.join(best.select(F.col("domain").alias("website"), "name", "value"), "website", "left")
+    j = L.salted_join(d, best.select(F.col("domain").alias("website"), "name", "value"), "website", "left",
+                      L.DEFAULT_SALT)
     out = j.select(*[c for c in d.columns if c not in ("owner_name", "owner_email")],
                    F.when(need, F.col("name")).otherwise(F.col("owner_name")).alias("owner_name"),
                    F.when(need, F.col("value")).otherwise(F.col("owner_email")).alias("owner_email"))
@@ -336,7 +339,8 @@ def distributor_bridge(firms: DataFrame, suggest: DataFrame, people: DataFrame,
     p1 = RK.best_per_group(people, "domain", ["pos"], ["id", "first_name", "last_name", "title"]) \
            .withColumn("_person", F.lit(True))
     elig = b.where(X.nonblank("website") & ~D.blocked_substring("website", cfg.blocklist))
-    j = elig.join(p1.withColumnRenamed("domain", "website"), "website", "left")
+    j = L.salted_join(elig, p1.withColumnRenamed("domain", "website"), "website", "left", L.DEFAULT_SALT,
+                      salt_from=["ordinal"])
     # the e-mail match is requested (and counted) whenever a first person
     # exists, with or without an id
     cost = F.when(F.col("_person").isNotNull(), 2).otherwise(1)
