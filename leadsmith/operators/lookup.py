@@ -18,10 +18,10 @@ from leadsmith.functions.text import blank_to_null, keyword_rank, nonblank
 from leadsmith.operators.ranking import best_per_group
 
 BROADCAST_MAX_ROWS = 1_000_000
-# Fact-to-per-key joins are salted this many ways by default. AQE's skew
-# split needs both join inputs to be plain shuffle reads; a per-key side
-# produced by an aggregate is not, so a hot key would stay in one task
-# (measured with tools/skew_check.py).
+# Fact-to-per-key joins are salted this many ways when the per-key side is
+# too large to broadcast. AQE's skew split needs both join inputs to be
+# plain shuffle reads; a per-key side produced by an aggregate is not, so a
+# hot key would stay in one task (measured with tools/skew_check.py).
 DEFAULT_SALT = 8
 
 
@@ -33,20 +33,52 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
     return big.join(small, on, how)
 
 
-def salted_join(big: DataFrame, small: DataFrame, on: str | Sequence[str], how: str = "left",
-                salt_buckets: int = 16, salt_from: Sequence[str] | None = None) -> DataFrame:
-    """Equi-join that splits hot keys explicitly.
+def _conf_bytes(value: str | None) -> int:
+    """Parse a Spark byte setting ('10485760b', '10MB', '-1')."""
+    import re
+    if value is None:
+        return -1
+    m = re.fullmatch(r"\s*(-?\d+)\s*([kmgt]?)i?b?\s*", value.strip().lower())
+    if not m:
+        return -1
+    n, unit = int(m.group(1)), m.group(2)
+    return n * {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}[unit]
+
+
+def broadcast_sized(df: DataFrame) -> bool:
+    """True when Spark's own size estimate of ``df`` is under the broadcast
+    threshold, i.e. the planner will broadcast it in a join (no job runs)."""
+    limit = _conf_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB"))
+    if limit <= 0:
+        return False
+    raw = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    size = int(raw) if isinstance(raw, int) else int(raw.toString())  # py4j returns a Python int or a BigInt
+    return size <= limit
 
-    ``small`` must be one row per key (a per-key reduction). Each of its
-    rows is replicated ``salt_buckets`` times with salt 0..n-1; each row of
+
+def salted_join(big: DataFrame, small: DataFrame, on: str | Sequence[str], how: str = "left",
+                salt_buckets: int = 16, salt_from: Sequence[str] | None = None,
+                force: bool = False) -> DataFrame:
+    """Equi-join that splits hot keys explicitly when it has to.
+
+    ``small`` must be one row per key (a per-key reduction). If Spark's size
+    estimate says it will be broadcast, a plain join is returned: a
+    broadcast join processes every fact partition locally, so a hot key
+    costs nothing extra. Otherwise (or with ``force``) each row of ``small``
+    is replicated ``salt_buckets`` times with salt 0..n-1 and each row of
     ``big`` gets salt = hash(``salt_from`` columns) mod n, so a key holding
-    a third of ``big`` is spread over n tasks instead of one. The small side
-    grows n-fold (bounded by n x keys); results equal the plain join.
-    Use when AQE skew splitting is off or the join is not sort-merge.
+    a third of ``big`` is spread over n tasks instead of one. The small
+    side grows n-fold (bounded by n x keys); results equal the plain join.
     """
     keys = [on] if isinstance(on, str) else list(on)
+    if not force and broadcast_sized(small):
+        return big.join(small, keys, how)
     src = list(salt_from or [c for c in big.columns if c not in keys])
-    salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in src]), F.lit(salt_buckets)))
+    # any salt in [0, n) is correct (every salt has a replica); a row hash
+    # keeps it stable, a seeded random number covers key-only inputs
+    salt = (F.pmod(F.xxhash64(*[F.col(c) for c in src]), F.lit(salt_buckets)) if src
+            else F.floor(F.rand(42) * salt_buckets).cast("bigint"))
+    salted_big = big.withColumn("_salt", salt)
     salted_small = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)).cast(
         "array<bigint>")))
     return salted_big.join(salted_small, [*keys, "_salt"], how).drop("_salt")
@@ -67,11 +99,12 @@ def best_contact(contacts: DataFrame, key: str, title: str, keywords: Sequence[s
 def contact_lookup(entities: DataFrame, contacts: DataFrame, key: str, title: str,
                    keywords: Sequence[str], pos: str, keep: Sequence[str],
                    confidence: str | None = None, found: str = "found",
-                   missing: str = "not_found", salt_buckets: int | None = DEFAULT_SALT) -> DataFrame:
+                   missing: str = "not_found", salt_buckets: int | None = DEFAULT_SALT,
+                   force_salt: bool = False) -> DataFrame:
     """Attach the best-ranked contact per key, with a provenance label.
     ``salt_buckets`` splits hot keys explicitly (``salted_join``)."""
     best = best_contact(contacts, key, title, keywords, pos, keep, confidence)
-    out = (salted_join(entities, best, key, "left", salt_buckets) if salt_buckets
+    out = (salted_join(entities, best, key, "left", salt_buckets, force=force_salt) if salt_buckets
            else entities.join(best, key, "left"))
     return out.withColumn("source", F.when(F.col("title_rank").isNotNull(), F.lit(found))
                           .otherwise(F.lit(missing)))

@@ -142,8 +142,25 @@ def test_salted_join_equals_plain_join_with_hot_key(spark):
         .otherwise(F.concat(F.lit("d"), (F.col("id") % 40).cast("string"), F.lit(".example.com"))).alias("domain"),
         F.col("id").alias("pos"), F.when(F.col("id") % 4 == 0, F.lit("Owner")).otherwise(F.lit("Clerk")).alias("title"),
         F.concat(F.lit("p"), F.col("id").cast("string"), F.lit("@x")).alias("email"))
-    plain = L.contact_lookup(ent, contacts, "domain", "title", ["owner"], "pos", ["email"])
-    salted = L.contact_lookup(ent, contacts, "domain", "title", ["owner"], "pos", ["email"], salt_buckets=8)
+    plain = L.contact_lookup(ent, contacts, "domain", "title", ["owner"], "pos", ["email"], salt_buckets=None)
+    salted = L.contact_lookup(ent, contacts, "domain", "title", ["owner"], "pos", ["email"], salt_buckets=8,
+                              force_salt=True)
+    plan = salted._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan
     cols = ["company_id", "domain", "email", "title_rank", "source"]
     assert rows(salted, *cols) == rows(plain, *cols)
     assert salted.count() == 3000
+
+
+def test_salted_join_is_plain_when_broadcast_sized(spark):
+    big = spark.range(100).withColumnRenamed("id", "k")
+    small = spark.range(10).withColumnRenamed("id", "k").groupBy("k").count()
+    assert L.broadcast_sized(small)
+    assert "_salt" not in L.salted_join(big, small, "k")._jdf.queryExecution().optimizedPlan().toString()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert not L.broadcast_sized(small)
+        assert "_salt" in L.salted_join(big, small, "k")._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -59,7 +59,7 @@ def main():
             lambda: df.join(per_key, "k", "left")),
         "lookup join, sort-merge, AQE skew threshold 1MB": no_broadcast(
             lambda: df.join(per_key, "k", "left"), "1MB"),
-        "lookup join, salted 16 ways": no_broadcast(lambda: L.salted_join(df, per_key, "k", "left", 16)),
+        "lookup join, salted 16 ways": no_broadcast(lambda: L.salted_join(df, per_key, "k", "left", 16, force=True)),
         "running_sum per key (range partitions)": lambda: B.running_sum(df, ["o"], "v", group=["k"], out="rs"),
         "naive window sum per key (for contrast)": lambda: df.withColumn(
             "rs", F.sum("v").over(Window.partitionBy("k").orderBy("o"))),
