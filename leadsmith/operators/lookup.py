@@ -2,9 +2,11 @@
 
 Service responses are landed tables; each lookup becomes: reduce the
 response table to one row per key (map-side combined ``min_by``), then an
-equi ``left`` join. Lookup sides are never assumed small: AQE chooses a
-broadcast from runtime sizes, and skew-join splitting handles a hot key on
-the entity side. ``join_small`` broadcasts only after counting the side.
+equi ``left`` join. Lookup sides are never assumed small. When Spark's size
+estimate says the per-key side will be broadcast, the join is plain; beyond
+that, ``salted_join`` splits a hot key on the entity side explicitly (AQE's
+skew split does not apply against an aggregate's output). ``join_small``
+broadcasts only after counting the side.
 """
 
 from __future__ import annotations
