@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from llm import decontaminate, jaccard_join
+from llm import decontaminate, jaccard_join, licenses, mixing, quality, secrets, substring_dedup
 
 QUERIES = {
+    "op2_mixing": mixing.op2_mixing,
+    "op3_substring_dedup": substring_dedup.op3_substring_dedup,
+    "op5_secrets": secrets.op5_secrets,
+    "op6_quality": quality.op6_quality,
+    "op8_licenses": licenses.op8_licenses,
     "op9_jaccard_join": jaccard_join.op9_jaccard_join,
     "op10_decontamination": decontaminate.op10_decontamination,
 }
 
 ORACLES = {
+    "op3_substring_dedup": substring_dedup.ORACLE_OP3,
     "op9_jaccard_join": jaccard_join.ORACLE_OP9,
     "op10_decontamination": decontaminate.ORACLE_OP10,
 }

@@ -188,6 +188,22 @@ def link_classes(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "
                     F.when(F.col("id").isNotNull(), F.coalesce("comp", "id")).alias("component_id")))
 
 
+def without_copies(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the documents whose component has a smaller id.
+
+    Documents without words and null ids stay; of rows with one id one
+    stays. Columns are unchanged.
+    """
+    links = checkpointed(link_classes(docs, k, percent, id_col, text_col))
+    gone = links.where("component_id < doc_id").select(F.col("doc_id").alias("_llm_id")).distinct()
+    left = docs.join(gone, F.col(id_col) == F.col("_llm_id"), "left_anti")
+    repeated = links.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1").select(F.col("doc_id").alias("_llm_id"))
+    if repeated.isEmpty():
+        return left
+    again = left.join(repeated, F.col(id_col) == F.col("_llm_id"), "left_semi").dropDuplicates([id_col])
+    return left.join(repeated, F.col(id_col) == F.col("_llm_id"), "left_anti").unionByName(again)
+
+
 def op9_jaccard_join(spark, sf_dir):
     return link_classes(table(spark, sf_dir, "documents"), k=3, percent=90)
 
