@@ -11,7 +11,7 @@ a page in which no winning path has text keeps its own best container.
 from __future__ import annotations
 
 import re
-from html.parser import HTMLParser
+from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -46,123 +46,114 @@ class Node:
         self.children, self.blocks = [], []
 
 
-class _Tree(HTMLParser):
-    """Block elements with their text; inline tags only mark links."""
+_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?/][^>]*>""", re.S)
+_CUT = re.compile(r"<[/!?a-zA-Z][^<>]*\Z")  # a tag that the page's end cuts off
+_ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_RAW = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in ("script", "style", "textarea", "title", "noscript", "iframe")}
 
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
+
+class _Tree:
+    """Block elements with their text; inline tags only mark links and clutter."""
+
+    def __init__(self, page: str):
         self.root = self.at = Node("", "", None, False)
-        self.skip: list[str] = []  # open tags from the first hidden one on
-        self.links = 0
+        self.links = self.linked = 0
         self.text: list[str] = []
-        self.linked = 0
+        page = _CUT.sub("", page)
+        skip, depth, end, start = "", 0, 0, 0  # the hidden element that is open, how often it is nested
+        while m := _TAG.search(page, start):
+            if not skip and m.start() > end:
+                self.data(page[end:m.start()])
+            start = end = m.end()
+            tag = (m[2] or "").lower()
+            if not tag:
+                continue
+            if skip:
+                if tag == skip:
+                    depth += -1 if m[1] else 0 if m[3].endswith("/") else 1
+                elif m[1] and tag in ("body", "html", "article", "main"):
+                    depth = 0
+                    self.close(tag)
+                if depth <= 0:
+                    skip = ""
+            elif m[1]:
+                self.close(tag)
+            elif self.open(tag, m[3]) and tag not in _VOID and not m[3].endswith("/"):
+                if tag in _RAW:
+                    raw = _RAW[tag].search(page, end)
+                    start = end = raw.end() if raw else len(page)
+                else:
+                    skip, depth = tag, 1
+        if not skip and end < len(page):
+            self.data(page[end:])
+        self.flush()
+
+    def data(self, text: str):
+        if "&" in text:
+            text = unescape(text)
+        self.text.append(text)
+        if self.links:
+            self.linked += len(text)
 
     def flush(self):
-        text = " ".join("".join(self.text).split())
-        if text and not (self.at.heads_only and self.at.tag not in _HEADING):
-            self.at.blocks.append((text, min(self.linked, len(text))))
-            self.at.children.append(text)
-        self.text, self.linked = [], 0
-
-    def handle_starttag(self, tag, attrs):
-        if self.skip:
-            if tag not in _VOID:
-                self.skip.append(tag)
-            return
-        if tag == "a":
-            self.links += 1
-        if tag == "br":
-            self.text.append(" ")
+        if self.text:
+            text = " ".join("".join(self.text).split())
+            if text and not (self.at.heads_only and self.at.tag not in _HEADING):
+                self.at.blocks.append((text, min(self.linked, len(text))))
+                self.at.children.append(text)
+            self.text, self.linked = [], 0
+
+    def open(self, tag: str, attrs: str) -> bool:
+        """Whether the element is hidden."""
+        said = {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(attrs)} if "=" in attrs or "hidden" in attrs else {}
         if tag not in _BLOCK:
-            said = dict(attrs)
-            if tag not in _VOID and _cluttered(tag, said):
-                self.skip.append(tag)
-            return
+            if tag == "a":
+                self.links += 1
+            elif tag == "br":
+                self.text.append(" ")
+            return bool(said) and tag not in _VOID and _cluttered(said)
         self.flush()
-        if tag in _VOID:
-            return
-        said = dict(attrs)
-        if tag in _HIDDEN or (tag not in ("html", "body", "article", "main") and _cluttered(tag, said)):
-            self.skip.append(tag)
-            return
+        if tag == "hr":
+            return False
+        if tag in _HIDDEN or (said and tag not in ("html", "body", "article", "main") and _cluttered(said)):
+            return True
         inside = self.at
-        if tag in _INNER:
-            while inside.tag == "p" or inside.tag in _HEADING or (inside.tag == tag and tag != "td"):
-                inside = inside.parent
-        else:
-            while inside.tag == "p":
-                inside = inside.parent
+        while inside.tag == "p" or (tag in _INNER and (inside.tag in _HEADING or (inside.tag == tag and tag != "td"))):
+            inside = inside.parent
         heads = inside.heads_only
         if tag == "header":
             above = inside
             while above and above.tag not in ("article", "main"):
                 above = above.parent
             if not above:
-                self.skip.append(tag)
-                return
+                return True
             heads = True
-        names = sorted(set(re.sub(r"\d+", "0", said.get("class") or "").split()))
+        names = sorted(set(re.sub(r"\d+", "0", said["class"]).split())) if "class" in said else ()
         self.at = Node(tag, f"{inside.path}/{'.'.join([tag, *names])}", inside, heads)
         inside.children.append(self.at)
+        return False
 
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in _VOID:
-            self.handle_endtag(tag)
-
-    def handle_endtag(self, tag):
-        if self.skip:
-            if tag in self.skip:
-                while self.skip.pop() != tag:
-                    pass
-            elif tag in ("body", "html", "article", "main"):
-                self.skip.clear()
-            else:
-                return
-            if tag not in ("body", "html", "article", "main"):
-                return
+    def close(self, tag: str):
         if tag == "a":
             self.links = max(0, self.links - 1)
-        if tag not in _BLOCK:
-            return
-        node = self.at
-        while node and node.tag != tag:
-            node = node.parent
-        if node:
-            self.flush()
-            self.at = node.parent
-
-    def handle_data(self, data):
-        if not self.skip:
-            self.text.append(data)
-            if self.links:
-                self.linked += len(data)
-
-
-def _cluttered(tag: str, said: dict) -> bool:
-    if "hidden" in said or (said.get("aria-hidden") or "").lower() == "true" or (said.get("role") or "").lower() in _ROLES:
-        return True
-    words = re.split(r"[^a-z]+", f"{said.get('class') or ''} {said.get('id') or ''}".lower())
-    return not _CLUTTER.isdisjoint(words)
+        if tag in _BLOCK:
+            node = self.at
+            while node and node.tag != tag:
+                node = node.parent
+            if node:
+                self.flush()
+                self.at = node.parent
 
 
-def parse(html: str | None) -> Node:
-    tree = _Tree()
-    text = html or ""
-    cut = text.rfind("<")
-    if cut > text.rfind(">") and re.match(r"<[/!a-zA-Z]", text[cut:]):
-        text = text[:cut]  # a tag that the page's end cuts off
-    tree.feed(text)
-    tree.close()
-    tree.flush()
-    return tree.root
+def _cluttered(said: dict) -> bool:
+    if "hidden" in said or said.get("aria-hidden", "").lower() == "true" or said.get("role", "").lower() in _ROLES:
+        return True
+    words = re.split(r"[^a-z]+", f"{said.get('class', '')} {said.get('id', '')}".lower())
+    return not _CLUTTER.isdisjoint(words)
 
 
-def _walk(node: Node):
-    yield node
-    for c in node.children:
-        if isinstance(c, Node):
-            yield from _walk(c)
+def parse(page: str | None) -> Node:
+    return _Tree(page or "").root
 
 
 def _text_of(node: Node, out: list[str]) -> list[str]:
@@ -203,12 +194,9 @@ def best_container(root: Node) -> Node | None:
     return max(found.values(), key=lambda x: x[1])[0] if found else None
 
 
-def extract(html: str | None, paths: list[str] | None) -> str:
+def extract(page: str | None, paths: list[str] | None) -> str:
     """Text through the first of ``paths`` that has any, else through the page's own best container."""
-    try:
-        root = parse(html)
-    except RecursionError:
-        return ""
+    root = parse(page)
     if paths:
         by: dict[str, list[Node]] = {}
         todo = [root]
