@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
-from llm import decontaminate, jaccard_join, licenses, mixing, quality, secrets, substring_dedup
+from llm import (
+    decontaminate,
+    embedding_dedup,
+    html_extract,
+    jaccard_join,
+    language_id,
+    licenses,
+    mixing,
+    quality,
+    secrets,
+    substring_dedup,
+)
 
 QUERIES = {
+    "op1_language_id": language_id.op1_language_id,
     "op2_mixing": mixing.op2_mixing,
     "op3_substring_dedup": substring_dedup.op3_substring_dedup,
+    "op4_html_extraction": html_extract.op4_html_extraction,
     "op5_secrets": secrets.op5_secrets,
     "op6_quality": quality.op6_quality,
+    "op7_embedding_dedup": embedding_dedup.op7_embedding_dedup,
     "op8_licenses": licenses.op8_licenses,
     "op9_jaccard_join": jaccard_join.op9_jaccard_join,
     "op10_decontamination": decontaminate.op10_decontamination,
@@ -16,6 +30,7 @@ QUERIES = {
 
 ORACLES = {
     "op3_substring_dedup": substring_dedup.ORACLE_OP3,
+    "op7_embedding_dedup": embedding_dedup.ORACLE_OP7,
     "op9_jaccard_join": jaccard_join.ORACLE_OP9,
     "op10_decontamination": decontaminate.ORACLE_OP10,
 }
