@@ -1,7 +1,7 @@
 """Substring dedup by a relative Lempel-Ziv parse.
 
-Every batch of documents a scan task reads is a *reference block* with an
-index of its own: the hash of each seed (``window`` consecutive words) to
+Documents that a scan task reads one after the other, up to about
+``BLOCK_WORDS`` words, are a *reference block* with an index of its own: the hash of each seed (``window`` consecutive words) to
 the block's earliest (doc_id, place). A block's seeds are dealt out by an
 anchor of the seed, the smallest hash among its short runs of words, so that
 neighbouring seeds travel together; a bucket thus sees one entry of each
@@ -34,7 +34,8 @@ from llm.common import table
 from llm.words import SPACED, Words, pieces
 
 ANCHOR_WORDS = 4
-BUCKET_CHARS = 4_000_000  # characters of text behind a bucket, on average
+BUCKET_CHARS = 8_000_000  # characters of text behind a bucket, on average
+BLOCK_WORDS = 1_000_000  # words after which a reference block is closed
 
 _SPAN = "array<struct<start:int,n:int,src:bigint,at:int>>"
 _SPAN_PA = pa.list_(pa.struct([("start", pa.int32()), ("n", pa.int32()), ("src", pa.int64()), ("at", pa.int32())]))
@@ -86,50 +87,55 @@ def factors(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col:
 
     def index(batches):
         for b in batches:
-            ids_all = b["id"].to_numpy(zero_copy_only=False)
             valid = np.asarray(b["id"].is_valid())
-            H, A, D, P, keys = [], [], [], [], []
+            ids = np.where(valid, b["id"].to_numpy(zero_copy_only=False), 0).astype(np.int64)
+            held, words = [], 0
             for lo, hi, w in pieces(b["text"], SPACED):
-                keys.append(w.whole())
                 r = w.runs(window)
                 doc = w.doc_of()[:len(r)]
                 ok = w.run_ok(window) & valid[lo:hi][doc]
-                H.append(r[ok])
-                A.append(_anchor(w, window)[ok])
-                D.append((doc[ok] + lo).astype(np.int32))
-                P.append((np.flatnonzero(ok) - w.first[doc[ok]]).astype(np.int32))
-            if not H:
-                continue
-            h, a, d, p = (np.concatenate(x) for x in (H, A, D, P))
-            keys = np.concatenate(keys).astype(np.int64)
-            ids = np.where(valid, ids_all, 0).astype(np.int64)
-            # the block's index: the earliest (id, place) of every seed
-            rank = np.argsort(np.argsort(ids, kind="stable"), kind="stable")
-            o = np.lexsort((p, rank[d], h))
-            first = np.concatenate([[True], h[o][1:] != h[o][:-1]]) if len(o) else np.empty(0, dtype=bool)
-            lead = np.empty(len(o), dtype=np.int64)
-            lead[o] = o[np.flatnonzero(first)][np.cumsum(first) - 1]
-            known = ids[d[lead]] < ids[d]
-            if known.any():
-                x = np.flatnonzero(known)
-                row = _rows(ids, keys, d[x], p[x], ids[d[lead[x]]], p[lead[x]], window)
-                n = len(row["id"])
-                yield pa.RecordBatch.from_pydict({
-                    "bucket": pa.array(np.asarray(keys_mod(row["key"].to_numpy(), buckets), dtype=np.int32)), **row,
-                    "hash": pa.nulls(n, pa.binary()), "doc": pa.nulls(n, pa.binary()), "pos": pa.nulls(n, pa.binary()),
-                    "ids": pa.nulls(n, pa.list_(pa.int64())), "keys": pa.nulls(n, pa.list_(pa.int64()))}, schema=_INDEX_PA)
-            ask = np.flatnonzero(~known)
-            where = (a[ask] % np.uint64(buckets)).astype(np.int64)
-            o = np.argsort(where, kind="stable")
-            ask, where = ask[o], where[o]
-            for c in np.split(np.arange(len(ask)), np.flatnonzero(np.diff(where)) + 1) if len(ask) else ():
-                e = ask[c]
-                used, local = np.unique(d[e], return_inverse=True)
-                yield pa.RecordBatch.from_pydict({
-                    "bucket": pa.array([int(where[c[0]])], pa.int32()), "id": pa.nulls(1, pa.int64()), "key": pa.nulls(1, pa.int64()),
-                    "spans": pa.nulls(1, _SPAN_PA), "hash": [h[e].tobytes()], "doc": [local.astype(np.uint16 if len(used) < 65536 else np.int32).tobytes()],
-                    "pos": [p[e].tobytes()], "ids": pa.array([ids[used]], pa.list_(pa.int64())),
-                    "keys": pa.array([keys[used]], pa.list_(pa.int64()))}, schema=_INDEX_PA)
+                at = doc[ok]
+                held.append((lo, hi, w.whole().astype(np.int64), r[ok], _anchor(w, window)[ok], (at + lo).astype(np.int32),
+                             (np.flatnonzero(ok) - w.first[at]).astype(np.int32)))
+                words += len(w.hashes)
+                if words >= BLOCK_WORDS:
+                    yield from block(ids, held)
+                    held, words = [], 0
+            if held:
+                yield from block(ids, held)
+
+    def block(all_ids, held):
+        first_row = held[0][0]
+        ids = all_ids[first_row:held[-1][1]]
+        keys, h, a, d, p = (np.concatenate([x[i] for x in held]) for i in range(2, 7))
+        d -= first_row
+        # the block's index: the earliest (id, place) of every seed
+        rank = np.argsort(np.argsort(ids, kind="stable"), kind="stable")
+        o = np.lexsort((p, rank[d], h))
+        first = np.concatenate([[True], h[o][1:] != h[o][:-1]]) if len(o) else np.empty(0, dtype=bool)
+        lead = np.empty(len(o), dtype=np.int64)
+        lead[o] = o[np.flatnonzero(first)][np.cumsum(first) - 1]
+        known = ids[d[lead]] < ids[d]
+        if known.any():
+            x = np.flatnonzero(known)
+            row = _rows(ids, keys, d[x], p[x], ids[d[lead[x]]], p[lead[x]], window)
+            n = len(row["id"])
+            yield pa.RecordBatch.from_pydict({
+                "bucket": pa.array(np.asarray(keys_mod(row["key"].to_numpy(), buckets), dtype=np.int32)), **row,
+                **{c: pa.nulls(n, pa.binary()) for c in ("hash", "doc", "pos", "len")},
+                "ids": pa.nulls(n, pa.list_(pa.int64())), "keys": pa.nulls(n, pa.list_(pa.int64()))}, schema=_INDEX_PA)
+        ask = np.flatnonzero(~known)
+        where = (a[ask] % np.uint64(buckets)).astype(np.int64)
+        o = np.argsort(where, kind="stable")
+        ask, where = ask[o], where[o]
+        for c in np.split(np.arange(len(ask)), np.flatnonzero(np.diff(where)) + 1) if len(ask) else ():
+            e = ask[c]
+            used, local = np.unique(d[e], return_inverse=True)
+            yield pa.RecordBatch.from_pydict({
+                "bucket": pa.array([int(where[c[0]])], pa.int32()), "id": pa.nulls(1, pa.int64()), "key": pa.nulls(1, pa.int64()),
+                "spans": pa.nulls(1, _SPAN_PA), "hash": [h[e].tobytes()], **_runs(local, p[e]),
+                "ids": pa.array([ids[used]], pa.list_(pa.int64())),
+                "keys": pa.array([keys[used]], pa.list_(pa.int64()))}, schema=_INDEX_PA)
 
     def look_up(t: pa.Table) -> pa.Table:
         t = t.combine_chunks()
@@ -140,12 +146,11 @@ def factors(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col:
         t = t.filter(t["hash"].is_valid())
         if t.num_rows:
             H, D, P, I, K, base = [], [], [], [], [], 0
-            for hb, db, pb, ids, keys in zip(*(t[c] for c in ("hash", "doc", "pos", "ids", "keys"))):
-                h = np.frombuffer(hb.as_py(), dtype=np.uint64)
-                db = db.as_py()
-                D.append(np.frombuffer(db, dtype=np.uint16 if len(db) == 2 * len(h) else np.int32).astype(np.int64) + base)
-                H.append(h)
-                P.append(np.frombuffer(pb.as_py(), dtype=np.int32))
+            for hb, doc, pos, n, ids, keys in zip(*(t[c] for c in ("hash", "doc", "pos", "len", "ids", "keys"))):
+                doc, pos = _places(doc.as_py(), pos.as_py(), n.as_py())
+                H.append(np.frombuffer(hb.as_py(), dtype=np.uint64))
+                D.append(doc + base)
+                P.append(pos)
                 I.append(ids.values.to_numpy())
                 K.append(keys.values.to_numpy())
                 base += len(I[-1])
@@ -164,13 +169,30 @@ def factors(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col:
     return asked.groupBy("bucket").applyInArrow(look_up, f"id bigint, key bigint, spans {_SPAN}")
 
 
+def _runs(doc: np.ndarray, pos: np.ndarray) -> dict:
+    """Places as runs of neighbouring words: text, first word, length (up to 255)."""
+    new = np.concatenate([[True], (doc[1:] != doc[:-1]) | (pos[1:] != pos[:-1] + 1)])
+    at = np.arange(len(doc))
+    new |= (at - np.maximum.accumulate(np.where(new, at, 0))) % 255 == 0
+    starts = np.flatnonzero(new)
+    return {"doc": [doc[starts].astype(np.int32).tobytes()], "pos": [pos[starts].astype(np.int32).tobytes()],
+            "len": [np.diff(np.append(starts, len(doc))).astype(np.uint8).tobytes()]}
+
+
+def _places(doc: bytes, pos: bytes, n: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The (text, word) of every place of ``_runs``."""
+    n = np.frombuffer(n, dtype=np.uint8).astype(np.int64)
+    within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    return np.repeat(np.frombuffer(doc, dtype=np.int32).astype(np.int64), n), (np.repeat(np.frombuffer(pos, dtype=np.int32), n) + within).astype(np.int32)
+
+
 def keys_mod(keys: np.ndarray, n: int) -> np.ndarray:
     return keys.astype(np.uint64) % np.uint64(n)
 
 
-_INDEX = f"bucket int, id bigint, key bigint, spans {_SPAN}, hash binary, doc binary, pos binary, ids array<bigint>, keys array<bigint>"
+_INDEX = f"bucket int, id bigint, key bigint, spans {_SPAN}, hash binary, doc binary, pos binary, len binary, ids array<bigint>, keys array<bigint>"
 _INDEX_PA = pa.schema([("bucket", pa.int32()), ("id", pa.int64()), ("key", pa.int64()), ("spans", _SPAN_PA), ("hash", pa.binary()),
-                       ("doc", pa.binary()), ("pos", pa.binary()), ("ids", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64()))])
+                       ("doc", pa.binary()), ("pos", pa.binary()), ("len", pa.binary()), ("ids", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64()))])
 _OUT_PA = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("spans", _SPAN_PA)])
 
 
