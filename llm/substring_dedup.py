@@ -37,8 +37,9 @@ ANCHOR_WORDS = 4
 BUCKET_CHARS = 8_000_000  # characters of text behind a bucket, on average
 BLOCK_WORDS = 1_000_000  # words after which a reference block is closed
 
-_SPAN = "array<struct<start:int,n:int,src:bigint,at:int>>"
-_SPAN_PA = pa.list_(pa.struct([("start", pa.int32()), ("n", pa.int32()), ("src", pa.int64()), ("at", pa.int32())]))
+KNOWN = 10_000  # factors a block already knows that travel in one row
+_SPAN = "array<struct<id:bigint,key:bigint,start:int,n:int,src:bigint,at:int>>"
+_SPAN_PA = pa.list_(pa.struct([("id", pa.int64()), ("key", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("src", pa.int64()), ("at", pa.int32())]))
 
 
 def _anchor(w: Words, window: int) -> np.ndarray:
@@ -60,23 +61,18 @@ def _factors(doc, pos, src, at) -> tuple[np.ndarray, np.ndarray]:
     return begins, np.diff(np.append(begins, len(doc)))
 
 
-def _rows(ids, keys, doc, pos, src, at, window) -> pa.RecordBatch:
-    """One row per (id, key) with its factors; ``doc`` indexes ids and keys."""
+def _flat(ids, keys, doc, pos, src, at, window) -> dict[str, pa.Array]:
+    """Factors of looked-up seeds, one row each; ``doc`` indexes ids and keys."""
     o = np.lexsort((pos, doc))
     doc, pos, src, at = doc[o], pos[o], src[o], at[o]
     b, n = _factors(doc, pos, src, at)
-    d = doc[b]
-    cut = np.flatnonzero(np.concatenate([[True], d[1:] != d[:-1]])) if len(d) else np.empty(0, dtype=np.int64)
-    spans = pa.StructArray.from_arrays(
-        [pa.array(pos[b].astype(np.int32)), pa.array((n + window - 1).astype(np.int32)), pa.array(src[b]), pa.array(at[b].astype(np.int32))],
-        names=["start", "n", "src", "at"])
-    offsets = pa.array(np.append(cut, len(d)).astype(np.int32))
-    return {"id": pa.array(ids[d[cut]]), "key": pa.array(keys[d[cut]]), "spans": pa.ListArray.from_arrays(offsets, spans)}
+    return {"id": pa.array(ids[doc[b]]), "key": pa.array(keys[doc[b]]), "start": pa.array(pos[b].astype(np.int32)),
+            "n": pa.array((n + window - 1).astype(np.int32)), "src": pa.array(src[b]), "at": pa.array(at[b].astype(np.int32))}
 
 
 def factors(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text",
             bucket_chars: int = BUCKET_CHARS) -> DataFrame:
-    """(id, key, spans): each document's factors, with source document and place.
+    """(id, key, start, n, src, at): factors of n words, with source document and place.
 
     ``key`` is a hash of the text's words, so rows of one id with different
     texts keep their own factors.
@@ -118,12 +114,15 @@ def factors(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col:
         known = ids[d[lead]] < ids[d]
         if known.any():
             x = np.flatnonzero(known)
-            row = _rows(ids, keys, d[x], p[x], ids[d[lead[x]]], p[lead[x]], window)
-            n = len(row["id"])
-            yield pa.RecordBatch.from_pydict({
-                "bucket": pa.array(np.asarray(keys_mod(row["key"].to_numpy(), buckets), dtype=np.int32)), **row,
-                **{c: pa.nulls(n, pa.binary()) for c in ("hash", "doc", "pos", "len")},
-                "ids": pa.nulls(n, pa.list_(pa.int64())), "keys": pa.nulls(n, pa.list_(pa.int64()))}, schema=_INDEX_PA)
+            row = _flat(ids, keys, d[x], p[x], ids[d[lead[x]]], p[lead[x]], window)
+            known_spans = pa.StructArray.from_arrays(list(row.values()), names=list(row))
+            for at in range(0, len(known_spans), KNOWN):
+                part = known_spans.slice(at, KNOWN)
+                yield pa.RecordBatch.from_pydict({
+                    "bucket": pa.array([int(h[at % len(h)] % np.uint64(buckets))], pa.int32()),
+                    "spans": pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), part),
+                    **{c: pa.nulls(1, pa.binary()) for c in ("hash", "doc", "pos", "len")},
+                    "ids": pa.nulls(1, pa.list_(pa.int64())), "keys": pa.nulls(1, pa.list_(pa.int64()))}, schema=_INDEX_PA)
         ask = np.flatnonzero(~known)
         where = (a[ask] % np.uint64(buckets)).astype(np.int64)
         o = np.argsort(where, kind="stable")
@@ -132,17 +131,17 @@ def factors(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col:
             e = ask[c]
             used, local = np.unique(d[e], return_inverse=True)
             yield pa.RecordBatch.from_pydict({
-                "bucket": pa.array([int(where[c[0]])], pa.int32()), "id": pa.nulls(1, pa.int64()), "key": pa.nulls(1, pa.int64()),
-                "spans": pa.nulls(1, _SPAN_PA), "hash": [h[e].tobytes()], **_runs(local, p[e]),
+                "bucket": pa.array([int(where[c[0]])], pa.int32()), "spans": pa.nulls(1, _SPAN_PA), "hash": [h[e].tobytes()], **_runs(local, p[e]),
                 "ids": pa.array([ids[used]], pa.list_(pa.int64())),
                 "keys": pa.array([keys[used]], pa.list_(pa.int64()))}, schema=_INDEX_PA)
 
     def look_up(t: pa.Table) -> pa.Table:
         t = t.combine_chunks()
         out = []
-        known = t.filter(t["id"].is_valid())
+        known = t.filter(t["spans"].is_valid())
         if known.num_rows:
-            out.append(known.select(["id", "key", "spans"]))
+            flat = known["spans"].combine_chunks().flatten()
+            out.append(pa.table([flat.field(c) for c in _OUT_PA.names], schema=_OUT_PA))
         t = t.filter(t["hash"].is_valid())
         if t.num_rows:
             H, D, P, I, K, base = [], [], [], [], [], 0
@@ -161,12 +160,11 @@ def factors(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col:
             late = ids[d[lead]] < ids[d[o]]
             x, lead = o[late], lead[late]
             if len(x):
-                # the same id and text may come from several blocks: one row each, merged later
-                out.append(pa.table(_rows(ids, keys, d[x], p[x], ids[d[lead]], p[lead], window), schema=_OUT_PA))
-        return pa.concat_tables([x.cast(_OUT_PA) for x in out]) if out else _OUT_PA.empty_table()
+                out.append(pa.table(_flat(ids, keys, d[x], p[x], ids[d[lead]], p[lead], window), schema=_OUT_PA))
+        return pa.concat_tables(out) if out else _OUT_PA.empty_table()
 
     asked = src.mapInArrow(index, _INDEX)
-    return asked.groupBy("bucket").applyInArrow(look_up, f"id bigint, key bigint, spans {_SPAN}")
+    return asked.groupBy("bucket").applyInArrow(look_up, "id bigint, key bigint, start int, n int, src bigint, at int")
 
 
 def _runs(doc: np.ndarray, pos: np.ndarray) -> dict:
@@ -186,14 +184,10 @@ def _places(doc: bytes, pos: bytes, n: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.frombuffer(doc, dtype=np.int32).astype(np.int64), n), (np.repeat(np.frombuffer(pos, dtype=np.int32), n) + within).astype(np.int32)
 
 
-def keys_mod(keys: np.ndarray, n: int) -> np.ndarray:
-    return keys.astype(np.uint64) % np.uint64(n)
-
-
-_INDEX = f"bucket int, id bigint, key bigint, spans {_SPAN}, hash binary, doc binary, pos binary, len binary, ids array<bigint>, keys array<bigint>"
-_INDEX_PA = pa.schema([("bucket", pa.int32()), ("id", pa.int64()), ("key", pa.int64()), ("spans", _SPAN_PA), ("hash", pa.binary()),
-                       ("doc", pa.binary()), ("pos", pa.binary()), ("len", pa.binary()), ("ids", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64()))])
-_OUT_PA = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("spans", _SPAN_PA)])
+_INDEX = f"bucket int, spans {_SPAN}, hash binary, doc binary, pos binary, len binary, ids array<bigint>, keys array<bigint>"
+_INDEX_PA = pa.schema([("bucket", pa.int32()), ("spans", _SPAN_PA), ("hash", pa.binary()), ("doc", pa.binary()), ("pos", pa.binary()),
+                       ("len", pa.binary()), ("ids", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64()))])
+_OUT_PA = pa.schema(list(_SPAN_PA.value_type))
 
 
 def strip_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -215,7 +209,7 @@ def strip_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", tex
             yield pa.RecordBatch.from_arrays([b["id"], pa.array(k), b["text"]], names=["id", "key", "text"])
 
     found = (factors(docs, window, id_col, text_col).groupBy("id", "key")
-             .agg(F.flatten(F.collect_list(F.transform("spans", lambda s: F.struct(s["start"], s["n"])))).alias("spans")))
+             .agg(F.collect_list(F.struct("start", "n")).alias("spans")))
     both = src.mapInArrow(key, "id bigint, key bigint, text string").join(found, ["id", "key"], "left")
 
     def cut(batches):
