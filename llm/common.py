@@ -7,13 +7,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadsmith.session import checkpoint_dir
 from leadsmith.sources.tables import table
+from llm.words import mix
 
-__all__ = ["checkpointed", "components", "count_table", "fold", "table"]
+__all__ = ["Bitmap", "checkpointed", "components", "count_table", "fold", "table"]
 
 
 def fold(doc_id: str, mod: int) -> Column:
@@ -63,6 +64,40 @@ def count_table(docs: DataFrame, bits: int, hashes_of: Callable[[pa.RecordBatch]
     return out
 
 
+class Bitmap:
+    """Which values may be in a set: 2**bits flags at hashes of the values.
+
+    The size is fixed, so it can be broadcast whatever the set's size is; it
+    lets rows of other values stay where they are, and a join decides on the
+    rest. A set much larger than the flags only makes it less selective.
+    """
+
+    def __init__(self, flags: np.ndarray, bits: int):
+        self.flags, self.bits = flags, bits
+
+    @staticmethod
+    def _places(values: np.ndarray, bits: int) -> np.ndarray:
+        return (mix(values.astype(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
+
+    @staticmethod
+    def of(values: DataFrame, bits: int) -> Bitmap:
+        """Of a one-column DataFrame of longs; eight tasks send one bitmap each at most."""
+        def mark(batches):
+            flags = np.zeros(1 << bits, dtype=bool)
+            for b in batches:
+                flags[Bitmap._places(b.column(0).to_numpy(), bits)] = True
+            yield pa.RecordBatch.from_pydict({"flags": pa.array([np.packbits(flags).tobytes()], pa.binary())})
+
+        full = np.zeros((1 << bits) // 8, dtype=np.uint8)
+        for row in values.distinct().coalesce(8).mapInArrow(mark, "flags binary").toLocalIterator():
+            full |= np.frombuffer(row["flags"], dtype=np.uint8)
+        return Bitmap(full, bits)
+
+    def may_hold(self, values: np.ndarray) -> np.ndarray:
+        at = self._places(values, self.bits)
+        return (self.flags[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(id, component): the smallest id reachable over undirected edges (a, b).
 
@@ -92,11 +127,3 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError("components did not settle")
     return e.select(F.col("u").alias("id"), F.col("v").alias("component"))
-
-
-def arrow(rows: dict, schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict(rows, schema=schema)
-
-
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return table(spark, sf_dir, name)

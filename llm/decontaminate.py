@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import checkpointed, count_table, table
+from llm.common import Bitmap, checkpointed, count_table, table
 from llm.words import ALNUM, pieces
 
 RARITY_BITS = 18
@@ -76,25 +76,13 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, id_col: s
     rarity = spark.sparkContext.broadcast(count_table(src.select("text"), RARITY_BITS, hashes).astype(np.uint32))
     windows = checkpointed(item_windows(items, rarity, window, item_id, item_text))
 
-    def mark(batches):
-        mask = np.uint64((1 << BITMAP_BITS) - 1)
-        bits = np.zeros(1 << BITMAP_BITS, dtype=bool)
-        for b in batches:
-            bits[(b["key"].to_numpy().astype(np.uint64) & mask).astype(np.int64)] = True
-        yield pa.RecordBatch.from_pydict({"bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
-
-    full = np.zeros(1 << (BITMAP_BITS - 3), dtype=np.uint8)
-    for row in windows.select("key").distinct().coalesce(8).mapInArrow(mark, "bits binary").toLocalIterator():
-        full |= np.frombuffer(row["bits"], dtype=np.uint8)
-    bitmap = spark.sparkContext.broadcast(full)
-
+    bitmap = spark.sparkContext.broadcast(Bitmap.of(windows.select("key"), BITMAP_BITS))
     around = 2 * window - 1
 
     def candidates(batches):
-        bits, mask = np.unpackbits(bitmap.value).astype(bool), np.uint64((1 << BITMAP_BITS) - 1)
         for b in batches:
             for lo, hi, w in pieces(b["text"], ALNUM):
-                at = np.flatnonzero(bits[(w.hashes & mask).astype(np.int64)])
+                at = np.flatnonzero(bitmap.value.may_hold(w.hashes))
                 doc = np.searchsorted(w.first, at, side="right") - 1
                 padded = np.concatenate([np.zeros(window - 1, np.uint64), w.hashes, np.zeros(window - 1, np.uint64)]).astype(np.int64)
                 ctx = padded[at[:, None] + np.arange(around)]

@@ -28,10 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import checkpointed, components, count_table, table
+from llm.common import Bitmap, checkpointed, components, count_table, table
 from llm.words import SPACED_LOWER, Words, hash_run, mix, pieces
 
 ORDER_BITS = 20
+ID_BITS = 23  # 1 MB of flags, by which texts outside all candidate pairs stay in the scan
 _SEED_B, _SEED_C = np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)
 _TOKEN = np.uint64((1 << 44) - 1)  # a join key of 44 bits; a clash only adds a candidate
 
@@ -128,27 +129,31 @@ def link_classes(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "
     shared = ent.groupBy("tok").agg(F.count("*").alias("c")).where("c > 1").select("tok")
     reps = classes.select(F.col("rep").alias("id")).distinct()
     near = checkpointed(ent.join(checkpointed(shared), "tok", "left_semi").join(reps, "id", "left_semi"))
-    several = near.groupBy("tok").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("tok")
+    # tokens of several classes; two of them only if they can link at all
+    left = F.min(F.col("n") - F.col("pos")).cast("bigint")
+    several = (near.groupBy("tok").agg(F.count("*").alias("c"), F.min("id").alias("lo"), F.max("id").alias("hi"), F.sum("n").alias("sum"),
+                                       F.min("n").alias("least"), F.max("n").alias("most"), left.alias("left"))
+               .where("lo < hi").where((F.col("c") > 2) | ((F.col("least") * 100 >= F.col("most") * percent)
+                                                           & (F.col("left") * (100 + percent) >= F.col("sum") * percent))).select("tok"))
     near = checkpointed(near.join(checkpointed(several), "tok", "left_semi"))
 
-    # whole sets, and the prefixes under orders B and C, of the classes that share a token
-    def sets(batches):
-        for b in batches:
-            rows = [(i, s) for i, s in _sets(b["text"], k)]
-            cut = [prefix_length(len(s), percent) if len(s) else 0 for _, s in rows]
-            yield pa.RecordBatch.from_arrays(
-                [b["id"], pa.array([len(s) for _, s in rows], pa.int32()),
-                 pa.array([s.astype(np.int64) for _, s in rows], pa.list_(pa.int64())),
-                 *(pa.array([(_order(s, rarity.value, seed)[:c] & np.uint64(0x7FFFFFFF)).astype(np.int32)
-                             for (_, s), c in zip(rows, cut)], pa.list_(pa.int32())) for seed in (_SEED_B, _SEED_C))],
-                names=["id", "n", "toks", "b", "c"])
-
-    wanted = src.join(near.select("id").distinct(), "id", "left_semi")
-    whole = checkpointed(wanted.mapInArrow(sets, "id bigint, n int, toks array<bigint>, b array<int>, c array<int>")
-                         .dropDuplicates(["id", "toks"]))
-
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of ids whose sets pass the filters of orders B and C and then link."""
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        wanted = spark.sparkContext.broadcast(Bitmap.of(ids, ID_BITS))
+
+        def sets(batches):  # whole sets, and the prefixes under orders B and C
+            for b in batches:
+                b = b.filter(pa.array(np.asarray(b["id"].is_valid()) & wanted.value.may_hold(b["id"].fill_null(0).to_numpy())))
+                found = [s for _, s in _sets(b["text"], k)]
+                cut = [prefix_length(len(s), percent) if len(s) else 0 for s in found]
+                yield pa.RecordBatch.from_arrays(
+                    [b["id"], pa.array([len(s) for s in found], pa.int32()), pa.array([s.astype(np.int64) for s in found], pa.list_(pa.int64())),
+                     *(pa.array([(_order(s, rarity.value, seed)[:c] & np.uint64(0x7FFFFFFF)).astype(np.int32)
+                                 for s, c in zip(found, cut)], pa.list_(pa.int32())) for seed in (_SEED_B, _SEED_C))],
+                    names=["id", "n", "toks", "b", "c"])
+
+        whole = src.mapInArrow(sets, "id bigint, n int, toks array<bigint>, b array<int>, c array<int>")
         x = whole.select(F.col("id").alias("a"), *(F.col(c).alias(f"x_{c}") for c in ("n", "toks", "b", "c")))
         y = whole.select(F.col("id").alias("b"), *(F.col(c).alias(f"y_{c}") for c in ("n", "toks", "b", "c")))
         both = pairs.join(x, "a").join(y, "b").where(F.arrays_overlap("x_b", "y_b") & F.arrays_overlap("x_c", "y_c"))
@@ -166,6 +171,7 @@ def link_classes(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "
     pivot = checkpointed(pivot.select("tok", F.col("p.id").alias("pid"), F.col("p.n").alias("pn"), F.col("p.pos").alias("pp")))
     first = (near.join(pivot, "tok").where("id <> pid").where(possible("n", "pos", "pn", "pp"))
              .select(F.least("id", "pid").alias("a"), F.greatest("id", "pid").alias("b")).distinct())
+    first = checkpointed(first)
     links = checkpointed(verified(first))
     # 2. members that are still in different components, against each other
     label = components(links)
@@ -179,7 +185,7 @@ def link_classes(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "
     second = (x.join(y, (x["tok"] == y["tok"]) & (F.col("x_comp") < F.col("y_comp")) & possible("x_n", "x_pos", "y_n", "y_pos"))
               .select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")).distinct()
               .join(first, ["a", "b"], "left_anti"))
-    label = components(links.unionByName(verified(second)))
+    label = components(links.unionByName(verified(checkpointed(second))))
 
     named = (classes.join(label, classes["rep"] == label["id"], "left")
              .select("s1", "s2", F.coalesce("component", "rep").alias("comp")))
