@@ -66,6 +66,18 @@ def _order(s: np.ndarray, rarity: np.ndarray, seed: np.uint64 | None) -> np.ndar
     return s[np.lexsort((mix(s ^ seed), np.log2(count + 1).astype(np.int8)))]
 
 
+def _linked(x: np.ndarray, y: np.ndarray, percent: int, rarity: np.ndarray) -> bool:
+    """Whether two sets share prefix tokens under orders B and C and then link."""
+    if not len(x) or not len(y):
+        return False
+    for seed in (_SEED_B, _SEED_C):
+        p, q = (_order(s, rarity, seed)[:prefix_length(len(s), percent)] for s in (x, y))
+        if not np.isin(p, q).any():
+            return False
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
 def _spec(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
 
@@ -139,26 +151,22 @@ def link_classes(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of ids whose sets pass the filters of orders B and C and then link."""
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        wanted = spark.sparkContext.broadcast(Bitmap.of(ids, ID_BITS))
+        def texts(side):  # whole texts of the ids on one side; others stay in the scan
+            wanted = spark.sparkContext.broadcast(Bitmap.of(pairs.select(side), ID_BITS))
+
+            def keep(batches):
+                for b in batches:
+                    yield b.filter(pa.array(np.asarray(b["id"].is_valid()) & wanted.value.may_hold(b["id"].fill_null(0).to_numpy())))
 
-        def sets(batches):  # whole sets, and the prefixes under orders B and C
+            return src.mapInArrow(keep, "id bigint, text string").select(F.col("id").alias(side), F.col("text").alias(f"{side}_text"))
+
+        def links(batches):
             for b in batches:
-                b = b.filter(pa.array(np.asarray(b["id"].is_valid()) & wanted.value.may_hold(b["id"].fill_null(0).to_numpy())))
-                found = [s for _, s in _sets(b["text"], k)]
-                cut = [prefix_length(len(s), percent) if len(s) else 0 for s in found]
-                yield pa.RecordBatch.from_arrays(
-                    [b["id"], pa.array([len(s) for s in found], pa.int32()), pa.array([s.astype(np.int64) for s in found], pa.list_(pa.int64())),
-                     *(pa.array([(_order(s, rarity.value, seed)[:c] & np.uint64(0x7FFFFFFF)).astype(np.int32)
-                                 for s, c in zip(found, cut)], pa.list_(pa.int32())) for seed in (_SEED_B, _SEED_C))],
-                    names=["id", "n", "toks", "b", "c"])
-
-        whole = src.mapInArrow(sets, "id bigint, n int, toks array<bigint>, b array<int>, c array<int>")
-        x = whole.select(F.col("id").alias("a"), *(F.col(c).alias(f"x_{c}") for c in ("n", "toks", "b", "c")))
-        y = whole.select(F.col("id").alias("b"), *(F.col(c).alias(f"y_{c}") for c in ("n", "toks", "b", "c")))
-        both = pairs.join(x, "a").join(y, "b").where(F.arrays_overlap("x_b", "y_b") & F.arrays_overlap("x_c", "y_c"))
-        common = F.size(F.array_intersect("x_toks", "y_toks")).cast("bigint")
-        return both.where((100 + percent) * common >= percent * (F.col("x_n") + F.col("y_n"))).select("a", "b")
+                ok = [_linked(x, y, percent, rarity.value) for (_, x), (_, y) in zip(_sets(b["a_text"], k), _sets(b["b_text"], k))]
+                yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+        both = pairs.join(texts("a"), "a").join(texts("b"), "b")
+        return both.select("a", "b", "a_text", "b_text").mapInArrow(links, "a bigint, b bigint")
 
     def possible(n1: str, p1: str, n2: str, p2: str):
         """Length and positional bounds: what is left from the shared token on can still reach the overlap."""
