@@ -123,7 +123,7 @@ def fit(rows: DataFrame, centroids: int = CENTROIDS, per_lang: int = PER_LANG, r
               .where(F.col("_order") < F.ceil(F.lit(1.2 * per_lang * (1 << 30)) / F.col("n"))))
     found = sample.select("lang", "text", "_order").groupBy("lang").applyInArrow(centre, "lang string, centroid array<float>, reach double")
     out = sorted(found.toArrow().to_pylist(), key=lambda r: (r["lang"], r["centroid"]))
-    return Model(idf, [r["lang"] for r in out], np.array([r["centroid"] for r in out]).reshape(len(out), -1), np.array([r["reach"] for r in out]))
+    return Model(idf, [r["lang"] for r in out], np.array([r["centroid"] for r in out]).reshape(len(out), 1 << BITS), np.array([r["reach"] for r in out]))
 
 
 def identify(docs: DataFrame, train_where: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **how) -> DataFrame:
