@@ -74,7 +74,7 @@ def to_number(x) -> Column:
 
 def to_int_truncated(x) -> Column:
     """F2: coerce, then truncate toward zero (50.9 -> 50)."""
-    return to_number(x).cast("bigint")
+    return to_number(x).try_cast("bigint")  # beyond bigint: NULL
 
 
 def to_long_opt(x) -> Column:
@@ -227,9 +227,10 @@ def provenance(value, label: str) -> Column:
 
 
 def city_state_zip(x, default_state: str = "") -> tuple[Column, Column, Column]:
-    """R8: 'City, ST 12345' -> (city, state, zip); state defaults."""
+    """R8: 'City, ST 12345' -> (city, state, zip); state defaults.
+    A line without a comma has no city."""
     parts = F.split(_c(x), ",", 2)
-    city = strip(F.get(parts, 0))
+    city = F.when(F.size(parts) > 1, strip(F.get(parts, 0))).when(F.size(parts) == 1, F.lit(""))
     rest = F.split(strip(F.coalesce(F.get(parts, 1), F.lit(""))), r"\s+")
     state = F.coalesce(F.nullif(F.get(rest, 0), F.lit("")), F.lit(default_state))
     zipc = F.coalesce(F.get(rest, 1), F.lit(""))

@@ -19,6 +19,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,7 +43,7 @@ def _local_cumsum(group: list[str], value: str, out: str, integral: bool):
                     # rows are sorted by group: only leading rows can continue
                     same = np.ones(len(pdf), dtype=bool)
                     for g, k in zip(group, carry_key):
-                        same &= (pdf[g] == k).to_numpy()
+                        same &= (pdf[g].isna() if pd.isna(k) else pdf[g] == k).to_numpy(dtype=bool, na_value=False)
                     cum = cum + same.astype(cum.dtype) * carry
                 last_key = tuple(pdf[g].iloc[-1] for g in group)
             else:
@@ -73,20 +74,21 @@ def running_sum(df: DataFrame, order: Sequence[str], value: str, group: Sequence
                                                     F.lit(0).cast(vtype)))
                .where(F.col("_off") != 0).select("_pid", *group, "_off"))
     # at most one non-zero offset per partition: a proven bound of n rows
-    joined = local.join(F.broadcast(offsets), ["_pid", *group], "left")
+    renamed = offsets.select(F.col("_pid").alias("_opid"), *(F.col(g).alias(f"_o_{g}") for g in group), "_off")
+    match = F.col("_pid") == F.col("_opid")
+    for g in group:  # a NULL group is a group like any other
+        match &= local[g].eqNullSafe(F.col(f"_o_{g}"))
+    joined = local.join(F.broadcast(renamed), match, "left").drop("_opid", *(f"_o_{g}" for g in group))
     return joined.withColumn(out, F.col(out) + F.coalesce(F.col("_off"), F.lit(0).cast(vtype))).drop("_pid", "_off")
 
 
-# Largest head the exact top-k budget path will broadcast.
-FAST_PATH_MAX_ROWS = 1_000_000
-
-
 def call_budget(df: DataFrame, order: Sequence[str], cost: Column | str, max_calls: int,
                 partitions: int | None = None, min_cost: int | None = None) -> DataFrame:
     """Rows processed in order while the calls already made are < max.
 
     The budget is checked before a row, so a 2-call row may overshoot (C11).
-    Adds ``cost``, ``calls_before`` and ``within_budget``.
+    Adds ``cost``, ``calls_before`` (NULL for rows outside the budget) and
+    ``within_budget``; both ways below give the same columns and values.
 
     ``min_cost >= 1`` is the caller's guarantee that every row costs at
     least one call. Then no row after position ``max_calls`` can be within
@@ -97,16 +99,19 @@ def call_budget(df: DataFrame, order: Sequence[str], cost: Column | str, max_cal
     """
     c = F.col(cost) if isinstance(cost, str) else cost
     d = df.withColumn("cost", c.cast("bigint"))
-    if min_cost is not None and min_cost >= 1 and max_calls <= FAST_PATH_MAX_ROWS:
+    if min_cost is not None and min_cost >= 1:
         head = d.orderBy(*order).limit(max_calls)
         w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
         first = head.select(*order, F.coalesce(F.sum("cost").over(w), F.lit(0)).cast("bigint").alias("calls_before"))
-        # at most max_calls rows: a proven bound for the broadcast
-        out = d.join(F.broadcast(first), list(order), "left")
-        return out.withColumn("within_budget", F.coalesce(F.col("calls_before") < max_calls, F.lit(False)))
+        out = d.join(first, list(order), "left")
+        return _budget_flags(out, max_calls)
     rs = running_sum(d, order, "cost", out="_cum", partitions=partitions)
-    rs = rs.withColumn("calls_before", F.col("_cum") - F.col("cost")).drop("_cum")
-    return rs.withColumn("within_budget", F.col("calls_before") < max_calls)
+    return _budget_flags(rs.withColumn("calls_before", F.col("_cum") - F.coalesce("cost", F.lit(0))).drop("_cum"), max_calls)
+
+
+def _budget_flags(df: DataFrame, max_calls: int) -> DataFrame:
+    within = F.coalesce(F.col("calls_before") < max_calls, F.lit(False))
+    return df.withColumn("within_budget", within).withColumn("calls_before", F.when(F.col("within_budget"), F.col("calls_before")))
 
 
 def quota_slots(df: DataFrame, group: Sequence[str], order: Sequence[str], cap: int,

@@ -204,9 +204,8 @@ def with_validated_response(df: DataFrame, resp: str, out: str = "scored") -> Da
     raw_score = F.get_json_object(r, "$.icp_score")
     # a quoted score must be an integer literal (int("85.7") fails), a bare
     # JSON number is truncated (int(85.7) == 85)
-    quoted = r.rlike(r'"icp_score"\s*:\s*"')
-    num = F.when(quoted, F.when(raw_score.rlike(r"^\s*[+-]?[0-9]+\s*$"), strip(raw_score).try_cast("double"))) \
-           .otherwise(to_number(raw_score))
+    bare = F.nanvl(F.from_json(r, "icp_score double")["icp_score"], F.lit(None).cast("double"))
+    num = F.coalesce(bare, F.when(raw_score.rlike(r"^\s*[+-]?[0-9]+\s*$"), strip(raw_score).try_cast("double")))
     staged = df.withColumns({
         "_valid_json": parsed.isNotNull(), "_has_all": has_all, "_num": num,
         "_system": truncate(strip(F.get_json_object(r, "$.booking_system")), 100),
@@ -216,7 +215,7 @@ def with_validated_response(df: DataFrame, resp: str, out: str = "scored") -> Da
               .when(~F.col("_has_all"), F.lit("Failed to parse response."))
               .when(F.col("_num").isNull(), F.lit("Scoring error: ValueError")))
     result = F.struct(
-        F.when(ok, clamp(F.col("_num").cast("int"), 1, 100)).otherwise(F.lit(0)).alias("icp_score"),
+        F.when(ok, clamp(F.col("_num"), 1, 100).cast("int")).otherwise(F.lit(0)).alias("icp_score"),
         F.when(ok, F.col("_system")).otherwise(F.lit("Unknown")).alias("booking_system"),
         F.when(ok, F.col("_reasoning")).otherwise(reason).alias("reasoning"))
     return staged.withColumn(out, result).drop("_valid_json", "_has_all", "_num", "_system", "_reasoning")

@@ -5,8 +5,7 @@ response table to one row per key (map-side combined ``min_by``), then an
 equi ``left`` join. Lookup sides are never assumed small. When Spark's size
 estimate says the per-key side will be broadcast, the join is plain; beyond
 that, ``salted_join`` splits a hot key on the entity side explicitly (AQE's
-skew split does not apply against an aggregate's output). ``join_small``
-broadcasts only after counting the side.
+skew split does not apply against an aggregate's output).
 """
 
 from __future__ import annotations
@@ -19,7 +18,6 @@ from pyspark.sql import functions as F
 from leadsmith.functions.text import blank_to_null, keyword_rank, nonblank
 from leadsmith.operators.ranking import best_per_group
 
-BROADCAST_MAX_ROWS = 1_000_000
 # Fact-to-per-key joins are salted this many ways when the per-key side is
 # too large to broadcast. AQE's skew split needs both join inputs to be
 # plain shuffle reads; a per-key side produced by an aggregate is not, so a
@@ -27,14 +25,6 @@ BROADCAST_MAX_ROWS = 1_000_000
 DEFAULT_SALT = 8
 
 
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``small`` only when a count proves it is under ``max_rows``."""
-    if small.count() <= max_rows:
-        return big.join(F.broadcast(small), on, how)
-    return big.join(small, on, how)
-
-
 def _conf_bytes(value: str | None) -> int:
     """Parse a Spark byte setting ('10485760b', '10MB', '-1')."""
     import re
@@ -72,6 +62,8 @@ def salted_join(big: DataFrame, small: DataFrame, on: str | Sequence[str], how:
     a third of ``big`` is spread over n tasks instead of one. The small
     side grows n-fold (bounded by n x keys); results equal the plain join.
     """
+    if how not in ("inner", "left", "left_outer", "left_semi", "semi", "left_anti", "anti"):
+        raise ValueError(f"a salted join keeps the rows of its first side only: how={how!r}")
     keys = [on] if isinstance(on, str) else list(on)
     if not force and broadcast_sized(small):
         return big.join(small, keys, how)

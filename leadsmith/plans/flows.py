@@ -133,7 +133,7 @@ def pitch_list(leads: DataFrame, cfg: PitchConfig = PitchConfig()) -> DataFrame:
 
 @dataclass(frozen=True)
 class ClinicConfig:
-    cap: int | None = 150          # registry rows taken (None: all)
+    cap: int | None = None         # registry rows taken (None: all)
     threshold: int = 70
     blocklist: tuple = ()
     # Keywords that mark a directory or reference site.
@@ -144,7 +144,7 @@ class ClinicConfig:
     phone_words: tuple = ("call us", "call to schedule")
     form_words: tuple = ("request an appointment", "fill out the form", "email us")
     portal_words: tuple = ("zocdoc", "nexhealth", "localmed", "patientreach", "calendly", "online portal")
-    text_limit: int = 4000
+    text_limit: int | None = None  # characters of a page that are scored (None: all)
     max_calls: int | None = None   # contact lookups allowed, in registry order (W7)
 
 
@@ -176,7 +176,7 @@ def clinic_leads(registry: DataFrame, hits: DataFrame, pages: DataFrame, contact
     needed = c.select(F.col("website").alias("domain")).where(F.col("domain").isNotNull()).distinct()
     home = pages.join(needed, "domain", "left_semi").select("domain", DOC.visible_text("html").alias("v"))
     c = L.salted_join(c, home.select(F.col("domain").alias("website"),
-                                     X.truncate("v.text", cfg.text_limit).alias("text")), "website", "left",
+                                     (F.col("v.text") if cfg.text_limit is None else X.truncate("v.text", cfg.text_limit)).alias("text")), "website", "left",
                       L.DEFAULT_SALT, salt_from=["clinic_id"])
     c = DOC.with_rubric(c, "text", cfg.phone_words, cfg.form_words, cfg.portal_words, out="s")
     c = c.select("*", F.col("s.icp_score").alias("icp_score"),
@@ -294,7 +294,7 @@ def dealer_owners(dealers: DataFrame, contacts: DataFrame, cfg: DealerConfig = D
 @dataclass(frozen=True)
 class BridgeConfig:
     blocklist: tuple = ()
-    max_calls: int = 50
+    max_calls: int | None = None   # service calls allowed, in order (None: no budget)
     # Operations and executive keywords of the contact cascade.
     ops_keywords: tuple = ("operations", "supply chain", "logistics", "coo", "chief operating", "vp operations",
                            "head of operations")
@@ -313,8 +313,10 @@ def brand_bridge(brands: DataFrame, suggest: DataFrame, contacts: DataFrame,
               .withColumn("outcome", F.coalesce("outcome", F.lit("not_found")))
     counts = C.outcome_counts(b)
     elig = b.withColumn("reason", P.eligibility("website", D.blocked_substring("website", cfg.blocklist)))
-    budget = B.call_budget(elig.where(F.col("reason") == "ok"), ["ordinal"], F.lit(1), cfg.max_calls, min_cost=1)
-    called = budget.where("within_budget").select("ordinal", "website")
+    called = elig.where(F.col("reason") == "ok")
+    if cfg.max_calls is not None:
+        called = B.call_budget(called, ["ordinal"], F.lit(1), cfg.max_calls, min_cost=1).where("within_budget")
+    called = called.select("ordinal", "website")
     cand = contacts.withColumn("contact_name", X.full_name("first_name", "last_name"))
     levels = [("ops", X.contains_any("position", cfg.ops_keywords)),
               ("exec", X.contains_any("position", cfg.exec_keywords)),
@@ -344,7 +346,9 @@ def distributor_bridge(firms: DataFrame, suggest: DataFrame, people: DataFrame,
     # the e-mail match is requested (and counted) whenever a first person
     # exists, with or without an id
     cost = F.when(F.col("_person").isNotNull(), 2).otherwise(1)
-    within = B.call_budget(j, ["ordinal"], cost, cfg.max_calls, min_cost=1).where("within_budget")
+    within = j.withColumn("cost", cost.cast("bigint"))
+    if cfg.max_calls is not None:
+        within = B.call_budget(j, ["ordinal"], cost, cfg.max_calls, min_cost=1).where("within_budget")
     m = within.join(matches.select("id", F.col("email").alias("m_email")), "id", "left")
     label = (F.when(F.col("_person").isNull(), "people:none")
              .when(F.col("id").isNull(), "people:no_id")
@@ -359,7 +363,7 @@ def distributor_bridge(firms: DataFrame, suggest: DataFrame, people: DataFrame,
 
 @dataclass(frozen=True)
 class ShopConfig:
-    cap: int = 30
+    cap: int | None = None         # result links taken of a page (None: all)
     # Result-page blocklist and contact position keywords.
     blocklist: tuple = ("thomasnet", "iqsdirectory", "yelp", "yellowpages", "linkedin", "facebook", "youtube",
                         "mfg", "zoominfo")

@@ -299,7 +299,7 @@ _R08 = ("CASE WHEN n_nationkey % 4 = 0 THEN n_name WHEN n_nationkey % 4 = 1 THEN
 
 @register("r08_city_state_zip", f"""
 WITH t AS (SELECT n_nationkey, {_R08} AS line FROM nation JOIN region ON n_regionkey = r_regionkey),
-p AS (SELECT n_nationkey, trim(split_part(line, ',', 1)) AS city,
+p AS (SELECT n_nationkey, CASE WHEN contains(line, ',') THEN trim(split_part(line, ',', 1)) ELSE '' END AS city,
         string_split_regex(trim(CASE WHEN contains(line, ',') THEN substr(line, strpos(line, ',') + 1) ELSE '' END), '\\s+') AS rest
       FROM t)
 SELECT n_nationkey, city, coalesce(nullif(rest[1], ''), 'MI') AS state, coalesce(rest[2], '') AS zip FROM p""")

@@ -43,7 +43,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(current)
         return current
-    # Only reached when nothing is configured (local runs, tests).
+    # Nothing is configured: a machine-local folder is only right where all
+    # executors live on this machine (local runs, tests).
+    master = spark.sparkContext.master
+    if not master.startswith("local[") and master != "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="leadsmith-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     return local

@@ -144,14 +144,16 @@ def seed_list(spark: SparkSession, rows: Iterable[tuple], schema: str, head: int
 RESULT_LINK_RE = r'<a rel="noopener noreferrer" class="result__a" href="([^"]+)"[^>]*>([^<]+)</a>'
 
 
-def result_links(pages: DataFrame, html: str, keep: Sequence[str], cap: int,
+def result_links(pages: DataFrame, html: str, keep: Sequence[str], cap: int | None = None,
                  pattern: str = RESULT_LINK_RE) -> DataFrame:
-    """(href, title) pairs in page order, the first ``cap`` only,
-    both stripped; empty hrefs dropped after the cap (as the reference)."""
+    """(href, title) pairs in page order, the first ``cap`` only if
+    given, both stripped; empty hrefs dropped after the cap (as the reference)."""
     hrefs = F.regexp_extract_all(_c(html), F.lit(pattern), 1)
     titles = F.regexp_extract_all(_c(html), F.lit(pattern), 2)
     z = pages.select(*keep, F.posexplode(F.arrays_zip(hrefs.alias("href"), titles.alias("title"))).alias("pos", "l"))
-    return z.where(F.col("pos") < cap).select(*keep, "pos", strip("l.href").alias("href"),
+    if cap is not None:
+        z = z.where(F.col("pos") < cap)
+    return z.select(*keep, "pos", strip("l.href").alias("href"),
                                               strip("l.title").alias("title")).where(F.col("href") != "")
 
 
@@ -201,7 +203,3 @@ def strip_strings(df: DataFrame) -> DataFrame:
     """Strip every string column."""
     return df.select(*[strip(f.name).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
                        for f in df.schema.fields])
-
-
-def first_address(col: Column) -> Column:
-    return F.get(col, 0)

@@ -95,7 +95,7 @@ def test_city_state_zip_and_phone(spark):
     df = spark.createDataFrame([("Grand Rapids, MI 49503",), ("Lansing",), ("Troy,  OH",)], "v string")
     city, state, z = X.city_state_zip("v", default_state="MI")
     got = [tuple(r) for r in df.select(city, state, z).collect()]
-    assert got == [("Grand Rapids", "MI", "49503"), ("Lansing", "MI", ""), ("Troy", "OH", "")]
+    assert got == [("Grand Rapids", "MI", "49503"), ("", "MI", ""), ("Troy", "OH", "")]
     df = spark.createDataFrame([("tel:+15551234", "call"), (None, " 555 "), ("", None)], "h string, t string")
     assert [r[0] for r in df.select(X.phone("h", "t")).collect()] == ["+15551234", "555", ""]
 
@@ -134,3 +134,18 @@ def test_list_matches_are_literal_and_single_pass(spark):
 def test_title_cleaner_quoted_names(spark):
     got = one(spark, X.clean_title_name, ['"Bright Smiles" Family Dentistry', 'Acme "Dental', '"Solo"'])
     assert got == ["Bright Smiles", 'Acme "Dental', "Solo"]
+
+
+def test_huge_numbers_and_lines_without_a_comma(spark):
+    from leadsmith.functions import text as X
+    from leadsmith.operators import documents as XD
+    df = spark.createDataFrame([("1e30", "Springfield 12345"), ("50.9", "Troy, MI 48083")], "n string, line string")
+    city, state, zipc = X.city_state_zip("line", default_state="MI")
+    got = df.select(X.to_int_truncated("n").alias("i"), city.alias("c")).collect()
+    assert [(r["i"], r["c"]) for r in got] == [(None, ""), (50, "Troy")]
+    rows = ['{"icp_score": 99999999999, "booking_system": "b", "agentic_reasoning": "r"}',
+            '{"icp_score": "99999999999", "booking_system": "b", "agentic_reasoning": "r"}',
+            '{"icp_score": 85.7, "booking_system": "b", "agentic_reasoning": "r", "x": {"icp_score": "7"}}',
+            '{"icp_score": "85.7", "booking_system": "b", "agentic_reasoning": "r"}']
+    out = XD.with_validated_response(spark.createDataFrame([(r,) for r in rows], "resp string"), "resp")
+    assert [r["scored"]["icp_score"] for r in out.collect()] == [100, 100, 85, 0]

@@ -3,6 +3,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from leadsmith.functions import domains as D
@@ -113,12 +114,11 @@ def test_keep_first_is_partition_independent(spark):
     assert rows(DD.keep_first(a, "k", ["o", "v"])) == rows(a)  # idempotent
 
 
-def test_join_small_broadcasts_only_under_bound(spark):
-    big = spark.range(100).withColumnRenamed("id", "k")
-    small = spark.range(10).withColumnRenamed("id", "k").withColumn("x", F.lit(1))
-    plan_small = L.join_small(big, small, "k", max_rows=50)._jdf.queryExecution().executedPlan().toString()
-    assert "Broadcast" in plan_small
-    assert L.join_small(big, small, "k", max_rows=5).count() == 100
+def test_salted_join_refuses_sides_it_would_multiply(spark):
+    one = spark.range(3).withColumnRenamed("id", "k")
+    for how in ("right", "full"):
+        with pytest.raises(ValueError):
+            L.salted_join(one, one, "k", how, force=True)
 
 
 def test_drop_blocked_exact_and_suffix(spark):
