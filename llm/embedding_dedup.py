@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from llm.common import checkpointed, components, table
 
 LEADING = 8  # principal directions of the grid
-BLOCK = 256  # vectors in a block
+BLOCK = 2048  # vectors in a block; what travels is (vectors / BLOCK) ** 2 pairs of blocks at most
 FAN = 4  # parts an interval is split into
 
 
@@ -32,6 +32,10 @@ def _matrix(column: pa.ListArray) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
+def _unit(x: np.ndarray) -> np.ndarray:
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def principal_directions(vecs: DataFrame, dim: int) -> np.ndarray:
     """(dim, up to LEADING) leading eigenvectors of the covariance of the unit
     vectors; each task sends one matrix of dim x dim sums."""
@@ -39,8 +43,7 @@ def principal_directions(vecs: DataFrame, dim: int) -> np.ndarray:
     def sums(batches):
         total, outer, n = np.zeros(dim), np.zeros((dim, dim)), 0
         for b in batches:
-            x = _matrix(b["v"])
-            x /= np.linalg.norm(x, axis=1, keepdims=True)
+            x = _unit(_matrix(b["v"]))
             total, outer, n = total + x.sum(0), outer + x.T @ x, n + len(x)
         yield pa.RecordBatch.from_pydict({"n": [n], "s": pa.array([total], pa.list_(pa.float64())), "o": pa.array([outer.ravel()], pa.list_(pa.float64()))})
 
@@ -70,8 +73,9 @@ def _forest(mask: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> tuple[np.nd
     return start[ok], to[ok]
 
 
-def _same_length(reps: DataFrame, dim: int, cosine: float) -> DataFrame:
-    """(id, links, a, b): counts of links of ``reps`` (id, n, v) and forest edges (a, b)."""
+def _same_length(reps: DataFrame, dim: int, cosine: float, wire: str) -> DataFrame:
+    """(id, links, a, b): counts of links of ``reps`` (id, n, v) and forest edges
+    (a, b). ``wire`` is the type in which components travel without loss."""
     spark = reps.sparkSession
     eps = float(np.sqrt(max(2 - 2 * cosine, 0.0))) + 1e-7
     axes = spark.sparkContext.broadcast(principal_directions(reps, dim))
@@ -79,11 +83,10 @@ def _same_length(reps: DataFrame, dim: int, cosine: float) -> DataFrame:
 
     def project(batches):
         for b in batches:
-            x = _matrix(b["v"])
-            x /= np.linalg.norm(x, axis=1, keepdims=True)
+            x = _unit(_matrix(b["v"]))
             p = x @ axes.value
             cell = np.floor(p / eps).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([b["id"], b["n"], pa.array(list(x), pa.list_(pa.float64())), pa.array(list(p), pa.list_(pa.float64())),
+            yield pa.RecordBatch.from_arrays([b["id"], b["n"], b["v"], pa.array(list(p), pa.list_(pa.float64())),
                                               *(pa.array(cell[:, j]) for j in range(lead))], names=["id", "n", "v", "p", *(f"c{j}" for j in range(lead))])
 
     cells = [f"c{j}" for j in range(lead)]
@@ -107,7 +110,7 @@ def _same_length(reps: DataFrame, dim: int, cosine: float) -> DataFrame:
         p = _matrix(t["p"].chunk(0))
         return pa.RecordBatch.from_pydict({
             "part": [t["part"][0].as_py()], "seq": [seq], "ids": [t["id"].to_pylist()], "ns": [t["n"].to_pylist()],
-            "vs": [_matrix(t["v"].chunk(0)).tobytes()], "lo": [p.min(0).tolist()], "hi": [p.max(0).tolist()]}, schema=_BLOCK_PA)
+            "vs": [_matrix(t["v"].chunk(0)).astype(wire).tobytes()], "lo": [p.min(0).tolist()], "hi": [p.max(0).tolist()]}, schema=_BLOCK_PA)
 
     blocks = checkpointed(ordered.mapInArrow(cut, "part int, seq int, ids array<bigint>, ns array<bigint>, vs binary, lo array<double>, hi array<double>"))
     # blocks are numbered along the order: parts in turn, from one offset for each part
@@ -141,7 +144,7 @@ def _same_length(reps: DataFrame, dim: int, cosine: float) -> DataFrame:
     def compare(batches):
         for b in batches:
             for i, j, xi, xn, xv, yi, yn, yv in zip(*(b[c].to_pylist() for c in ("i", "j", "xi", "xn", "xv", "yi", "yn", "yv"))):
-                x, y = (np.frombuffer(v, dtype=np.float64).reshape(-1, dim) for v in (xv, yv))
+                x, y = (_unit(np.frombuffer(v, dtype=wire).astype(np.float64).reshape(-1, dim)) for v in (xv, yv))
                 xi, xn, yi, yn = map(np.array, (xi, xn, yi, yn))
                 mask = x @ y.T >= cosine
                 if i == j:
@@ -187,9 +190,10 @@ def near_duplicates(vecs: DataFrame, cosine: float = 0.95, id_col: str = "vec_id
                           .agg(F.min("id").alias("rep"), F.count("*").alias("n")))
     whole = src.where("ok").select(F.col("id").alias("rep"), "v", F.xxhash64("v").alias("k1"), F.xxhash64(F.lit(1), "v").alias("k2")).dropDuplicates(["rep", "k1", "k2"])
     reps = checkpointed(whole.join(groups, ["rep", "k1", "k2"]).select(F.col("rep").alias("id"), "n", "v", "dim"))
+    wire = "f4" if vecs.schema[vec_col].dataType.elementType.typeName() == "float" else "f8"
     found = None
     for r in groups.select("dim").distinct().orderBy("dim").toLocalIterator():
-        one = _same_length(reps.where(F.col("dim") == r["dim"]).select("id", "n", "v"), r["dim"], cosine)
+        one = _same_length(reps.where(F.col("dim") == r["dim"]).select("id", "n", "v"), r["dim"], cosine, wire)
         one = checkpointed(one.withColumn("dim", F.lit(r["dim"])))
         found = one if found is None else found.unionByName(one)
     if found is None:
