@@ -104,8 +104,10 @@ def fit(rows: DataFrame, centroids: int = CENTROIDS, per_lang: int = PER_LANG, r
             yield np.flatnonzero(ngram_counts(text)).astype(np.uint64)
 
     df = count_table(rows.select("text"), BITS, grams)
-    per = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    n = sum(r["n"] for r in per.toLocalIterator())
+    # one row a language, as few as the model has; broadcast, so that texts outside the sample are not shuffled
+    sizes = [(r["lang"], r["n"]) for r in rows.groupBy("lang").agg(F.count("*").alias("n")).toLocalIterator()]
+    per = F.broadcast(rows.sparkSession.createDataFrame(sizes, "lang string, n bigint"))
+    n = sum(k for _, k in sizes)
     idf = np.log((1 + n) / (1 + df)) + 1
     shared = rows.sparkSession.sparkContext.broadcast(idf)
 
