@@ -1,15 +1,13 @@
 """Filing, page and scorer-response handling.
 
-Parsing whole documents (XML with a parse-error fallback, HTML with tag
-removal) needs a real parser, so those are Arrow-batched pandas UDFs over
-the stdlib ``xml.etree`` / ``html.parser``: Spark still partitions the
-documents, each task parses its own batch. Everything else is native.
+HTML with tag removal needs a real parser, so that is an Arrow-batched
+pandas UDF over the stdlib ``html.parser``: Spark still partitions the
+pages, each task parses its own batch. Everything else is native, filings
+(``from_xml``) included.
 """
 
 from __future__ import annotations
 
-import re
-import xml.etree.ElementTree as ET
 from collections.abc import Sequence
 from html.parser import HTMLParser
 
@@ -18,50 +16,43 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leadsmith.functions.text import _c, clamp, nonblank, strip, to_number, truncate
+from leadsmith.functions.text import _c, clamp, let, nonblank, strip, truncate
 
 # --- X1 / X2: location from a filing ---------------------------------------
 
-_HEADER_STATE = re.compile(r"BUSINESS ADDRESS:\s*.*?^\s*STATE:\s*(\S+)", re.MULTILINE | re.DOTALL)
-_INCORPORATION = re.compile(r"STATE OF INCORPORATION:\s*(\S+)")
-
-
-def _local(tag: str) -> str:
-    return tag.split("}")[-1]
-
-
-def location_of(content: str | None) -> str:
-    """Issuer address state (or its description, document order) from the
-    XML part; else the header's business-address state; else the state of
-    incorporation; else ''. Malformed XML falls through to the header (X2)."""
-    if not content:
-        return ""
-    start, end = content.find("<edgarSubmission"), content.rfind("</edgarSubmission>")
-    if start != -1 and end > start:
-        try:
-            root = ET.fromstring(content[start:end + len("</edgarSubmission>")])
-            for el in root.iter():
-                if _local(el.tag) != "primaryIssuer":
-                    continue
-                for child in el.iter():
-                    if _local(child.tag) != "issuerAddress":
-                        continue
-                    for a in child.iter():
-                        if _local(a.tag) in ("stateOrCountry", "stateOrCountryDescription") and a.text and a.text.strip():
-                            return a.text.strip()
-        except ET.ParseError:
-            pass
-    m = _HEADER_STATE.search(content)
-    if m:
-        return m.group(1).strip()
-    m = _INCORPORATION.search(content)
-    return m.group(1).strip() if m else ""
-
-
-@F.pandas_udf(T.StringType())
-def filing_location(texts: pd.Series) -> pd.Series:
-    """X1/X2 as an Arrow-batched UDF."""
-    return texts.map(location_of)
+# The filing's elements and header labels.
+_SUBMISSION = "edgarSubmission"
+_ISSUER_SCHEMA = ("primaryIssuer array<struct<issuerAddress: array<struct<"
+                  "stateOrCountry: array<string>, stateOrCountryDescription: array<string>>>>>, _bad string")
+_HEADER_STATE = r"(?m)^\s*STATE:\s*(\S+)"
+_INCORPORATION = r"STATE OF INCORPORATION:\s*(\S+)"
+
+
+def filing_location(text) -> Column:
+    """X1/X2, native: the first issuer address with a non-blank state, or a
+    non-blank description of it, from the XML part; else the header's
+    business-address state; else the state of incorporation; else ''. XML
+    that does not parse falls through to the header."""
+    content = F.coalesce(_c(text), F.lit(""))
+    tail = f"</{_SUBMISSION}>"
+    begin = F.instr(content, f"<{_SUBMISSION}")
+    # up to the last closing tag: what follows it is cut off
+    until = F.length(content) - F.length(F.substring_index(content, tail, -1))
+    part = F.when((begin > 0) & (until >= begin), F.substr(content, begin, until - begin + 1))
+
+    none = F.array().cast("array<string>")
+
+    def stated(xml):
+        addresses = F.flatten(F.filter(F.transform(xml["primaryIssuer"], lambda i: i["issuerAddress"]), lambda a: a.isNotNull()))
+        values = F.flatten(F.transform(addresses, lambda a: F.concat(F.coalesce(a["stateOrCountry"], none),
+                                                                     F.coalesce(a["stateOrCountryDescription"], none))))
+        return F.when(xml["_bad"].isNull(), strip(F.get(F.filter(values, nonblank), 0)))
+
+    xml = F.from_xml(part, _ISSUER_SCHEMA, {"rowTag": _SUBMISSION, "ignoreNamespace": "true", "mode": "PERMISSIVE",
+                                            "columnNameOfCorruptRecord": "_bad"})
+    address = F.instr(content, "BUSINESS ADDRESS:")
+    header = F.regexp_extract(F.when(address > 0, F.substr(content, address)), _HEADER_STATE, 1)
+    return F.coalesce(let(xml, stated), F.nullif(header, F.lit("")), F.regexp_extract(content, _INCORPORATION, 1), F.lit(""))
 
 
 # --- X3 / X4: visible text of a page ----------------------------------------
@@ -108,21 +99,17 @@ class _Visible(HTMLParser):
 
 
 def visible_text_of(html: str | None) -> tuple[str, int]:
-    """Text outside script/style/header/nav/footer, non-blank lines joined
-    by one space and whitespace collapsed; plus the count of ``tel:`` links
-    outside those elements."""
+    """Text outside script/style/header/nav/footer, white space as one space;
+    plus the count of ``tel:`` links outside those elements."""
     if not html:
         return "", 0
     p = _Visible()
     try:
         p.feed(html)
         p.close()
-    except Exception:  # malformed markup: keep what was parsed
+    except AssertionError:  # a broken declaration: keep what was parsed
         pass
-    text = "".join(p.parts)
-    lines = (ln.strip() for ln in text.splitlines())
-    joined = " ".join(ln for ln in lines if ln)
-    return re.sub(r"\s+", " ", joined).strip(), p.tel
+    return " ".join("".join(p.parts).split()), p.tel
 
 
 VISIBLE_SCHEMA = T.StructType([T.StructField("text", T.StringType()), T.StructField("tel_count", T.IntegerType())])
@@ -157,11 +144,13 @@ def occurrences(text, needle: str) -> Column:
 
 
 def with_rubric(df: DataFrame, text: str, phone: Sequence[str], forms: Sequence[str], portals: Sequence[str],
-                out: str = "score") -> DataFrame:
+                out: str = "score", tel: str | None = None) -> DataFrame:
     """X5 + X7: deterministic tiers, portals checked first.
 
     tier 3 (portal named) 10-30, tier 1 (phone-first) 90-100, tier 2 (forms)
-    70-89, else 1; blank text scores 0 with a reason (X7). Adds
+    70-89, else 1; blank text scores 0 with a reason (X7). ``tel`` is the
+    column of click-to-call links (X4): each is phone-first evidence, and a
+    page with one is not blank. Adds
     ``out``: struct<icp_score int, booking_system string, reasoning string>.
     """
     def hits(words):
@@ -170,8 +159,9 @@ def with_rubric(df: DataFrame, text: str, phone: Sequence[str], forms: Sequence[
             total = total + occurrences(text, w)
         return total
 
-    staged = df.withColumns({"_hp": hits(phone), "_hf": hits(forms), "_hb": hits(portals),
-                             "_blank": ~nonblank(text)})
+    calls = F.coalesce(F.col(tel), F.lit(0)) if tel else F.lit(0)
+    staged = df.withColumns({"_hp": hits(phone) + calls, "_hf": hits(forms), "_hb": hits(portals),
+                             "_blank": ~nonblank(text) & (calls == 0)})
     hp, hf, hb, blank = F.col("_hp"), F.col("_hf"), F.col("_hb"), F.col("_blank")
     score = (F.when(blank, 0).when(hb > 0, 10 + F.least(F.lit(20), hb))
              .when(hp > 0, 90 + F.least(F.lit(10), hp)).when(hf > 0, 70 + F.least(F.lit(19), hf))

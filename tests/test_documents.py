@@ -16,24 +16,26 @@ BAD_XML = ('<edgarSubmission><primaryIssuer><issuerAddress><stateOrCountry>OH</i
 INCORP = "HEADER\nSTATE OF INCORPORATION: DE\n"
 
 
-def test_location_order_of_sources():
-    assert DOC.location_of(NS_XML) == "MI"
-    assert DOC.location_of(DESC_XML) == "ONTARIO, CANADA"
-    assert DOC.location_of(BAD_XML) == "TX"            # X2: malformed XML -> header
-    assert DOC.location_of(INCORP) == "DE"
-    assert DOC.location_of("nothing") == "" and DOC.location_of(None) == ""
+def located(spark, *texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, doc string")
+    return [r["s"] for r in df.select("id", DOC.filing_location("doc").alias("s")).orderBy("id").collect()]
 
 
-def test_location_on_a_large_document():
-    # A long document between the header and STATE must not overflow
-    big = "BUSINESS ADDRESS:\n" + ("x" * 80 + "\n") * 3000 + "  STATE: CA\n"
-    assert DOC.location_of(big) == "CA"
+def test_location_order_of_sources(spark):
+    # Malformed XML -> header; a blank state -> its description
+    assert located(spark, NS_XML, DESC_XML, BAD_XML, INCORP, "nothing", None, "") == \
+        ["MI", "ONTARIO, CANADA", "TX", "DE", "", "", ""]
+    prefixed = NS_XML.replace("<", "<e:").replace("<e:/", "</e:").replace("<e:SEC", "<SEC").replace("<e:edgarSub", "<edgarSub") \
+        .replace("</e:edgarSub", "</edgarSub").replace("xmlns=", 'xmlns:e="http://example.org/e" xmlns=')
+    two = DESC_XML.replace("<primaryIssuer>", "<primaryIssuer><issuerAddress/></primaryIssuer><primaryIssuer>")
+    open_tag = "<edgarSubmission> never closed\nSTATE OF INCORPORATION: NV"
+    assert located(spark, prefixed, two, open_tag, DESC_XML.replace("ONTARIO, CANADA", " ") + INCORP) == ["MI", "ONTARIO, CANADA", "NV", "DE"]
 
 
-def test_location_udf(spark):
-    df = spark.createDataFrame([(1, NS_XML), (2, BAD_XML), (3, None)], "id int, doc string")
-    got = dict(df.select("id", DOC.filing_location("doc")).collect())
-    assert got == {1: "MI", 2: "TX", 3: ""}
+def test_location_on_a_large_document(spark):
+    # A long document between the header and STATE must not overflow
+    big = "BUSINESS ADDRESS:\n" + ("x" * 80 + "\n") * 3000 + "  STATE: CA\n"
+    assert located(spark, big) == ["CA"]
 
 
 PAGE = """<html><head><title>Smile &amp; Co</title><style>p{x:1}</style><script>var a="<p>";</script></head>
@@ -71,6 +73,12 @@ def test_rubric_tiers(spark):
     assert got[5] == (1, "None")
 
 
+def test_rubric_counts_call_links(spark):
+    df = spark.createDataFrame([(1, "hello", 2), (2, "", 1), (3, "on zocdoc", 5), (4, "hello", None), (5, "", 0)], "id int, t string, n int")
+    s = DOC.with_rubric(df, "t", ["call us"], ["form"], ["zocdoc"], out="s", tel="n")
+    assert {r["id"]: r["s"]["icp_score"] for r in s.collect()} == {1: 92, 2: 91, 3: 11, 4: 1, 5: 0}
+
+
 def test_response_validation(spark):
     cases = [
         (1, '{"icp_score": 85, "booking_system": " Phone ", "agentic_reasoning": "r"}', 85, "Phone"),
