@@ -50,6 +50,15 @@ def test_p1_enrichment(spark):
         ("Ow Ner", "Owner", None, "people:no_email", "o1")
     bolt = out.where(F.col("company") == "Bolt Haul").first()
     assert bolt["email_source"] == "registry" and bolt["owner_name"] is None
+    # the organisation's domain feeds the fallback; a person without a title is still found
+    sited = orgs.withColumn("domain", F.lit("cog.example.com"))
+    contacts = spark.createDataFrame([("cog.example.com", 0, "Di", "R", "Director", "di@cog.example.com")],
+                                     "domain string, pos int, first_name string, last_name string, position string, value string")
+    cog = FL.carrier_leads(registry(spark), orgs=sited, people=people, contacts=contacts).where(F.col("company") == "Cog Lines").first()
+    assert (cog["owner_name"], cog["owner_email"], cog["email_source"]) == ("Ow Ner", "di@cog.example.com", "contacts:found")
+    untitled = people.withColumn("title", F.lit(None).cast("string"))
+    cog = FL.carrier_leads(registry(spark), orgs=orgs, people=untitled.where("pos = 1")).where(F.col("company") == "Cog Lines").first()
+    assert (cog["owner_name"], cog["email_source"]) == ("Ow Ner", "people:no_email")
 
 
 def test_p2_pitch_list(spark):
@@ -94,17 +103,20 @@ def test_p4_clinic_contacts(spark):
 
 
 def test_p5_p6_p7_dealers(spark):
-    pages = spark.createDataFrame([(1, CARDS), (2, CARDS.replace("Acme Tractor", "ACME tractor"))],
-                                  "page_no int, html string")
+    branch = CARDS.replace("Acme Tractor - Lansing", "ACME tractor - Saginaw").replace("Lansing, MI 48910", "Saginaw, MI 48601")
+    unnamed = CARDS.replace("Acme Tractor - Lansing, MI", " ")
+    no_city = CARDS.replace("Acme", "Bolt").replace("Lansing, MI 48910", "MI 48910")
+    pages = spark.createDataFrame([(1, CARDS), (2, branch), (3, unnamed), (4, no_city)], "page_no int, html string")
     dealers = FL.dealer_cards(pages)
     # John Smith (bare person name, short address) is excluded; the page-2
-    # copy of Acme collapses onto the first by normalised name
+    # branch of Acme collapses onto the first by normalised name; cards
+    # without a name or a city are dropped
     assert rows(dealers, "company_key", "company", "city", "state", "zip", "phone") == [
-        ("acme tractor lansing mi", "Acme Tractor - Lansing, MI", "Lansing", "MI", "48910", "5551234")]
+        ("acme tractor", "Acme Tractor", "Lansing", "MI", "48910", "5551234")]
     hits = spark.createDataFrame([
-        ("acme tractor lansing mi", 1, 0, "https://www.yelp.com/biz/acme"),
-        ("acme tractor lansing mi", 2, 0, "https://shop.acmetractor.com/"),
-        ("acme tractor lansing mi", 1, 1, "https://maps.apple.com/x")], "company_key string, tier int, rank int, href string")
+        ("acme tractor", 1, 0, "https://www.yelp.com/biz/acme"),
+        ("acme tractor", 2, 0, "https://shop.acmetractor.com/"),
+        ("acme tractor", 1, 1, "https://maps.apple.com/x")], "company_key string, tier int, rank int, href string")
     withsite = FL.dealer_domains(dealers, hits)
     assert rows(withsite, "website", "found_tier") == [("acmetractor.com", 2)]
     contacts = spark.createDataFrame([
@@ -115,6 +127,9 @@ def test_p5_p6_p7_dealers(spark):
     out, cov = FL.dealer_owners(withsite, contacts)
     assert rows(out, "owner_email") == [("own@acmetractor.com",)]  # owner (rank 0), then higher confidence
     assert cov.first()["pct_owner_email"] == 100.0
+    # the best contact has no e-mail: nothing, not the second best
+    out, _ = FL.dealer_owners(withsite, contacts.withColumn("value", F.when(F.col("position") != "Owner", F.col("value"))))
+    assert rows(out, "owner_name", "owner_email") == [(None, None)]
 
 
 def test_p8_brand_bridge(spark):
