@@ -115,12 +115,14 @@ def drop_blocked(df, domain: str, blocklist, mode: str = "suffix", entry: str =
     suffixes and hash-joined to the list (never a nested-loop join on
     ``contains``), and the blocked domains are anti-joined back, so the
     explode grows with distinct domains, not rows. A hot domain is split by
-    AQE's skew handling of the anti-join.
+    the salted anti-join. Rows without a domain stay.
     """
+    from leadsmith.operators.lookup import DEFAULT_SALT, salted_join
     bl = blocklist.select(F.lower(F.col(entry)).alias("_b")).distinct()
     if mode == "exact":
-        return df.join(bl, F.lower(F.col(domain)) == bl["_b"], "left_anti")
+        keyed = df.withColumn("_b", F.lower(F.col(domain)))
+        return salted_join(keyed, bl, "_b", "left_anti", DEFAULT_SALT, salt_from=df.columns).select(*df.columns)
     doms = df.select(F.col(domain).alias("_d")).distinct()
     ex = doms.select("_d", F.explode(host_suffixes("_d")).alias("_b"))
-    blocked = ex.join(bl, "_b").select("_d").distinct()
-    return df.join(blocked, F.col(domain) == blocked["_d"], "left_anti")
+    blocked = ex.join(bl, "_b").select(F.col("_d").alias(domain)).distinct()
+    return salted_join(df, blocked, domain, "left_anti", DEFAULT_SALT).select(*df.columns)

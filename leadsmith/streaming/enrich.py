@@ -9,8 +9,7 @@ T2 replaces the in-process request throttle: per caller, a window of
 ``window_sec`` seconds anchored at the first call admits ``cap`` calls; the
 next call waits for the window end, which anchors the next window. The
 recurrence is sequential per caller, so it is kept in Spark state
-(``applyInPandasWithState``); each micro-batch is bounded by
-``maxFilesPerTrigger``.
+(``applyInPandasWithState``).
 """
 
 from __future__ import annotations
@@ -96,12 +95,14 @@ def event_quota(events: DataFrame, caller: str, cap: int = 50, window_sec: float
 
 def run_quota_stream(spark: SparkSession, source: str, schema, caller: str, out: str, checkpoint: str,
                      cap: int = 50, window_sec: float = 60.0, glob: str | None = None,
-                     max_files: int | None = 1000):
+                     max_files: int | None = None):
     """T2 end to end: file stream -> per-caller quota state -> parquet.
 
-    The state function orders one caller's rows of one micro-batch in
-    memory, so ``max_files`` bounds every micro-batch (and with it the
-    largest group a task holds); state carries over between batches."""
+    By default one run takes all new files as one micro-batch, so its result
+    does not depend on how the events are spread over files. ``max_files``
+    splits a run; events are then admitted in order of arrival, so give it
+    only where files land in order of time. State carries over between
+    batches and runs."""
     reader = spark.readStream.schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
