@@ -365,3 +365,38 @@ def p06_dealer_domains(spark, sf):
                     F.col("url").alias("href"))
     dealers = hits.select("company_key").distinct()
     return FL.dealer_domains(dealers, hits, FL.DealerConfig(skip_domains=("example.net",)))
+
+
+_P7_DEALER = ("c_custkey AS dealer_id, concat('nation-', CAST(c_nationkey AS VARCHAR), '.example.com') AS website, "
+              "CASE WHEN c_mktsegment = 'BUILDING' THEN 'Known Owner' ELSE '' END AS owner_name, "
+              "CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN concat('o', CAST(c_custkey AS VARCHAR), '@x.example.com') "
+              "ELSE '' END AS owner_email")
+_P7_CONTACT = ("concat('nation-', CAST(o_custkey % 25 AS VARCHAR), '.example.com') AS domain, o_orderkey AS pos, "
+               "o_orderpriority AS first_name, CASE WHEN o_orderstatus = 'F' THEN 'Co-Owner' WHEN o_orderstatus = 'P' THEN 'Principal' END "
+               "AS position, CASE WHEN o_orderkey % 3 = 0 THEN ' ' ELSE concat('c', CAST(o_orderkey AS VARCHAR), '@d.example.com') END "
+               "AS value, CASE WHEN o_orderkey % 5 > 0 THEN CAST(o_orderkey % 97 AS INTEGER) END AS confidence")
+
+
+def _shared_columns(df, columns: str):
+    """The column list that the SQL twin selects."""
+    return df.sparkSession.sql(f"SELECT {columns.replace('AS VARCHAR', 'AS STRING')} FROM {{df}}", df=df)
+
+
+@register("p07_dealer_owners", f"""
+WITH d AS (SELECT {_P7_DEALER} FROM customer),
+c AS (SELECT {_P7_CONTACT} FROM orders),
+r AS (SELECT *, {Q.keyword_rank('position', FL.DealerConfig().owner_titles, len(FL.DealerConfig().owner_titles))} AS title_rank FROM c),
+b AS (SELECT domain, first_name, value FROM r
+      QUALIFY row_number() OVER (PARTITION BY domain ORDER BY title_rank, coalesce(confidence, 0) DESC, pos) = 1)
+SELECT d.dealer_id, d.website,
+       CASE WHEN d.owner_name = '' AND d.owner_email = '' THEN b.first_name ELSE d.owner_name END AS owner_name,
+       CASE WHEN d.owner_name = '' AND d.owner_email = '' THEN b.value ELSE d.owner_email END AS owner_email
+FROM d LEFT JOIN b ON d.website = b.domain AND trim(b.value) <> ''""")
+def p07_dealer_owners(spark, sf):
+    """Dealers without an owner or e-mail take the best contact of their
+    site by (title rank, -confidence, position); where that contact has no
+    e-mail they take nothing. The sites sit on one domain per nation."""
+    dealers = _shared_columns(table(spark, sf, "customer"), _P7_DEALER)
+    contacts = _shared_columns(table(spark, sf, "orders"), _P7_CONTACT).withColumn("last_name", F.lit(None).cast("string"))
+    out, _coverage = FL.dealer_owners(dealers, contacts)
+    return out.select("dealer_id", "website", "owner_name", "owner_email")
