@@ -73,7 +73,7 @@ def _forest(mask: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> tuple[np.nd
     return start[ok], to[ok]
 
 
-def _same_length(reps: DataFrame, dim: int, cosine: float, wire: str) -> DataFrame:
+def _same_length(reps: DataFrame, dim: int, cosine: float, wire: str, size: int) -> DataFrame:
     """(id, links, a, b): counts of links of ``reps`` (id, n, v) and forest edges
     (a, b). ``wire`` is the type in which components travel without loss."""
     spark = reps.sparkSession
@@ -99,27 +99,39 @@ def _same_length(reps: DataFrame, dim: int, cosine: float, wire: str) -> DataFra
         for b in batches:
             t = pa.Table.from_batches([b])
             held = pa.concat_tables([held, t]) if held is not None else t
-            while held.num_rows >= BLOCK:
-                yield block(held.slice(0, BLOCK), seq)
-                held, seq = held.slice(BLOCK), seq + 1
+            while held.num_rows >= size:
+                yield piece(held.slice(0, size), seq)
+                held, seq = held.slice(size), seq + 1
         if held is not None and held.num_rows:
-            yield block(held, seq)
+            yield piece(held, seq)
 
-    def block(t, seq):
+    def piece(t, seq):
         t = t.combine_chunks()
         p = _matrix(t["p"].chunk(0))
         return pa.RecordBatch.from_pydict({
             "part": [t["part"][0].as_py()], "seq": [seq], "ids": [t["id"].to_pylist()], "ns": [t["n"].to_pylist()],
             "vs": [_matrix(t["v"].chunk(0)).astype(wire).tobytes()], "lo": [p.min(0).tolist()], "hi": [p.max(0).tolist()]}, schema=_BLOCK_PA)
 
-    blocks = checkpointed(ordered.mapInArrow(cut, "part int, seq int, ids array<bigint>, ns array<bigint>, vs binary, lo array<double>, hi array<double>"))
-    # blocks are numbered along the order: parts in turn, from one offset for each part
-    sizes = {r["part"]: r["n"] for r in blocks.groupBy("part").agg(F.count("*").alias("n")).toLocalIterator()}
-    offset, at = [], 0
+    pieces = checkpointed(ordered.mapInArrow(cut, _BLOCK))
+    # rows before each part, one number a part: a piece's place in the whole order
+    sizes = {r["part"]: r["n"] for r in pieces.groupBy("part").agg(F.sum(F.size("ids")).alias("n")).toLocalIterator()}
+    offset, rows = [], 0
     for p in range(parts):
-        offset.append(at)
-        at += sizes.get(p, 0)
-    blocks = blocks.withColumn("no", F.element_at(F.array(*map(F.lit, offset)), F.col("part") + 1) + F.col("seq"))
+        offset.append((p, rows))
+        rows += sizes.get(p, 0)
+    # pieces that start in the same ``size`` rows of the order are one block, of fewer than
+    # 2 * ``size`` vectors, so the number of blocks follows the vectors, not the partitions
+    offsets = F.broadcast(spark.createDataFrame(offset, "part int, before bigint"))
+    numbered = pieces.join(offsets, "part").withColumn("no", F.floor((F.col("before") + F.col("seq") * F.lit(size)) / size).cast("int"))
+
+    def merge(key, t):
+        t = t.sort_by([("part", "ascending"), ("seq", "ascending")]).to_pydict()
+        return pa.Table.from_pydict({
+            "no": [key[0].as_py()], "ids": [sum(t["ids"], [])], "ns": [sum(t["ns"], [])], "vs": [b"".join(t["vs"])],
+            "lo": [np.min(t["lo"], axis=0).tolist()], "hi": [np.max(t["hi"], axis=0).tolist()]}, schema=_MERGED_PA)
+
+    blocks = checkpointed(numbered.groupBy("no").applyInArrow(merge, "no int, ids array<bigint>, ns array<bigint>, vs binary, lo array<double>, hi array<double>"))
+    at = -(-rows // size)
 
     boxes = [checkpointed(blocks.select("no", "lo", "hi"))]
     while FAN ** (len(boxes) - 1) < at:
@@ -167,11 +179,13 @@ def _same_length(reps: DataFrame, dim: int, cosine: float, wire: str) -> DataFra
     return both.mapInArrow(compare, "id bigint, links bigint, a bigint, b bigint")
 
 
-_BLOCK_PA = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("ids", pa.list_(pa.int64())), ("ns", pa.list_(pa.int64())), ("vs", pa.binary()),
-                       ("lo", pa.list_(pa.float64())), ("hi", pa.list_(pa.float64()))])
+_BLOCK = "part int, seq int, ids array<bigint>, ns array<bigint>, vs binary, lo array<double>, hi array<double>"
+_MERGED_PA = pa.schema([("no", pa.int32()), ("ids", pa.list_(pa.int64())), ("ns", pa.list_(pa.int64())), ("vs", pa.binary()),
+                        ("lo", pa.list_(pa.float64())), ("hi", pa.list_(pa.float64()))])
+_BLOCK_PA = pa.schema([("part", pa.int32()), ("seq", pa.int32()), *list(_MERGED_PA)[1:]])
 
 
-def near_duplicates(vecs: DataFrame, cosine: float = 0.95, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+def near_duplicates(vecs: DataFrame, cosine: float = 0.95, id_col: str = "vec_id", vec_col: str = "embedding", block: int = BLOCK) -> DataFrame:
     """(vec_id, n_links, component_id, kept), one row per input row.
 
     Vectors that are null, empty or zero, or hold null or non-finite
@@ -179,6 +193,7 @@ def near_duplicates(vecs: DataFrame, cosine: float = 0.95, id_col: str = "vec_id
     each other. Equal rows (id and vector) count as one vector; equal
     vectors of different ids link. A null id links with nothing, its
     component is null and it is not kept. Other columns are ignored.
+    ``block`` vectors make a block, on average.
     """
     v = F.col(vec_col).cast("array<double>")
     src = vecs.select(F.col(id_col).cast("bigint").alias("id"), v.alias("v"))
@@ -193,7 +208,7 @@ def near_duplicates(vecs: DataFrame, cosine: float = 0.95, id_col: str = "vec_id
     wire = "f4" if vecs.schema[vec_col].dataType.elementType.typeName() == "float" else "f8"
     found = None
     for r in groups.select("dim").distinct().orderBy("dim").toLocalIterator():
-        one = _same_length(reps.where(F.col("dim") == r["dim"]).select("id", "n", "v"), r["dim"], cosine, wire)
+        one = _same_length(reps.where(F.col("dim") == r["dim"]).select("id", "n", "v"), r["dim"], cosine, wire, block)
         one = checkpointed(one.withColumn("dim", F.lit(r["dim"])))
         found = one if found is None else found.unionByName(one)
     if found is None:

@@ -158,7 +158,8 @@ def test_decontamination_against_windows(spark, mixed_rows):
     assert sorted((str(r["doc_id"]), *(r[c] for c in cols)) for r in got) == sorted(want)
 
 
-def test_embedding_dedup_against_all_pairs(spark):
+@pytest.mark.parametrize("block", [2048, 7])
+def test_embedding_dedup_against_all_pairs(spark, block):
     rng = random.Random(2)
     base = [[rng.gauss(0, 1) for _ in range(8)] for _ in range(30)]
     rows = [(i, v) for i, v in enumerate(base)]
@@ -169,7 +170,7 @@ def test_embedding_dedup_against_all_pairs(spark):
     rows += [(500, None), (501, []), (502, [0.0] * 8), (503, [1.0] * 7 + [float("nan")]), (504, [1.0] * 7 + [None]), (505, [1.0, 2.0]),
              (506, [2.0, 4.0]), (None, base[0]), (507, [float("inf")] + [1.0] * 7)]
     v = spark.createDataFrame([(i, x, i) for i, x in rows], "vec_id bigint, embedding array<double>, n int")
-    got = {r["vec_id"]: r for r in embedding_dedup.near_duplicates(v).collect()}
+    got = {r["vec_id"]: r for r in embedding_dedup.near_duplicates(v, block=block).collect()}
     sound = {i: x for i, x in rows if i is not None and x and all(c is not None and math.isfinite(c) for c in x) and any(x)}
 
     def cos(x, y):
