@@ -400,3 +400,77 @@ def p07_dealer_owners(spark, sf):
     contacts = _shared_columns(table(spark, sf, "orders"), _P7_CONTACT).withColumn("last_name", F.lit(None).cast("string"))
     out, _coverage = FL.dealer_owners(dealers, contacts)
     return out.select("dealer_id", "website", "owner_name", "owner_email")
+
+
+# Customers as listing cards, 25 to a page: branches that collapse, a person, blank and
+# short addresses, cities without a comma or too short, cards without a telephone link.
+_P5_CARD = ("CAST(c_custkey // 25 AS INTEGER) AS page_no, c_custkey, "
+            "CASE WHEN c_custkey % 17 = 0 THEN 'John Smith' WHEN c_custkey % 19 = 0 THEN ' ' "
+            "ELSE concat('Yard ', CAST(c_custkey % 700 AS VARCHAR), CASE WHEN c_custkey % 2 = 0 THEN ' Tractor, Inc.' ELSE ' Tractor Co' END, "
+            "' - ', c_mktsegment) END AS name, "
+            "CASE WHEN c_custkey % 11 = 0 THEN '1234567' WHEN c_custkey % 13 = 0 THEN '12 A' "
+            "ELSE concat(CAST(c_custkey AS VARCHAR), ' Main Street') END AS address, "
+            "CASE c_nationkey WHEN 3 THEN 'Troy, MI 48084' WHEN 4 THEN 'Lansing' WHEN 5 THEN 'Lansing,' "
+            "ELSE concat('Lansing, OH 4', CAST(c_nationkey AS VARCHAR)) END AS city_line, "
+            "CASE WHEN c_mktsegment = 'BUILDING' THEN '' ELSE concat('555', CAST(c_custkey AS VARCHAR)) END AS tel")
+
+
+@register("p05_dealer_cards", f"""
+WITH k AS (SELECT {_P5_CARD} FROM customer),
+c AS (SELECT page_no, CAST(row_number() OVER (PARTITION BY page_no ORDER BY c_custkey) - 1 AS INTEGER) AS card_no,
+             trim(split_part(name, ' - ', 1)) AS company, address, tel AS phone,
+             CASE WHEN contains(city_line, ',') THEN trim(split_part(city_line, ',', 1)) ELSE '' END AS city,
+             trim(regexp_extract(city_line, ',(.*)$', 1)) AS rest FROM k),
+g AS (SELECT *, trim(regexp_replace(regexp_replace(regexp_replace(lower(company), '\\b(inc|llc|ltd|co|corp|company|equipment)\\b\\.?', '', 'g'),
+                    '[^a-z0-9\\s]', '', 'g'), '\\s+', ' ', 'g')) AS company_key FROM c
+      WHERE company <> '' AND company <> 'John Smith' AND NOT contains(lower(company), 'yard 7')
+        AND length(address) >= 6 AND NOT regexp_full_match(address, '[0-9]+') AND length(city) >= 6)
+SELECT company_key, page_no, card_no, company, address, city, coalesce(nullif(split_part(rest, ' ', 1), ''), 'MI') AS state,
+       split_part(rest, ' ', 2) AS zip, phone
+FROM g QUALIFY row_number() OVER (PARTITION BY company_key ORDER BY page_no, card_no) = 1""")
+def p05_dealer_cards(spark, sf):
+    """P5: customers rendered as directory cards, 25 to a page, read back by
+    the card parser (S10), cleaned, filtered and collapsed per company."""
+    cards = _shared_columns(table(spark, sf, "customer"), _P5_CARD.replace(" // ", " div "))
+    tel = F.when(F.col("tel") != "", F.concat(F.lit('<a href="tel:'), "tel", F.lit('">call</a>'))).otherwise("")
+    card = F.concat(F.lit('<div class="card dealer-directory-listing"><a class="dealer-title-text" href="/d">'), "name",
+                    F.lit('</a><div class="dealer-data-text">'), "address", F.lit('</div><div class="dealer-data-text">'), "city_line",
+                    F.lit("</div>"), tel, F.lit("</div>"))
+    # a page holds 25 cards, so its list is bounded
+    pages = cards.groupBy("page_no").agg(F.array_sort(F.collect_list(F.struct("c_custkey", card.alias("card")))).alias("cards"))
+    pages = pages.select("page_no", F.concat(F.lit("<html><body>"), F.array_join("cards.card", "\n"), F.lit("</body></html>")).alias("html"))
+    out = FL.dealer_cards(pages, FL.DealerConfig(excluded=("yard 7",)))
+    return out.select("company_key", "page_no", "card_no", "company", "address", "city", "state", "zip", "phone")
+
+
+# Orders as search hits, one result page for every 40 order keys.
+_P10_LINK = ("o_orderkey // 40 AS page_no, o_orderkey, "
+             "concat('https://www.', CASE WHEN o_orderpriority = '5-LOW' THEN concat('yelp.com/biz/', CAST(o_orderkey AS VARCHAR)) "
+             "ELSE concat('shop', CAST(o_custkey AS VARCHAR), '.example.com/p') END) AS href, "
+             "concat('Shop ', CAST(o_custkey AS VARCHAR), CASE WHEN o_orderstatus = 'F' THEN ' - Home' ELSE ' CNC' END) AS title")
+_P10_CONTACT = ("concat('shop', CAST(c_custkey // 2 * 2 AS VARCHAR), '.example.com') AS domain, c_custkey AS pos, c_name AS first_name, "
+                "CASE c_mktsegment WHEN 'BUILDING' THEN 'Plant Manager' WHEN 'MACHINERY' THEN 'VP Operations' WHEN 'HOUSEHOLD' THEN 'Clerk' END "
+                "AS position, concat('c', CAST(c_custkey AS VARCHAR), '@s.example.com') AS value")
+
+
+@register("p10_machine_shops", f"""
+WITH l AS (SELECT {_P10_LINK} FROM orders),
+p AS (SELECT *, row_number() OVER (PARTITION BY page_no ORDER BY o_orderkey) AS pos,
+             split_part(regexp_replace(href, '^https://www\\.', ''), '/', 1) AS domain FROM l),
+s AS (SELECT domain, split_part(title, ' - ', 1) AS company_name FROM p WHERE NOT {Q.contains_any('domain', FL.ShopConfig().blocklist)}
+      QUALIFY row_number() OVER (PARTITION BY domain ORDER BY page_no, pos) = 1),
+c AS (SELECT *, {Q.contains_any('position', FL.ShopConfig().positions)} AS hit FROM (SELECT {_P10_CONTACT} FROM customer)),
+b AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY domain ORDER BY hit DESC, pos) = 1)
+SELECT s.company_name, s.domain AS website, b.first_name AS contact_name, b.position AS contact_title, b.value AS contact_email,
+       CASE WHEN b.domain IS NULL THEN 'not_found' WHEN b.hit THEN 'contacts:matched' ELSE 'contacts:fallback' END AS email_source
+FROM s LEFT JOIN b USING (domain)""")
+def p10_machine_shops(spark, sf):
+    """P10: orders rendered as search-result pages of at most 40 links (S9),
+    loose domain, blocklist, keep-first per domain, contact by position."""
+    links = _shared_columns(table(spark, sf, "orders"), _P10_LINK.replace(" // ", " div "))
+    link = F.concat(F.lit('<a rel="noopener noreferrer" class="result__a" href="'), "href", F.lit('">'), "title", F.lit("</a>"))
+    # a page spans 40 order keys, so its list is bounded
+    pages = links.groupBy("page_no").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", link.alias("link")))).alias("links"))
+    pages = pages.select("page_no", F.array_join("links.link", "<br>").alias("html"))
+    contacts = _shared_columns(table(spark, sf, "customer"), _P10_CONTACT.replace(" // ", " div ")).withColumn("last_name", F.lit(""))
+    return FL.machine_shops(pages, contacts)
