@@ -84,6 +84,42 @@ def registered_domain(url, suffixes: Sequence[str] = PUBLIC_SUFFIXES) -> Column:
     return F.coalesce(F.when((F.size(known) > 0) & (best["i"] > 1), out), F.lit(""))
 
 
+def with_registered_domain(df, url: str, rules, rule: str = "rule", out: str = "domain", known: str = "suffix_known"):
+    """N4 with a whole public-suffix table: ``df`` plus ``out`` and ``known``.
+
+    ``rules`` holds one rule a row: ``co.uk``, ``*.ck`` (any label before it)
+    or ``!www.ck`` (an exception, which wins). The longest matching rule
+    decides; a host that none matches takes its last label as the suffix and
+    ``known`` is false. URLs without a scheme are read too. NULL, blank and
+    numeric hosts, and hosts that are themselves a suffix, give ''.
+
+    The table is matched by hash joins against the suffixes of *distinct*
+    hosts; a hot host is split by the salted join back.
+    """
+    from leadsmith.operators.lookup import DEFAULT_SALT, salted_join
+    u = strip(_c(url))
+    at = F.coalesce(F.nullif(host(u), F.lit("")), host(F.concat(F.lit("//"), u)), F.lit(""))
+    keyed = df.withColumn("_h", at)
+    hosts = keyed.select("_h").distinct().where((F.col("_h") != "") & ~F.col("_h").rlike(r"^[0-9.]+$"))
+    tails = hosts.select("_h", host_suffixes("_h").alias("_t"))
+    # rules that would match the suffix at place i, with the place their public suffix starts at
+    i = F.col("i")
+    tail = F.col("_t")[i]
+    places = tails.select("_h", "_t", F.explode(F.sequence(F.lit(0), F.size("_t") - 1)).alias("i"))
+    asked = places.select("_h", F.explode(F.array(
+        F.struct(tail.alias("_r"), i.alias("start"), F.lit(False).alias("exception")),
+        F.struct(F.concat(F.lit("*."), F.get(F.col("_t"), i + 1)).alias("_r"), i.alias("start"), F.lit(False).alias("exception")),
+        F.struct(F.concat(F.lit("!"), tail).alias("_r"), (i + 1).alias("start"), F.lit(True).alias("exception")))).alias("q")).select("_h", "q.*")
+    table = rules.select(F.lower(strip(F.col(rule))).alias("_r")).distinct()
+    hit = asked.join(table, "_r").groupBy("_h").agg(
+        F.coalesce(F.min(F.when(F.col("exception"), F.col("start"))), F.min("start")).alias("start"))
+    found = tails.join(hit, "_h", "left")
+    start = F.coalesce("start", F.size("_t") - 1)
+    found = found.select("_h", F.when(start > 0, F.get(F.col("_t"), start - 1)).otherwise("").alias(out), F.col("start").isNotNull().alias(known))
+    j = salted_join(keyed, found, "_h", "left", DEFAULT_SALT)
+    return j.select(*df.columns, F.coalesce(out, F.lit("")).alias(out), F.coalesce(known, F.lit(False)).alias(known))
+
+
 def blocked_substring(domain, blocklist: Sequence[str]) -> Column:
     """domain contains any listed text (case-insensitive)."""
     return contains_any(domain, blocklist)

@@ -265,12 +265,14 @@ def dealer_cards(pages: DataFrame, cfg: DealerConfig = DealerConfig()) -> DataFr
 
 
 def dealer_domains(dealers: DataFrame, hits: DataFrame, cfg: DealerConfig = DealerConfig(),
-                   done: DataFrame | None = None) -> DataFrame:
+                   done: DataFrame | None = None, suffixes: DataFrame | None = None) -> DataFrame:
     """Hits (company_key, tier, rank, href) from the tiered queries
     -> registered domain (N4) -> skip set (F5) -> first valid over (tier,
-    rank) (J6). ``done`` (company_key) resumes a partial run (K5)."""
+    rank) (J6). ``done`` (company_key) resumes a partial run (K5).
+    ``suffixes`` (rule) is a public-suffix table; without it the fixed list decides."""
     todo = dealers if done is None else dealers.join(done.select("company_key"), "company_key", "left_anti")
-    h = hits.withColumn("domain", D.registered_domain("href"))
+    h = (hits.withColumn("domain", D.registered_domain("href")) if suffixes is None
+         else D.with_registered_domain(hits, "href", suffixes))
     ok = (F.col("domain") != "") & ~D.blocked_exact("domain", cfg.skip_domains)
     best = C.first_valid(h, "company_key", ["tier", "rank"], ok, ["domain", "tier"])
     return todo.join(best.select("company_key", F.col("domain").alias("website"),

@@ -54,6 +54,35 @@ def n04_registered_domain(spark, sf):
                     D.domain_cut("url").alias("cut"))
 
 
+@register("n04_suffix_table", f"""
+WITH p AS (SELECT page_id, url, {Q.host('url')} AS host FROM pages),
+l AS (SELECT DISTINCT host, string_split(host, '.') AS l FROM p WHERE host <> ''),
+r AS (SELECT 'com' AS rule FROM l WHERE l[-1] = 'com'
+      UNION SELECT '*.' || array_to_string(l[-2:], '.') FROM l WHERE l[-1] = 'net'
+      UNION SELECT '!' || array_to_string(l[-3:], '.') FROM l WHERE l[-1] = 'net' AND l[1] = 'm'),
+t AS (SELECT host, len(l) AS n, unnest(range(1, len(l) + 1)) AS i, l FROM l),
+m AS (SELECT host, coalesce(min(i + 1) FILTER (WHERE starts_with(rule, '!')), min(i)) AS start FROM t JOIN r
+      ON rule IN (array_to_string(l[i:], '.'), '!' || array_to_string(l[i:], '.'))
+         OR (i < n AND rule = '*.' || array_to_string(l[i + 1:], '.')) GROUP BY host)
+SELECT page_id, CASE WHEN coalesce(start, len(l)) > 1 THEN array_to_string(l[coalesce(start, len(l)) - 1:], '.') ELSE '' END AS domain,
+       start IS NOT NULL AS suffix_known
+FROM p LEFT JOIN l USING (host) LEFT JOIN m USING (host)""")
+def n04_suffix_table(spark, sf):
+    """N4 against a suffix table with plain, wildcard and exception rules,
+    here made of the hosts themselves; hosts under ``org`` match no rule."""
+    p = table(spark, sf, "pages").select("page_id", "url")
+    label = F.split(D.host("url"), r"\.")
+
+    def last(n):
+        return F.array_join(F.slice("l", F.greatest(F.size("l") - n + 1, F.lit(1)), n), ".")
+
+    end = F.element_at("l", -1)
+    rules = p.select(label.alias("l")).select(F.explode(F.array(
+        F.when(end == "com", F.lit("com")), F.when(end == "net", F.concat(F.lit("*."), last(2))),
+        F.when((end == "net") & (F.col("l")[0] == "m"), F.concat(F.lit("!"), last(3))))).alias("rule")).where("rule is not null").distinct()
+    return D.with_registered_domain(p, "url", rules).select("page_id", "domain", "suffix_known")
+
+
 NUM_RE = X.NUMERIC_RE
 
 

@@ -56,6 +56,20 @@ def test_registered_domain(spark):
     assert one(spark, D.domain_cut, ["https://www.dealer.com/a/b", "dealer.com"]) == ["dealer.com", "dealer.com"]
 
 
+def test_registered_domain_by_suffix_table(spark):
+    rules = spark.createDataFrame([(r,) for r in ("com", "co.uk", "uk", "*.ck", "!www.ck", " RU ", "com", None)], "rule string")
+    urls = {"https://a.b.example.co.uk/x": ("example.co.uk", True), "firm.com": ("firm.com", True), "www.firm.ru/about": ("firm.ru", True),
+            "http://a.shop.x.ck": ("shop.x.ck", True), "http://x.ck/": ("", True), "http://m.www.ck/": ("www.ck", True),
+            "https://a.firm.tech/": ("firm.tech", False), "http://10.0.0.1:80/": ("", False), "": ("", False), None: ("", False),
+            "http://co.uk": ("", True), "localhost": ("", False)}
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "id int, url string")
+    got = D.with_registered_domain(df, "url", rules)
+    assert got.columns == ["id", "url", "domain", "suffix_known"]
+    assert {r["url"]: (r["domain"], r["suffix_known"]) for r in got.collect()} == urls
+    empty = rules.where("false")
+    assert {r["domain"] for r in D.with_registered_domain(df.where("id < 2"), "url", empty).collect()} == {"co.uk", "firm.com"}
+
+
 def test_company_key(spark):
     got = one(spark, X.company_key, ["Acme Equipment Co., Inc.", "ACME  equipment", "Corpus Ltd.", "Café Co"])
     assert got == ["acme", "acme", "corpus", "caf"]
