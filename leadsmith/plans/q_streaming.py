@@ -67,11 +67,12 @@ SELECT caller, event_id, strftime(make_timestamp(now), '{_FMT}') AS admitted_at,
 FROM r""")
 def t02_event_quota(spark, sf):
     """Admission time of every event under a 50-per-60-s window anchored
-    at each caller's first call; state per caller in the state store."""
+    at each caller's first call; state per caller in the state store, where
+    events wait for the watermark until the stream is closed."""
     ev = table(spark, sf, "events")
     base = _scratch(spark, "t02")
     ST.run_quota_stream(spark, sf, ev.schema, "user_id", f"{base}/out", f"{base}/ckpt", cap=50, window_sec=60.0,
-                        glob="events.parquet")
+                        glob="events.parquet", close=True)
     out = spark.read.parquet(f"{base}/out")
     fmt = "yyyy-MM-dd HH:mm:ss.SSSSSS"
     return out.select("caller", "event_id", F.date_format("admitted_at", fmt).alias("admitted_at"),

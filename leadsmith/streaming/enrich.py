@@ -52,22 +52,27 @@ def incremental_enrichment(spark: SparkSession, source: str, schema, lookup: Dat
 # recurrence only compares and adds durations.
 QUOTA_OUT = ("caller long, event_id long, ts timestamp_ntz, admitted_at timestamp_ntz, "
              "window_start timestamp_ntz, deferred boolean")
-QUOTA_STATE = "window_start long, n long, last long"
+QUOTA_STATE = "window_start long, n long, last long, pending_ts array<long>, pending_id array<long>"
 
+# The time of the row that closes a stream; events carry earlier ones.
+CLOSING = "9999-12-31 00:00:00"
 
-def _quota(cap: int, window_sec: float):
+
+def _quota(cap: int, window_sec: float, buffered: bool):
     width = int(round(window_sec * 1_000_000))  # all times in microseconds
 
     def fn(key, batches: Iterator[pd.DataFrame], state: GroupState):
-        pdf = pd.concat(list(batches), ignore_index=True)
-        if state.exists:
-            start, n, last = state.get
-        else:
-            start, n, last = None, 0, None
-        pdf = pdf.sort_values(["ts", "event_id"], kind="stable")
-        micros = (pdf["ts"].astype("int64") // 1000).tolist()
+        start, n, last, ts, ids = state.get if state.exists else (None, 0, None, [], [])
+        ts, ids = list(ts), list(ids)
+        for pdf in batches:  # a timed-out caller has none
+            ts += (pdf["ts"].astype("datetime64[us]").astype("int64")).tolist()
+            ids += pdf["event_id"].tolist()
+        calls = sorted(zip(ts, ids))
+        # no event up to the watermark can come any more; later ones wait
+        upto = state.getCurrentWatermarkMs() * 1000 if buffered else None
+        done = len(calls) if upto is None else sum(t <= upto for t, _ in calls)
         rows = []
-        for eid, ts_val, t in zip(pdf["event_id"].tolist(), pdf["ts"], micros):
+        for t, eid in calls[:done]:
             now = t if last is None else max(t, last)   # calls are sequential
             if start is None or now - start >= width:
                 start, n = now, 0                       # window expired: restart here
@@ -77,39 +82,72 @@ def _quota(cap: int, window_sec: float):
                 start, n, deferred = now, 0, True
             n += 1
             last = now
-            rows.append((key[0], eid, ts_val, pd.Timestamp(now, unit="us"), pd.Timestamp(start, unit="us"),
-                         deferred))
-        state.update((start, n, last))
+            rows.append((key[0], eid, pd.Timestamp(t, unit="us"), pd.Timestamp(now, unit="us"),
+                         pd.Timestamp(start, unit="us"), deferred))
+        wait = calls[done:]
+        state.update((start, n, last, [t for t, _ in wait], [i for _, i in wait]))
+        if wait:
+            state.setTimeoutTimestamp(-(-wait[0][0] // 1000))
         yield pd.DataFrame(rows, columns=["caller", "event_id", "ts", "admitted_at", "window_start", "deferred"])
     return fn
 
 
-def event_quota(events: DataFrame, caller: str, cap: int = 50, window_sec: float = 60.0) -> DataFrame:
+def event_quota(events: DataFrame, caller: str, cap: int = 50, window_sec: float = 60.0,
+                delay: str | None = None) -> DataFrame:
     """Admission time per event under a fixed window anchored at the
-    first call (works on a streaming or a static DataFrame)."""
+    first call. Events of a caller are admitted in order of (time, id).
+
+    Without ``delay`` (also for a static DataFrame) that is the order within
+    a micro-batch. With it, a stream's events wait in state until the
+    watermark, ``delay`` behind the latest event, has passed them: the result
+    then does not depend on how events came in batches, as long as none is
+    later than ``delay``. Events without a time are no calls."""
     ev = events.select(F.col(caller).cast("long").alias("caller"), F.col("event_id").cast("long"),
                        F.col("ts").cast("timestamp_ntz").alias("ts"))
+    # a watermark needs an instant: the event clock read as UTC, whatever the session's time zone
+    ev = ev.withColumn("at", F.expr("TIMESTAMP '1970-01-01 00:00:00Z' + (ts - TIMESTAMP_NTZ '1970-01-01 00:00:00')"))
+    if delay is not None:
+        ev = ev.withWatermark("at", delay)
+    # a test of the event time stays above the watermark, which the closing row must reach
+    ev = ev.where(F.col("at") < F.expr(f"TIMESTAMP '{CLOSING}Z'"))
+    timeout = GroupStateTimeout.NoTimeout if delay is None else GroupStateTimeout.EventTimeTimeout
     return ev.groupBy("caller").applyInPandasWithState(
-        _quota(cap, window_sec), QUOTA_OUT, QUOTA_STATE, "append", GroupStateTimeout.NoTimeout)
+        _quota(cap, window_sec, delay is not None), QUOTA_OUT, QUOTA_STATE, "append", timeout)
 
 
 def run_quota_stream(spark: SparkSession, source: str, schema, caller: str, out: str, checkpoint: str,
                      cap: int = 50, window_sec: float = 60.0, glob: str | None = None,
-                     max_files: int | None = None):
+                     max_files: int | None = None, delay: str = "1 hour", close: bool = False):
     """T2 end to end: file stream -> per-caller quota state -> parquet.
 
-    By default one run takes all new files as one micro-batch, so its result
-    does not depend on how the events are spread over files. ``max_files``
-    splits a run; events are then admitted in order of arrival, so give it
-    only where files land in order of time. State carries over between
-    batches and runs."""
+    Events are admitted in order of time whatever files or batches
+    (``max_files``) they came in, if none is later than ``delay``. State
+    carries over between batches and runs; the last ``delay`` of events waits
+    for the next run. ``close`` ends the stream: it admits all that wait, and
+    events that land afterwards are late."""
     reader = spark.readStream.schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    admitted = event_quota(reader.parquet(source), caller, cap, window_sec)
-    q = (admitted.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
-         .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
+    # the closing row lands beside the checkpoint, in a folder that is empty until then
+    end, end_schema = f"{checkpoint.rstrip('/')}-end", f"{caller} long, event_id long, ts timestamp_ntz"
+    spark.createDataFrame([], end_schema).write.mode("ignore").parquet(end)
+
+    def run():
+        events = reader.parquet(source).select(F.col(caller).cast("long").alias(caller), F.col("event_id").cast("long"),
+                                               F.col("ts").cast("timestamp_ntz").alias("ts"))
+        both = events.unionByName(spark.readStream.schema(end_schema).parquet(end))
+        admitted = event_quota(both, caller, cap, window_sec, delay)
+        q = (admitted.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+             .outputMode("append").trigger(availableNow=True).start())
+        q.awaitTermination()
+        return q
+
+    q = run()
+    if close:
+        closing = spark.range(1).select(F.lit(None).cast("long").alias(caller), F.lit(None).cast("long").alias("event_id"),
+                                        F.lit(CLOSING).cast("timestamp_ntz").alias("ts"))
+        closing.write.mode("append").parquet(end)
+        q = run()
     return q

@@ -48,7 +48,7 @@ def test_event_quota_matches_replay(spark):
     ev = spark.createDataFrame([(i, base + dt.timedelta(seconds=s), 7) for i, s in enumerate(secs)] +
                                [(100, base, 8)], "event_id long, ts timestamp, user_id long")
     ev.write.parquet(f"{d}/in")
-    ST.run_quota_stream(spark, f"{d}/in", ev.schema, "user_id", f"{d}/out", f"{d}/ckpt", cap=3, window_sec=60.0)
+    ST.run_quota_stream(spark, f"{d}/in", ev.schema, "user_id", f"{d}/out", f"{d}/ckpt", cap=3, window_sec=60.0, close=True)
     out = spark.read.parquet(f"{d}/out").where(F.col("caller") == 7).orderBy("event_id").collect()
     want = replay(secs, 3, 60)
     assert [(r["admitted_at"] - base).total_seconds() for r in out] == want
@@ -68,3 +68,36 @@ def test_incremental_enrichment_dedupes_across_batches(spark):
                               event_time="landed_at", dedupe_within="1 hour")
     got = rows(spark.read.parquet(f"{d}/out"), "company_id", "company", "email")
     assert got == [(1, "A", "a@x"), (2, "B", None)]
+
+
+def test_event_quota_does_not_depend_on_batches(spark):
+    d = tempfile.mkdtemp(dir="/tmp")
+    base = dt.datetime(2024, 1, 1)
+    secs = [0, 90, 30, 31, 60, 2, 400, 391, 5, 500]  # files land out of order of time
+    ev = [(i, base + dt.timedelta(seconds=s), 7 if i % 4 else 8) for i, s in enumerate(secs)] + [(50, None, 7)]
+    schema = "event_id long, ts timestamp_ntz, user_id long"
+    for i, e in enumerate(ev):
+        spark.createDataFrame([e], schema).coalesce(1).write.parquet(f"{d}/in/f={i}")
+    got = {}
+    for n in (1, 3, 1000):
+        ST.run_quota_stream(spark, f"{d}/in", schema, "user_id", f"{d}/out{n}", f"{d}/ckpt{n}", cap=2, window_sec=60.0, max_files=n, close=True)
+        got[n] = rows(spark.read.parquet(f"{d}/out{n}"), "caller", "event_id", "admitted_at", "window_start", "deferred")
+    assert got[1] == got[3] == got[1000]
+    for caller in (7, 8):
+        times = sorted((s, i) for i, s in enumerate(secs) if (7 if i % 4 else 8) == caller)
+        want = dict(zip((i for _, i in times), replay([s for s, _ in times], 2, 60)))
+        assert {r[1]: (r[2] - base).total_seconds() for r in got[1] if r[0] == caller} == want
+
+
+def test_event_quota_waits_for_the_watermark(spark):
+    d = tempfile.mkdtemp(dir="/tmp")
+    base = dt.datetime(2024, 1, 1)
+    schema = "event_id long, ts timestamp_ntz, user_id long"
+
+    def land(name, *events):
+        spark.createDataFrame([(i, base + dt.timedelta(seconds=s), 7) for i, s in events], schema).write.parquet(f"{d}/in/f={name}")
+        ST.run_quota_stream(spark, f"{d}/in", schema, "user_id", f"{d}/out", f"{d}/ckpt", cap=2, window_sec=60.0, delay="100 seconds")
+        return sorted(r["event_id"] for r in spark.read.schema("event_id long").parquet(f"{d}/out").collect())
+
+    assert land("a", (0, 0), (1, 150)) == [0]         # the watermark stands at 50 s
+    assert land("b", (2, 60), (3, 400)) == [0, 1, 2]  # event 2 takes its place before event 1
