@@ -201,3 +201,16 @@ def e03_on_error(spark, sf):
     fl = _first_lines(spark, sf).select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber")
     j = o.join(fl, "o_orderkey", "left")
     return L.on_error(j, F.col("l_linenumber").isNull(), "drop")
+
+
+@register("e03_on_error_default", f"""
+WITH fl AS ({FIRST_LINE_SQL})
+SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 OR l_linenumber IS NULL THEN -1 ELSE l_linenumber END AS l_linenumber
+FROM orders LEFT JOIN fl ON o_orderkey = l_orderkey""")
+def e03_on_error_default(spark, sf):
+    """Policy 'default' fills rows whose enrichment failed (no line, or
+    one key in seven, so some rows fail at any scale)."""
+    o = table(spark, sf, "orders").select("o_orderkey")
+    fl = _first_lines(spark, sf).select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber")
+    failed = F.col("l_linenumber").isNull() | (F.col("o_orderkey") % 7 == 0)
+    return L.on_error(o.join(fl, "o_orderkey", "left"), failed, "default", {"l_linenumber": F.lit(-1)})

@@ -139,6 +139,15 @@ def a14_manifest(spark, sf):
     return M.manifest(r, F.col("r_name").isNull())
 
 
+@register("a14_manifest_partial", """
+SELECT CASE WHEN count(*) = 0 THEN 'EMPTY' WHEN count(*) FILTER (WHERE c_acctbal < 0) = 0 THEN 'SUCCESS'
+            WHEN count(*) FILTER (WHERE c_acctbal < 0) < count(*) THEN 'PARTIAL' ELSE 'FAILED' END AS status,
+       count(*) AS n_processed, count(*) FILTER (WHERE c_acctbal < 0) AS n_failed FROM customer""")
+def a14_manifest_partial(spark, sf):
+    """A14 where some rows fail (customers in debt)."""
+    return M.manifest(table(spark, sf, "customer"), F.col("c_acctbal") < 0)
+
+
 @register("a15_total_contactable", """
 WITH u AS (SELECT DISTINCT o_custkey FROM orders WHERE contains(lower(o_orderpriority), 'urgent'))
 SELECT count(*) FILTER (WHERE c_acctbal > 0) AS n_primary,

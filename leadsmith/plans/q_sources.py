@@ -344,3 +344,56 @@ def u03_split_union(spark, sf):
     src = (F.when(F.col("c_acctbal") > 0, "registry").when(F.col("_e").isNotNull(), "enriched")
            .otherwise("not_found"))
     return j.select("c_custkey", src.alias("source"))
+
+
+@register("s05_whole_files", """
+SELECT item_id, md5(text || chr(10)) AS text_md5 FROM benchmark""")
+def s05_whole_files(spark, sf):
+    """Benchmark items landed as one text file each and read back whole
+    (the text writer ends a file with a line break)."""
+    path = _scratch(spark, "s05")
+    table(spark, sf, "benchmark").select("item_id", "text").write.partitionBy("item_id").text(path)
+    files = S.whole_documents(spark, f"{path}/*/*.txt")
+    return files.select(F.regexp_extract("path", "item_id=([0-9]+)", 1).cast("bigint").alias("item_id"), F.md5("text").alias("text_md5"))
+
+
+@register("s07_csv_inferred", """
+SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_nationkey % 5 > 1""")
+def s07_csv_inferred(spark, sf):
+    """Customers landed as CSV, some without a name and some with a blank
+    one, read back with inferred types; unnamed rows drop (C4)."""
+    path = _scratch(spark, "s07")
+    name = F.when(F.col("c_nationkey") % 5 > 1, F.col("c_name")).when(F.col("c_nationkey") % 5 == 1, F.lit("  "))
+    table(spark, sf, "customer").select("c_custkey", name.alias("c_name"), "c_acctbal").write.csv(path, header=True)
+    back = S.read_csv_inferred(spark, path, ["c_name"])
+    return back.select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_name", "c_acctbal")
+
+
+@register("s08_seed_list", """
+WITH s(ordinal, segment, label) AS (VALUES (0, 'BUILDING', 'first'), (1, 'MACHINERY', 'second'), (2, 'NO SUCH', 'third'))
+SELECT CAST(ordinal AS INTEGER) AS ordinal, label, count(c_custkey) AS n_customers
+FROM s LEFT JOIN customer ON c_mktsegment = segment GROUP BY ALL""")
+def s08_seed_list(spark, sf):
+    """The first three of a configured list, with their customers counted."""
+    seeds = S.seed_list(spark, [("BUILDING", "first"), ("MACHINERY", "second"), ("NO SUCH", "third"), ("AUTOMOBILE", "fourth")],
+                        "segment string, label string", head=3)
+    counts = table(spark, sf, "customer").groupBy(F.col("c_mktsegment").alias("segment")).agg(F.count("c_custkey").alias("n"))
+    return seeds.join(counts, "segment", "left").select("ordinal", "label", F.coalesce("n", F.lit(0)).alias("n_customers"))
+
+
+def _word_scorer(texts):
+    import pandas as pd
+    n = texts.fillna("").str.split().str.len()
+    return pd.DataFrame({"icp_score": (n % 101).astype("int32"), "booking_system": n.gt(100).map({True: "long", False: "short"}),
+                         "reasoning": n.astype(str) + " words"})
+
+
+@register("e05_scorer", """
+WITH n AS (SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '[^\\s\\x0b\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+')) AS n
+           FROM documents)
+SELECT doc_id, CAST(n % 101 AS INTEGER) AS icp_score, CASE WHEN n > 100 THEN 'long' ELSE 'short' END AS booking_system,
+       concat(CAST(n AS VARCHAR), ' words') AS reasoning FROM n""")
+def e05_scorer(spark, sf):
+    """E5: a scorer plugged in as an Arrow UDF (here: by number of words)."""
+    d = table(spark, sf, "documents")
+    return d.select("doc_id", DOC.score_with(_word_scorer, "text").alias("s")).select("doc_id", "s.*")
