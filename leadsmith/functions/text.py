@@ -189,9 +189,9 @@ def quarter_label(d) -> Column:
 
 
 def handle(x) -> Column:
-    """Strip and make sure there is exactly one leading '@'."""
+    """Strip and put one '@' before a handle without one; blank is NULL."""
     s = strip(_c(x))
-    return F.when(s.startswith("@"), s).otherwise(F.concat(F.lit("@"), s))
+    return F.when(s.startswith("@"), s).when(s != "", F.concat(F.lit("@"), s))
 
 
 def truncate(x, n: int) -> Column:

@@ -454,7 +454,8 @@ def creator_profiles(handles: DataFrame, channels: DataFrame, playlist: DataFram
                          X.to_long_opt("subscriberCount").alias("subscribers"),
                          X.to_long_opt("viewCount").alias("channel_views"))
     resolved = h.join(ch, "handle", "left")
-    good, bad = L.split_errors(resolved, F.when(F.col("channel_id").isNull(), F.lit("unknown handle")))
+    good, bad = L.split_errors(resolved, F.when(F.col("handle").isNull(), F.lit("blank handle"))
+                               .when(F.col("channel_id").isNull(), F.lit("unknown handle")))
     recent = RK.recent_n(playlist, "playlist_id", [F.col("published_at").desc(), F.col("video_id").desc()], cfg.recent)
     # videos the statistics service did not return are not sampled
     vids = recent.join(stats.withColumn("_returned", F.lit(True)), "video_id", "left") \

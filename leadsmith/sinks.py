@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leadsmith.functions.text import nonblank
 from leadsmith.sources.landed import select_existing
 
 
@@ -40,24 +41,6 @@ def nested_json(df: DataFrame, path: str, manifest: DataFrame | None = None) ->
         manifest.coalesce(1).write.mode("overwrite").json(f"{path}/manifest")
 
 
-PAYLOAD_MAX_ITEMS = 10_000
-
-
-def payload(df: DataFrame, item_cols: Sequence[str], status: str = "SUCCESS",
-            max_items: int = PAYLOAD_MAX_ITEMS) -> DataFrame:
-    """K3 for a small batch: ``{status, count, items:[...]}`` as one JSON string.
-
-    All items end up in one row, so the input is counted first and refused
-    above ``max_items``; larger results go through ``nested_json`` (one
-    object per row plus a manifest)."""
-    n = df.count()
-    if n > max_items:
-        raise ValueError(f"{n} items exceed the single-payload bound {max_items}; use nested_json")
-    items = F.collect_list(F.struct(*[F.col(c) for c in item_cols]))
-    return df.agg(F.to_json(F.struct(F.lit(status).alias("status"), F.count(F.lit(1)).alias("count"),
-                                     items.alias("items"))).alias("payload"))
-
-
 @dataclass(frozen=True)
 class RunMode:
     """K4: test/demo/full runs differ only in caps and output path."""
@@ -82,4 +65,4 @@ def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 def preview(df: DataFrame, columns: Sequence[str], present: str) -> DataFrame:
     """K6: rows where ``present`` is non-blank, a few columns."""
-    return df.where(F.coalesce(F.trim(F.col(present)), F.lit("")) != "").select(*columns)
+    return df.where(nonblank(present)).select(*columns)

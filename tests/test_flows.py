@@ -196,7 +196,7 @@ def test_p11_funded_startups(spark):
 
 
 def test_p12_creator_profiles(spark):
-    handles = spark.createDataFrame([("alpha",), ("@beta",), ("ghost",), ("gamma",)], "handle string")
+    handles = spark.createDataFrame([("alpha",), ("@beta",), ("ghost",), ("gamma",), (" ",)], "handle string")
     channels = spark.createDataFrame([("@alpha", "c1", "100", "1000", "u1"), ("beta", "c2", None, "5", "u2"),
                                       ("gamma", "c3", "7", "7", "u3")],
                                      "handle string, channel_id string, subscriberCount string, viewCount string, uploads string")
@@ -217,8 +217,8 @@ def test_p12_creator_profiles(spark):
     g = p["@gamma"]
     assert g["recent_totals"] == {"n_sampled": 2, "total_views": 30, "total_likes": 6, "total_comments": 1}
     assert g["mean_views"] == 15.0 and g["engagement_rate"] == round(7 / 30 * 100, 4)
-    assert rows(dead) == [("@ghost", "unknown handle")]
-    assert manifest.first().asDict() == {"status": "PARTIAL", "n_processed": 4, "n_failed": 1}
+    assert {tuple(r) for r in dead.collect()} == {(None, "blank handle"), ("@ghost", "unknown handle")}
+    assert manifest.first().asDict() == {"status": "PARTIAL", "n_processed": 5, "n_failed": 2}
 
 
 def test_p10_two_result_pages(spark):

@@ -95,7 +95,7 @@ def test_accession_zero_strip_dates(spark):
 
 
 def test_handle_truncate_clamp(spark):
-    assert one(spark, X.handle, [" @abc ", "abc"]) == ["@abc", "@abc"]
+    assert one(spark, X.handle, [" @abc ", "abc", " ", None]) == ["@abc", "@abc", None, None]
     assert one(spark, lambda c: X.truncate(c, 3), ["abcdef", "ab"]) == ["abc", "ab"]
     assert one(spark, lambda c: X.clamp(c, 1, 100), [0, 150, 55], "int") == [1, 100, 55]
 

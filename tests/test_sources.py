@@ -128,10 +128,6 @@ def test_pending_and_preview(spark):
     assert rows(K.pending(todo, done, "id"), "id") == [(2,), (3,)]
     out = todo.join(done, "id", "left")
     assert rows(K.preview(out, ["company", "owner_email"], "owner_email")) == [("a", "x@a")]
-    pl = K.payload(todo, ["id", "company"]).first()["payload"]
-    assert pl.startswith('{"status":"SUCCESS","count":3,"items":[')
-    with pytest.raises(ValueError):
-        K.payload(todo, ["id"], max_items=2)
     assert F is not None
 
 
