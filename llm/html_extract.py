@@ -1,11 +1,13 @@
 """Main text of web pages by consensus paths per host.
 
 First pass: every page's containers are scored by the text of their own
-paragraphs outside links, and the best one votes for its generalised path
-(tags with their classes, digits made equal). Votes are counted by (host,
-path) in Spark. Second pass: each page is extracted again through the winning
-paths of its host, so a page whose own scores mislead follows its siblings;
-a page in which no winning path has text keeps its own best container.
+paragraphs outside links. The best one is widened to its article or main and
+to ancestors that add running text, and votes for its generalised path (tags
+with their classes, digits made equal). Votes are counted by (host, path) in
+Spark. Second pass: each page is extracted again through the first winning
+path of its host that covers most of the page's text outside links, widened
+in the same way, so a page whose own scores mislead follows its siblings; a
+page that no winning path covers keeps its own container.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ _CLUTTER = {"ad", "ads", "advert", "adverts", "advertisement", "banner", "sponso
             "comments", "respond", "reply", "replies", "disqus", "social", "share", "sharing", "newsletter", "subscribe", "subscription",
             "signup", "popup", "modal", "overlay", "related", "recommended", "breadcrumb", "breadcrumbs", "pagination", "widget", "login",
             "search", "toolbar", "skip", "paywall"}
+_PROSE = _HEADING | {"p", "li", "dt", "dd", "pre", "blockquote", "td", "th", "caption", "figcaption"}
+_LONG = 80  # characters outside links that make a block of another element running text
 _ROLES = {"navigation", "banner", "complementary", "contentinfo", "search", "dialog", "alert", "alertdialog", "form", "menu", "menubar", "toolbar"}
 
 
@@ -156,6 +160,15 @@ def parse(page: str | None) -> Node:
     return _Tree(page or "").root
 
 
+def _in_order(root: Node) -> list[Node]:
+    out, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        out.append(node)
+        todo += [c for c in reversed(node.children) if isinstance(c, Node)]
+    return out
+
+
 def _text_of(node: Node, out: list[str]) -> list[str]:
     todo = [iter(node.children)]
     while todo:
@@ -189,27 +202,72 @@ def scores(root: Node) -> dict[int, tuple[Node, float]]:
     return out
 
 
-def best_container(root: Node) -> Node | None:
+def _sums(root: Node) -> dict[int, list[int]]:
+    """Of every element with all it holds: characters, those outside links, those
+    of running text, those in an article, a main or a headline."""
+    nodes = _in_order(root)
+    out = {id(n): [0, 0, 0, 0] for n in nodes}
+    for node in reversed(nodes):
+        mine = out[id(node)]
+        for t, linked in node.blocks:
+            free = len(t) - linked
+            mine[0] += len(t)
+            mine[1] += free
+            mine[2] += free if node.tag in _PROSE or free >= _LONG else 0
+        if node.tag in ("article", "main", "h1"):
+            mine[3] = mine[1]
+        if node.parent is not None:
+            for k, x in enumerate(mine):
+                out[id(node.parent)][k] += x
+    return out
+
+
+def _widened(node: Node, sums: dict[int, list[int]]) -> Node:
+    """The nearest article or main, and then each ancestor of which at least half
+    of what it adds is running text; beyond articles and mains, text of another
+    article or a headline."""
+    above = [node]
+    while above[-1].parent is not None:
+        above.append(above[-1].parent)
+    tops = [k for k, x in enumerate(above) if x.tag in ("article", "main")]
+    at = tops[0] if tops else 0
+    for k in range(at + 1, len(above)):
+        more, had = sums[id(above[k])], sums[id(above[at])]
+        what = 3 if tops and k > tops[-1] else 2
+        if 2 * (more[what] - had[what]) >= more[0] - had[0] > 0:
+            at = k
+    return above[at]
+
+
+def best_container(root: Node, sums: dict[int, list[int]] | None = None) -> Node | None:
     found = scores(root)
-    return max(found.values(), key=lambda x: x[1])[0] if found else None
+    return _widened(max(found.values(), key=lambda x: x[1])[0], _sums(root) if sums is None else sums) if found else None
 
 
 def extract(page: str | None, paths: list[str] | None) -> str:
-    """Text through the first of ``paths`` that has any, else through the page's own best container."""
+    """Text through the first of ``paths`` that covers most of the page's text
+    outside links, else through the page's own best container."""
     root = parse(page)
+    sums = _sums(root)
     if paths:
         by: dict[str, list[Node]] = {}
-        todo = [root]
-        while todo:
-            node = todo.pop()
+        for node in _in_order(root):
             by.setdefault(node.path, []).append(node)
-            todo += [c for c in reversed(node.children) if isinstance(c, Node)]
         for p in paths:
-            text = [t for n in by.get(p, []) for t in _text_of(n, [])]
-            if text:
-                return "\n".join(text)
-    node = best_container(root) or root
-    return "\n".join(_text_of(node, []))
+            nodes = [n for n in by.get(p, []) if sums[id(n)][0]]
+            if nodes and 2 * sum(sums[id(n)][1] for n in nodes) >= sums[id(root)][1]:
+                wide = {id(n): n for n in (_widened(n, sums) for n in nodes)}
+                nodes = [n for n in wide.values() if not _below(n, wide)]
+                return "\n".join(t for n in nodes for t in _text_of(n, []))
+    return "\n".join(_text_of(best_container(root, sums) or root, []))
+
+
+def _below(node: Node, others: dict[int, Node]) -> bool:
+    while node.parent is not None:
+        node = node.parent
+        if id(node) in others:
+            return True
+    return False
 
 
 def _host(url: str):

@@ -306,6 +306,30 @@ def test_html(spark):
     assert got[7]["n_chars"] == 199_999 and len(got) == len(rows)
 
 
+def test_html_keeps_all_of_an_article():
+    lead, body = "lead " * 40, "body text " * 200
+    whole = f"H\n{lead.strip()}\n{body.strip()}"
+    nested = f"<h1>H</h1><p>{lead}</p><div class=body><p>{body}</p></div>"
+    split = f"<section class=one><h1>H</h1><p>{lead}</p></section><section class=two><p>{body}</p></section>"
+    for page in (f"<article>{nested}</article>", f"<div class=post>{nested}</div>", f"<main>{split}</main>", f"<body>{split}</body>"):
+        page = f"<html><body>{page}<div class=links><p><a href=x>Other page, other page</a></p></div></body></html>"
+        assert html_extract.extract(page, None) == whole
+        assert html_extract.extract(page, [html_extract.best_container(html_extract.parse(page)).path]) == whole
+    # the host's other layout has its text in the box that is a short note here
+    mixed = f"<html><body><div class=box><p>A note.</p></div><article>{nested}</article></body></html>"
+    assert html_extract.extract(mixed, ["/html/body/div.box"]) == whole
+    assert html_extract.extract("<html><body><div class=box><p>All of it.</p></div></body></html>", ["/html/body/article", "/html/body/div.box"]) == "All of it."
+
+
+def test_html_mixed_layouts_of_a_host(spark):
+    body = "body text " * 100
+    box = f"<html><body><div class=box><p>{body}</p></div></body></html>"
+    other = f"<html><body><div class=box><p>A note.</p></div><article><h1>H</h1><p>{body}</p></article></body></html>"
+    pages = spark.createDataFrame([(i, "http://a.b/", box if i < 8 else other) for i in range(10)], "page_id bigint, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_extract.main_text(pages).collect()}
+    assert got[0] == body.strip() and got[9] == f"H\n{body.strip()}"
+
+
 def test_empty_tables(spark):
     d = docs(spark, [])
     bench = spark.createDataFrame([], "item_id bigint, text string")
