@@ -8,10 +8,15 @@ Spark. Second pass: each page is extracted again through the first winning
 path of its host that covers most of the page's text outside links, widened
 in the same way, so a page whose own scores mislead follows its siblings; a
 page that no winning path covers keeps its own container.
+
+Elements named like clutter are dropped, but not those that hold more text
+than the rest of a page without other articles, or its only article: such
+names are a layout's.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 from html import unescape
 
@@ -32,25 +37,31 @@ _CONTAINER = {"article", "main", "section", "div", "body", "td", "blockquote"}
 _BLOCK = _CONTAINER | _HEADING | {"p", "li", "ul", "ol", "dl", "dt", "dd", "pre", "table", "tr", "th", "thead", "tbody", "tfoot", "caption",
                                   "figure", "figcaption", "header", "address", "details", "summary", "fieldset", "hr", "html"} | _HIDDEN
 _INNER = {"p", *_HEADING, "li", "dt", "dd", "tr", "td", "th"}  # closed by the next of its kind
+_ENDS = {"dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}  # what else a start tag closes
 _CLUTTER = {"ad", "ads", "advert", "adverts", "advertisement", "banner", "sponsor", "sponsored", "promo", "cookie", "cookies", "consent",
             "notice", "notices", "alert", "nav", "navbar", "navigation", "menu", "sidebar", "footer", "header", "masthead", "comment",
             "comments", "respond", "reply", "replies", "disqus", "social", "share", "sharing", "newsletter", "subscribe", "subscription",
             "signup", "popup", "modal", "overlay", "related", "recommended", "breadcrumb", "breadcrumbs", "pagination", "widget", "login",
             "search", "toolbar", "skip", "paywall"}
+# others' text and notices, which may be longer than the article: kept only if the page has nothing else
+_ASIDE = {"ad", "ads", "advert", "adverts", "advertisement", "sponsor", "sponsored", "promo", "comment", "comments", "respond", "reply",
+          "replies", "disqus", "related", "recommended", "newsletter", "cookie", "cookies", "consent"}
+_STATE = {"has", "no", "not", "with", "without", "hide"}  # has-sidebar says something of the layout, not of the element
 _PROSE = _HEADING | {"p", "li", "dt", "dd", "pre", "blockquote", "td", "th", "caption", "figcaption"}
 _LONG = 80  # characters outside links that make a block of another element running text
 _ROLES = {"navigation", "banner", "complementary", "contentinfo", "search", "dialog", "alert", "alertdialog", "form", "menu", "menubar", "toolbar"}
 
 
 class Node:
-    __slots__ = ("blocks", "children", "heads_only", "parent", "path", "tag")
+    __slots__ = ("blocks", "children", "clutter", "heads_only", "parent", "path", "tag")
 
-    def __init__(self, tag, path, parent, heads_only):
-        self.tag, self.path, self.parent, self.heads_only = tag, path, parent, heads_only
+    def __init__(self, tag, path, parent, heads_only, clutter=0):
+        self.tag, self.path, self.parent, self.heads_only, self.clutter = tag, path, parent, heads_only, clutter
         self.children, self.blocks = [], []
 
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?/][^>]*>""", re.S)
+_OPENS = re.compile(r"<(?:p|div|section|article|main|table|ul|ol|h[1-6])\b", re.I)
 _CUT = re.compile(r"<[/!?a-zA-Z][^<>]*\Z")  # a tag that the page's end cuts off
 _ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _RAW = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in ("script", "style", "textarea", "title", "noscript", "iframe")}
@@ -63,6 +74,8 @@ class _Tree:
         self.root = self.at = Node("", "", None, False)
         self.links = self.linked = 0
         self.text: list[str] = []
+        self.cluttered = False
+        self.wrappers: set[str] = set()  # inline tags that stand around blocks
         page = _CUT.sub("", page)
         skip, depth, end, start = "", 0, 0, 0  # the hidden element that is open, how often it is nested
         while m := _TAG.search(page, start):
@@ -82,7 +95,7 @@ class _Tree:
                     skip = ""
             elif m[1]:
                 self.close(tag)
-            elif self.open(tag, m[3]) and tag not in _VOID and not m[3].endswith("/"):
+            elif self.open(tag, m[3], page, end) and tag not in _VOID and not m[3].endswith("/"):
                 if tag in _RAW:
                     raw = _RAW[tag].search(page, end)
                     start = end = raw.end() if raw else len(page)
@@ -107,22 +120,29 @@ class _Tree:
                 self.at.children.append(text)
             self.text, self.linked = [], 0
 
-    def open(self, tag: str, attrs: str) -> bool:
-        """Whether the element is hidden."""
+    def open(self, tag: str, attrs: str, page: str, end: int) -> bool:
+        """Whether the element is hidden with all it holds."""
         said = {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(attrs)} if "=" in attrs or "hidden" in attrs else {}
         if tag not in _BLOCK:
             if tag == "a":
                 self.links += 1
             elif tag == "br":
                 self.text.append(" ")
-            return bool(said) and tag not in _VOID and _cluttered(said)
+            clutter = _cluttered(said) if said and tag not in _VOID and not attrs.endswith("/") else 0
+            block = _OPENS.search(page, end) if clutter else None
+            shut = re.compile(rf"</{re.escape(tag)}\b", re.I).search(page, end) if block else None
+            if not block or (shut and shut.start() < block.start()):
+                return bool(clutter)
+            self.wrappers.add(tag)
+        else:
+            clutter = _cluttered(said) if said and tag not in ("html", "body", "article", "main", "hr") else 0
         self.flush()
         if tag == "hr":
             return False
-        if tag in _HIDDEN or (said and tag not in ("html", "body", "article", "main") and _cluttered(said)):
+        if tag in _HIDDEN:
             return True
         inside = self.at
-        while inside.tag == "p" or (tag in _INNER and (inside.tag in _HEADING or (inside.tag == tag and tag != "td"))):
+        while inside.tag == "p" or inside.tag in _ENDS.get(tag, ()) or (tag in _INNER and (inside.tag in _HEADING or (inside.tag == tag and tag != "td"))):
             inside = inside.parent
         heads = inside.heads_only
         if tag == "header":
@@ -133,14 +153,15 @@ class _Tree:
                 return True
             heads = True
         names = sorted(set(re.sub(r"\d+", "0", said["class"]).split())) if "class" in said else ()
-        self.at = Node(tag, f"{inside.path}/{'.'.join([tag, *names])}", inside, heads)
+        self.at = Node(tag, f"{inside.path}/{'.'.join([tag, *names])}", inside, heads, clutter)
+        self.cluttered |= clutter > 0
         inside.children.append(self.at)
         return False
 
     def close(self, tag: str):
         if tag == "a":
             self.links = max(0, self.links - 1)
-        if tag in _BLOCK:
+        if tag in _BLOCK or tag in self.wrappers:
             node = self.at
             while node and node.tag != tag:
                 node = node.parent
@@ -149,15 +170,16 @@ class _Tree:
                 self.at = node.parent
 
 
-def _cluttered(said: dict) -> bool:
+def _cluttered(said: dict) -> int:
+    """0 no, 1 named like clutter, 2 named like others' text, 3 hidden or of a role."""
     if "hidden" in said or said.get("aria-hidden", "").lower() == "true" or said.get("role", "").lower() in _ROLES:
-        return True
-    words = re.split(r"[^a-z]+", f"{said.get('class', '')} {said.get('id', '')}".lower())
-    return not _CLUTTER.isdisjoint(words)
-
-
-def parse(page: str | None) -> Node:
-    return _Tree(page or "").root
+        return 3
+    found = 0
+    for token in f"{said.get('class', '')} {said.get('id', '')}".lower().split():
+        words = [w for w in re.split(r"[^a-z]+", token) if w]
+        if words and words[0] not in _STATE and not _CLUTTER.isdisjoint(words):
+            found = max(found, 1 if _ASIDE.isdisjoint(words) else 2)
+    return found
 
 
 def _in_order(root: Node) -> list[Node]:
@@ -169,6 +191,67 @@ def _in_order(root: Node) -> list[Node]:
     return out
 
 
+def _prune(root: Node):
+    """Drops the clutter, but not an element that is named so and holds the page."""
+    nodes = _in_order(root)
+    whole: dict[int, list] = {}  # characters outside links, articles and mains that have any: without others' text
+    core: dict[int, list] = {}  # the same without what any clutter below holds
+    inner: dict[int, list[Node]] = {}  # the outermost clutter below
+    for node in reversed(nodes):
+        own = sum(len(t) - linked for t, linked in node.blocks)
+        w, c, below = [own, 0], [own, 0], []
+        for x in node.children:
+            if isinstance(x, str) or x.clutter == 3:
+                continue
+            if x.clutter:
+                below.append(x)
+            else:
+                c[0], c[1] = c[0] + core[id(x)][0], c[1] + core[id(x)][1]
+                below += inner[id(x)]
+            if x.clutter < 2:
+                w[0], w[1] = w[0] + whole[id(x)][0], w[1] + whole[id(x)][1]
+        if node.tag in ("article", "main"):
+            w[1], c[1] = w[1] + (w[0] > 0), c[1] + (c[0] > 0)
+        whole[id(node)], core[id(node)], inner[id(node)] = w, c, below
+
+    def around(x):
+        found = 0
+        while x.parent is not None:
+            x = x.parent
+            found += x.tag in ("article", "main") and core[id(x)][0] > 0
+        return found
+
+    kept, (size, articles) = set(), core[id(root)]
+    named = [x for x in inner[id(root)] if x.clutter == 1]
+    if not whole[id(root)][0]:
+        kept = {id(x) for x in nodes if x.clutter == 2}
+    elif not size and 2 * max((whole[id(x)][0] for x in named), default=0) <= whole[id(root)][0]:
+        kept = {id(x) for x in named}  # the text is dealt to several of them
+    else:
+        todo = [(-whole[id(x)][0], k, x) for k, x in enumerate(named)]
+        heapq.heapify(todo)
+        made = len(todo)
+        while todo:
+            less, _, x = heapq.heappop(todo)
+            if (-less > size or whole[id(x)][1]) and articles <= around(x):
+                kept.add(id(x))
+                size, articles = size + core[id(x)][0], articles + core[id(x)][1]
+                for y in inner[id(x)]:
+                    if y.clutter == 1:
+                        made += 1
+                        heapq.heappush(todo, (-whole[id(y)][0], made, y))
+    for node in nodes:
+        if any(not isinstance(x, str) and x.clutter for x in node.children):
+            node.children = [x for x in node.children if isinstance(x, str) or not x.clutter or id(x) in kept]
+
+
+def parse(page: str | None) -> Node:
+    tree = _Tree(page or "")
+    if tree.cluttered:
+        _prune(tree.root)
+    return tree.root
+
+
 def _text_of(node: Node, out: list[str]) -> list[str]:
     todo = [iter(node.children)]
     while todo:

@@ -330,6 +330,21 @@ def test_html_mixed_layouts_of_a_host(spark):
     assert got[0] == body.strip() and got[9] == f"H\n{body.strip()}"
 
 
+def test_html_clutter_names():
+    body = "body text " * 100
+    side = "<div class=sidebar><p>side</p></div>"
+    for said in ('class="content has-sidebar"', "class=no-sidebar", 'class="main with-header"', "id=search-results"):
+        assert html_extract.extract(f"<body><div {said}><h1>H</h1><p>{body}</p></div>{side}</body>", None) == f"H\n{body.strip()}"
+    assert html_extract.extract(f"<body><span id=search-results><h1>H</h1><p>{body}</p></span>{side}</body>", None) == f"H\n{body.strip()}"
+    assert html_extract.extract(f"<body><div class=widget><main><p>Short.</p></main></div><p>{body}</p></body>", None).startswith("Short.")
+    # what is clutter stays clutter, also if it is longer than the article
+    for said in ("class=ad", "id=comments", "class=related-posts", "class=sidebar", "hidden"):
+        assert html_extract.extract(f"<body><article><p>Short.</p></article><div {said}><article><p>{body}</p></article></div></body>", None) == "Short."
+    assert html_extract.extract("<article><p class=ad>Buy<p>One</p><p>Two</p></article>", None) == "One\nTwo"
+    assert html_extract.extract("<article><p hidden>Buy<p>One<ul><li hidden>x<li>y</ul><dl><dt class=ad>a<dd>b</dl>"
+                                "<table><tr hidden><td>c<tr><td>d</table></article>", None) == "One\ny\nb\nd"
+
+
 def test_empty_tables(spark):
     d = docs(spark, [])
     bench = spark.createDataFrame([], "item_id bigint, text string")
