@@ -1,13 +1,14 @@
-"""Secret scan with structural confirmation.
+r"""Secret scan with structural confirmation.
 
 Three base patterns report by shape alone. Beyond them, long base64 and hex
 candidates are decoded and reported only if what they hold parses:
 
 * ``signed``: a three-part token whose header decodes to a JSON object naming
-  an algorithm and whose payload decodes to a JSON object;
+  an algorithm and whose payload decodes to a JSON object, also behind a dotted word;
 * ``key``: base64 or hex (bare or between BEGIN/END key lines) that decodes
   to DER whose nested lengths add up and whose fields are those of a private
-  key (version first; then integers, an octet string, or an algorithm);
+  key (version first; then integers, an octet string, or an algorithm); base64
+  may be broken into lines, by line breaks or by escapes such as \n;
 * ``ssh``: base64 that decodes to the OpenSSH key magic followed by fields
   whose length prefixes fit.
 
@@ -36,8 +37,12 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")  # whole runs: what [0-9a-f]+ finds, of 16 and more
 _SIGNED = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]*)")
-_ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40})KEY-----([A-Za-z0-9+/=\s]+)-----END \1KEY-----")
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{64,}={0,2}")
+_ARMOUR = re.compile(r"""-----BEGIN ([A-Z0-9 ]{0,40})KEY-----((?:[A-Za-z0-9+/=\s"',]|\\+(?:[nrt/\s]|u000[aAdD]))+)-----END \1KEY-----""")
+_ESCAPED = re.compile(r"""\\+(?:[nrt\s]|u000[aAdD]|(?=/))|[\s"',]""")
+# the first line of a DER sequence or of the OpenSSH magic, also right after an escaped line break
+_BASE64 = re.compile(r"(?:(?<![A-Za-z0-9+/_-])|(?<=\\[nr])|(?<=\\u000[aAdD]))(?:M|b3BlbnNzaC1rZXktdjE)[A-Za-z0-9+/_-]{31,}={0,2}")
+_RUN = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+_BREAK = re.compile(r"""(?:[ \t"',]*(?:\\*\r?\n|\\+[nr]|\\+u000[aAdD]))+[ \t"',]*""")
 _HEXDER = re.compile(r"(?<![0-9A-Fa-f])30[0-9A-Fa-f]{62,}")
 
 
@@ -110,26 +115,57 @@ def is_ssh_private(raw: bytes | None) -> bool:
     return at + 4 <= len(raw) and int.from_bytes(raw[at:at + 4], "big") >= 1
 
 
+def _key_at(text: str, m: re.Match) -> tuple[int, int] | None:
+    """(place of the kind in KINDS, end) of the key whose first line is ``m``, over
+    as many lines as its lengths ask for."""
+    head = _decoded(m[0][:8])
+    lines, n, end, need = [m[0]], len(m[0].rstrip("=")), m.end(), None
+    if m[0][0] == "M":
+        size = head[1] & 0x7F if head and head[0] == 0x30 and head[1] & 0x80 else 0
+        if not head or head[0] != 0x30 or size > 4:
+            return None
+        total = 2 + size + int.from_bytes(head[2:2 + size], "big") if size else 2 + head[1]
+        need = -(-total * 4 // 3)
+        if need < 64:
+            return None
+    while not lines[-1].endswith("=") and (n < need if need else len(lines[-1]) == len(lines[0])):
+        gap = _BREAK.match(text, end)
+        run = _RUN.match(text, gap.end()) if gap else None
+        if not run or (not need and (len(run[0]) > len(lines[0]) or (n + len(run[0])) % 4)):
+            break
+        lines.append(run[0])
+        n, end = n + len(run[0].rstrip("=")), run.end()
+    if n < 64 or (need and n != need):
+        return None
+    raw = _decoded("".join(lines))
+    kind = 4 if is_private_der(raw) else 5 if is_ssh_private(raw) else None
+    return (kind, end) if kind else None
+
+
 def scan_text(text: str | None) -> list[tuple[int, int, int]]:
     """(start, place of the kind in KINDS, end) of every span, sorted; code points."""
     text = text or ""
     found = {(m.start(), 0, m.end()) for m in _ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 12}
     found |= {(m.start(), 1, m.end()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= 18}
     found |= {(m.start(), 2, m.end()) for m in _HEX.finditer(text)}
-    for m in _SIGNED.finditer(text):
+    m = _SIGNED.search(text)
+    while m:
         header = _json_object(m[1])
-        if header and isinstance(header.get("alg"), str) and _json_object(m[2]) is not None:
+        token = header and isinstance(header.get("alg"), str) and _json_object(m[2]) is not None
+        if token:
             found.add((m.start(), 3, m.end()))
+        m = _SIGNED.search(text, m.end() if token else m.start(2))  # a word before the token may have taken its header's place
+    armoured = []
     for m in _ARMOUR.finditer(text):
-        raw = _decoded(m[2])
+        raw = _decoded(_ESCAPED.sub("", m[2]))
         kind = 4 if is_private_der(raw) else 5 if is_ssh_private(raw) else None
         if kind:
             found.add((m.start(), kind, m.end()))
+            armoured.append(m.span())
     for m in _BASE64.finditer(text):
-        raw = _decoded(m[0])
-        kind = 4 if is_private_der(raw) else 5 if is_ssh_private(raw) else None
-        if kind:
-            found.add((m.start(), kind, m.end()))
+        key = _key_at(text, m)
+        if key and (key[1] == m.end() or not any(s <= m.start() < e for s, e in armoured)):
+            found.add((m.start(), *key))
     for m in _HEXDER.finditer(text):
         if len(m[0]) % 2 == 0 and is_private_der(bytes.fromhex(m[0])):
             found.add((m.start(), 4, m.end()))

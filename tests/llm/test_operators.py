@@ -1,6 +1,8 @@
 """Edge cases and brute-force twins of the training-data operators."""
 
+import base64
 import hashlib
+import json
 import math
 import random
 import re
@@ -278,6 +280,34 @@ def test_secrets(spark):
     assert secrets.redacted(d).columns == d.columns
 
 
+def test_secrets_in_their_leaked_forms():
+    enc = lambda x: base64.urlsafe_b64encode(json.dumps(x).encode()).decode().rstrip("=")
+    octets = bytes([4, 0x60]) + bytes(range(96))
+    inner = bytes.fromhex("020100300d06092a864886f70d0101010500") + octets
+    key = base64.b64encode(bytes([0x30, 0x81, len(inner)]) + inner).decode()
+    ssh = base64.b64encode(b"openssh-key-v1\0" + b"\0\0\0\4none\0\0\0\4none\0\0\0\0\0\0\0\1" + bytes(range(150))).decode()
+
+    def wrapped(text, n, by):
+        return by.join(text[i:i + n] for i in range(0, len(text), n))
+
+    for body, kind in ((key, "key"), (ssh, "ssh")):
+        for by in ("\n", "\r\n", "\\n", "\\r\\n", "\\\\n"):
+            pem = f"-----BEGIN PRIVATE KEY-----{by}{wrapped(body, 64, by)}{by}-----END PRIVATE KEY-----"
+            for text in (f'{{"private_key": "{pem}\\n", "id": 1}}', f"KEY='{pem}{by}'"):
+                assert [(secrets.KINDS[k], text[s:e]) for s, k, e in secrets.scan_text(text)] == [(kind, pem)]
+            for n in (64, 76):
+                bare = wrapped(body, n, by)
+                text = f"see{by}{bare}{by}and more{by}"
+                assert [(secrets.KINDS[k], text[s:e]) for s, k, e in secrets.scan_text(text)] == [(kind, bare)]
+    escaped = "-----BEGIN PRIVATE KEY-----\\n" + key.replace("/", "\\/") + "\\n-----END PRIVATE KEY-----"
+    assert (0, 4, len(escaped)) in secrets.scan_text(escaped)
+    assert secrets.scan_text(wrapped(key[:-8], 64, "\n")) == []
+    token = f"{enc({'alg': 'HS256'})}.{enc({'sub': 'me'})}.c2lnbmF0dXJl"
+    for before in ("sessionid.", "sessionid.anotherword.", "www.sessionid."):
+        assert secrets.scan_text(before + token) == [(len(before), 3, len(before + token))]
+    assert [x[1] for x in secrets.scan_text(f"{token} sessionid.{token}")] == [3, 3]
+
+
 def test_licenses(spark):
     mit = licenses.TEMPLATES["mit"]
     changed = mit.replace("without restriction", "without any restriction").replace("publish, ", "")
