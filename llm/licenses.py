@@ -4,10 +4,11 @@ Words are lower-cased runs of ASCII letters, digits and characters beyond
 ASCII. All rolling k-word hashes of the documents are joined in Spark with
 the places of the same k words in license templates. A hit at document word
 p and template word t votes for the diagonal p - t. Votes are added up by
-(document, template, diagonal); neighbouring diagonals, as single inserted or
-dropped words make them, are merged when they lie next to each other in the
-document; a merged group is a finding when the template words it covers are
-a large enough part of the template.
+(document, template, diagonal); a diagonal joins every earlier one that is near
+in shift and place, as single inserted or dropped words make them, whatever
+diagonals a template's repeated phrases put between them; a joined group is a
+finding when the template words it covers are a large enough part of the
+template.
 
 Templates are the library's own constants, so their table is small and
 broadcast; a bitmap of their hashes, of fixed size, keeps other document
@@ -18,7 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.common import checkpointed, table
@@ -64,6 +65,32 @@ def template_places(spark: SparkSession, templates: dict[str, str], k: int) -> D
     return spark.createDataFrame(rows, "hash bigint, template string, t int, size int")
 
 
+def joined(runs: list[dict], k: int, max_shift: int) -> list[tuple[int, int, int]]:
+    """(start, end, covered template words) of every group of diagonals; ``runs``
+    has (from, diagonal, to, ts) in order of ``from``."""
+    group = list(range(len(runs)))
+
+    def of(i):
+        while group[i] != i:
+            group[i] = group[group[i]]
+            i = group[i]
+        return i
+
+    earlier: dict[int, int] = {}
+    for i, r in enumerate(runs):
+        for shift in range(-max_shift, max_shift + 1):
+            j = earlier.get(r["diagonal"] + shift)
+            if j is not None and r["from"] - runs[j]["to"] <= k + 2 * max_shift:
+                p, q = sorted((of(i), of(j)))
+                group[q] = p
+        earlier[r["diagonal"]] = i
+    members: dict[int, list[dict]] = {}
+    for i, r in enumerate(runs):
+        members.setdefault(of(i), []).append(r)
+    return [(min(r["from"] for r in g), max(r["to"] for r in g) + k, len({t + x for r in g for t in r["ts"] for x in range(k)}))
+            for g in members.values()]
+
+
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, phrases: dict[str, str] | None = None, k: int = 5,
          min_cover: float = 0.5, max_shift: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, findings).
@@ -120,16 +147,28 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, phrases: dict
     votes = (hits.join(F.broadcast(places), "hash").withColumn("diagonal", F.col("p") - F.col("t"))
              .groupBy("doc_id", "text_key", "template", "size", "diagonal")
              .agg(F.min("p").alias("from"), F.max("p").alias("to"), F.collect_set("t").alias("ts")))
-    # a diagonal joins the one before it (by place) if it is near in shift and goes on in the document
-    by = Window.partitionBy("doc_id", "text_key", "template").orderBy("from", "diagonal")
-    new = ((F.abs(F.col("diagonal") - F.lag("diagonal").over(by)) <= max_shift)
-           & (F.col("from") - F.lag("to").over(by) <= k + 2 * max_shift))
-    merged = (votes.withColumn("_new", F.when(new, 0).otherwise(1)).withColumn("_group", F.sum("_new").over(by))
-              .groupBy("doc_id", "text_key", "template", "size", "_group")
-              .agg(F.min("from").alias("start"), (F.max("to") + k).alias("end"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("ts")))).alias("ts")))
-    cover = F.aggregate("ts", F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")),
-                        lambda a, t: F.struct((a["n"] + t + k - F.greatest(a["end"], t)).alias("n"), (t + k).alias("end")))["n"] / F.col("size")
-    found = (merged.withColumn("cover", cover).where(F.col("cover") >= min_cover).groupBy("doc_id", "text_key")
+    # a group covers k words a vote at most, so others cannot reach min_cover
+    together = (votes.groupBy("doc_id", "text_key", "template", "size")
+                .agg(F.sort_array(F.collect_list(F.struct("from", "diagonal", "to", "ts"))).alias("runs"), F.sum(F.size("ts")).alias("n"))
+                .where(F.col("n") * k >= F.col("size") * min_cover))
+
+    def join(batches):
+        for b in batches:
+            at, out = [], []
+            for i, (size, runs) in enumerate(zip(b["size"].to_pylist(), b["runs"].to_pylist())):
+                for start, end, words in joined(runs, k, max_shift):
+                    if words / size >= min_cover:
+                        at.append(i)
+                        out.append((start, end, words / size))
+            rows = pa.array(at, pa.int64())
+            start, end, cover = zip(*out) if out else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [*(b[c].take(rows) for c in ("doc_id", "text_key", "template")), pa.array(start, pa.int32()), pa.array(end, pa.int32()),
+                 pa.array(cover, pa.float64())], names=["doc_id", "text_key", "template", "start", "end", "cover"])
+
+    merged = (together.select("doc_id", "text_key", "template", "size", "runs")
+              .mapInArrow(join, "doc_id bigint, text_key bigint, template string, start int, end int, cover double"))
+    found = (merged.groupBy("doc_id", "text_key")
              .agg(F.sort_array(F.collect_list(F.struct("template", "start", "end", "cover"))).alias("findings"), F.max("cover").alias("best")))
     one = rows.drop("hits").alias("r").join(
         found.alias("f"), F.col("r.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("r.text_key") == F.col("f.text_key")), "left")

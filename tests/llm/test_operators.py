@@ -322,6 +322,22 @@ def test_licenses(spark):
     assert [got[i][0]["labels"] for i in (4, 5, 6, 7)] == [""] * 4 and got[None][0]["labels"] == "mit" and got[4][0]["first_word"] is None
 
 
+def test_licenses_with_repeated_phrases(spark):
+    bsd = licenses.TEMPLATES["bsd"]
+    numbered = bsd.replace("met: Redist", "met: 1. Redist").replace("disclaimer. Redist", "disclaimer. 2. Redist")
+    words, edited = numbered.split(), []
+    for i in range(8, 60, 6):
+        for j in range(i + 8, 68, 9):
+            edited.append(" ".join([*words[:i], "plainly", *words[i:j], "also", *words[j:]]))
+    rows = [(1, bsd), (2, numbered), (3, numbered + " More text. " * 30 + numbered), (4, bsd.replace("Redistributions in binary", "Redistribution in any binary"))]
+    rows += [(100 + n, t) for n, t in enumerate(edited)]
+    got = {r["doc_id"]: r for r in licenses.scan(docs(spark, [(i, t, None, None) for i, t in rows])).collect()}
+    assert got[1]["score"] == 1.0 and got[2]["score"] > 0.9 and got[4]["score"] > 0.8
+    assert [f["template"] for f in got[2]["findings"]] == ["bsd"] and len(got[3]["findings"]) == 2
+    assert (got[2]["findings"][0]["start"], got[2]["findings"][0]["end"]) == (0, got[2]["n_words"])
+    assert all(got[100 + n]["labels"] == "bsd" and got[100 + n]["score"] > 0.7 for n in range(len(edited)))
+
+
 def test_html(spark):
     page = ('<html><body><header class="site"><h1>Site</h1></header><div id="cookie-notice">We use</div><nav><ul><li><a href="/">x</a></ul></nav>'
             '<main><article><header><h1>T &amp; u</h1><p>by me</p></header><p>One  two&nbsp;three <a href=x>link</a><br>four.<p>Five <b>six</b> seven.'
