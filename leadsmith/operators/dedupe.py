@@ -37,10 +37,10 @@ def keep_first(df: DataFrame, key: str | Sequence[str] | Column, order: Sequence
     return out.select(*keys, *[F.col("_row")[c].alias(c) for c in payload])
 
 
-def dedupe_capped(df: DataFrame, group: str, pos: str, cap: int, value: str,
+def dedupe_capped(df: DataFrame, group: str, pos: str, cap: int | None, value: str,
                   blocked: Column) -> DataFrame:
-    """A4: hits at positions < cap, blank and blocked values dropped, then
+    """A4: hits at positions < cap (all if it is None), blank and blocked values dropped, then
     first occurrence of each value per group (a duplicate of a blocked value
     is blocked too, so block-after-seen gives the same rows)."""
-    kept = df.where((F.col(pos) < cap) & (F.coalesce(F.col(value), F.lit("")) != "") & ~blocked)
+    kept = df.where((F.lit(True) if cap is None else F.col(pos) < cap) & (F.coalesce(F.col(value), F.lit("")) != "") & ~blocked)
     return keep_first(kept, [group, value], [pos], cols=[group, value, pos])

@@ -66,10 +66,24 @@ k AS (SELECT * FROM h WHERE pos < 10 AND domain <> '' AND NOT {Q.contains_any('d
 SELECT result_page, domain, pos FROM k QUALIFY row_number() OVER (PARTITION BY result_page, domain ORDER BY pos) = 1""")
 def a04_dedup_capped(spark, sf):
     """A4: cap the hit list first, then parse, block and de-duplicate."""
+    return _a04_hits(spark, sf, 10)
+
+
+@register("a04_dedup_all", f"""
+WITH h AS (SELECT page_id % 10 AS result_page, page_id // 10 AS pos,
+  trim(lower(replace({Q.netloc('url')}, 'www.', ''))) AS domain FROM pages),
+k AS (SELECT * FROM h WHERE domain <> '' AND NOT {Q.contains_any('domain', ['blog', 'cheap-pills'])})
+SELECT result_page, domain, pos FROM k QUALIFY row_number() OVER (PARTITION BY result_page, domain ORDER BY pos) = 1""")
+def a04_dedup_all(spark, sf):
+    """A4 without the cap: every hit is read."""
+    return _a04_hits(spark, sf, None)
+
+
+def _a04_hits(spark, sf, cap):
     p = table(spark, sf, "pages")
     h = p.select((F.col("page_id") % 10).alias("result_page"), (F.col("page_id") / 10).cast("bigint").alias("pos"),
                  D.domain_loose("url").alias("domain"))
-    return DD.dedupe_capped(h, "result_page", "pos", 10, "domain",
+    return DD.dedupe_capped(h, "result_page", "pos", cap, "domain",
                             D.blocked_substring("domain", ["blog", "cheap-pills"]))
 
 

@@ -59,11 +59,41 @@ def s02_page_prefix(spark, sf):
                                  F.bool_or("truncated").alias("truncated"))
 
 
+@register("s02_page_flags", """
+WITH r AS (SELECT c_nationkey AS k, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS rn FROM customer),
+p AS (SELECT k, CAST(rn // 2 AS BIGINT) AS page FROM r WHERE NOT (k % 5 = 0 AND rn // 2 = 2) AND NOT (k % 5 = 1 AND rn = 3)),
+c AS (SELECT k, page, count(*) AS n FROM p GROUP BY k, page),
+g AS (SELECT k, min(page) + 1 AS gap FROM c
+      WHERE NOT EXISTS (SELECT 1 FROM c c2 WHERE c2.k = c.k AND c2.page = c.page + 1) GROUP BY k),
+s AS (SELECT k, min(page) FILTER (WHERE n < 2) AS short, min(page) AS first, max(page) AS last FROM c GROUP BY k),
+t AS (SELECT s.k, last, least(coalesce(short, gap), gap - 1, CASE WHEN first > 0 THEN -1 END) AS stop
+      FROM s JOIN g USING (k))
+SELECT p.k, page, last > stop AS truncated, page > stop AS after_gap, count(*) AS n_rows FROM p JOIN t USING (k) GROUP BY ALL""")
+def s02_page_flags(spark, sf):
+    """S2 without the cut, on pages that are mostly full (two rows each; page 2
+    of every fifth key is missing, page 1 of the next key is short): every row
+    stays, with flags."""
+    c = table(spark, sf, "customer").select(F.col("c_nationkey").alias("k"), "c_custkey")
+    numbered = B.quota_slots(c, ["k"], ["c_custkey"], 2).withColumnRenamed("window_no", "page")
+    landed = numbered.where(~((F.col("k") % 5 == 0) & (F.col("page") == 2)) & ~((F.col("k") % 5 == 1) & (F.col("call_no") == 4)))
+    kept = S.page_prefix(landed, "k", "page", 2, cut=False)
+    return kept.groupBy("k", "page", "truncated", "after_gap").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 _S3_JSON = """to_json(named_struct('results', array(named_struct(
   'basic', named_struct('organization_name', CASE WHEN c_acctbal < 0 THEN '  ' ELSE c_name END),
   'addresses', filter(array(named_struct('city', n_name, 'state', r_name)), a -> c_custkey % 7 <> 0)))))"""
 
 
+def _s03_results(spark, sf):
+    c = table(spark, sf, "customer")
+    n = table(spark, sf, "nation")
+    r = table(spark, sf, "region")
+    j = c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+    pages = j.select("c_custkey", F.expr(_S3_JSON).alias("body"))
+    return S.registry_results(pages, "body", ["c_custkey"])
+
+
 @register("s03_nested_scan", """
 SELECT c_custkey, CAST(0 AS INTEGER) AS pos, c_name AS name, n_name AS city, r_name AS state
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
@@ -71,13 +101,16 @@ WHERE NOT (c_acctbal < 0) AND c_custkey % 7 <> 0 ORDER BY c_custkey LIMIT 150"""
 def s03_nested_scan(spark, sf):
     """S3: nested registry JSON -> name + first address, invalid rows skipped,
     stop after 150 valid rows (the cap is the feature)."""
-    c = table(spark, sf, "customer")
-    n = table(spark, sf, "nation")
-    r = table(spark, sf, "region")
-    j = c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
-    pages = j.select("c_custkey", F.expr(_S3_JSON).alias("body"))
-    res = S.registry_results(pages, "body", ["c_custkey"])
-    return res.orderBy("c_custkey", "pos").limit(150)
+    return _s03_results(spark, sf).orderBy("c_custkey", "pos").limit(150)
+
+
+@register("s03_nested_scan_all", """
+SELECT c_custkey, CAST(0 AS INTEGER) AS pos, c_name AS name, n_name AS city, r_name AS state
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+WHERE NOT (c_acctbal < 0) AND c_custkey % 7 <> 0""")
+def s03_nested_scan_all(spark, sf):
+    """S3 without the cap: every valid row."""
+    return _s03_results(spark, sf)
 
 
 _FORM = "CASE o_orderstatus WHEN 'F' THEN 'D' WHEN 'O' THEN 'D/A' ELSE '10-K' END"

@@ -25,11 +25,13 @@ def registry_pages(spark: SparkSession, path: str, schema: T.StructType | str) -
     return spark.read.schema(schema).json(path)
 
 
-def page_prefix(df: DataFrame, key: str, page: str, page_size: int, first_page: int = 0) -> DataFrame:
+def page_prefix(df: DataFrame, key: str, page: str, page_size: int, first_page: int = 0, cut: bool = True) -> DataFrame:
     """A key's data ends at its first short page, or before its first
     missing page (a failed fetch returned nothing and ended that key);
     later pages are not part of the result. Adds ``truncated``: rows existed
-    after the cut (the reference silently ignored them).
+    after the cut (the reference silently ignored them). ``cut=False`` keeps
+    every row and adds ``after_gap``: the row itself stands after the cut
+    (both flags are NULL without a key).
 
     Everything runs on the page-count table (one row per key and page):
     the first missing page is found with a hash anti-join of pages against
@@ -43,14 +45,14 @@ def page_prefix(df: DataFrame, key: str, page: str, page_size: int, first_page:
     per_key = counts.groupBy(key).agg(
         F.min(F.when(F.col("_n") < page_size, F.col(page))).alias("_short"),
         F.min(page).alias("_first"), F.max(page).alias("_last"))
-    cut = per_key.join(gaps, key, "left").select(
+    stops = per_key.join(gaps, key, "left").select(
         key, "_last",
         # keep pages <= _stop
         F.least(F.coalesce("_short", "_gap"), F.col("_gap") - 1,
                 F.when(F.col("_first") > first_page, F.lit(first_page - 1))).alias("_stop"))
     from leadsmith.operators.lookup import DEFAULT_SALT, salted_join
-    j = salted_join(df, cut, key, "left", DEFAULT_SALT)  # a hot key is split across tasks
-    kept = j.where(F.col(page) <= F.col("_stop"))
+    j = salted_join(df, stops, key, "left", DEFAULT_SALT)  # a hot key is split across tasks
+    kept = j.where(F.col(page) <= F.col("_stop")) if cut else j.withColumn("after_gap", F.col(page) > F.col("_stop"))
     return kept.withColumn("truncated", F.col("_last") > F.col("_stop")).drop("_stop", "_last")
 
 

@@ -46,6 +46,15 @@ def test_page_prefix_stops_at_short_page(spark):
     assert rows(kept.groupBy("state", "page", "truncated").count()) == [("TX", 0, True, 3)]
 
 
+def test_page_prefix_keeps_all_rows_with_flags(spark):
+    df = spark.createDataFrame([("MI", 0)] * 3 + [("MI", 1)] * 2 + [("MI", 2)] * 3 + [("OH", 0)] * 3 + [("TX", 0)] * 3 + [("TX", 2)] * 3,
+                               "state string, page int")
+    kept = S.page_prefix(df, "state", "page", 3, cut=False)
+    assert rows(kept.groupBy("state", "page", "truncated", "after_gap").count()) == [
+        ("MI", 0, True, False, 3), ("MI", 1, True, False, 2), ("MI", 2, True, True, 3), ("OH", 0, False, False, 3),
+        ("TX", 0, True, False, 3), ("TX", 2, True, True, 3)]
+
+
 def test_registry_results(spark):
     body = ('{"results": [{"basic": {"organization_name": " Smile Dental "}, "addresses": [{"city": "Troy", '
             '"state": "MI"}, {"city": "X", "state": "Y"}]}, {"basic": {"organization_name": ""}, "addresses": '
