@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from llm import (
+    chat_format,
     decontaminate,
     embedding_dedup,
     html_extract,
@@ -10,8 +11,10 @@ from llm import (
     language_id,
     licenses,
     mixing,
+    prefix_trie,
     quality,
     secrets,
+    spelling,
     substring_dedup,
 )
 
@@ -26,6 +29,9 @@ QUERIES = {
     "op8_licenses": licenses.op8_licenses,
     "op9_jaccard_join": jaccard_join.op9_jaccard_join,
     "op10_decontamination": decontaminate.op10_decontamination,
+    "op11_prefix_trie": prefix_trie.op11_prefix_trie,
+    "op12_chat_format": chat_format.op12_chat_format,
+    "op13_spelling": spelling.op13_spelling,
 }
 
 ORACLES = {
@@ -33,4 +39,7 @@ ORACLES = {
     "op7_embedding_dedup": embedding_dedup.ORACLE_OP7,
     "op9_jaccard_join": jaccard_join.ORACLE_OP9,
     "op10_decontamination": decontaminate.ORACLE_OP10,
+    "op11_prefix_trie": prefix_trie.ORACLE_OP11,
+    "op12_chat_format": chat_format.ORACLE_OP12,
+    "op13_spelling": spelling.ORACLE_OP13,
 }
