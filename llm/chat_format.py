@@ -25,6 +25,7 @@ import hashlib
 import re
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -141,9 +142,11 @@ class Place:
 
 
 def _stand_in(turns: list[Turn]) -> str:
-    """A character that occurs in no role and no text."""
-    used = {c for role, text in turns for c in role + text if "\ue000" <= c <= "\uf8ff" or c >= "\U000f0000"}
-    return next(c for c in map(chr, (*range(0xE000, 0xF900), *range(0xF0000, 0x10FFFE))) if c not in used)
+    """A private-use character that occurs in no role and no text."""
+    for c in map(chr, chain(range(0xE000, 0xF900), range(0xF0000, 0x10FFFE))):
+        if not any(c in role or c in text for role, text in turns):
+            return c
+    raise ValueError("every private-use character occurs")
 
 
 def _text_place(template: Template, before: list[Turn], turn: Turn, after: list[Turn], out: str, mark: str) -> tuple[tuple[int, int] | None, bool]:
