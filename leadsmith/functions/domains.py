@@ -151,9 +151,12 @@ def drop_blocked(df, domain: str, blocklist, mode: str = "suffix", entry: str =
     suffixes and hash-joined to the list (never a nested-loop join on
     ``contains``), and the blocked domains are anti-joined back, so the
     explode grows with distinct domains, not rows. A hot domain is split by
-    the salted anti-join. Rows without a domain stay.
+    the salted anti-join. Rows without a domain stay. ``substring``: the
+    domain contains a listed text, see ``drop_containing``.
     """
     from leadsmith.operators.lookup import DEFAULT_SALT, salted_join
+    if mode == "substring":
+        return drop_containing(df, domain, blocklist, entry)
     bl = blocklist.select(F.lower(F.col(entry)).alias("_b")).distinct()
     if mode == "exact":
         keyed = df.withColumn("_b", F.lower(F.col(domain)))
@@ -162,3 +165,45 @@ def drop_blocked(df, domain: str, blocklist, mode: str = "suffix", entry: str =
     ex = doms.select("_d", F.explode(host_suffixes("_d")).alias("_b"))
     blocked = ex.join(bl, "_b").select(F.col("_d").alias(domain)).distinct()
     return salted_join(df, blocked, domain, "left_anti", DEFAULT_SALT).select(*df.columns)
+
+
+def _grams(text: Column, n) -> Column:
+    """Distinct substrings of ``n`` characters (none if the text is shorter)."""
+    n = F.lit(n) if isinstance(n, int) else n
+    places = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - n + 1)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(places, lambda i: F.substring(text, i, n)))
+
+
+def containing(domains, entries, q: int = 4):
+    """(domain, entry): which distinct domains contain which entries.
+
+    ``domains`` (domain) and ``entries`` (entry) are distinct, lower-case and
+    not blank. An inverted index of q-grams: an entry is looked up under its
+    q-gram that the fewest domains hold (a shorter entry under itself), and
+    only the domains that hold this gram are tested with ``contains``. An
+    entry with a gram that no domain holds is in none. All joins are hash
+    joins on grams; hot ones (``.com``) are salted.
+    """
+    from leadsmith.operators.lookup import DEFAULT_SALT, salted_join
+    size = F.least(F.lit(q), F.length("entry"))
+    short = sorted(r[0] for r in entries.where(F.length("entry") < q).select(F.length("entry")).distinct().collect())  # q - 1 numbers at most
+    held = domains.select("domain", F.explode(F.concat(*[_grams(F.col("domain"), k) for k in (*short, q)])).alias("gram"))
+    spread = held.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    asked = entries.select("entry", F.explode(_grams(F.col("entry"), size)).alias("gram"))
+    rarest = (salted_join(asked, spread, "gram", "left", DEFAULT_SALT).groupBy("entry")
+              .agg(F.bool_or(F.col("n").isNull()).alias("absent"), F.min(F.struct("n", "gram")).alias("g"))
+              .where(~F.col("absent")).select("entry", F.col("g.gram").alias("gram")))
+    return salted_join(held, rarest, "gram", "inner", DEFAULT_SALT).where(F.contains("domain", "entry")).select("domain", "entry")
+
+
+def drop_containing(df, domain: str, blocklist, entry: str = "domain", q: int = 4):
+    """Remove rows whose domain contains any text of a (large) list,
+    whatever the case. The list is a table: no literal of it is in the plan,
+    and no nested-loop join. Blank entries block nothing; rows without a
+    domain stay."""
+    from leadsmith.operators.lookup import DEFAULT_SALT, salted_join
+    listed = blocklist.select(F.lower(F.col(entry)).alias("entry")).where(F.length("entry") > 0).distinct()
+    keyed = df.withColumn("_d", F.lower(F.col(domain)))
+    doms = keyed.select(F.col("_d").alias("domain")).where(F.length("domain") > 0).distinct()
+    blocked = containing(doms, listed, q).select(F.col("domain").alias("_d")).distinct()
+    return salted_join(keyed, blocked, "_d", "left_anti", DEFAULT_SALT, salt_from=df.columns).select(*df.columns)

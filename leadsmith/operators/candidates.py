@@ -9,7 +9,7 @@ in every map task before the shuffle) and never sorts a group.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -83,3 +83,56 @@ def rejection_counts(df: DataFrame, entity: str, order: Sequence[str], reason: C
 def outcome_counts(df: DataFrame, outcome: str = "outcome") -> DataFrame:
     """Rows per outcome label."""
     return df.groupBy(outcome).agg(F.count(F.lit(1)).alias("n"))
+
+
+TIER_BUCKETS = 1024  # folders of a landed tier; the unresolved ones are a list of so many numbers at most
+
+
+def tier_bucket(entity: str, buckets: int = TIER_BUCKETS) -> Column:
+    """The folder in which an entity's hits are landed."""
+    return F.pmod(F.xxhash64(entity), F.lit(buckets)).cast("int")
+
+
+def land_tier(hits: DataFrame, path: str, entity: str, buckets: int = TIER_BUCKETS) -> None:
+    """Write a tier's hits in folders by ``tier_bucket``."""
+    (hits.withColumn("bucket", tier_bucket(entity, buckets)).repartition("bucket")
+         .write.mode("overwrite").partitionBy("bucket").parquet(path))
+
+
+def staged_first_valid(entities: DataFrame, tiers: Sequence[Callable[[], DataFrame]], entity: str, order: Sequence[str],
+                       valid: Column, keep: Sequence[str], prefix: str = "", buckets: int = TIER_BUCKETS) -> tuple[DataFrame, list[int]]:
+    """J6 as it was meant: tier n + 1 is read only for entities that tiers 1..n
+    left without an acceptable hit.
+
+    ``tiers`` scan hits landed by ``land_tier``, first tier first. Before a
+    tier is read, the folders that still hold unresolved entities are known
+    (at most ``buckets`` numbers reach the driver) and the scan is pruned to
+    them; what is read is semi-joined with the unresolved entities before
+    any shuffle by entity. Unresolved entities are checkpointed between tiers,
+    so no tier is read twice, and reading ends when none are left.
+
+    Returns (entity, ``tier`` from 1, ``prefix + c`` for each kept column;
+    NULLs without a hit) and the rows read of each tier. An entity's best row
+    is the first valid one by ``order`` of its first tier that has one. NULL
+    entities have no hits. Repeated entities are one.
+    """
+    from leadsmith.operators.lookup import DEFAULT_SALT, salted_join
+    from leadsmith.operators.metrics import StageCounters
+    from leadsmith.session import cut_lineage
+    todo = cut_lineage(entities.where(F.col(entity).isNotNull()).select(entity).distinct().withColumn("bucket", tier_bucket(entity, buckets)))
+    counters, done, read = StageCounters("staged"), [], []
+    for n, scan in enumerate(tiers, 1):
+        wanted = sorted(r[0] for r in todo.select("bucket").distinct().collect())
+        if not wanted:
+            read.append(0)
+            continue
+        hits = counters.watch(scan().where(F.col("bucket").isin(wanted)), f"tier {n}")
+        hits = salted_join(hits.drop("bucket"), todo.select(entity), entity, "left_semi", DEFAULT_SALT)
+        best = first_valid(hits, entity, order, valid, keep, prefix).where("n_valid > 0").drop("n_candidates", "n_valid")
+        done.append(cut_lineage(best.withColumn("tier", F.lit(n))))
+        read.append(counters.counts()[f"tier {n}"]["n_rows"])
+        todo = cut_lineage(todo.join(done[-1].select(entity), entity, "left_anti"))
+    out = todo.select(entity)
+    for found in done:
+        out = out.unionByName(found, allowMissingColumns=True)
+    return out, read

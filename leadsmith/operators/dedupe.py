@@ -44,3 +44,48 @@ def dedupe_capped(df: DataFrame, group: str, pos: str, cap: int | None, value: s
     is blocked too, so block-after-seen gives the same rows)."""
     kept = df.where((F.lit(True) if cap is None else F.col(pos) < cap) & (F.coalesce(F.col(value), F.lit("")) != "") & ~blocked)
     return keep_first(kept, [group, value], [pos], cols=[group, value, pos])
+
+
+LEDGER_BUCKETS = 256
+
+
+class KeyLedger:
+    """A3 across runs: which keys earlier runs have kept.
+
+    The ledger is a folder of keys by key hash and run. A run reads only the
+    hash folders in which its own new keys fall, and never its own entries,
+    so that repeating a run gives the same rows. Keys of a run are written
+    by ``commit``, after its output: a run that died before is simply
+    repeated. Two runs give the rows of one if the first one's rows come first.
+    """
+
+    def __init__(self, path: str, key: str, key_type: str = "string", buckets: int = LEDGER_BUCKETS):
+        self.path, self.key, self.buckets = path, key, buckets
+        self.schema = f"{key} {key_type}, bucket int, run string"
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
+
+    def seen(self, spark, buckets: Sequence[int], run: str) -> DataFrame:
+        """Keys that other runs have committed, of these hash folders only."""
+        spark.createDataFrame([], self.schema).write.mode("ignore").partitionBy("bucket", "run").parquet(self.path)
+        ledger = spark.read.schema(self.schema).parquet(self.path)
+        return ledger.where(F.col("bucket").isin(list(buckets)) & (F.col("run") != run)).select(self.key)
+
+    def new(self, df: DataFrame, order: Sequence[str], run: str, cols: Sequence[str] | None = None) -> DataFrame:
+        """Keep-first rows of ``df`` (as ``keep_first``) whose key no other run has.
+
+        Rows with a NULL key have no identity and are all kept. The result is
+        checkpointed: reading it again does not see what ``commit`` adds."""
+        from leadsmith.session import cut_lineage
+        cols = list(cols or df.columns)
+        first = cut_lineage(keep_first(df.where(F.col(self.key).isNotNull()), self.key, order, cols))
+        buckets = sorted(r[0] for r in first.select(self._bucket().alias("b")).distinct().collect())  # ``buckets`` numbers at most
+        fresh = first.join(self.seen(df.sparkSession, buckets, run), self.key, "left_anti")
+        return cut_lineage(fresh.select(*cols).unionByName(df.where(F.col(self.key).isNull()).select(*cols)))
+
+    def commit(self, kept: DataFrame, run: str) -> None:
+        """Enter the keys of ``kept`` under ``run``; again is the same as once."""
+        keys = kept.where(F.col(self.key).isNotNull()).select(self.key, self._bucket().alias("bucket"), F.lit(run).alias("run"))
+        (keys.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("bucket", "run").parquet(self.path))

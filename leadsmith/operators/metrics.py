@@ -99,3 +99,37 @@ def with_counters(df: DataFrame, name: str, counters: dict[str, Column]):
     aggs = [F.count(F.lit(1)).alias("n_rows")] + [F.count_if(F.coalesce(c, F.lit(False))).alias(k)
                                                   for k, c in counters.items()]
     return df.observe(obs, *aggs), obs
+
+
+class StageCounters:
+    """E4 for whole flows: what each stage kept and removed, counted by the jobs
+    that run anyway.
+
+    ``watch`` counts on the way; it belongs before a shuffle by key, since a
+    range sort samples the operators right below it and would count their
+    rows twice. ``settle`` writes the stage once to the shared folder and
+    counts in that job: for stages that several outputs read, which are then
+    computed once. A task that is run again for a lost executor may count its
+    rows again in ``watch``; ``settle`` counts are final when it returns.
+    """
+
+    def __init__(self, name: str):
+        self.name, self._seen = name, []
+
+    def watch(self, df: DataFrame, stage: str, **counters: Column) -> DataFrame:
+        out, obs = with_counters(df, f"{self.name}.{stage}", counters)
+        self._seen.append((stage, obs))
+        return out
+
+    def settle(self, df: DataFrame, stage: str, **counters: Column) -> DataFrame:
+        from leadsmith.session import cut_lineage
+        return cut_lineage(self.watch(df, stage, **counters))
+
+    def counts(self) -> dict[str, dict[str, int]]:
+        """Per stage, after the jobs that pass it (it waits for them)."""
+        return {stage: dict(obs.get) for stage, obs in self._seen}
+
+    def frame(self, spark) -> DataFrame:
+        """(stage, counter, n), one row a counter."""
+        rows = [(stage, name, n) for stage, found in self.counts().items() for name, n in found.items()]
+        return spark.createDataFrame(rows, "stage string, counter string, n bigint")

@@ -83,7 +83,18 @@ def needs_work(domain, name, email) -> Column:
     return nonblank(domain) & ~nonblank(name) & ~nonblank(email)
 
 
-def filter_counted(df: DataFrame, keep: Column, label: str = "kept") -> tuple[DataFrame, DataFrame]:
-    """F13 with counts: (kept rows, one-row kept/removed counts)."""
+def filter_counted(df: DataFrame, keep: Column, label: str = "kept", counters=None) -> tuple[DataFrame, DataFrame]:
+    """F13 with counts: (kept rows, one-row kept/removed counts).
+
+    The counts are a second pass over ``df``. With ``counters`` (a
+    ``StageCounters``) there is one: the rows, each with its verdict, are
+    written once to the shared folder and counted by that job. Rows whose
+    test is NULL are removed and counted in neither, as ``where`` drops them.
+    """
+    if counters is not None:
+        settled = counters.settle(df.withColumn("_keep", keep), "filter", **{f"n_{label}": F.col("_keep"), "n_removed": ~F.col("_keep")})
+        found = counters.counts()["filter"]
+        one = df.sparkSession.createDataFrame([(found[f"n_{label}"], found["n_removed"])], f"n_{label} bigint, n_removed bigint")
+        return settled.where("_keep").drop("_keep"), one
     counts = df.agg(F.count_if(keep).alias(f"n_{label}"), F.count_if(~keep).alias("n_removed"))
     return df.where(keep), counts

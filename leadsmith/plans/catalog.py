@@ -16,6 +16,7 @@ MODULES = [
     "leadsmith.plans.q_sources",
     "leadsmith.plans.q_streaming",
     "leadsmith.plans.q_flows",
+    "leadsmith.plans.q_landed",
 ]
 
 

@@ -50,7 +50,8 @@ class CarrierConfig:
 
 
 def carrier_leads(pages: DataFrame, cfg: CarrierConfig = CarrierConfig(), orgs: DataFrame | None = None,
-                  people: DataFrame | None = None, contacts: DataFrame | None = None) -> DataFrame:
+                  people: DataFrame | None = None, contacts: DataFrame | None = None,
+                  counters: M.StageCounters | None = None) -> DataFrame:
     """Registry pages (``state, page, pos`` + registry fields) ->
     back-fill -> non-blank id/name -> numeric range -> keep-first per id ->
     records -> optional enrichment for rows without an e-mail -> sorted.
@@ -58,10 +59,15 @@ def carrier_leads(pages: DataFrame, cfg: CarrierConfig = CarrierConfig(), orgs:
     ``orgs``: (company, rank, org_id, and domain for the fallback);
     ``people``: (org_id, pos, first_name, last_name, title, email);
     ``contacts``: (domain, pos, first_name, last_name, position, value) for
-    the fallback by the organisation's domain.
+    the fallback by the organisation's domain. ``counters`` counts the rows
+    read, named and in range on the way, and the records by e-mail.
     """
     df = S.backfill(pages, CARRIER_FIELDS).fillna("", subset=CARRIER_FIELDS)
-    df = df.where(X.nonblank("dot_number") & X.nonblank("legal_name"))
+    named = X.nonblank("dot_number") & X.nonblank("legal_name")
+    if counters is not None:
+        in_range = named & P.in_range("nbr_power_unit", cfg.min_units, cfg.max_units)
+        df = counters.watch(df, "registry", n_named=named, n_in_range=in_range)
+    df = df.where(named)
     df = df.where(P.in_range("nbr_power_unit", cfg.min_units, cfg.max_units))
     # The reference de-duplicated on the unstripped id; strip first
     df = DD.keep_first(df.withColumn("_id", X.strip("dot_number")), "_id", ["state", "page", "pos"])
@@ -72,6 +78,8 @@ def carrier_leads(pages: DataFrame, cfg: CarrierConfig = CarrierConfig(), orgs:
         X.strip("phy_street").alias("address"), X.strip("phy_city").alias("city"),
         X.strip("phy_state").alias("state"), X.strip("phy_zip").alias("zip_code"))
     rec = rec.withColumn("email_source", X.provenance("email", "registry"))
+    if counters is not None:
+        rec = counters.settle(rec, "records", n_email=X.nonblank("email"), n_to_enrich=~X.nonblank("email"))
     if orgs is not None and people is not None:
         rec = _carrier_enrich(rec, cfg, orgs, people, contacts)
     rec = S.backfill(rec, CARRIER_OUTPUT)
@@ -154,14 +162,15 @@ class ClinicConfig:
 
 
 def clinic_leads(registry: DataFrame, hits: DataFrame, pages: DataFrame, contacts: DataFrame,
-                 cfg: ClinicConfig = ClinicConfig()) -> tuple[DataFrame, DataFrame]:
+                 cfg: ClinicConfig = ClinicConfig(), counters: M.StageCounters | None = None) -> tuple[DataFrame, DataFrame]:
     """Registry JSON pages -> clinics (N9 names) -> first valid search
     hit (F6 -> F7 -> F4, J5) -> homepage text (S11, X3) -> rubric (X5/X7) ->
     score >= threshold -> contact by keyword (W3) -> output and A7 counts.
 
     registry: (page, body json); hits: (clinic_id, rank, href);
     pages: (domain, html); contacts: (domain, pos, first_name, last_name,
-    position, value).
+    position, value). With ``counters``, hits and scored clinics are written
+    once to the shared folder: both outputs read the tested hits from there.
     """
     clinics = S.registry_results(registry, "body", ["page"])
     if cfg.cap is not None:  # O4: the cap counts valid rows, a bounded top-k
@@ -173,8 +182,11 @@ def clinic_leads(registry: DataFrame, hits: DataFrame, pages: DataFrame, contact
                                  ("restricted_suffix", D.blocked_suffix("domain", cfg.restricted_suffixes)),
                                  ("blocklist", D.blocked_substring("domain", cfg.blocklist)),
                                  ("empty", ~X.nonblank("domain"))])
-    rejections = C.rejection_counts(h, "clinic_id", ["rank"], reason)
-    site = C.first_valid(h.withColumn("_r", reason), "clinic_id", ["rank"], F.col("_r") == "ok", ["domain"])
+    h = h.withColumn("_r", reason)
+    if counters is not None:
+        h = counters.settle(h, "hits", n_ok=F.col("_r") == "ok", n_rejected=F.col("_r") != "ok")
+    rejections = C.rejection_counts(h, "clinic_id", ["rank"], F.col("_r"))
+    site = C.first_valid(h, "clinic_id", ["rank"], F.col("_r") == "ok", ["domain"])
     c = clinics.join(site.select("clinic_id", F.col("domain").alias("website")), "clinic_id", "left")
     # parse only the homepages some clinic chose, each once (a site shared
     # by many clinics is still parsed once)
@@ -188,6 +200,8 @@ def clinic_leads(registry: DataFrame, hits: DataFrame, pages: DataFrame, contact
     c = c.select("*", F.coalesce("s.icp_score", F.lit(0)).alias("icp_score"),
                  F.coalesce("s.booking_system", F.lit("Unknown")).alias("booking_system"),
                  F.coalesce("s.reasoning", F.lit("No homepage text available for analysis.")).alias("agentic_reasoning")).drop("s")
+    if counters is not None:
+        c = counters.settle(c, "scored", n_site=F.col("website").isNotNull(), n_kept=F.col("icp_score") >= cfg.threshold)
     # Clinics without a site keep score 0 and are dropped here
     c = c.where(F.col("icp_score") >= cfg.threshold)
     c = c.withColumn("reason", P.eligibility("website", D.blocked_substring("website", cfg.blocklist)))
@@ -314,14 +328,18 @@ class BridgeConfig:
 
 
 def brand_bridge(brands: DataFrame, suggest: DataFrame, contacts: DataFrame,
-                 cfg: BridgeConfig = BridgeConfig()) -> tuple[DataFrame, DataFrame]:
+                 cfg: BridgeConfig = BridgeConfig(), counters: M.StageCounters | None = None) -> tuple[DataFrame, DataFrame]:
     """First suggest hit only (J8, C13) -> eligibility (F15) -> call
     budget in seed order (W7) -> four-level contact cascade (W5) -> merge
     back (J9). brands: (ordinal, brand_name); suggest: (ordinal, rank,
-    domain); contacts: (domain, pos, first_name, last_name, position, value)."""
+    domain); contacts: (domain, pos, first_name, last_name, position, value).
+    With ``counters``, the brands with their first hits are written once to
+    the shared folder; both outputs read them from there."""
     first = C.first_hit(suggest, "ordinal", ["rank"], "domain", D.blocked_substring("domain", cfg.blocklist))
     b = brands.join(first.select("ordinal", F.col("domain").alias("website"), "outcome"), "ordinal", "left") \
               .withColumn("outcome", F.coalesce("outcome", F.lit("not_found")))
+    if counters is not None:
+        b = counters.settle(b, "first_hits", **{f"n_{o}": F.col("outcome") == o for o in ("found", "blocked", "not_found")})
     counts = C.outcome_counts(b)
     elig = b.withColumn("reason", P.eligibility("website", D.blocked_substring("website", cfg.blocklist)))
     called = elig.where(F.col("reason") == "ok")
@@ -413,15 +431,17 @@ class FilingConfig:
     cap: int | None = None
 
 
-def funded_startups(index_lines: DataFrame, filings: DataFrame, cfg: FilingConfig = FilingConfig()) -> tuple[DataFrame, DataFrame]:
+def funded_startups(index_lines: DataFrame, filings: DataFrame, cfg: FilingConfig = FilingConfig(),
+                    counters: M.StageCounters | None = None) -> tuple[DataFrame, DataFrame]:
     """Index lines (day, value) of several days (U2) -> parsed (S4,
     F18) -> one row per accession, first day wins (A3) -> institutional
     names dropped with counts (F13) -> optional cap (K4) -> filing text
     attached by path (J13) -> location (X1/X2) -> ISO date (N12).
-    filings: (rel_path, text)."""
+    filings: (rel_path, text). With ``counters``, F13 counts in the job that
+    writes the filtered rows to the shared folder."""
     rows = S.index_rows(index_lines, "value", forms=cfg.forms, keep=["day"])
     rows = DD.keep_first(rows, X.accession("rel_path"), ["day", "rel_path"], key_name="accession")
-    kept, counts = P.filter_counted(rows, ~X.contains_any("company_name", cfg.institutional))
+    kept, counts = P.filter_counted(rows, ~X.contains_any("company_name", cfg.institutional), counters=counters)
     if cfg.cap:
         kept = kept.orderBy("day", "accession").limit(cfg.cap)
     # located where the text is read: only (rel_path, state) is shuffled

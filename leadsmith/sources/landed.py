@@ -132,6 +132,36 @@ def read_csv_inferred(spark: SparkSession, path: str, required: Sequence[str]) -
     return df.where(cond)
 
 
+SAMPLE_LINES = 10_000
+
+
+def sampled_schema(spark: SparkSession, path: str, lines: int = SAMPLE_LINES) -> T.StructType:
+    """Types inferred from the first ``lines`` lines (the bound of what is read
+    and of what reaches the driver). A header that comes again is not data."""
+    head = [r["value"] for r in spark.read.text(path).limit(lines).collect()]
+    data = head[:1] + [x for x in head[1:] if x != head[0]]
+    return spark.read.csv(spark.sparkContext.parallelize(data, 1), header=True, inferSchema=True).schema
+
+
+def read_csv_rescued(spark: SparkSession, path: str, required: Sequence[str], schema: T.StructType | None = None,
+                     rescued: str = "_rescued", lines: int = SAMPLE_LINES) -> DataFrame:
+    """S7 in one pass: types from a bounded sample (or given), and a column
+    that holds the whole line of a row that does not fit them.
+
+    A later value of another type, a missing or an extra field makes the row
+    a rescued one: fields that fit are read, the others are NULL, and
+    nothing is lost. Other rows are kept when their required fields are
+    non-blank (C4). Records are lines: quoted line breaks are not read.
+    """
+    fields = (schema or sampled_schema(spark, path, lines)).fields
+    full = T.StructType([*fields, T.StructField(rescued, T.StringType())])
+    df = spark.read.csv(path, header=True, schema=full, mode="PERMISSIVE", columnNameOfCorruptRecord=rescued)
+    filled = F.lit(True)
+    for c in required:
+        filled = filled & nonblank(F.col(c).cast("string"))
+    return df.where(F.col(rescued).isNotNull() | filled)
+
+
 # --- S8: inline seed list ----------------------------------------------------
 
 def seed_list(spark: SparkSession, rows: Iterable[tuple], schema: str, head: int | None = None) -> DataFrame:

@@ -48,6 +48,65 @@ def incremental_enrichment(spark: SparkSession, source: str, schema, lookup: Dat
     return q
 
 
+def late_enrichment(entities: DataFrame, lookups: DataFrame, key: str, at: str, landed: str, order: list[str], keep: list[str],
+                    wait: str = "1 day", delay: str = "1 hour") -> DataFrame:
+    """T1 where a lookup may land after its entity: every row of ``entities``
+    once, with the best of the lookups that land up to ``wait`` after it.
+
+    ``entities`` (key, ``at``, ...) and ``lookups`` (key, ``landed``, order and
+    kept columns) are streams. A left outer join by key and time range keeps
+    both sides in state only as long as they can still match; the best
+    lookup (smallest ``order``, unique per key) is one aggregate by the
+    entity's row, final when the watermark (``delay`` behind the latest rows
+    of both sides) has passed. So the result does not depend on files,
+    batches or on which side came first; an entity that is without a lookup
+    till then has NULLs. Rows later than ``delay`` are late and are not read.
+    Equal rows of ``entities`` count as one. Also works on static DataFrames.
+    """
+    left = entities.withWatermark(at, delay)
+    right = lookups.select(F.col(key).alias("_k"), F.col(landed).alias("_landed"), F.struct(*order).alias("_order"),
+                           F.struct(*keep).alias("_kept")).withWatermark("_landed", delay)
+    within = (F.col(key) == F.col("_k")) & (F.col("_landed") <= F.col(at) + F.expr(f"INTERVAL {wait}")) & (F.col("_landed") >= F.col(at) - F.expr(f"INTERVAL {wait}"))
+    joined = left.join(right, within, "left_outer")
+    best = joined.groupBy(*[F.col(c) for c in entities.columns]).agg(F.min_by("_kept", "_order").alias("_best"))
+    return best.select(*entities.columns, *[F.col("_best")[c].alias(c) for c in keep])
+
+
+def run_late_enrichment(spark: SparkSession, entities: str, entity_schema: str, lookups: str, lookup_schema: str, key: str, at: str,
+                        landed: str, order: list[str], keep: list[str], out: str, checkpoint: str, wait: str = "1 day",
+                        delay: str = "1 hour", max_files: int | None = None, close: bool = False):
+    """``late_enrichment`` of two folders into parquet, as far as the watermark
+    has come; the rest waits for the next run. ``close`` ends the streams by a
+    row each beside the checkpoint: all that waits is written. NULL keys and
+    rows without a time match nothing; the latter are not read."""
+    def stream(path, schema, end):
+        reader = spark.readStream.schema(schema)
+        if max_files:
+            reader = reader.option("maxFilesPerTrigger", max_files)
+        empty = spark.createDataFrame([], schema)
+        empty.write.mode("ignore").parquet(end)
+        return reader.parquet(path).select(*empty.columns).unionByName(spark.readStream.schema(schema).parquet(end))
+
+    ends = [f"{checkpoint.rstrip('/')}-end-{side}" for side in ("entities", "lookups")]
+
+    def run():
+        result = late_enrichment(stream(entities, entity_schema, ends[0]), stream(lookups, lookup_schema, ends[1]), key, at, landed, order, keep, wait, delay)
+        # the closing rows have a key and a time, as filters on these go below the watermark
+        q = (result.where(F.col(at) < F.lit(CLOSING).cast("timestamp")).writeStream.format("parquet").option("path", out)
+             .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start())
+        q.awaitTermination()
+        return q
+
+    q = run()
+    if close:
+        for end, schema, time in ((ends[0], entity_schema, at), (ends[1], lookup_schema, landed)):
+            empty = spark.createDataFrame([], schema)
+            cols = [F.lit(CLOSING if c == time else "0" if c == key else None).cast(t).alias(c) for c, t in empty.dtypes]
+            spark.range(1).select(*cols).write.mode("append").parquet(end)
+        q = run()
+    return q
+
+
 # Times stay on the event clock as given (no time-zone conversion): the
 # recurrence only compares and adds durations.
 QUOTA_OUT = ("caller long, event_id long, ts timestamp_ntz, admitted_at timestamp_ntz, "
