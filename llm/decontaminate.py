@@ -60,7 +60,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, id_col: s
                   item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated).
 
-    One row per distinct (doc_id, text); a null id is an id like any other.
+    One row per input row, repeated ones too; a null id is an id like any other.
     Null, empty and wordless texts have no words and no hits; wordless items
     no windows. Items with equal windows all count. Without items nothing is
     hit. Items with a null id are not counted by id, their windows still
@@ -80,6 +80,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, id_col: s
     around = 2 * window - 1
 
     def candidates(batches):
+        row = 0
         for b in batches:
             for lo, hi, w in pieces(b["text"], ALNUM):
                 at = np.flatnonzero(bitmap.value.may_hold(w.hashes))
@@ -92,30 +93,35 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, id_col: s
                      pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * around), pa.array(ctx.ravel()))],
                     names=["key", "pos", "ctx"])
                 n = w.counts()
+                rows, row = np.arange(row, row + hi - lo), row + hi - lo
                 yield pa.RecordBatch.from_arrays(
-                    [b["id"].slice(lo, hi - lo), pa.array(w.whole().astype(np.int64)), pa.array(n.astype(np.int64)),
-                     pa.ListArray.from_arrays(pa.array(offsets), found)], names=["id", "text_key", "n_words", "found"])
+                    [pa.array(rows), b["id"].slice(lo, hi - lo), pa.array(w.whole().astype(np.int64)), pa.array(n.astype(np.int64)),
+                     pa.ListArray.from_arrays(pa.array(offsets), found)], names=["row", "id", "text_key", "n_words", "found"])
 
-    schema = "id bigint, text_key bigint, n_words bigint, found array<struct<key:bigint,pos:int,ctx:array<bigint>>>"
+    schema = "row bigint, id bigint, text_key bigint, n_words bigint, found array<struct<key:bigint,pos:int,ctx:array<bigint>>>"
     scan = src.mapInArrow(candidates, schema)
-    one = scan.select("id", "text_key", "n_words", F.explode_outer("found").alias("f"))
-    # a text without candidates still gets its row: a key of its own that no window has
+    # every row also gets an entry without a place: a key of its own that fits no window
+    none = F.array(F.lit(None).cast("struct<key:bigint,pos:int,ctx:array<bigint>>"))
+    one = scan.select("row", "id", "text_key", "n_words", F.explode(F.concat(none, "found")).alias("f"))
     one = one.select("id", "text_key", "n_words", F.col("f.pos").alias("pos"), F.col("f.ctx").alias("ctx"),
-                     F.coalesce(F.col("f.key"), F.xxhash64("id", "text_key")).alias("key"))
+                     F.coalesce(F.col("f.key"), F.xxhash64("row", "id", "text_key")).alias("key"))
     size = F.size("words")
     start = F.col("pos") - F.col("at")
     fits = ((one["key"] == windows["key"]) & (start >= 0) & (start + size <= F.col("n_words"))
             & (F.slice("ctx", F.lit(window) - F.col("at"), size) == F.col("words")))
-    hit = one.join(windows, fits, "left").select("id", "text_key", "n_words", "item_id", F.when(F.col("words").isNotNull(), start).alias("start"), size.alias("len"))
+    hit = one.join(windows, fits, "left").select("id", "text_key", "n_words", "item_id", F.col("pos").isNull().alias("whole"), F.when(F.col("words").isNotNull(), start).alias("start"), size.alias("len"))
     per = hit.groupBy("id", "text_key", "n_words").agg(
-        F.collect_set("item_id").alias("items"), F.sort_array(F.collect_set(F.struct("start", "len"))).alias("spans"))
+        F.count_if("whole").alias("rows"), F.collect_set("item_id").alias("items"), F.sort_array(F.collect_set(F.struct("start", "len"))).alias("spans"))
     spans = F.filter("spans", lambda s: s["start"].isNotNull())
     covered = F.aggregate(
         spans, F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0).alias("end")),
         lambda acc, s: F.struct(
             (acc["n"] + F.greatest(F.lit(0), s["start"] + s["len"] - F.greatest(acc["end"], s["start"]))).cast("bigint").alias("n"),
             F.greatest(acc["end"], s["start"] + s["len"]).alias("end")))["n"]
-    return per.select(F.col("id").alias("doc_id"), "n_words", covered.alias("n_hit"),
+    # equal rows were one group: as many again, a bounded array at a time
+    per = per.select("*", covered.alias("n_hit"), F.explode(F.expr("sequence(0, rows - 1, 10000)")).alias("at"))
+    per = per.select("*", F.explode(F.sequence(F.lit(1), F.least(F.lit(10_000), F.col("rows") - F.col("at")).cast("int"))))
+    return per.select(F.col("id").alias("doc_id"), "n_words", "n_hit",
                       F.size("items").cast("bigint").alias("n_items"),
                       F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
                       (F.size(spans) > 0).alias("contaminated"))
