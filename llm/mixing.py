@@ -71,7 +71,11 @@ def exponent(sources: DataFrame, budget: float, entropy_gain: float, max_repeats
 def mixed(docs: DataFrame, budget_ratio: float = 1.0, entropy_gain: float = 0.5, max_repeats: float = 4.0, seed: int = 1,
           id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """``docs``, one row per drawn copy, and the columns n_tokens, mix_weight,
-    epoch, block and mix_key (sort by it to get the mixed order).
+    mix_shortfall, epoch, block and mix_key (sort by it to get the mixed order).
+
+    No source is drawn more than ``max_repeats`` times. If the budget is so
+    large that no exponent allows that, quotas are cut at the limit, and
+    mix_shortfall says how many tokens of its quota a source lost (else 0).
 
     The budget is ``budget_ratio`` times the tokens of the input; a token is
     a run of non-space bytes. Null texts have no tokens, and documents of a
@@ -80,7 +84,7 @@ def mixed(docs: DataFrame, budget_ratio: float = 1.0, entropy_gain: float = 0.5,
     share a leaf and are drawn together. An empty table gives an empty one.
     An input column with the name of a new one is replaced.
     """
-    new = ["n_tokens", "mix_weight", "epoch", "block", "mix_key"]
+    new = ["n_tokens", "mix_weight", "mix_shortfall", "epoch", "block", "mix_key"]
     kept = [c for c in docs.columns if c.lower() not in new]
     rows = docs.select(*kept, _tokens(text_col).alias("n_tokens"),
                        F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("")).alias("_llm_source"),
@@ -93,8 +97,9 @@ def mixed(docs: DataFrame, budget_ratio: float = 1.0, entropy_gain: float = 0.5,
     a = exponent(sources, budget, entropy_gain, max_repeats)
     z = sources.agg(F.sum(F.pow(F.col("tokens") / F.lit(float(total or 1)), F.lit(a))).alias("z")).first()["z"] or 1.0
     weight = F.pow(F.col("tokens") / F.lit(float(total or 1)), F.lit(a)) / F.lit(z)
-    quota = F.round(weight * F.lit(budget)).cast("bigint")
-    plan = (sources.withColumn("mix_weight", weight).withColumn("quota", quota)
+    asked = F.round(weight * F.lit(budget)).cast("bigint")
+    quota = F.least(asked, F.floor(F.col("tokens") * F.lit(float(max_repeats))).cast("bigint"))
+    plan = (sources.withColumn("mix_weight", weight).withColumn("quota", quota).withColumn("mix_shortfall", asked - quota)
             .withColumn("epochs", F.expr("quota div tokens").cast("int"))
             .withColumn("rest", F.col("quota") - F.col("epochs") * F.col("tokens")))
 
@@ -111,8 +116,8 @@ def mixed(docs: DataFrame, budget_ratio: float = 1.0, entropy_gain: float = 0.5,
     part = (leaves.join(cut, ["_llm_source", "block"])
             .withColumn("upto", F.sum("tokens").over(by_leaf.rowsBetween(Window.unboundedPreceding, 0)))
             .where("upto <= left").groupBy("_llm_source").agg(F.first("block").alias("cut"), F.collect_set("_llm_leaf").alias("leaves")))
-    decided = (plan.select("_llm_source", "mix_weight", "epochs").join(taken, "_llm_source", "left").join(part, "_llm_source", "left")
-               .select("_llm_source", "mix_weight", "epochs", F.coalesce("whole", F.array().cast("array<int>")).alias("whole"), "cut",
+    decided = (plan.select("_llm_source", "mix_weight", "mix_shortfall", "epochs").join(taken, "_llm_source", "left").join(part, "_llm_source", "left")
+               .select("_llm_source", "mix_weight", "mix_shortfall", "epochs", F.coalesce("whole", F.array().cast("array<int>")).alias("whole"), "cut",
                        F.coalesce("leaves", F.array().cast("array<int>")).alias("leaves")))
     # a hot source is spread over SALT keys; the other side is one row a source and salt
     decided = checkpointed(decided).withColumn("_llm_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
@@ -125,7 +130,7 @@ def mixed(docs: DataFrame, budget_ratio: float = 1.0, entropy_gain: float = 0.5,
     # blocks of all sources, permuted anew in every epoch; documents in hash order within a block
     key = F.shiftleft(F.pmod(_draw(seed + 5, "_llm_source", "epoch", "block"), F.lit(1 << 30)), 32) + F.pmod(
         _draw(seed + 6, F.col(id_col), "epoch"), F.lit(1 << 32))
-    return drawn.select(*kept, "n_tokens", "mix_weight", "epoch", "block", key.alias("mix_key"))
+    return drawn.select(*kept, "n_tokens", "mix_weight", "mix_shortfall", "epoch", "block", key.alias("mix_key"))
 
 
 def op2_mixing(spark, sf_dir):
