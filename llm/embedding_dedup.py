@@ -33,23 +33,36 @@ def _matrix(column: pa.ListArray) -> np.ndarray:
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
+    """Rows scaled to length 1; by their largest component first, whose square could be 0 or infinite."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
 def principal_directions(vecs: DataFrame, dim: int) -> np.ndarray:
     """(dim, up to LEADING) leading eigenvectors of the covariance of the unit
-    vectors; each task sends one matrix of dim x dim sums."""
+    vectors. Each task adds up its vectors' products; the rows of these
+    matrices are added in Spark by row, and one matrix reaches the driver."""
 
     def sums(batches):
         total, outer, n = np.zeros(dim), np.zeros((dim, dim)), 0
         for b in batches:
             x = _unit(_matrix(b["v"]))
             total, outer, n = total + x.sum(0), outer + x.T @ x, n + len(x)
-        yield pa.RecordBatch.from_pydict({"n": [n], "s": pa.array([total], pa.list_(pa.float64())), "o": pa.array([outer.ravel()], pa.list_(pa.float64()))})
+        rows = np.vstack([outer, total, np.full(dim, n, dtype=np.float64)])
+        yield pa.RecordBatch.from_pydict({"i": pa.array(np.arange(dim + 2)), "x": pa.array(list(rows), pa.list_(pa.float64()))})
 
-    total, outer, n = np.zeros(dim), np.zeros((dim, dim)), 0
-    for r in vecs.select("v").mapInArrow(sums, "n bigint, s array<double>, o array<double>").toLocalIterator():
-        total, outer, n = total + np.array(r["s"]), outer + np.array(r["o"]).reshape(dim, dim), n + r["n"]
+    def add(batches):
+        rows = {}
+        for b in batches:
+            for i, x in zip(b["i"].to_pylist(), b["x"]):
+                rows[i] = rows.get(i, 0) + x.values.to_numpy()
+        if rows:
+            yield pa.RecordBatch.from_pydict({"i": pa.array(list(rows), pa.int64()), "x": pa.array(list(rows.values()), pa.list_(pa.float64()))})
+
+    schema = "i bigint, x array<double>"
+    found = vecs.select("v").mapInArrow(sums, schema).repartition("i").mapInArrow(add, schema).toArrow()
+    rows = dict(zip(found["i"].to_pylist(), found["x"].to_pylist()))
+    outer, total, n = np.array([rows[i] for i in range(dim)]), np.array(rows[dim]), rows[dim + 1][0]
     mean = total / max(n, 1)
     _, directions = np.linalg.eigh(outer / max(n, 1) - np.outer(mean, mean))
     return np.ascontiguousarray(directions[:, ::-1][:, :LEADING])
