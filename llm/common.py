@@ -14,7 +14,7 @@ from leadsmith.session import checkpoint_dir
 from leadsmith.sources.tables import table
 from llm.words import mix
 
-__all__ = ["Bitmap", "checkpointed", "components", "count_table", "fold", "table"]
+__all__ = ["Bitmap", "checkpointed", "components", "count_table", "fold", "row_key", "table"]
 
 
 def fold(doc_id: str, mod: int) -> Column:
@@ -22,6 +22,11 @@ def fold(doc_id: str, mod: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % mod
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """A key of (id, text), nulls included: rows with equal ids and other texts have other keys."""
+    return F.xxhash64(F.lit(11), F.col(id_col), F.col(text_col), F.length(text_col))
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage by a reliable checkpoint in the shared folder."""
     checkpoint_dir(df.sparkSession)

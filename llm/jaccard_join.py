@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import Bitmap, checkpointed, components, count_table, table
+from leadsmith.operators.lookup import salted_join
+from llm.common import Bitmap, checkpointed, components, count_table, row_key, table
 from llm.words import SPACED_LOWER, Words, hash_run, mix, pieces
 
 ORDER_BITS = 20
@@ -203,19 +204,29 @@ def link_classes(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "
 
 
 def without_copies(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the documents whose component has a smaller id.
+    """``docs`` without the copies: of each component one document stays, the one
+    with the smallest id.
 
-    Documents without words and null ids stay; of rows with one id one
-    stays. Columns are unchanged.
+    A document is an id and a text: other texts under the same id are other
+    documents. Of equal rows (id and text) one stays. Documents without
+    words and rows with a null id have no copies; all of them stay. Columns
+    are unchanged.
     """
-    links = checkpointed(link_classes(docs, k, percent, id_col, text_col))
-    gone = links.where("component_id < doc_id").select(F.col("doc_id").alias("_llm_id")).distinct()
-    left = docs.join(gone, F.col(id_col) == F.col("_llm_id"), "left_anti")
-    repeated = links.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1").select(F.col("doc_id").alias("_llm_id"))
-    if repeated.isEmpty():
-        return left
-    again = left.join(repeated, F.col(id_col) == F.col("_llm_id"), "left_semi").dropDuplicates([id_col])
-    return left.join(repeated, F.col(id_col) == F.col("_llm_id"), "left_anti").unionByName(again)
+    key = "_llm_key"
+    keyed = docs.withColumn(key, F.when(F.col(id_col).isNotNull(), row_key(id_col, text_col)))
+    links = checkpointed(link_classes(keyed.select(key, F.col(text_col).alias("text")), k, percent, key, "text")
+                         .where("n_shingles > 0 and doc_id is not null"))
+    shared = links.where("component_id <> doc_id").select("component_id").distinct()
+    members = checkpointed(salted_join(links.select("component_id", F.col("doc_id").alias(key)).distinct(), shared, "component_id", "left_semi"))
+    ids = keyed.select(key, F.col(id_col).alias("_llm_id")).join(members.select(key), key, "left_semi").distinct()
+    first = (members.join(ids, key).groupBy("component_id")
+             .agg(F.min(F.struct(F.col("_llm_id").alias("i"), F.col(key).alias("k"))).alias("m")).select(F.col("m.k").alias(key)))
+    left = keyed.join(members.select(key).join(first, key, "left_anti"), key, "left_anti")
+    repeated = checkpointed(links.groupBy(F.col("doc_id").alias(key)).agg(F.count("*").alias("c")).where("c > 1").select(key))
+    if not repeated.isEmpty():
+        again = left.join(repeated, key, "left_semi").dropDuplicates([key])
+        left = left.join(repeated, key, "left_anti").unionByName(again)
+    return left.select(*docs.columns)
 
 
 def op9_jaccard_join(spark, sf_dir):

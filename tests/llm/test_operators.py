@@ -137,7 +137,7 @@ def test_factors_name_their_source(spark):
 def test_decontamination_against_windows(spark, mixed_rows):
     items = [(1, mixed_rows[3][1]), (2, "ONE!"), (3, None), (4, ""), (5, LONG[:300]), (6, LONG[:300]), (None, "zzz yyy")]
     bench = spark.createDataFrame([(i, t, 3) for i, t in items], "item_id bigint, text string, n_words int")
-    rows = [r for r in dict.fromkeys(mixed_rows)]
+    rows = mixed_rows + mixed_rows[:7] * 2
     got = decontaminate.contamination(docs(spark, rows), bench, window=4).collect()
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     split = lambda t: word.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
@@ -415,3 +415,52 @@ def test_pipeline(spark):
     assert not [r for r in out.select("text").collect() if secrets.scan_text(r["text"])]
     assert [n for n, _ in corpus_pipeline.STAGES][0] == "quality classifier" and set(source.columns) <= set(out.columns)
     assert fold("doc_id", 4) is not None
+
+
+def test_repeated_rows_are_contaminated_one_by_one(spark):
+    bench = spark.createDataFrame([(1, "a b c d"), (2, "z")], "item_id bigint, text string")
+    d = docs(spark, [(1, "x a b c d", None, None)] * 3 + [(1, "clean", None, None), (None, "a b c d", None, None), (2, None, None, None)] * 2)
+    got = sorted((r["doc_id"] or 0, r["n_words"], r["n_hit"], r["n_items"]) for r in decontaminate.contamination(d, bench, window=4).collect())
+    assert got == [(0, 4, 4, 1)] * 2 + [(1, 1, 0, 0)] * 2 + [(1, 5, 4, 1)] * 3 + [(2, 0, 0, 0)] * 2
+
+
+def test_mixing_never_repeats_beyond_the_limit(spark):
+    rng = random.Random(8)
+    d = docs(spark, [(i, sentence(rng, 9), "en", "hot" if i % 3 else f"s{i % 5}") for i in range(600)])
+    got = mixing.mixed(d, budget_ratio=10.0, max_repeats=4)
+    assert got.groupBy("doc_id").count().agg(F.max("count"), F.min("count")).first() == (4, 4)
+    short = {r["source"]: r["s"] for r in got.groupBy("source").agg(F.max("mix_shortfall").alias("s")).collect()}
+    assert sum(short.values()) == 600 * 9 * 10 - 600 * 9 * 4
+    assert mixing.mixed(d).agg(F.max("mix_shortfall")).first()[0] == 0
+
+
+def test_vectors_of_any_scale(spark):
+    base = [[1.0, 1.0], [3.0, 1.0], [1.0, -1.0]]
+    rows = [(10 * k + i, [x * s for x in v], 0) for k, s in enumerate((1e-200, 1.0, 1e200, 1e-310)) for i, v in enumerate(base)]
+    rows += [(100, [0.0, 0.0], 0), (10, [1.0, 1.0], 0), (101, None, 0)]  # a repeated row links as one vector
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, n_links int")
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in embedding_dedup.near_duplicates(df).collect())
+    want = [(10 * k + i, 3, i) for k in range(4) for i in range(3)] + [(10, 3, 0), (100, 0, 100), (101, 0, 101)]
+    assert got == sorted(want)
+
+
+def test_pipeline_stages_judge_rows_by_id_and_text(spark):
+    rng = random.Random(3)
+    one, two, three = (sentence(rng, 40) for _ in range(3))
+    item = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").where("text is not null").first()["text"]
+    near = one.split()
+    near[-1] = "other"
+    rows = [(5, one, "en", "s"), (7, " ".join(near), "en", "s"), (7, two, "en", "s"), (7, two, "en", "s"), (None, one, "en", "s"), (None, three, "en", None),
+            (8, None, None, None), (8, None, None, None), (9, "", "en", "s"), (10, one + " " + item, "en", "s"), (10, three + " end of it", "en", "s"),
+            (None, item, "en", "s")]
+    d = docs(spark, rows).withColumnRenamed("id", "_id")
+    left = corpus_pipeline.one_of_each(spark, d, "/root/testdata/sf0.001")
+    got = sorted((r["doc_id"] or 0, (r["text"] or "")[:20]) for r in left.collect())
+    assert left.columns == d.columns
+    assert got == sorted([(5, one[:20]), (7, two[:20]), (8, ""), (8, ""), (9, ""), (10, one[:20]), (10, three[:20]), (0, item[:20]), (0, one[:20]), (0, three[:20])])
+    clean = corpus_pipeline.decontaminated(spark, d, "/root/testdata/sf0.001")
+    assert clean.columns == d.columns and clean.count() == 10 and sorted(r[0] for r in clean.where("doc_id = 10").select("text").collect()) == [three + " end of it"]
+    empty = d.limit(0)
+    for name, stage in corpus_pipeline.STAGES[1:]:
+        assert stage(spark, empty, "/root/testdata/sf0.001").count() == 0, name
+    assert corpus_pipeline.without_secrets(spark, d, "").count() == len(rows)
