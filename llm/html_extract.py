@@ -16,8 +16,11 @@ names are a layout's.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import re
+from bisect import bisect_left
+from collections import Counter
 from html import unescape
 
 import pyarrow as pa
@@ -30,12 +33,13 @@ MIN_SHARE = 0.05  # of its host's votes that a winning path has, so at most 20 p
 SALT = 16
 
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-_HIDDEN = {"script", "style", "noscript", "template", "iframe", "svg", "head", "title", "object", "canvas", "nav", "footer", "aside", "form",
+_HIDDEN = {"script", "style", "template", "iframe", "svg", "head", "title", "object", "canvas", "nav", "footer", "aside",
            "button", "select", "textarea", "dialog", "menu"}
+_WRAPS = {"form", "noscript"}  # clutter, unless they hold the page: server forms and pages for readers without scripts
 _HEADING = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _CONTAINER = {"article", "main", "section", "div", "body", "td", "blockquote"}
 _BLOCK = _CONTAINER | _HEADING | {"p", "li", "ul", "ol", "dl", "dt", "dd", "pre", "table", "tr", "th", "thead", "tbody", "tfoot", "caption",
-                                  "figure", "figcaption", "header", "address", "details", "summary", "fieldset", "hr", "html"} | _HIDDEN
+                                  "figure", "figcaption", "header", "address", "details", "summary", "fieldset", "hr", "html", "label", "legend"} | _HIDDEN | _WRAPS
 _INNER = {"p", *_HEADING, "li", "dt", "dd", "tr", "td", "th"}  # closed by the next of its kind
 _ENDS = {"dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}  # what else a start tag closes
 _CLUTTER = {"ad", "ads", "advert", "adverts", "advertisement", "banner", "sponsor", "sponsored", "promo", "cookie", "cookies", "consent",
@@ -53,18 +57,83 @@ _ROLES = {"navigation", "banner", "complementary", "contentinfo", "search", "dia
 
 
 class Node:
-    __slots__ = ("blocks", "children", "clutter", "heads_only", "parent", "path", "tag")
+    __slots__ = ("blocks", "children", "clutter", "heads_only", "parent", "path", "soft", "tag")
 
-    def __init__(self, tag, path, parent, heads_only, clutter=0):
-        self.tag, self.path, self.parent, self.heads_only, self.clutter = tag, path, parent, heads_only, clutter
+    def __init__(self, tag, path, parent, heads_only, clutter=0, soft=False):
+        self.tag, self.path, self.parent, self.heads_only, self.clutter, self.soft = tag, path, parent, heads_only, clutter, soft
         self.children, self.blocks = [], []
 
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?/][^>]*>""", re.S)
+_NAME_END = re.compile(r"[\s/>]")
+_LETTERS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+_STOP = re.compile(r"""["'>]""")
 _OPENS = re.compile(r"<(?:p|div|section|article|main|table|ul|ol|h[1-6])\b", re.I)
 _CUT = re.compile(r"<[/!?a-zA-Z][^<>]*\Z")  # a tag that the page's end cuts off
 _ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
-_RAW = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in ("script", "style", "textarea", "title", "noscript", "iframe")}
+_END = re.compile(r"</([a-zA-Z][^\s/>]*)")
+_RAW = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in ("script", "style", "textarea", "title", "iframe")}
+
+
+class _Ahead:
+    """The next match of a pattern at or after a place; places only grow, so all
+    questions together read the page once."""
+
+    def __init__(self, pattern: re.Pattern, page: str):
+        self.pattern, self.page, self.found = pattern, page, -1
+
+    def at(self, start: int) -> int:
+        if self.found < start:
+            m = self.pattern.search(self.page, start)
+            self.found = m.start() if m else len(self.page)
+        return self.found
+
+
+class _Tags:
+    """Tags of a page from a place on: (start, end, slash, name, attributes).
+
+    A tag ends at the first ``>`` outside quotes; one that does not end is
+    text. Quotes from which no end was found are remembered, and so is the
+    next quote or ``>``, so that broken pages are read in linear time too.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.name_end, self.stop, self.endless = page, _Ahead(_NAME_END, page), _Ahead(_STOP, page), set()
+        self.last = page.rfind(">")
+
+    def next(self, start: int) -> tuple[int, int, str, str, str] | None:
+        page = self.page
+        while (lt := page.find("<", start)) >= 0:
+            start = lt + 1
+            if page.startswith("!--", start):
+                end = page.find("-->", start + 3)
+                return lt, len(page) if end < 0 else end + 3, "", "", ""
+            name = start + page.startswith("/", start)
+            if page[name:name + 1] in _LETTERS:
+                stop = self.name_end.at(name + 1)
+                end = self._end(stop)
+                if end:
+                    return lt, end, page[start:name], page[name:stop], page[stop:end - 1]
+            if start < len(page) and page[start] in "!?/" and self.last >= start:
+                return lt, page.index(">", start) + 1, "", "", ""
+        return None
+
+    def _end(self, at: int) -> int:
+        """Behind the ``>`` of a tag whose name ends at ``at``, or 0."""
+        page, passed = self.page, []
+        stop = self.stop.at(at)
+        while stop < len(page) and self.last >= stop:
+            if page[stop] == ">":
+                return stop + 1
+            if stop in self.endless:
+                break
+            passed.append(stop)
+            shut = page.find(page[stop], stop + 1)
+            if shut < 0:
+                break
+            m = _STOP.search(page, shut + 1)
+            stop = m.start() if m else len(page)
+        self.endless.update(passed)
+        return 0
 
 
 class _Tree:
@@ -76,26 +145,30 @@ class _Tree:
         self.text: list[str] = []
         self.cluttered = False
         self.wrappers: set[str] = set()  # inline tags that stand around blocks
-        page = _CUT.sub("", page)
+        cut = page.rfind("<")
+        page = page[:cut] if cut >= 0 and _CUT.match(page, cut) else page
+        self.opens, self.ends, self.open_now = _Ahead(_OPENS, page), None, Counter()
+        tags = _Tags(page)
         skip, depth, end, start = "", 0, 0, 0  # the hidden element that is open, how often it is nested
-        while m := _TAG.search(page, start):
-            if not skip and m.start() > end:
-                self.data(page[end:m.start()])
-            start = end = m.end()
-            tag = (m[2] or "").lower()
+        while t := tags.next(start):
+            at, after, slash, tag, attrs = t
+            if not skip and at > end:
+                self.data(page[end:at])
+            start = end = after
+            tag = tag.lower()
             if not tag:
                 continue
             if skip:
                 if tag == skip:
-                    depth += -1 if m[1] else 0 if m[3].endswith("/") else 1
-                elif m[1] and tag in ("body", "html", "article", "main"):
+                    depth += -1 if slash else 0 if attrs.endswith("/") else 1
+                elif slash and tag in ("body", "html", "article", "main"):
                     depth = 0
                     self.close(tag)
                 if depth <= 0:
                     skip = ""
-            elif m[1]:
+            elif slash:
                 self.close(tag)
-            elif self.open(tag, m[3], page, end) and tag not in _VOID and not m[3].endswith("/"):
+            elif self.open(tag, attrs, page, end) and tag not in _VOID and not attrs.endswith("/"):
                 if tag in _RAW:
                     raw = _RAW[tag].search(page, end)
                     start = end = raw.end() if raw else len(page)
@@ -105,6 +178,16 @@ class _Tree:
             self.data(page[end:])
         self.flush()
 
+    def shut(self, tag: str, page: str, end: int) -> int:
+        """Where the next end tag of this name begins."""
+        if self.ends is None:
+            self.ends = {}
+            for m in _END.finditer(page):
+                self.ends.setdefault(m[1].lower(), []).append(m.start())
+        places = self.ends.get(tag, [])
+        k = bisect_left(places, end)
+        return places[k] if k < len(places) else len(page)
+
     def data(self, text: str):
         if "&" in text:
             text = unescape(text)
@@ -115,7 +198,8 @@ class _Tree:
     def flush(self):
         if self.text:
             text = " ".join("".join(self.text).split())
-            if text and not (self.at.heads_only and self.at.tag not in _HEADING):
+            lead = self.at.tag == "p" and len(text) - min(self.linked, len(text)) >= _LONG
+            if text and (not self.at.heads_only or self.at.tag in _HEADING or lead):
                 self.at.blocks.append((text, min(self.linked, len(text))))
                 self.at.children.append(text)
             self.text, self.linked = [], 0
@@ -128,58 +212,68 @@ class _Tree:
                 self.links += 1
             elif tag == "br":
                 self.text.append(" ")
-            clutter = _cluttered(said) if said and tag not in _VOID and not attrs.endswith("/") else 0
-            block = _OPENS.search(page, end) if clutter else None
-            shut = re.compile(rf"</{re.escape(tag)}\b", re.I).search(page, end) if block else None
-            if not block or (shut and shut.start() < block.start()):
+            clutter, soft = _cluttered(said) if said and tag not in _VOID and not attrs.endswith("/") else (0, False)
+            block = self.opens.at(end) if clutter else len(page)
+            if block >= len(page) or self.shut(tag, page, end) < block:
                 return bool(clutter)
             self.wrappers.add(tag)
         else:
-            clutter = _cluttered(said) if said and tag not in ("html", "body", "article", "main", "hr") else 0
+            clutter, soft = _cluttered(said) if said and tag not in ("html", "body", "article", "main", "hr") else (0, False)
+            if tag in _WRAPS and clutter < 1:
+                clutter, soft = 1, False
         self.flush()
         if tag == "hr":
             return False
-        if tag in _HIDDEN:
+        if tag in _HIDDEN or tag in ("label", "legend"):
             return True
         inside = self.at
         while inside.tag == "p" or inside.tag in _ENDS.get(tag, ()) or (tag in _INNER and (inside.tag in _HEADING or (inside.tag == tag and tag != "td"))):
             inside = inside.parent
         heads = inside.heads_only
+        in_article = self.open_now["article"] + self.open_now["main"] > 0
         if tag == "header":
-            above = inside
-            while above and above.tag not in ("article", "main"):
-                above = above.parent
-            if not above:
+            if not in_article:
                 return True
             heads = True
         names = sorted(set(re.sub(r"\d+", "0", said["class"]).split())) if "class" in said else ()
-        self.at = Node(tag, f"{inside.path}/{'.'.join([tag, *names])}", inside, heads, clutter)
+        self.leave(inside)
+        # a path's digest stands for it: paths of deep pages are as long as the page
+        path = hashlib.blake2b(f"{inside.path}/{'.'.join([tag, *names])}".encode("utf-8", "surrogatepass"), digest_size=12).hexdigest()
+        self.at = Node(tag, path, inside, heads, clutter, soft and in_article)
+        self.open_now[tag] += 1
         self.cluttered |= clutter > 0
         inside.children.append(self.at)
         return False
 
+    def leave(self, node: Node):
+        """Up to ``node``, an element around this one."""
+        while self.at is not node:
+            self.open_now[self.at.tag] -= 1
+            self.at = self.at.parent
+
     def close(self, tag: str):
         if tag == "a":
             self.links = max(0, self.links - 1)
-        if tag in _BLOCK or tag in self.wrappers:
+        if self.open_now[tag]:
+            self.flush()
             node = self.at
-            while node and node.tag != tag:
+            while node.tag != tag:
                 node = node.parent
-            if node:
-                self.flush()
-                self.at = node.parent
+            self.leave(node.parent)
 
 
-def _cluttered(said: dict) -> int:
-    """0 no, 1 named like clutter, 2 named like others' text, 3 hidden or of a role."""
+def _cluttered(said: dict) -> tuple[int, bool]:
+    """0 no, 1 named like clutter, 2 named like others' text, 3 hidden or of a role;
+    and whether 1 rests on a part of a name only (share-price)."""
     if "hidden" in said or said.get("aria-hidden", "").lower() == "true" or said.get("role", "").lower() in _ROLES:
-        return 3
-    found = 0
+        return 3, False
+    found, soft = 0, True
     for token in f"{said.get('class', '')} {said.get('id', '')}".lower().split():
         words = [w for w in re.split(r"[^a-z]+", token) if w]
         if words and words[0] not in _STATE and not _CLUTTER.isdisjoint(words):
             found = max(found, 1 if _ASIDE.isdisjoint(words) else 2)
-    return found
+            soft &= not _CLUTTER.issuperset(words)
+    return found, found == 1 and soft
 
 
 def _in_order(root: Node) -> list[Node]:
@@ -194,6 +288,11 @@ def _in_order(root: Node) -> list[Node]:
 def _prune(root: Node):
     """Drops the clutter, but not an element that is named so and holds the page."""
     nodes = _in_order(root)
+    if any(x.soft for x in nodes):  # inside an article such a name counts only for short or linked text
+        sums = _sums(root)
+        for x in nodes:
+            if x.soft and sums[id(x)][1] >= _LONG and 2 * sums[id(x)][1] >= sums[id(x)][0]:
+                x.clutter = 0
     whole: dict[int, list] = {}  # characters outside links, articles and mains that have any: without others' text
     core: dict[int, list] = {}  # the same without what any clutter below holds
     inner: dict[int, list[Node]] = {}  # the outermost clutter below
@@ -270,18 +369,19 @@ def scores(root: Node) -> dict[int, tuple[Node, float]]:
     """Score of every container: its own blocks' text outside links in full, its
     inner containers' text by half for each level."""
     out: dict[int, tuple[Node, float]] = {}
+    around: dict[int, Node | None] = {id(None): None}  # the nearest container, the element itself included
     todo = [root]
     while todo:
         node = todo.pop()
         todo += [c for c in node.children if isinstance(c, Node)]
+        around[id(node)] = node if node.tag in _CONTAINER else around[id(node.parent)]
         worth = sum(len(t) - 2 * linked + (10 if node.tag == "p" else 0) for t, linked in node.blocks)
-        up, share = node, 1.0
+        up, share = around[id(node)], 1.0
         while worth and up is not None and share > 0.1:
-            if up.tag in _CONTAINER:
-                extra = 1.25 if up.tag in ("article", "main") else 1.0
-                out[id(up)] = (up, out.get(id(up), (up, 0.0))[1] + worth * share * extra)
-                share /= 2
-            up = up.parent
+            extra = 1.25 if up.tag in ("article", "main") else 1.0
+            out[id(up)] = (up, out.get(id(up), (up, 0.0))[1] + worth * share * extra)
+            share /= 2
+            up = around[id(up.parent)]
     return out
 
 

@@ -464,3 +464,43 @@ def test_pipeline_stages_judge_rows_by_id_and_text(spark):
     for name, stage in corpus_pipeline.STAGES[1:]:
         assert stage(spark, empty, "/root/testdata/sf0.001").count() == 0, name
     assert corpus_pipeline.without_secrets(spark, d, "").count() == len(rows)
+
+
+@pytest.mark.parametrize("page", [
+    "<p x='" * 20_000, "<div>" * 50_000 + "x", "<p" * 100_000, "<p" * 100_000 + ">", "<span class=ad>x" * 20_000, "<a b=\"'c" * 30_000 + ">",
+    "".join(f"<x{i} class=ad>x" for i in range(20_000)), "<div>" * 20_000 + "</section>" * 40_000, "<ul><li>some text here" * 10_000, "<!x" * 100_000])
+def test_broken_and_deep_pages_take_linear_time(page):
+    import time
+    start = time.process_time()
+    html_extract.extract(page, None)
+    assert time.process_time() - start < 5
+
+
+def test_articles_within_forms_noscript_and_odd_names():
+    body = "body text " * 100
+    whole = f"H\n{body.strip()}"
+    art = f"<h1>H</h1><p>{body}</p>"
+    search = "<form class=search><label>Find</label><input><p>in all</p></form>"
+    for page in (f"<body><form id=aspnet><input type=hidden>{art}<button>go</button></form></body>", f"<body><form><article>{art}</article></form></body>",
+                 f"<body><noscript><article>{art}</article></noscript></body>", f"<body>{search}<article>{art}{search}</article><noscript>no script</noscript></body>"):
+        assert html_extract.extract(page, None) == whole
+    lead = "lead text " * 20
+    page = f"<body><article><header><h1>H</h1><p>{lead}</p><p>by me</p></header><p>{body}</p></article></body>"
+    assert html_extract.extract(page, None) == f"H\n{lead.strip()}\n{body.strip()}"
+    odd = "a paragraph of some length that says what the share price did in the year, and why it did"
+    page = f"<body><article>{art}<div class=share-price><p>{odd}</p></div><p class=search-engine>{odd}</p><section id=notice-period><p>{odd}</p></section></article></body>"
+    assert html_extract.extract(page, None) == "\n".join([whole] + [odd] * 3)
+    page = f"<body><article>{art}<div class=share><p>{odd}</p></div><div class=social-share><p>{odd}</p></div><div class=share-links><a href=x>{odd}</a></div><p class=share-price>up</p><div class=related-posts><p>{odd}</p></div></article></body>"
+    assert html_extract.extract(page, None) == whole
+
+
+def test_pages_are_extracted_like_their_known_layout(spark):
+    """Every page of sf0.1 through the operator equals a plain extraction by its marked-up article."""
+    sf = "/root/testdata/sf0.01"
+    got = {r["page_id"]: r["text"] for r in html_extract.op4_html_extraction(spark, sf).collect()}
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    assert got.keys() == pages.keys()
+    for i, page in pages.items():
+        blocks = [b for b in got[i].split("\n") if b]
+        visible = " ".join(re.sub(r"<[^>]*>", "", __import__("html").unescape(page)).split())
+        assert all(" ".join(b.split()) in visible for b in blocks) or "&lt;" in page
