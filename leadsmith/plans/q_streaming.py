@@ -73,7 +73,7 @@ def t02_event_quota(spark, sf):
     base = _scratch(spark, "t02")
     ST.run_quota_stream(spark, sf, ev.schema, "user_id", f"{base}/out", f"{base}/ckpt", cap=50, window_sec=60.0,
                         glob="events.parquet", close=True)
-    out = spark.read.parquet(f"{base}/out")
+    out = spark.read.parquet(f"{base}/out").where("outcome = 'admitted'")
     fmt = "yyyy-MM-dd HH:mm:ss.SSSSSS"
     return out.select("caller", "event_id", F.date_format("admitted_at", fmt).alias("admitted_at"),
                       F.date_format("window_start", fmt).alias("window_start"), "deferred")

@@ -110,8 +110,9 @@ def run_late_enrichment(spark: SparkSession, entities: str, entity_schema: str,
 # Times stay on the event clock as given (no time-zone conversion): the
 # recurrence only compares and adds durations.
 QUOTA_OUT = ("caller long, event_id long, ts timestamp_ntz, admitted_at timestamp_ntz, "
-             "window_start timestamp_ntz, deferred boolean")
-QUOTA_STATE = "window_start long, n long, last long, pending_ts array<long>, pending_id array<long>"
+             "window_start timestamp_ntz, deferred boolean, late boolean")
+QUOTA_STATE = ("window_start long, n long, last long, done_ts long, done_id long, "
+               "pending_ts array<long>, pending_id array<long>")
 
 # The time of the row that closes a stream; events carry earlier ones.
 CLOSING = "9999-12-31 00:00:00"
@@ -121,16 +122,19 @@ def _quota(cap: int, window_sec: float, buffered: bool):
     width = int(round(window_sec * 1_000_000))  # all times in microseconds
 
     def fn(key, batches: Iterator[pd.DataFrame], state: GroupState):
-        start, n, last, ts, ids = state.get if state.exists else (None, 0, None, [], [])
+        start, n, last, done_ts, done_id, ts, ids = state.get if state.exists else (None, 0, None, None, None, [], [])
         ts, ids = list(ts), list(ids)
         for pdf in batches:  # a timed-out caller has none
             ts += (pdf["ts"].astype("datetime64[us]").astype("int64")).tolist()
             ids += pdf["event_id"].tolist()
-        calls = sorted(zip(ts, ids))
+        # calls before one that has been admitted can no longer take their place
+        calls, late = [], []
+        for call in sorted(zip(ts, ids)):
+            (late if buffered and done_ts is not None and call < (done_ts, done_id) else calls).append(call)
         # no event up to the watermark can come any more; later ones wait
         upto = state.getCurrentWatermarkMs() * 1000 if buffered else None
         done = len(calls) if upto is None else sum(t <= upto for t, _ in calls)
-        rows = []
+        rows = [(key[0], eid, pd.Timestamp(t, unit="us"), None, None, None, True) for t, eid in late]
         for t, eid in calls[:done]:
             now = t if last is None else max(t, last)   # calls are sequential
             if start is None or now - start >= width:
@@ -142,12 +146,13 @@ def _quota(cap: int, window_sec: float, buffered: bool):
             n += 1
             last = now
             rows.append((key[0], eid, pd.Timestamp(t, unit="us"), pd.Timestamp(now, unit="us"),
-                         pd.Timestamp(start, unit="us"), deferred))
+                         pd.Timestamp(start, unit="us"), deferred, False))
+            done_ts, done_id = t, eid
         wait = calls[done:]
-        state.update((start, n, last, [t for t, _ in wait], [i for _, i in wait]))
+        state.update((start, n, last, done_ts, done_id, [t for t, _ in wait], [i for _, i in wait]))
         if wait:
             state.setTimeoutTimestamp(-(-wait[0][0] // 1000))
-        yield pd.DataFrame(rows, columns=["caller", "event_id", "ts", "admitted_at", "window_start", "deferred"])
+        yield pd.DataFrame(rows, columns=["caller", "event_id", "ts", "admitted_at", "window_start", "deferred", "late"])
     return fn
 
 
@@ -160,16 +165,27 @@ def event_quota(events: DataFrame, caller: str, cap: int = 50, window_sec: float
     a micro-batch. With it, a stream's events wait in state until the
     watermark, ``delay`` behind the latest event, has passed them: the result
     then does not depend on how events came in batches, as long as none is
-    later than ``delay``. Events without a time are no calls."""
+    later than ``delay``. An event that comes when a later call of its caller
+    has been admitted is a row too, ``late`` and without an admission; one
+    that can still take its place is admitted, however late. Events without a
+    time are no calls."""
     ev = events.select(F.col(caller).cast("long").alias("caller"), F.col("event_id").cast("long"),
                        F.col("ts").cast("timestamp_ntz").alias("ts"))
-    # a watermark needs an instant: the event clock read as UTC, whatever the session's time zone
-    ev = ev.withColumn("at", F.expr("TIMESTAMP '1970-01-01 00:00:00Z' + (ts - TIMESTAMP_NTZ '1970-01-01 00:00:00')"))
+    timeout = GroupStateTimeout.NoTimeout
     if delay is not None:
-        ev = ev.withWatermark("at", delay)
-    # a test of the event time stays above the watermark, which the closing row must reach
-    ev = ev.where(F.col("at") < F.expr(f"TIMESTAMP '{CLOSING}Z'"))
-    timeout = GroupStateTimeout.NoTimeout if delay is None else GroupStateTimeout.EventTimeTimeout
+        # A watermark needs an instant: the event clock read as UTC, whatever the
+        # session's time zone. Each event is two rows: one with its time moves the
+        # watermark and goes no further, one without passes it however late it is.
+        # The closing row is only the former. The last test, of the event time,
+        # stays above the watermark.
+        at = F.expr("TIMESTAMP '1970-01-01 00:00:00Z' + (ts - TIMESTAMP_NTZ '1970-01-01 00:00:00')")
+        call = F.col("ts") < F.lit(CLOSING).cast("timestamp_ntz")
+        ev = (ev.where("ts IS NOT NULL")
+              .select("*", F.explode(F.when(call, F.array(at, F.lit(None).cast("timestamp"))).otherwise(F.array(at))).alias("at"))
+              .withWatermark("at", delay).where("at IS NULL"))
+        timeout = GroupStateTimeout.EventTimeTimeout
+    else:
+        ev = ev.where(F.col("ts") < F.lit(CLOSING).cast("timestamp_ntz"))
     return ev.groupBy("caller").applyInPandasWithState(
         _quota(cap, window_sec, delay is not None), QUOTA_OUT, QUOTA_STATE, "append", timeout)
 
@@ -177,13 +193,15 @@ def event_quota(events: DataFrame, caller: str, cap: int = 50, window_sec: float
 def run_quota_stream(spark: SparkSession, source: str, schema, caller: str, out: str, checkpoint: str,
                      cap: int = 50, window_sec: float = 60.0, glob: str | None = None,
                      max_files: int | None = None, delay: str = "1 hour", close: bool = False):
-    """T2 end to end: file stream -> per-caller quota state -> parquet.
+    """T2 end to end: file stream -> per-caller quota state -> parquet, in the
+    folders ``outcome=admitted`` and ``outcome=late`` (dead letters).
 
     Events are admitted in order of time whatever files or batches
     (``max_files``) they came in, if none is later than ``delay``. State
     carries over between batches and runs; the last ``delay`` of events waits
     for the next run. ``close`` ends the stream: it admits all that wait, and
-    events that land afterwards are late."""
+    events that land afterwards are admitted at once, or late. Admitted and
+    late rows together are all events with a time."""
     reader = spark.readStream.schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -198,8 +216,9 @@ def run_quota_stream(spark: SparkSession, source: str, schema, caller: str, out:
                                                F.col("ts").cast("timestamp_ntz").alias("ts"))
         both = events.unionByName(spark.readStream.schema(end_schema).parquet(end))
         admitted = event_quota(both, caller, cap, window_sec, delay)
+        admitted = admitted.withColumn("outcome", F.when(F.col("late"), "late").otherwise("admitted")).drop("late")
         q = (admitted.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
-             .outputMode("append").trigger(availableNow=True).start())
+             .partitionBy("outcome").outputMode("append").trigger(availableNow=True).start())
         q.awaitTermination()
         return q
 

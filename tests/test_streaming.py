@@ -101,3 +101,23 @@ def test_event_quota_waits_for_the_watermark(spark):
 
     assert land("a", (0, 0), (1, 150)) == [0]         # the watermark stands at 50 s
     assert land("b", (2, 60), (3, 400)) == [0, 1, 2]  # event 2 takes its place before event 1
+
+
+def test_late_events_are_dead_letters_or_take_their_place(spark):
+    d = tempfile.mkdtemp(dir="/tmp")
+    base = dt.datetime(2024, 1, 1)
+    schema = "event_id long, ts timestamp_ntz, user_id long"
+
+    def land(name, close, *events):
+        spark.createDataFrame([(i, base + dt.timedelta(seconds=s), c) for i, s, c in events], schema).write.parquet(f"{d}/in/f={name}")
+        ST.run_quota_stream(spark, f"{d}/in", schema, "user_id", f"{d}/out", f"{d}/ckpt", cap=2, window_sec=60.0, delay="100 seconds", close=close)
+        out = spark.read.parquet(f"{d}/out").collect()
+        return {r["event_id"]: r["admitted_at"] and (r["admitted_at"] - base).total_seconds() for r in out}, {r["event_id"] for r in out if r["outcome"] == "late"}
+
+    assert land("a", False, (0, 100, 7), (1, 1000, 7)) == ({0: 100}, set())
+    # caller 7 was admitted at 100 s, so 50 s is late; 200 s and the first call of caller 8 are behind the watermark only
+    assert land("b", False, (2, 50, 7), (3, 200, 7), (4, 5, 8)) == ({0: 100, 2: None, 3: 200, 4: 5}, {2})
+    assert land("c", True, (5, 1001, 7)) == ({0: 100, 2: None, 3: 200, 4: 5, 1: 1000, 5: 1001}, {2})
+    # after the end: the next call in order is admitted, an earlier one is kept as late
+    got, late = land("d", True, (6, 2000, 7), (7, 60, 7))
+    assert (got[6], got[7], late) == (2000, None, {2, 7})
