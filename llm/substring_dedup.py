@@ -15,6 +15,12 @@ last words and run over its boundary are looked up like any other, so a
 match across a boundary opens a factor that overlaps the last one. Words
 covered by factors are duplicate spans; all others are literals.
 
+Hot anchors: a short phrase that stands in very many documents, between
+other words each time, is the anchor of very many different seeds. Anchors
+are counted over all documents in 2**ANCHOR_BITS counters; the seeds of a
+counter beyond ``1 / SPLIT`` of a bucket are dealt out by anchor and seed, in
+as many parts as it takes. Equal seeds still meet, so results are the same.
+
 Hot groups: within a block only the smallest document id of a seed asks the
 buckets; the block itself knows the answer for all others. A seed that
 stands in a third of all rows brings one entry a block to its bucket. The
@@ -30,11 +36,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import table
-from llm.words import SPACED, Words, pieces
+from llm.common import count_table, table
+from llm.words import SPACED, Words, mix, pieces
 
 ANCHOR_WORDS = 4
 BUCKET_CHARS = 8_000_000  # characters of text behind a bucket, on average
+ANCHOR_BITS = 20
+SPLIT = 4  # an anchor's seeds are split beyond this part of a bucket
 BLOCK_WORDS = 1_000_000  # words after which a reference block is closed
 
 KNOWN = 10_000  # factors a block already knows that travel in one row
@@ -53,6 +61,22 @@ def _anchor(w: Words, window: int) -> np.ndarray:
     return low
 
 
+def _parts(counts: np.ndarray, buckets: int) -> np.ndarray:
+    """In how many parts the seeds of each anchor counter are dealt out: one, but
+    for counters of more than ``1 / SPLIT`` of an average bucket and far above
+    the average counter."""
+    share = max(counts.sum() / buckets / SPLIT, 1)
+    hot = (counts > share) & (counts > 8 * counts.mean())
+    return np.where(hot, np.ceil(counts / share), 1).astype(np.int32)
+
+
+def _buckets(anchor: np.ndarray, seed: np.ndarray, parts: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of every seed: by its anchor, of split anchors by part too."""
+    n = parts[(anchor & np.uint64(len(parts) - 1)).astype(np.int64)].astype(np.uint64)
+    part = mix(seed) % n
+    return (np.where(part > 0, mix(anchor + part), anchor) % np.uint64(buckets)).astype(np.int64)
+
+
 def _factors(doc, pos, src, at) -> tuple[np.ndarray, np.ndarray]:
     """Greedy factors over looked-up seeds in (doc, pos) order: the first seed of
     each factor and the number of its seeds."""
@@ -77,10 +101,17 @@ def factors(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col:
     ``key`` is a hash of the text's words, so rows of one id with different
     texts keep their own factors.
     """
+    spark = docs.sparkSession
     src = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     chars = src.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
     buckets = int(max(16, chars // bucket_chars))
 
+    def anchors(batch):
+        for _, _, w in pieces(batch["text"], SPACED):
+            yield _anchor(w, window)[w.run_ok(window)]
+
+    parts = spark.sparkContext.broadcast(_parts(count_table(src.select("text"), ANCHOR_BITS, anchors), buckets))
+
     def index(batches):
         for b in batches:
             valid = np.asarray(b["id"].is_valid())
@@ -124,7 +155,7 @@ def factors(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col:
                     **{c: pa.nulls(1, pa.binary()) for c in ("hash", "doc", "pos", "len")},
                     "ids": pa.nulls(1, pa.list_(pa.int64())), "keys": pa.nulls(1, pa.list_(pa.int64()))}, schema=_INDEX_PA)
         ask = np.flatnonzero(~known)
-        where = (a[ask] % np.uint64(buckets)).astype(np.int64)
+        where = _buckets(a[ask], h[ask], parts.value, buckets)
         o = np.argsort(where, kind="stable")
         ask, where = ask[o], where[o]
         for c in np.split(np.arange(len(ask)), np.flatnonzero(np.diff(where)) + 1) if len(ask) else ():

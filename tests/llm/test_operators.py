@@ -7,6 +7,7 @@ import math
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -125,6 +126,41 @@ def test_substring_dedup_against_windows(spark, mixed_rows):
     assert sorted((str(r["doc_id"]), r["n_words"], r["n_removed"], r["kept_text"]) for r in got) == sorted(want)
 
 
+def test_hot_anchors_are_split(spark):
+    """A short phrase in a third of the rows, between other words each time."""
+    rng = random.Random(3)
+    phrase = min((f"if you like {n}" for n in range(200)), key=lambda p: Words.of([p], SPACED).runs(4)[0])  # an anchor wherever it stands
+    rows = [(i, f"{sentence(rng, 14)} {phrase if i % 3 == 0 else ''} {sentence(rng, 14)}", "en", "s") for i in range(3000)]
+    rows += [(5000 + i, f"{sentence(rng, 3)} {rows[i * 7][1]}", "en", "s") for i in range(100)]
+    got = {r["doc_id"]: (r["n_removed"], r["kept_text"]) for r in substring_dedup.strip_repeats(docs(spark, rows)).collect()}
+    for i, t, *_ in rows:
+        w = t.split()
+        assert got[i] == ((len(w) - 3, " ".join(w[:3])) if i >= 5000 else (0, " ".join(w)))
+    w = Words.of([t for _, t, *_ in rows], SPACED)
+    ok = w.run_ok(13)
+    anchor, seed = substring_dedup._anchor(w, 13)[ok], w.runs(13)[ok]
+    counts = np.bincount((anchor & np.uint64((1 << substring_dedup.ANCHOR_BITS) - 1)).astype(np.int64), minlength=1 << substring_dedup.ANCHOR_BITS)
+    for buckets in (16, 64):
+        parts = substring_dedup._parts(counts, buckets)
+        split = np.bincount(substring_dedup._buckets(anchor, seed, parts, buckets), minlength=buckets)
+        whole = np.bincount((anchor % np.uint64(buckets)).astype(np.int64), minlength=buckets)
+        assert split.max() < 3 * split.mean() and whole.max() > 3 * whole.mean()
+        same = substring_dedup._buckets(np.repeat(anchor[:50], 2), np.repeat(seed[:50], 2), parts, buckets)
+        assert (same[::2] == same[1::2]).all()
+
+
+def test_prefixes_of_linked_sets_meet_under_every_order():
+    rng = np.random.default_rng(4)
+    rarity = rng.integers(1, 50, 1 << 10).astype(np.uint32)
+    for _ in range(300):
+        n, percent = int(rng.integers(1, 60)), int(rng.choice([80, 90]))
+        x = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        y = np.unique(np.concatenate([x[rng.random(len(x)) > 0.08], rng.integers(0, 1 << 63, int(rng.integers(0, 4))).astype(np.uint64)]))
+        if jaccard_join._linked(x, y, percent):
+            for seed in (jaccard_join._SEED_B, jaccard_join._SEED_C):
+                assert np.isin(*(jaccard_join._prefix(s, rarity, seed, percent) for s in (x, y))).any()
+
+
 def test_factors_name_their_source(spark):
     text = " ".join(f"a{i}" for i in range(40))
     d = docs(spark, [(1, "x " + text, "en", "s"), (2, "y z " + text + " q", "en", "s")])
