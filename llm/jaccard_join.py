@@ -8,8 +8,10 @@ gives every shingle a rarity. Order A sorts a set by (count, hash); orders
 B and C by (binary logarithm of the count, another hash). Under any order,
 two linked sets share a token among their first
 ``n - ceil(percent * n / 100) + 1``. Candidates come from a join on the
-prefix tokens of order A within length and positional bounds, must also
-share prefix tokens under B and C, and are then verified on whole sets.
+prefix tokens of order A within length and positional bounds. They are
+intersected with those of B and C: ids travel with their prefixes under both
+orders, and a pair stays if it shares a token under each. Only the texts of
+pairs that all three orders let through are fetched and verified.
 
 Hot groups. Equal sets are one class, linked by their signature. For each
 token shared by several classes, every member is first compared with one
@@ -67,14 +69,15 @@ def _order(s: np.ndarray, rarity: np.ndarray, seed: np.uint64 | None) -> np.ndar
     return s[np.lexsort((mix(s ^ seed), np.log2(count + 1).astype(np.int8)))]
 
 
-def _linked(x: np.ndarray, y: np.ndarray, percent: int, rarity: np.ndarray) -> bool:
-    """Whether two sets share prefix tokens under orders B and C and then link."""
+def _prefix(s: np.ndarray, rarity: np.ndarray, seed: np.uint64, percent: int) -> np.ndarray:
+    """The prefix tokens of a set under order B or C, 32 bits each (a clash only lets a pair through)."""
+    return (_order(s, rarity, seed)[:prefix_length(len(s), percent)] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two whole sets link."""
     if not len(x) or not len(y):
         return False
-    for seed in (_SEED_B, _SEED_C):
-        p, q = (_order(s, rarity, seed)[:prefix_length(len(s), percent)] for s in (x, y))
-        if not np.isin(p, q).any():
-            return False
     common = len(np.intersect1d(x, y, assume_unique=True))
     return 100 * common >= percent * (len(x) + len(y) - common)
 
@@ -150,20 +153,50 @@ def link_classes(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "
                                                            & (F.col("left") * (100 + percent) >= F.col("sum") * percent))).select("tok"))
     near = checkpointed(near.join(checkpointed(several), "tok", "left_semi"))
 
+    def among(ids: DataFrame):
+        """A filter of batches by id, so that other rows stay in the scan."""
+        wanted = spark.sparkContext.broadcast(Bitmap.of(ids, ID_BITS))
+        return lambda b: b.filter(pa.array(np.asarray(b["id"].is_valid()) & wanted.value.may_hold(b["id"].fill_null(0).to_numpy())))
+
+    grouped = among(near.select("id"))
+
+    def prefixes(batches):
+        for b in batches:
+            b = grouped(b)
+            ids, who, under_b, under_c = b["id"].to_pylist(), [], [], []
+            for i, s in _sets(b["text"], k):
+                if len(s):
+                    who.append(ids[i])
+                    under_b.append(_prefix(s, rarity.value, _SEED_B, percent))
+                    under_c.append(_prefix(s, rarity.value, _SEED_C, percent))
+            yield pa.RecordBatch.from_arrays([pa.array(who, pa.int64()), pa.array(under_b, pa.list_(pa.int32())), pa.array(under_c, pa.list_(pa.int32()))],
+                                             names=["id", "under_b", "under_c"])
+
+    orders = checkpointed(src.mapInArrow(prefixes, "id bigint, under_b array<int>, under_c array<int>"))
+
+    def intersected(pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) of ids that share prefix tokens under orders B and C too."""
+        x = orders.select(F.col("id").alias("a"), F.col("under_b").alias("a_b"), F.col("under_c").alias("a_c"))
+        y = orders.select(F.col("id").alias("b"), F.col("under_b").alias("b_b"), F.col("under_c").alias("b_c"))
+        both = pairs.join(x, "a").join(y, "b").where(F.arrays_overlap("a_b", "b_b") & F.arrays_overlap("a_c", "b_c"))
+        return checkpointed(both.select("a", "b").distinct())
+
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of ids whose sets pass the filters of orders B and C and then link."""
-        def texts(side):  # whole texts of the ids on one side; others stay in the scan
-            wanted = spark.sparkContext.broadcast(Bitmap.of(pairs.select(side), ID_BITS))
+        pairs = intersected(pairs)
+
+        def texts(side):  # whole texts of the ids on one side
+            held = among(pairs.select(side))
 
             def keep(batches):
                 for b in batches:
-                    yield b.filter(pa.array(np.asarray(b["id"].is_valid()) & wanted.value.may_hold(b["id"].fill_null(0).to_numpy())))
+                    yield held(b)
 
             return src.mapInArrow(keep, "id bigint, text string").select(F.col("id").alias(side), F.col("text").alias(f"{side}_text"))
 
         def links(batches):
             for b in batches:
-                ok = [_linked(x, y, percent, rarity.value) for (_, x), (_, y) in zip(_sets(b["a_text"], k), _sets(b["b_text"], k))]
+                ok = [_linked(x, y, percent) for (_, x), (_, y) in zip(_sets(b["a_text"], k), _sets(b["b_text"], k))]
                 yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
         both = pairs.join(texts("a"), "a").join(texts("b"), "b")
