@@ -176,9 +176,17 @@ def link_classes(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "
 
     def intersected(pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of ids that share prefix tokens under orders B and C too."""
-        x = orders.select(F.col("id").alias("a"), F.col("under_b").alias("a_b"), F.col("under_c").alias("a_c"))
-        y = orders.select(F.col("id").alias("b"), F.col("under_b").alias("b_b"), F.col("under_c").alias("b_c"))
-        both = pairs.join(x, "a").join(y, "b").where(F.arrays_overlap("a_b", "b_b") & F.arrays_overlap("a_c", "b_c"))
+        def side(name):
+            held = among(pairs.select(name))
+
+            def keep(batches):
+                for b in batches:
+                    yield held(b)
+
+            return orders.mapInArrow(keep, orders.schema).select(F.col("id").alias(name), F.col("under_b").alias(f"{name}_b"),
+                                                                 F.col("under_c").alias(f"{name}_c"))
+
+        both = pairs.join(side("a"), "a").join(side("b"), "b").where(F.arrays_overlap("a_b", "b_b") & F.arrays_overlap("a_c", "b_c"))
         return checkpointed(both.select("a", "b").distinct())
 
     def verified(pairs: DataFrame) -> DataFrame:
