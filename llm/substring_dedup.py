@@ -41,7 +41,7 @@ from llm.words import SPACED, Words, mix, pieces
 
 ANCHOR_WORDS = 4
 BUCKET_CHARS = 8_000_000  # characters of text behind a bucket, on average
-ANCHOR_BITS = 20
+ANCHOR_BITS = 18
 SPLIT = 4  # an anchor's seeds are split beyond this part of a bucket
 BLOCK_WORDS = 1_000_000  # words after which a reference block is closed
 
