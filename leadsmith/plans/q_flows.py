@@ -306,14 +306,36 @@ def p04_clinic_contacts(spark, sf):
     return FL.clinic_contacts(seed, contacts, keywords=("machinery",))
 
 
-@register("p03_clinic_leads", None)
+_P03 = FL.ClinicConfig(cap=None, blocklist=("blog", "cheap-pills"), phone_words=("the ",), form_words=("le ",), portal_words=("zocdoc",))
+# contacts of a site: one a page, in page order; some are no managers, some have no e-mail
+_P03_TITLE = "CASE page_id % 3 WHEN 0 THEN 'Dentist' WHEN 1 THEN 'Office Manager' ELSE 'Regional Practice Manager' END"
+_P03_EMAIL = "CASE WHEN page_id % 4 = 0 THEN '' ELSE concat('p', CAST(page_id AS VARCHAR), '@clinic.example.com') END"
+_P03_SCORE, _P03_SYSTEM, _P03_REASON = Q.rubric("text", "calls", _P03.phone_words, _P03.form_words, _P03.portal_words)
+
+
+@register("p03_clinic_leads", f"""
+WITH h AS (SELECT page_id, html, {Q.host('url')} AS host, {Q.domain_netloc('url')} AS domain FROM pages),
+ok AS (SELECT * FROM h WHERE NOT {Q.contains_any('domain', _P03.forbidden_keywords)} AND NOT {Q.endswith_any('domain', _P03.restricted_suffixes)}
+       AND NOT {Q.contains_any('domain', _P03.blocklist)} AND {Q.nonblank('domain')}),
+site AS (SELECT host, arg_min(domain, page_id) AS website FROM ok GROUP BY host HAVING {Q.nonblank('host')}),
+home AS (SELECT domain, arg_min({Q.TEL_HTML}, page_id) AS html FROM h GROUP BY domain),
+shown AS (SELECT domain, {Q.shown_html('html')} AS s FROM home),
+seen AS (SELECT domain, {Q.page_text('s')} AS text, {Q.tel_count('s')} AS calls FROM shown),
+scored AS (SELECT domain, {_P03_SCORE} AS icp_score, {_P03_SYSTEM} AS booking_system, {_P03_REASON} AS agentic_reasoning FROM seen),
+c AS (SELECT domain, page_id, concat('Pat P', CAST(page_id AS VARCHAR)) AS name, {_P03_TITLE} AS title, {_P03_EMAIL} AS email FROM h),
+m AS (SELECT domain, arg_min(name, page_id) AS name, arg_min(title, page_id) AS title, arg_min(email, page_id) AS email
+      FROM c WHERE {Q.contains_any('title', _P03.manager_keywords)} GROUP BY domain)
+SELECT host AS clinic_name, 'Springfield' AS city, 'MI' AS state, website, name AS contact_name, title AS contact_title,
+       email AS contact_email, CASE WHEN email <> '' THEN 'contacts:found' ELSE 'contacts:no_match' END AS email_source,
+       icp_score, booking_system, agentic_reasoning
+FROM site JOIN scored ON website = scored.domain LEFT JOIN m ON website = m.domain WHERE icp_score >= {_P03.threshold}""")
 def p03_clinic_leads(spark, sf):
-    """P3 over the pages table (rows-only: the page text comes from the HTML
-    parser). Clinics are the distinct hosts, landed as registry JSON (S3);
-    their search hits are the pages in page order (J5 with F6/F7/F4); the
-    homepage is the page of the chosen hit (S11) whose visible text (X3) is
-    scored (X5) and kept at >= 70 (F17); no contact table, so contacts are
-    'no_match'. Rubric words are chosen to occur in this text."""
+    """P3 over the pages table. Clinics are the distinct hosts, landed as
+    registry JSON (S3); their search hits are the pages in page order (J5
+    with F6/F7/F4); the homepage is the first page of the chosen site (S11),
+    a third of them with nothing but click-to-call links (X4), whose visible
+    text (X3) is scored (X5) and kept at >= 70 (F17); each page is also a
+    contact of its site (W3). Rubric words are chosen to occur in this text."""
     from leadsmith.functions import domains as D
     p = table(spark, sf, "pages").select("page_id", "url", "html")
     h = p.select("page_id", "url", D.host("url").alias("host"))
@@ -326,15 +348,12 @@ def p03_clinic_leads(spark, sf):
     # registry rows are keyed page:pos, pos is always 0 here
     hits = h.join(clinics, "host").select(F.concat_ws(":", F.col("first_page"), F.lit(0)).alias("clinic_id"),
                                           F.col("page_id").alias("rank"), F.col("url").alias("href"))
-    homepages = p.select(D.domain_netloc("url").alias("domain"), "html", "page_id") \
+    homepages = p.select(D.domain_netloc("url").alias("domain"), Q.spark_expr(Q.TEL_HTML).alias("html"), "page_id") \
                  .groupBy("domain").agg(F.min_by("html", "page_id").alias("html"))
-    contacts = p.where(F.lit(False)).select(
-        F.lit(None).cast("string").alias("domain"), F.lit(None).cast("long").alias("pos"),
-        F.lit(None).cast("string").alias("first_name"), F.lit(None).cast("string").alias("last_name"),
-        F.lit(None).cast("string").alias("position"), F.lit(None).cast("string").alias("value"))
-    cfg = FL.ClinicConfig(cap=None, blocklist=("blog", "cheap-pills"), phone_words=("the ",),
-                          form_words=("le ",), portal_words=("zocdoc",))
-    out, _rejections = FL.clinic_leads(registry, hits, homepages, contacts, cfg)
+    contacts = p.select(D.domain_netloc("url").alias("domain"), F.col("page_id").alias("pos"), F.lit("Pat").alias("first_name"),
+                        F.concat(F.lit("P"), F.col("page_id").cast("string")).alias("last_name"),
+                        Q.spark_expr(_P03_TITLE).alias("position"), Q.spark_expr(_P03_EMAIL).alias("value"))
+    out, _rejections = FL.clinic_leads(registry, hits, homepages, contacts, _P03)
     return out
 
 

@@ -268,10 +268,14 @@ def x01_location(spark, sf):
     return docs.select("s_suppkey", DOC.filing_location("doc").alias("location"))
 
 
-@register("x03_visible_text", None)
+@register("x03_visible_text", f"""
+WITH s AS (SELECT page_id, {Q.shown_html('html')} AS shown FROM pages),
+v AS (SELECT page_id, {Q.page_text('shown')} AS text, {Q.tel_count('shown')} AS tel_count FROM s)
+SELECT page_id, CAST(length(text) AS INTEGER) AS n_text, md5(text) AS text_md5, tel_count,
+       CASE WHEN tel_count > 0 THEN concat(tel_count, ' click-to-call (tel:) links') END AS tel_note FROM v""")
 def x03_visible_text(spark, sf):
     """X3 + X4: visible text and tel: link count per page (Arrow UDF, one
-    evaluation per row); checked against fixtures in tests."""
+    evaluation per row)."""
     p = table(spark, sf, "pages").select("page_id", "html")
     v = DOC.visible_text("html").alias("v")
     out = p.select("page_id", v).select("page_id", F.length("v.text").alias("n_text"),
@@ -279,6 +283,28 @@ def x03_visible_text(spark, sf):
     return out.withColumn("tel_note", DOC.tel_note("tel_count"))
 
 
+_X04_WORDS = (("call us",), ("le ",), ("ción",))
+_X04_SCORE, _X04_SYSTEM, _X04_REASON = Q.rubric("text", "tel_count", *_X04_WORDS)
+
+
+@register("x04_tel_links", f"""
+WITH s AS (SELECT page_id, {Q.shown_html(Q.TEL_HTML)} AS shown FROM pages),
+v AS (SELECT page_id, {Q.page_text('shown')} AS text, {Q.tel_count('shown')} AS tel_count FROM s)
+SELECT page_id, CAST(length(text) AS INTEGER) AS n_text, tel_count,
+       CASE WHEN tel_count > 0 THEN concat(tel_count, ' click-to-call (tel:) links') END AS tel_note,
+       {_X04_SCORE} AS icp_score, {_X04_SYSTEM} AS booking_system, {_X04_REASON} AS reasoning FROM v""")
+def x04_tel_links(spark, sf):
+    """X4 + X5: every page with click-to-call links in its menu (not shown, not
+    counted), in its article, or as all that it has; links alone are
+    phone-first evidence, a page without links and text is blank."""
+    p = table(spark, sf, "pages").select("page_id", Q.spark_expr(Q.TEL_HTML).alias("html"))
+    v = p.select("page_id", DOC.visible_text("html").alias("v")).select("page_id", F.col("v.text").alias("text"), F.col("v.tel_count").alias("tel_count"))
+    phone, forms, portals = _X04_WORDS
+    out = DOC.with_rubric(v, "text", phone, forms, portals, out="s", tel="tel_count")
+    return out.select("page_id", F.length("text").alias("n_text"), "tel_count", DOC.tel_note("tel_count").alias("tel_note"),
+                      "s.icp_score", "s.booking_system", "s.reasoning")
+
+
 PHONE = ["the"]
 FORMS = ["le"]
 PORTALS = ["ción"]
