@@ -166,9 +166,13 @@ def company_key(x) -> Column:
 COMPANY_NOISE_WORDS = ["inc", "llc", "ltd", "co", "corp", "company", "equipment"]
 
 
+# Fixed value: the path of a filing in the archive, in any case.
+ACCESSION_RE = r"edgar/data/\d+/([^/]+)\.(?:txt|htm|html)$"
+
+
 def accession(path) -> Column:
     """Accession id from an archive path, else the stripped input."""
-    got = F.regexp_extract(_c(path), r"(?i)edgar/data/[0-9]+/([^/]+)\.(txt|htm|html)$", 1)
+    got = F.regexp_extract(_c(path), "(?i)" + ACCESSION_RE, 1)
     return F.coalesce(F.nullif(got, F.lit("")), strip(_c(path)))
 
 
@@ -267,8 +271,12 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
+# Fixed value: the quoted part of a clinic name.
+QUOTED_RE = r'^"?([^"]+?)(?:"\s+|"$)'
+
+
 def _quoted_part(s: Column) -> Column:
-    quoted = F.regexp_extract(s, r'^"?([^"]+?)(?:"\s+|"$)', 1)
+    quoted = F.regexp_extract(s, QUOTED_RE, 1)
     unquoted = F.regexp_replace(F.regexp_replace(s, '^"', ""), '"$', "")
     return F.when(~s.contains('"'), s).when(quoted != "", strip(quoted)).otherwise(unquoted)
 

@@ -10,6 +10,9 @@ skew split does not apply against an aggregate's output).
 
 from __future__ import annotations
 
+import contextlib
+import io
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -25,27 +28,28 @@ from leadsmith.operators.ranking import best_per_group
 DEFAULT_SALT = 8
 
 
-def _conf_bytes(value: str | None) -> int:
-    """Parse a Spark byte setting ('10485760b', '10MB', '-1')."""
-    import re
-    if value is None:
-        return -1
-    m = re.fullmatch(r"\s*(-?\d+)\s*([kmgt]?)i?b?\s*", value.strip().lower())
-    if not m:
-        return -1
-    n, unit = int(m.group(1)), m.group(2)
-    return n * {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}[unit]
+_UNITS = {u: 1 << (10 * i) for i, u in enumerate(("", "k", "m", "g", "t", "p", "e"))}
+
+
+def _bytes(value: str | None) -> float:
+    """A byte size as Spark's settings and plans write it ('10485760b', '10MB', '1.5 GiB', '-1'); -1 if it is none."""
+    m = re.fullmatch(r"\s*(-?[\d.]+(?:e\+?\d+)?)\s*([kmgtpe]?)i?b?\s*", (value or "").lower())
+    return float(m.group(1)) * _UNITS[m.group(2)] if m else -1
 
 
 def broadcast_sized(df: DataFrame) -> bool:
     """True when Spark's own size estimate of ``df`` is under the broadcast
-    threshold, i.e. the planner will broadcast it in a join (no job runs)."""
-    limit = _conf_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB"))
+    threshold, i.e. the planner will broadcast it in a join. No job runs: the
+    estimate is the first of ``explain(mode="cost")``, and without one a table counts as large."""
+    limit = _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB"))
     if limit <= 0:
         return False
-    raw = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    size = int(raw) if isinstance(raw, int) else int(raw.toString())  # py4j returns a Python int or a BigInt
-    return size <= limit
+    plan = io.StringIO()
+    with contextlib.redirect_stdout(plan):
+        df.explain(mode="cost")
+    found = re.search(r"Statistics\(sizeInBytes=([^,)]+)", plan.getvalue())
+    size = _bytes(found.group(1)) if found else -1
+    return 0 <= size <= limit
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: str | Sequence[str], how: str = "left",
@@ -67,7 +71,7 @@ def salted_join(big: DataFrame, small: DataFrame, on: str | Sequence[str], how:
     keys = [on] if isinstance(on, str) else list(on)
     if not force and broadcast_sized(small):
         return big.join(small, keys, how)
-    src = list(salt_from or [c for c in big.columns if c not in keys])
+    src = list(salt_from or [f.name for f in big.schema if f.name not in keys and "map<" not in f.dataType.simpleString()])
     # any salt in [0, n) is correct (every salt has a replica); a row hash
     # keeps it stable, a seeded random number covers key-only inputs
     salt = (F.pmod(F.xxhash64(*[F.col(c) for c in src]), F.lit(salt_buckets)) if src
@@ -105,16 +109,20 @@ def contact_lookup(entities: DataFrame, contacts: DataFrame, key: str, title: st
 
 
 def fallback_fill(base: DataFrame, primary: DataFrame, secondary: DataFrame, key: str,
-                  fields: Sequence[str], labels: tuple[str, str, str]) -> DataFrame:
+                  fields: Sequence[str], labels: tuple[str, str, str],
+                  salt_buckets: int = DEFAULT_SALT, force_salt: bool = False) -> DataFrame:
     """Take each field from ``primary``; where blank, from ``secondary``.
 
     ``primary``/``secondary`` are one row per key with the same field names.
+    Hot keys of ``base`` are split as in ``salted_join``.
     Label: labels[0] if primary gave the deciding field (fields[0]),
     labels[1] if secondary did, else labels[2].
     """
     p = primary.select(key, *[F.col(f).alias(f"_p_{f}") for f in fields])
     s = secondary.select(key, *[F.col(f).alias(f"_s_{f}") for f in fields])
-    j = base.join(p, key, "left").join(s, key, "left")
+    own = [c for c in base.columns if c != key]
+    j = salted_join(base, p, key, "left", salt_buckets, own, force_salt)
+    j = salted_join(j, s, key, "left", salt_buckets, own, force_salt)
     lead = fields[0]
     label = (F.when(nonblank(f"_p_{lead}"), F.lit(labels[0]))
              .when(nonblank(f"_s_{lead}"), F.lit(labels[1]))
@@ -123,15 +131,17 @@ def fallback_fill(base: DataFrame, primary: DataFrame, secondary: DataFrame, key
     return j.select(*base.columns, *filled, label.alias("source"))
 
 
-def merge_back(base: DataFrame, updates: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
+def merge_back(base: DataFrame, updates: DataFrame, key: str, fields: Sequence[str],
+               salt_buckets: int = DEFAULT_SALT, force_salt: bool = False) -> DataFrame:
     """Rows present in ``updates`` take its field values; others pass.
 
     Keyed on a unique key (not the name, which the reference used and which
     collapses duplicates); row count of ``base`` is preserved when
-    ``updates`` is unique per key.
+    ``updates`` is unique per key. Hot keys of ``base`` are split as in
+    ``salted_join``.
     """
     u = updates.select(key, *[F.col(f).alias(f"_u_{f}") for f in fields], F.lit(True).alias("_hit"))
-    j = base.join(u, key, "left")
+    j = salted_join(base, u, key, "left", salt_buckets, force=force_salt)
     cols = [F.when(F.col("_hit"), F.col(f"_u_{f}")).otherwise(F.col(f)).alias(f)
             if f in fields else F.col(f) for f in base.columns]
     return j.select(*cols)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadsmith.functions.text import nonblank
+from leadsmith.operators.lookup import DEFAULT_SALT, salted_join
 
 
 def funnel(df: DataFrame, stages: Sequence[tuple[str, Column]], group: Sequence[str] = (),
@@ -73,9 +74,12 @@ def engagement(df: DataFrame, group: str, views: Column, likes: Column, comments
                 / F.nullif(F.col("total_views"), F.lit(0)), 4).alias("engagement_rate"))
 
 
-def empty_sample(entities: DataFrame, key: str, stats: DataFrame, zero_cols: Sequence[str]) -> DataFrame:
-    """Entities with no sample get zeros (counts) and NULLs (means)."""
-    out = entities.join(stats, key, "left")
+def empty_sample(entities: DataFrame, key: str, stats: DataFrame, zero_cols: Sequence[str],
+                 force_salt: bool = False) -> DataFrame:
+    """Entities with no sample get zeros (counts) and NULLs (means).
+    ``stats`` is one row per key; hot keys of ``entities`` are split as in
+    ``salted_join``."""
+    out = salted_join(entities, stats, key, "left", DEFAULT_SALT, force=force_salt)
     return out.withColumns({c: F.coalesce(F.col(c), F.lit(0).cast(stats.schema[c].dataType)) for c in zero_cols})
 
 

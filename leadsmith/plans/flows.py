@@ -152,6 +152,7 @@ class ClinicConfig:
     forbidden_keywords: tuple = ("npi", "wiki", "dictionary", "bible", "directory", "review", "vitals", "grades",
                                  "lookup", "finda", "yellow", "whitepages")
     restricted_suffixes: tuple = tuple(P.RESTRICTED_SUFFIXES)
+    # Contact positions that are called, and the rubric's words.
     manager_keywords: tuple = ("office manager", "practice manager")
     phone_words: tuple = ("call us", "call to schedule")
     form_words: tuple = ("request an appointment", "fill out the form", "email us")

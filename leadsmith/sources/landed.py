@@ -75,9 +75,10 @@ def registry_results(pages: DataFrame, json_col: str, order: Sequence[str]) -> D
 
 # --- S4: fixed-width daily index ---------------------------------------------
 
-# Header lines of a daily index that are not data.
+# Header lines of a daily index that are not data, and the
+# number, day and path that end a data line.
 INDEX_SKIP_PREFIXES = ["Description:", "Last Data", "Comments:", "Anonymous", "Form Type"]
-INDEX_TAIL_RE = r"([0-9]{7,10})\s+([0-9]{8})\s+(edgar/data/\S+)\s*$"
+INDEX_TAIL_RE = r"(\d{7,10})\s+(\d{8})\s+(edgar/data/\S+)\s*$"
 
 
 def index_rows(lines: DataFrame, line: str = "value", forms: Sequence[str] = ("D", "D/A"),
@@ -173,6 +174,7 @@ def seed_list(spark: SparkSession, rows: Iterable[tuple], schema: str, head: int
 
 # --- S9: result-page links -----------------------------------------------------
 
+# Fixed value: a link of a result page.
 RESULT_LINK_RE = r'<a rel="noopener noreferrer" class="result__a" href="([^"]+)"[^>]*>([^<]+)</a>'
 
 

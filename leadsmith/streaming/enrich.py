@@ -14,6 +14,7 @@ recurrence is sequential per caller, so it is kept in Spark state
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -21,17 +22,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from leadsmith.operators.lookup import DEFAULT_SALT, salted_join
+from leadsmith.session import checkpoint_dir
+
 
 def incremental_enrichment(spark: SparkSession, source: str, schema, lookup: DataFrame, key: str,
                            out: str, checkpoint: str, fmt: str = "parquet",
                            max_files: int | None = None, glob: str | None = None,
-                           event_time: str | None = None, dedupe_within: str = "1 day"):
+                           event_time: str | None = None, dedupe_within: str = "1 day",
+                           force_salt: bool = False):
     """Enrich new input files as they land; returns the finished query
     (``availableNow``: process what is there, then stop).
 
     With ``event_time``, a key that lands again (in a later file or batch)
     within ``dedupe_within`` of its first arrival is enriched only once:
-    ``dropDuplicatesWithinWatermark`` keeps bounded state per key."""
+    ``dropDuplicatesWithinWatermark`` keeps bounded state per key. Hot keys
+    of a batch are split as in ``salted_join``; with ``max_files`` the lookup
+    is written once to the shared folder instead of being worked out per batch."""
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -40,7 +47,11 @@ def incremental_enrichment(spark: SparkSession, source: str, schema, lookup: Dat
     stream = reader.format(fmt).load(source)
     if event_time is not None:
         stream = stream.withWatermark(event_time, dedupe_within).dropDuplicatesWithinWatermark([key])
-    enriched = stream.join(lookup, key, "left")
+    if max_files:  # several batches: the lookup is worked out once and read by each
+        folder = f"{checkpoint_dir(spark).rstrip('/')}/lookup-{uuid.uuid4().hex}"
+        lookup.write.parquet(folder)
+        lookup = spark.read.parquet(folder)
+    enriched = salted_join(stream, lookup, key, "left", DEFAULT_SALT, force=force_salt)
     q = (enriched.writeStream.format("parquet").option("path", out)
          .option("checkpointLocation", checkpoint).outputMode("append")
          .trigger(availableNow=True).start())

@@ -10,6 +10,7 @@ from leadsmith.functions import domains as D
 from leadsmith.operators import candidates as C
 from leadsmith.operators import dedupe as DD
 from leadsmith.operators import lookup as L
+from leadsmith.operators import metrics as M
 from leadsmith.operators import ranking as RK
 from tests.conftest import rows
 
@@ -152,6 +153,25 @@ def test_salted_join_equals_plain_join_with_hot_key(spark):
     assert salted.count() == 3000
 
 
+def test_hot_keys_of_fills_updates_and_samples_are_split(spark):
+    base = spark.range(900).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 40).alias("k"), F.col("id").alias("v"))
+    side = spark.range(30).select(F.col("id").alias("k"), F.when(F.col("id") % 2 == 0, F.lit("")).otherwise(F.concat(F.lit("m"), "id")).alias("email"),
+                                  F.lit("owner").alias("title"), (F.col("id") * 10).alias("n"))
+    two = side.withColumn("email", F.concat(F.lit("s"), "k"))
+    upd = side.select("k", F.col("n").alias("v"))
+    for run in (lambda f: L.fallback_fill(base, side, two, "k", ["email", "title"], ("a", "b", "none"), force_salt=f),
+                lambda f: L.merge_back(base, upd, "k", ["v"], force_salt=f),
+                lambda f: M.empty_sample(base, "k", side.select("k", "n"), ["n"], force_salt=f)):
+        plain, split = run(False), run(True)
+        assert "_salt" in split._jdf.queryExecution().optimizedPlan().toString()
+        assert split.columns == plain.columns and rows(split) == rows(plain) and split.count() == 900
+
+
+def test_byte_sizes_of_settings_and_plans():
+    assert [L._bytes(x) for x in ("10485760b", "10MB", "1.5 KiB", "16.0 B", "8.0 EiB", "-1", None, "none")] == [
+        10485760, 10 << 20, 1536, 16, 8 << 60, -1, -1, -1]
+
+
 def test_salted_join_is_plain_when_broadcast_sized(spark):
     big = spark.range(100).withColumnRenamed("id", "k")
     small = spark.range(10).withColumnRenamed("id", "k").groupBy("k").count()

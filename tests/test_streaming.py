@@ -25,6 +25,18 @@ def test_incremental_enrichment_resumes(spark):
     assert got == [(1, "A", "a@x"), (2, "B", None), (3, "C", "c@x")]  # no row processed twice
 
 
+def test_incremental_enrichment_in_batches_with_split_keys(spark):
+    d = tempfile.mkdtemp(dir="/tmp")
+    schema = "company_id long, company string"
+    side = spark.range(4).select(F.col("id").alias("company_id"), F.concat(F.lit("m"), "id").alias("email"))
+    for k in range(3):
+        spark.range(60).select(F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 7).alias("company_id"),
+                               F.concat(F.lit(f"{k}-"), "id").alias("company")).coalesce(1).write.parquet(f"{d}/in/batch={k}")
+    ST.incremental_enrichment(spark, f"{d}/in", schema, side, "company_id", f"{d}/out", f"{d}/ckpt", max_files=1, force_salt=True)
+    want = spark.read.schema(schema).parquet(f"{d}/in").select("company_id", "company").join(side, "company_id", "left")
+    assert rows(spark.read.parquet(f"{d}/out"), "company_id", "company", "email") == rows(want, "company_id", "company", "email")
+
+
 def replay(times, cap, width):
     """The reference throttle, call by call (times in seconds)."""
     start, n, last, out = None, 0, None, []

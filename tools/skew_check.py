@@ -22,6 +22,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from leadsmith.operators import budget as B  # noqa: E402
 from leadsmith.operators import dedupe as DD  # noqa: E402
 from leadsmith.operators import lookup as L  # noqa: E402
+from leadsmith.operators import metrics as M  # noqa: E402
 from leadsmith.operators import ranking as RK  # noqa: E402
 from leadsmith.session import DEFAULTS, checkpoint_dir  # noqa: E402
 
@@ -44,6 +45,8 @@ def main():
 
     per_key = df.groupBy("k").agg(F.count(F.lit(1)).alias("n_k"))  # one row per key
 
+    people = per_key.select("k", F.col("n_k").cast("string").alias("email"), F.lit("owner").alias("title"))
+
     def no_broadcast(build, skew_threshold: str = "256MB"):
         def run():
             spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -60,6 +63,11 @@ def main():
         "lookup join, sort-merge, AQE skew threshold 1MB": no_broadcast(
             lambda: df.join(per_key, "k", "left"), "1MB"),
         "lookup join, salted 16 ways": no_broadcast(lambda: L.salted_join(df, per_key, "k", "left", 16, force=True)),
+        "J4 fallback_fill, salted": no_broadcast(lambda: L.fallback_fill(
+            df, people, people, "k", ["email", "title"], ("a", "b", "none"), force_salt=True)),
+        "J9 merge_back, salted": no_broadcast(lambda: L.merge_back(
+            df, per_key.withColumnRenamed("n_k", "v"), "k", ["v"], force_salt=True)),
+        "A13 empty_sample, salted": no_broadcast(lambda: M.empty_sample(df, "k", per_key, ["n_k"], force_salt=True)),
         "running_sum per key (range partitions)": lambda: B.running_sum(df, ["o"], "v", group=["k"], out="rs"),
         "naive window sum per key (for contrast)": lambda: df.withColumn(
             "rs", F.sum("v").over(Window.partitionBy("k").orderBy("o"))),
