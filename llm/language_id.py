@@ -93,6 +93,17 @@ def cluster(x: np.ndarray, k: int, rounds: int = 15) -> tuple[np.ndarray, np.nda
     return c, np.argmax(x @ c.T, axis=1)
 
 
+def sampled(rows: DataFrame, sizes: list[tuple[str, int]], per_lang: int) -> DataFrame:
+    """(lang, text, _order): about 1.2 times ``per_lang`` rows of each language, equal
+    rows once. They are drawn by a hash of id and text, so neither many null
+    ids nor one id with many texts come as a whole. ``sizes`` has one row a
+    language, as few as the model has; it is broadcast, so that texts outside the sample are not shuffled."""
+    per = F.broadcast(rows.sparkSession.createDataFrame(sizes, "lang string, n bigint"))
+    drawn = (rows.withColumn("_order", F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30))).join(per, "lang")
+             .where(F.col("_order") < F.ceil(F.lit(1.2 * per_lang * (1 << 30)) / F.col("n"))))
+    return drawn.select("lang", "text", "_order").distinct()
+
+
 def fit(rows: DataFrame, centroids: int = CENTROIDS, per_lang: int = PER_LANG, reject: float = 0.005) -> Model:
     """Learn from (id, text, lang); rows without a language, a text or a letter
     teach nothing. ``reject`` is the part of a centroid's own members that lies
@@ -104,9 +115,7 @@ def fit(rows: DataFrame, centroids: int = CENTROIDS, per_lang: int = PER_LANG, r
             yield np.flatnonzero(ngram_counts(text)).astype(np.uint64)
 
     df = count_table(rows.select("text"), BITS, grams)
-    # one row a language, as few as the model has; broadcast, so that texts outside the sample are not shuffled
     sizes = [(r["lang"], r["n"]) for r in rows.groupBy("lang").agg(F.count("*").alias("n")).toLocalIterator()]
-    per = F.broadcast(rows.sparkSession.createDataFrame(sizes, "lang string, n bigint"))
     n = sum(k for _, k in sizes)
     idf = np.log((1 + n) / (1 + df)) + 1
     shared = rows.sparkSession.sparkContext.broadcast(idf)
@@ -120,10 +129,7 @@ def fit(rows: DataFrame, centroids: int = CENTROIDS, per_lang: int = PER_LANG, r
         return pa.table({"lang": [t["lang"][0].as_py()] * len(found), "centroid": pa.array([c[j] for j in found], pa.list_(pa.float32())),
                          "reach": pa.array([float(np.quantile(cos[at == j], reject)) for j in found], pa.float64())})
 
-    order = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
-    sample = (rows.withColumn("_order", order).join(per, "lang")
-              .where(F.col("_order") < F.ceil(F.lit(1.2 * per_lang * (1 << 30)) / F.col("n"))))
-    found = sample.select("lang", "text", "_order").groupBy("lang").applyInArrow(centre, "lang string, centroid array<float>, reach double")
+    found = sampled(rows, sizes, per_lang).groupBy("lang").applyInArrow(centre, "lang string, centroid array<float>, reach double")
     out = sorted(found.toArrow().to_pylist(), key=lambda r: (r["lang"], r["centroid"]))
     return Model(idf, [r["lang"] for r in out], np.array([r["centroid"] for r in out]).reshape(len(out), 1 << BITS), np.array([r["reach"] for r in out]))
 
