@@ -187,15 +187,17 @@ def fit_rules(x: np.ndarray, y: np.ndarray, trees: int = 30, depth: int = 3, pen
 
 def fit_quality(stats: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id",
                 max_rows: int = MAX_ROWS) -> Rules:
-    """Fit on at most ``max_rows`` rows of ``stats`` that have a label.
+    """Fit on at most ``max_rows`` rows of ``stats`` that have a label, drawn by a
+    hash of id and statistics; rows far beyond the last one drawn stay where they are read.
 
     Several labels of one id count as their majority (a tie as 1); null
     labels and ids are left out.
     """
     known = (labels.select(F.col(id_col).cast("bigint").alias("id"), F.col(label_col).cast("double").alias("label"))
              .where("id is not null and label is not null").groupBy("id").agg((F.avg("label") >= 0.5).cast("int").alias("label")))
-    rows = (stats.join(known, "id").withColumn("_order", F.xxhash64("id"))
-            .orderBy("_order", "id", *STATS).limit(max_rows).select(*STATS, "label").toArrow())
+    reach = 1.2 * max_rows * (1 << 30) / max(known.count(), 1)
+    rows = (stats.join(known, "id").withColumn("_order", F.pmod(F.xxhash64("id", *STATS), F.lit(1 << 30)))
+            .where(F.col("_order") < F.lit(reach)).orderBy("_order", "id", *STATS).limit(max_rows).select(*STATS, "label").toArrow())
     x = np.column_stack([rows[s].to_numpy() for s in STATS]) if rows.num_rows else np.zeros((0, len(STATS)))
     return fit_rules(x, rows["label"].to_numpy().astype(float))
 
