@@ -540,3 +540,54 @@ def test_pages_are_extracted_like_their_known_layout(spark):
         blocks = [b for b in got[i].split("\n") if b]
         visible = " ".join(re.sub(r"<[^>]*>", "", __import__("html").unescape(page)).split())
         assert all(" ".join(b.split()) in visible for b in blocks) or "&lt;" in page
+
+
+def given(spark, sf="/root/testdata/sf0.01"):
+    return [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+
+
+def test_base_secrets_against_their_patterns(spark):
+    patterns = [("assign", r"(?ai)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?((?-i:[A-Za-z0-9+/_.=-]+))", 2, 12),
+                ("access", r"AKIA[A-Z0-9]+", 0, 18), ("hex", r"[0-9a-f]+", 0, 16)]
+    got = {r["doc_id"]: r for r in secrets.op5_secrets(spark, "/root/testdata/sf0.01").collect()}
+    texts = given(spark)
+    assert len(got) == len(texts)
+    for i, text in texts:
+        found = []
+        for rank, (kind, pattern, group, least) in enumerate(patterns):
+            found += [(m.start(), rank, f"{kind}:{m.start()}:{m.end()}") for m in re.finditer(pattern, text or "") if len(m.group(group)) >= least]
+        r = got[i]
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(f[1] == k for f in found) for k in range(3)]
+        joined = ",".join(f[2] for f in sorted(found))
+        assert r["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+        assert {f[2] for f in found} <= set(r["spans"].split(","))
+
+
+def test_base_licenses_against_their_words(spark):
+    got = {r["doc_id"]: r for r in licenses.op8_licenses(spark, "/root/testdata/sf0.01").collect()}
+    for i, text in given(spark):
+        low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+        places = []
+        for phrase, label in (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")):
+            p = phrase.split()
+            places += [(k, label) for k in range(len(words) - len(p) + 1) if words[k:k + len(p)] == p]
+        r, at = got[i], [k for k, _ in places]
+        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"]) == (len(words), len(at), min(at, default=None), max(at, default=None))
+        base = {label for _, label in places}
+        assert r["base_labels"] == ",".join(sorted(base)) and base <= set(r["labels"].split(",")) | ({""} - base)
+        assert 0 <= r["score"] <= 1
+
+
+def test_language_sample_is_bounded_for_null_and_repeated_ids(spark):
+    rows = spark.range(9000).select(F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, F.lit(7)).otherwise(F.col("id")).alias("id"),
+                                    F.concat(F.lit("text "), F.when(F.col("id") % 9 < 7, F.col("id")).otherwise(F.lit(1))).alias("text"), F.lit("en").alias("lang"))
+    drawn = language_id.sampled(rows, [("en", 9000)], 500)
+    assert 300 < drawn.count() < 800 and drawn.count() == drawn.distinct().count()
+
+
+def test_quality_sample_is_bounded(spark):
+    rows = [(i, f"word {i} " * (1 + i % 7), "en", "s") for i in range(400)] + [(5, f"other {i}", "en", "s") for i in range(200)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id bigint, quality int")
+    got = quality.score_quality(docs(spark, rows), labels, F.lit(True), max_rows=100).collect()
+    assert len(got) == 600 and all(0 <= r["score"] <= 1 for r in got)
