@@ -167,33 +167,47 @@ def drop_blocked(df, domain: str, blocklist, mode: str = "suffix", entry: str =
     return salted_join(df, blocked, domain, "left_anti", DEFAULT_SALT).select(*df.columns)
 
 
-def _grams(text: Column, n) -> Column:
-    """Distinct substrings of ``n`` characters (none if the text is shorter)."""
-    n = F.lit(n) if isinstance(n, int) else n
+FLAGS = 1 << 16  # hash values of grams, the most rows that ``containing`` broadcasts
+
+
+def _grams(text: Column, n: int) -> Column:
+    """Substrings of ``n`` characters with the place each starts at (none if the text is shorter)."""
     places = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - n + 1)).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.transform(places, lambda i: F.substring(text, i, n)))
+    return F.transform(places, lambda i: F.struct(F.substring(text, i, F.lit(n)).alias("gram"), i.alias("at")))
 
 
 def containing(domains, entries, q: int = 4):
     """(domain, entry): which distinct domains contain which entries.
 
     ``domains`` (domain) and ``entries`` (entry) are distinct, lower-case and
-    not blank. An inverted index of q-grams: an entry is looked up under its
-    q-gram that the fewest domains hold (a shorter entry under itself), and
-    only the domains that hold this gram are tested with ``contains``. An
-    entry with a gram that no domain holds is in none. All joins are hash
-    joins on grams; hot ones (``.com``) are salted.
+    not blank. Entries are reduced to one row per first q-gram (a shorter
+    entry is its own gram) with the lengths they occur in. Where a domain
+    holds such a gram, its substrings of these lengths are the texts it can
+    contain from there on; a join on whole texts decides. So rows grow with
+    domains and with entries, never with pairs of them that share a gram: a
+    domain has at most one text a place and length. Places whose gram begins
+    no entry stay where they are, by a broadcast of at most FLAGS hash values.
+
+    All other joins are merge joins: size estimates do not see ``explode``, so
+    one of these sides would be sent to the driver to be broadcast. Hot grams
+    and texts (``.com``) are salted.
     """
     from leadsmith.operators.lookup import DEFAULT_SALT, salted_join
     size = F.least(F.lit(q), F.length("entry"))
     short = sorted(r[0] for r in entries.where(F.length("entry") < q).select(F.length("entry")).distinct().collect())  # q - 1 numbers at most
-    held = domains.select("domain", F.explode(F.concat(*[_grams(F.col("domain"), k) for k in (*short, q)])).alias("gram"))
-    spread = held.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    asked = entries.select("entry", F.explode(_grams(F.col("entry"), size)).alias("gram"))
-    rarest = (salted_join(asked, spread, "gram", "left", DEFAULT_SALT).groupBy("entry")
-              .agg(F.bool_or(F.col("n").isNull()).alias("absent"), F.min(F.struct("n", "gram")).alias("g"))
-              .where(~F.col("absent")).select("entry", F.col("g.gram").alias("gram")))
-    return salted_join(held, rarest, "gram", "inner", DEFAULT_SALT).where(F.contains("domain", "entry")).select("domain", "entry")
+    shapes = (entries.select(F.substring(F.col("entry"), F.lit(1), size).alias("gram"), F.length("entry").alias("n")).distinct()
+              .groupBy("gram").agg(F.sort_array(F.collect_list("n")).alias("lengths")))
+    flag = F.pmod(F.xxhash64("gram"), F.lit(FLAGS)).alias("flag")
+    # few short domains are one task to Spark; by a hash of them, as a repartition by the key of ``distinct`` is left out
+    spread = domains.repartition(int(domains.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("domain"))
+    held = (spread.select("domain", F.inline(F.concat(*[_grams(F.col("domain"), k) for k in (*short, q)]))).withColumn("flag", flag)
+            .join(F.broadcast(shapes.select(flag).distinct()), "flag", "left_semi").drop("flag"))
+    room = F.length("domain") - F.col("at") + 1
+    texts = F.transform(F.filter("lengths", lambda n: n <= room), lambda n: F.substring(F.col("domain"), F.col("at"), n))
+    asked = (salted_join(held, shapes.hint("merge"), "gram", "inner", DEFAULT_SALT, force=True)
+             .select("domain", F.explode(texts).alias("entry")))
+    found = asked.select("entry").distinct().join(entries.hint("merge"), "entry", "left_semi")
+    return salted_join(asked, found.hint("merge"), "entry", "inner", DEFAULT_SALT, force=True).select("domain", "entry").distinct()
 
 
 def drop_containing(df, domain: str, blocklist, entry: str = "domain", q: int = 4):
@@ -206,4 +220,4 @@ def drop_containing(df, domain: str, blocklist, entry: str = "domain", q: int =
     keyed = df.withColumn("_d", F.lower(F.col(domain)))
     doms = keyed.select(F.col("_d").alias("domain")).where(F.length("domain") > 0).distinct()
     blocked = containing(doms, listed, q).select(F.col("domain").alias("_d")).distinct()
-    return salted_join(keyed, blocked, "_d", "left_anti", DEFAULT_SALT, salt_from=df.columns).select(*df.columns)
+    return salted_join(keyed, blocked.hint("merge"), "_d", "left_anti", DEFAULT_SALT, salt_from=df.columns, force=True).select(*df.columns)

@@ -116,6 +116,17 @@ def test_a_hundred_thousand_substrings(spark):
     assert {r[0] for r in out.collect()} == {f"www.shops{i}.biz.example.com" for i in range(3_000) if i % 7}
 
 
+def test_substring_list_broadcasts_only_flags(spark):
+    df = spark.createDataFrame([("aaaa.com",), ("b.com",), (None,)], "domain string")
+    listed = spark.createDataFrame([("aa",), ("a.c",), ("AA",), ("x.co",)], "domain string")
+    plan = D.drop_containing(df, "domain", listed)._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "BroadcastHashJoin" in line]
+    assert joins and all("[flag#" in line and "LeftSemi" in line for line in joins) and plan.count("SortMergeJoin") >= 4
+    lower = listed.select(F.lower("domain").alias("entry")).distinct()
+    pairs = D.containing(df.where("domain is not null"), lower)  # "aa" starts at three places
+    assert sorted(map(tuple, pairs.collect())) == [("aaaa.com", "a.c"), ("aaaa.com", "aa")]
+
+
 # --- U2, D2, D3
 
 def test_days_are_found_without_opening_files(spark, folder):
