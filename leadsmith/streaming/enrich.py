@@ -9,7 +9,7 @@ T2 replaces the in-process request throttle: per caller, a window of
 ``window_sec`` seconds anchored at the first call admits ``cap`` calls; the
 next call waits for the window end, which anchors the next window. The
 recurrence is sequential per caller, so it is kept in Spark state
-(``applyInPandasWithState``).
+(``applyInPandasWithState``), callers being dealt to a fixed number of buckets.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -122,48 +123,69 @@ def run_late_enrichment(spark: SparkSession, entities: str, entity_schema: str,
 # recurrence only compares and adds durations.
 QUOTA_OUT = ("caller long, event_id long, ts timestamp_ntz, admitted_at timestamp_ntz, "
              "window_start timestamp_ntz, deferred boolean, late boolean")
-QUOTA_STATE = ("window_start long, n long, last long, done_ts long, done_id long, "
-               "pending_ts array<long>, pending_id array<long>")
+# Callers share a group: a group costs Spark some milliseconds a batch, far more
+# than a caller's events. A caller that has been admitted is one entry of the first
+# six arrays, a waiting event one of the other three.
+QUOTA_BUCKETS = 4096
+QUOTA_STATE = ("callers array<long>, window_start array<long>, n array<long>, last array<long>, done_ts array<long>, "
+               "done_id array<long>, pending_caller array<long>, pending_ts array<long>, pending_id array<long>")
+_NULL = (1 << 63) - 1  # a NULL caller or id in state, where pandas would make all ids of a group floats; sorts last
 
 # The time of the row that closes a stream; events carry earlier ones.
 CLOSING = "9999-12-31 00:00:00"
 
 
+_NO_TIME = np.iinfo(np.int64).min  # NaT
+
+
 def _quota(cap: int, window_sec: float, buffered: bool):
     width = int(round(window_sec * 1_000_000))  # all times in microseconds
 
     def fn(key, batches: Iterator[pd.DataFrame], state: GroupState):
-        start, n, last, done_ts, done_id, ts, ids = state.get if state.exists else (None, 0, None, None, None, [], [])
-        ts, ids = list(ts), list(ids)
-        for pdf in batches:  # a timed-out caller has none
-            ts += (pdf["ts"].astype("datetime64[us]").astype("int64")).tolist()
-            ids += pdf["event_id"].tolist()
-        # calls before one that has been admitted can no longer take their place
-        calls, late = [], []
-        for call in sorted(zip(ts, ids)):
-            (late if buffered and done_ts is not None and call < (done_ts, done_id) else calls).append(call)
+        *settled, who, ts, ids = state.get if state.exists else [[]] * 9
+        known = {c: rest for c, *rest in zip(*settled)}
+        frames = list(batches)  # a timed-out bucket has none
+        who, ts, ids = (np.concatenate([np.array(kept, dtype=np.int64), *(f[c].to_numpy(dtype=np.int64) for f in frames)])
+                        for c, kept in (("caller", who), ("ts", ts), ("event_id", ids)))
+        order = np.lexsort((ids, ts, who))
+        who, ts, ids = who[order], ts[order], ids[order]
         # no event up to the watermark can come any more; later ones wait
-        upto = state.getCurrentWatermarkMs() * 1000 if buffered else None
-        done = len(calls) if upto is None else sum(t <= upto for t, _ in calls)
-        rows = [(key[0], eid, pd.Timestamp(t, unit="us"), None, None, None, True) for t, eid in late]
-        for t, eid in calls[:done]:
+        ready = ts <= state.getCurrentWatermarkMs() * 1000 if buffered else np.ones(len(ts), dtype=bool)
+        admitted, starts, deferred = [], [], []
+        caller = None
+        for c, t, i in zip(who[ready].tolist(), ts[ready].tolist(), ids[ready].tolist()):
+            if c != caller:
+                caller = c
+                start, n, last, done_ts, done_id = known.get(c, (None, 0, None, None, None))
+            if buffered and done_ts is not None and (t, i) < (done_ts, done_id):
+                # calls before one that has been admitted can no longer take their place
+                admitted.append(_NO_TIME)
+                starts.append(_NO_TIME)
+                deferred.append(None)
+                continue
             now = t if last is None else max(t, last)   # calls are sequential
             if start is None or now - start >= width:
                 start, n = now, 0                       # window expired: restart here
-            deferred = False
-            if n >= cap:                                # full: wait for the window end
+            full = n >= cap
+            if full:                                    # wait for the window end
                 now = start + width
-                start, n, deferred = now, 0, True
+                start, n = now, 0
             n += 1
-            last = now
-            rows.append((key[0], eid, pd.Timestamp(t, unit="us"), pd.Timestamp(now, unit="us"),
-                         pd.Timestamp(start, unit="us"), deferred, False))
-            done_ts, done_id = t, eid
-        wait = calls[done:]
-        state.update((start, n, last, done_ts, done_id, [t for t, _ in wait], [i for _, i in wait]))
-        if wait:
-            state.setTimeoutTimestamp(-(-wait[0][0] // 1000))
-        yield pd.DataFrame(rows, columns=["caller", "event_id", "ts", "admitted_at", "window_start", "deferred", "late"])
+            last, done_ts, done_id = now, t, i
+            known[c] = (start, n, last, done_ts, done_id)
+            admitted.append(now)
+            starts.append(start)
+            deferred.append(full)
+        wait = [x[~ready].tolist() for x in (who, ts, ids)]
+        state.update((list(known), *([v[j] for v in known.values()] for j in range(5)), *wait))
+        if wait[1]:
+            state.setTimeoutTimestamp(-(-min(wait[1]) // 1000))
+        if deferred:
+            def times(micros):
+                return np.array(micros, dtype=np.int64).view("datetime64[us]")
+
+            yield pd.DataFrame({"caller": who[ready], "event_id": ids[ready], "ts": times(ts[ready]), "admitted_at": times(admitted),
+                                "window_start": times(starts), "deferred": deferred, "late": [d is None for d in deferred]})
     return fn
 
 
@@ -197,8 +219,13 @@ def event_quota(events: DataFrame, caller: str, cap: int = 50, window_sec: float
         timeout = GroupStateTimeout.EventTimeTimeout
     else:
         ev = ev.where(F.col("ts") < F.lit(CLOSING).cast("timestamp_ntz"))
-    return ev.groupBy("caller").applyInPandasWithState(
+    null = F.lit(_NULL).cast("bigint")
+    ev = (ev.withColumn("bucket", F.pmod(F.xxhash64("caller"), F.lit(QUOTA_BUCKETS)))
+          .withColumn("ts", F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)"))
+          .withColumn("caller", F.coalesce("caller", null)).withColumn("event_id", F.coalesce("event_id", null)))
+    out = ev.groupBy("bucket").applyInPandasWithState(
         _quota(cap, window_sec, delay is not None), QUOTA_OUT, QUOTA_STATE, "append", timeout)
+    return out.withColumn("caller", F.nullif("caller", null)).withColumn("event_id", F.nullif("event_id", null))
 
 
 def run_quota_stream(spark: SparkSession, source: str, schema, caller: str, out: str, checkpoint: str,

@@ -133,3 +133,29 @@ def test_late_events_are_dead_letters_or_take_their_place(spark):
     # after the end: the next call in order is admitted, an earlier one is kept as late
     got, late = land("d", True, (6, 2000, 7), (7, 60, 7))
     assert (got[6], got[7], late) == (2000, None, {2, 7})
+
+
+def test_event_quota_of_callers_that_share_a_bucket(spark, monkeypatch):
+    monkeypatch.setattr(ST, "QUOTA_BUCKETS", 2)
+    d = tempfile.mkdtemp(dir="/tmp")
+    base, schema = dt.datetime(2024, 1, 1), "event_id long, ts timestamp_ntz, user_id long"
+    secs = {c: [(7 * c + 11 * i * i) % 400 for i in range(12)] for c in range(6)}
+    events = [(2**60 + 100 * c + i, base + dt.timedelta(seconds=s), c or None) for c in secs for i, s in enumerate(secs[c])]
+    events.append((None, base + dt.timedelta(seconds=1000), 3))
+    spark.createDataFrame(events[::2], schema).coalesce(1).write.parquet(f"{d}/in/batch=1")
+    spark.createDataFrame(events[1::2], schema).coalesce(1).write.parquet(f"{d}/in/batch=2")
+    ST.run_quota_stream(spark, f"{d}/in", schema, "user_id", f"{d}/out", f"{d}/ckpt", cap=3, window_sec=60.0, max_files=1)
+    ST.run_quota_stream(spark, f"{d}/in", schema, "user_id", f"{d}/out", f"{d}/ckpt", cap=3, window_sec=60.0, max_files=1, close=True)
+    out = spark.read.parquet(f"{d}/out").where("outcome = 'admitted'").orderBy("ts", "event_id").collect()
+    assert len(out) == len(events)
+    for c in secs:
+        mine = [r for r in out if r["caller"] == (c or None)]
+        want = sorted((e for e in events if e[2] == (c or None)), key=lambda e: (e[1], e[0] or 0))
+        assert [r["event_id"] for r in mine] == [e[0] for e in want]
+        assert [(r["admitted_at"] - base).total_seconds() for r in mine] == replay([(e[1] - base).total_seconds() for e in want], 3, 60)
+    # a call before an admitted one is late, whoever shares the bucket
+    spark.createDataFrame([(1, base - dt.timedelta(seconds=5), 3), (2, base, 99)], schema).write.parquet(f"{d}/in/batch=3")
+    ST.run_quota_stream(spark, f"{d}/in", schema, "user_id", f"{d}/out", f"{d}/ckpt", cap=3, window_sec=60.0, max_files=1)
+    late = spark.read.parquet(f"{d}/out").where("outcome = 'late'")
+    assert rows(late, "event_id", "admitted_at", "deferred") == [(1, None, None)]
+    assert spark.read.parquet(f"{d}/out").where("caller = 99 and outcome = 'admitted'").count() == 1
