@@ -42,8 +42,14 @@ _TOKEN = np.uint64((1 << 44) - 1)  # a join key of 44 bits; a clash only adds a
 
 def _sets(column: pa.Array, k: int):
     """(row, sorted distinct shingle hashes) of every text, in order."""
+    for part in _parts(column, k):
+        yield from part
+
+
+def _parts(column: pa.Array, k: int):
+    """The same by pieces of the column, so that what is made of a batch need not be held whole."""
     for at, _, w in pieces(column, SPACED_LOWER):
-        yield from _sets_of(at, w, k)
+        yield _sets_of(at, w, k)
 
 
 def _sets_of(at: int, w: Words, k: int):
@@ -101,8 +107,8 @@ def link_classes(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "
     src = _spec(docs, id_col, text_col)
 
     def hashes(batch):
-        out = [s for _, s in _sets(batch["text"], k)]
-        yield np.concatenate(out) if out else np.empty(0, dtype=np.uint64)
+        for part in _parts(batch["text"], k):
+            yield np.concatenate([s for _, s in part])
 
     rarity = spark.sparkContext.broadcast(count_table(src.select("text"), order_bits, hashes).astype(np.uint32))
 
@@ -123,23 +129,24 @@ def link_classes(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "
 
     def entries(batches):
         for b in batches:
-            ids = b["id"].to_pylist()
-            seen, who, size, pos, tok = set(), [], [], [], []
-            for i, s in _sets(b["text"], k):
-                if ids[i] is None or not len(s):
-                    continue
-                key = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
-                if (key, ids[i]) in seen:
-                    continue
-                seen.add((key, ids[i]))
-                p = prefix_length(len(s), percent)
-                tok.append((_order(s, rarity.value, None)[:p] & _TOKEN).astype(np.int64))
-                who.append(np.full(p, ids[i], dtype=np.int64))
-                size.append(np.full(p, len(s), dtype=np.int32))
-                pos.append(np.arange(p, dtype=np.int32))
-            if tok:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tok, who, size, pos)],
-                                                 names=["tok", "id", "n", "pos"])
+            ids, seen = b["id"].to_pylist(), set()
+            for part in _parts(b["text"], k):
+                who, size, pos, tok = [], [], [], []
+                for i, s in part:
+                    if ids[i] is None or not len(s):
+                        continue
+                    key = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
+                    if (key, ids[i]) in seen:
+                        continue
+                    seen.add((key, ids[i]))
+                    p = prefix_length(len(s), percent)
+                    tok.append((_order(s, rarity.value, None)[:p] & _TOKEN).astype(np.int64))
+                    who.append(np.full(p, ids[i], dtype=np.int64))
+                    size.append(np.full(p, len(s), dtype=np.int32))
+                    pos.append(np.arange(p, dtype=np.int32))
+                if tok:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tok, who, size, pos)],
+                                                     names=["tok", "id", "n", "pos"])
 
     ent = src.mapInArrow(entries, "tok bigint, id bigint, n int, pos int")
     shared = ent.groupBy("tok").agg(F.count("*").alias("c")).where("c > 1").select("tok")
@@ -163,14 +170,16 @@ def link_classes(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "
     def prefixes(batches):
         for b in batches:
             b = grouped(b)
-            ids, who, under_b, under_c = b["id"].to_pylist(), [], [], []
-            for i, s in _sets(b["text"], k):
-                if len(s):
-                    who.append(ids[i])
-                    under_b.append(_prefix(s, rarity.value, _SEED_B, percent))
-                    under_c.append(_prefix(s, rarity.value, _SEED_C, percent))
-            yield pa.RecordBatch.from_arrays([pa.array(who, pa.int64()), pa.array(under_b, pa.list_(pa.int32())), pa.array(under_c, pa.list_(pa.int32()))],
-                                             names=["id", "under_b", "under_c"])
+            ids = b["id"].to_pylist()
+            for part in _parts(b["text"], k):
+                who, under_b, under_c = [], [], []
+                for i, s in part:
+                    if len(s):
+                        who.append(ids[i])
+                        under_b.append(_prefix(s, rarity.value, _SEED_B, percent))
+                        under_c.append(_prefix(s, rarity.value, _SEED_C, percent))
+                yield pa.RecordBatch.from_arrays([pa.array(who, pa.int64()), pa.array(under_b, pa.list_(pa.int32())), pa.array(under_c, pa.list_(pa.int32()))],
+                                                 names=["id", "under_b", "under_c"])
 
     orders = checkpointed(src.mapInArrow(prefixes, "id bigint, under_b array<int>, under_c array<int>"))
 

@@ -8,6 +8,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -591,3 +592,19 @@ def test_quality_sample_is_bounded(spark):
     labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id bigint, quality int")
     got = quality.score_quality(docs(spark, rows), labels, F.lit(True), max_rows=100).collect()
     assert len(got) == 600 and all(0 <= r["score"] <= 1 for r in got)
+
+
+def test_jaccard_hashes_come_by_pieces(spark, monkeypatch):
+    class Caught(Exception):
+        pass
+
+    def catch(_, bits, hashes):
+        raise Caught(hashes)
+
+    monkeypatch.setattr(jaccard_join, "count_table", catch)
+    with pytest.raises(Caught) as caught:
+        jaccard_join.link_classes(docs(spark, [(1, "a b c", "en", "web")]), k=3)
+    texts = [" ".join(f"w{i}x{j}" for j in range(200)) for i in range(3000)] + [None, "", "one two"]
+    out = list(caught.value.args[0](pa.RecordBatch.from_pydict({"text": pa.array(texts)})))
+    assert sum(map(len, out)) == 3000 * 198 + 1  # of a batch of 5 MB no more than a piece is held
+    assert len(out) > 3 and max(x.nbytes for x in out) < 2 << 20
