@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from leadsmith.operators.lookup import salted_join
 from llm.common import Bitmap, checkpointed, components, count_table, row_key, table
-from llm.words import SPACED_LOWER, Words, hash_run, mix, pieces
+from llm.words import SPACED_LOWER, Words, hash_run, mix, pieces, slices
 
 ORDER_BITS = 20
 ID_BITS = 23  # 1 MB of flags, by which texts outside all candidate pairs stay in the scan
@@ -168,7 +168,7 @@ def link_classes(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "
     grouped = among(near.select("id"))
 
     def prefixes(batches):
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole, "text")):
             b = grouped(b)
             ids = b["id"].to_pylist()
             for part in _parts(b["text"], k):
@@ -206,7 +206,7 @@ def link_classes(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "
             held = among(pairs.select(side))
 
             def keep(batches):
-                for b in batches:
+                for b in (part for whole in batches for part in slices(whole, "text")):
                     yield held(b)
 
             return src.mapInArrow(keep, "id bigint, text string").select(F.col("id").alias(side), F.col("text").alias(f"{side}_text"))

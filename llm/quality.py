@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from llm.common import checkpointed, fold, table
-from llm.words import SPACED, pieces
+from llm.words import SPACED, pieces, slices
 
 MAX_ROWS = 20_000
 
@@ -229,7 +229,7 @@ def accepted(docs: DataFrame, labels: DataFrame, train_where: Column, id_col: st
     prefix = "_llm_stat_"
 
     def run(batches):
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole, at)):
             s = _stats(b.column(at))
             yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(s[c]) for c in STATS)],
                                              names=[*b.schema.names, *(prefix + c for c in STATS)])

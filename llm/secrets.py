@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm.common import table
+from llm.words import slices
 
 BASE = ("assign", "access", "hex")
 KINDS = (*BASE, "signed", "key", "ssh")
@@ -197,7 +198,7 @@ def redacted(docs: DataFrame, text_col: str = "text", mark: str = "[secret]") ->
     at = docs.columns.index(text_col)
 
     def run(batches):
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole, at)):
             out = []
             for text in b.column(at).to_pylist():
                 spans = scan_text(text)

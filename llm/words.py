@@ -21,8 +21,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 20  # texts are joined to pieces of about this size (a longer text is one piece)
+CHUNK_BYTES = 1 << 18  # texts are joined to pieces of about this size (a longer text is one piece); some 50 bytes of arrays a byte
+SLICE_BYTES = 1 << 20  # rows with texts are handed on in slices of about this size
 
 _U = np.uint64
 _BASE, _RUN = 0x9E3779B97F4A7C15 | 5, 0xD6E8FEB86659FD93 | 5  # odd, 5 modulo 8
@@ -173,6 +175,25 @@ def hash_run(hashes: np.ndarray) -> int:
     return int(mix(np.array([(np.asarray(hashes, dtype=_U) * up[:n]).sum(dtype=_U) + _U(n)], dtype=_U))[0])
 
 
+def slices(batch: pa.RecordBatch, text: int | str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows, in order, whose column ``text`` takes about ``size``
+    bytes, so that what is made of the texts need not be held for a whole batch."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+    ends = np.concatenate([np.zeros(1, dtype=np.int64), np.cumsum(lengths, dtype=np.int64)])
+    for at, to in _cuts(ends, size):
+        yield batch.slice(at, to - at)
+
+
+def _cuts(ends: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
+    """(from row, to row) of runs of about ``size`` bytes, of one row at least; row i spans ends[i]:ends[i + 1]."""
+    at, n = 0, len(ends) - 1
+    while at < n:
+        to = int(np.searchsorted(ends, ends[at] + size, side="right")) - 1
+        to = min(max(to, at + 1), n)
+        yield at, to
+        at = to
+
+
 def pieces(column: pa.Array, alphabet: Alphabet, chunk: int = CHUNK_BYTES) -> Iterator[tuple[int, int, Words]]:
     """(from row, to row, Words) over a string column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -188,9 +209,5 @@ def pieces(column: pa.Array, alphabet: Alphabet, chunk: int = CHUNK_BYTES) -> It
         column = column.fill_null("")
         yield from pieces(column, alphabet, chunk)
         return
-    at = 0
-    while at < n:
-        to = int(np.searchsorted(ends, ends[at] + chunk, side="right")) - 1
-        to = min(max(to, at + 1), n)
+    for at, to in _cuts(ends, chunk):
         yield at, to, Words.over(data[ends[at]:ends[to]], ends[at:to + 1] - ends[at], alphabet)
-        at = to

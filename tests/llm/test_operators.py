@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import corpus_pipeline
 from llm import (
@@ -24,6 +25,7 @@ from llm import (
     quality,
     secrets,
     substring_dedup,
+    words,
 )
 from llm.common import components, fold
 from llm.words import ALNUM, SPACED, SPACED_LOWER, Words
@@ -608,3 +610,26 @@ def test_jaccard_hashes_come_by_pieces(spark, monkeypatch):
     out = list(caught.value.args[0](pa.RecordBatch.from_pydict({"text": pa.array(texts)})))
     assert sum(map(len, out)) == 3000 * 198 + 1  # of a batch of 5 MB no more than a piece is held
     assert len(out) > 3 and max(x.nbytes for x in out) < 2 << 20
+
+
+def test_texts_are_handed_on_by_slices():
+    class Frame:
+        columns = ["doc_id", "text"]
+        schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
+
+        def mapInArrow(self, run, schema):
+            raise Caught(run)
+
+    class Caught(Exception):
+        pass
+
+    texts = [" ".join(f"w{i}x{j}" for j in range(200)) for i in range(3000)] + [None, "", "é one", "token = abcdefghijkl12", None]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts))), "text": pa.array(texts)})
+    assert [t for s in words.slices(batch.slice(2), "text") for t in s["text"].to_pylist()] == texts[2:]
+    assert not list(words.slices(batch.slice(0, 0), 1))
+    assert max(len(w.data) for _, _, w in words.pieces(batch["text"], words.SPACED)) <= 1 << 18
+    with pytest.raises(Caught) as caught:
+        secrets.redacted(Frame())
+    out = list(caught.value.args[0](iter([batch])))
+    assert [t for b in out for t in b["text"].to_pylist()] == [*texts[:-2], "[secret]", None]
+    assert len(out) > 3 and max(b.nbytes for b in out) < 2 << 20  # of a batch of 5 MB
