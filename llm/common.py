@@ -86,16 +86,23 @@ class Bitmap:
 
     @staticmethod
     def of(values: DataFrame, bits: int) -> Bitmap:
-        """Of a one-column DataFrame of longs; eight tasks send one bitmap each at most."""
+        """Of a one-column DataFrame of longs; eight tasks make one bitmap each at most, one task joins them."""
         def mark(batches):
             flags = np.zeros(1 << bits, dtype=bool)
             for b in batches:
                 flags[Bitmap._places(b.column(0).to_numpy(), bits)] = True
             yield pa.RecordBatch.from_pydict({"flags": pa.array([np.packbits(flags).tobytes()], pa.binary())})
 
-        full = np.zeros((1 << bits) // 8, dtype=np.uint8)
-        for row in values.distinct().coalesce(8).mapInArrow(mark, "flags binary").toLocalIterator():
-            full |= np.frombuffer(row["flags"], dtype=np.uint8)
+        def either(batches):
+            flags = np.zeros((1 << bits) // 8, dtype=np.uint8)
+            for b in batches:
+                for row in b["flags"]:
+                    flags |= np.frombuffer(row.as_buffer(), dtype=np.uint8)
+            yield pa.RecordBatch.from_pydict({"flags": pa.array([flags.tobytes()], pa.binary())})
+
+        parts = values.distinct().coalesce(8).mapInArrow(mark, "flags binary")
+        joined = parts.repartition(1).mapInArrow(either, "flags binary").collect()
+        full = np.frombuffer(joined[0]["flags"], dtype=np.uint8) if joined else np.zeros((1 << bits) // 8, dtype=np.uint8)
         return Bitmap(full, bits)
 
     def may_hold(self, values: np.ndarray) -> np.ndarray:
@@ -109,26 +116,29 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     Alternating large-star and small-star steps: every edge is rewired to
     the smallest known neighbour until each id points at its component's
     minimum. Ids without an edge are not returned. Only counts reach the
-    driver, and every round is checkpointed.
+    driver, and every round is checkpointed. A round has few exchanges, as
+    the driver keeps something of every stage and task.
     """
+    def both(first: tuple, second: tuple) -> Column:
+        """Two rows (u, v) of one."""
+        return F.inline(F.array(*(F.struct(F.col(u).alias("u"), v.alias("v")) for u, v in (first, second))))
+
     e = checkpointed(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    sign = None
     for _ in range(rounds):
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = checkpointed(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
+        # settled when every id has one edge down and none of the ids above also lies below another
+        sides = e.select(both(("u", F.lit(1)), ("v", F.lit(0)))).groupBy("u").agg(F.sum("v").alias("down"), F.min("v").alias("least"))
+        if not sides.where("down > 1 or down > 0 and least = 0").agg(F.count("*")).first()[0]:
+            break
+        low = e.select(both(("u", F.col("v")), ("v", F.col("u")))).groupBy("u")
+        low = checkpointed(low.agg(F.least(F.min("v"), F.col("u")).alias("m")))  # plain, so that a hot id is split in the join
         # large star: (u, v) with v > u becomes (v, smallest neighbour of u)
         big = (e.select(F.col("v").alias("u"), F.col("u").alias("w")).join(low, "u")
                .select(F.col("w").alias("u"), F.col("m").alias("v")).distinct())
         # small star: u and its smaller neighbours point at the smallest of them
         tops = checkpointed(big)
         small = tops.groupBy("u").agg(F.min("v").alias("m"))
-        e = (tops.join(small, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-             .unionByName(small.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
+        e = tops.join(small, "u").select(both(("v", F.col("m")), ("u", F.col("m")))).where("u <> v").distinct()
         e = checkpointed(e)
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == sign:
-            break
-        sign = now
     else:
         raise RuntimeError("components did not settle")
     return e.select(F.col("u").alias("id"), F.col("v").alias("component"))

@@ -4,7 +4,8 @@ Source s holds a share p of all tokens; its weight is p**a / sum(p**a). The
 exponent a (1: as found, 0: uniform) is found by bisection, so that the
 weights' entropy meets a target and no source repeats more often than
 allowed within the token budget. One small aggregate over the table of
-sources answers each step; only its three sums reach the driver.
+sources answers four steps; only three sums for each of the 15 exponents that
+they may ask for reach the driver.
 
 The weights are realised by permuting blocks. Each source's documents are
 dealt by hash into ``BLOCKS`` blocks of ``BLOCKS`` leaves. A source's quota
@@ -26,6 +27,7 @@ from llm.common import checkpointed, table
 
 BLOCKS = 256
 STEPS = 40
+AHEAD = 4  # steps of the bisection that one job answers
 SALT = 16
 
 
@@ -47,18 +49,25 @@ def exponent(sources: DataFrame, budget: float, entropy_gain: float, max_repeats
     p = F.col("tokens") / F.lit(float(total["t"]))
     shares = checkpointed(sources.select(p.alias("p")))
 
-    def measures(a: float) -> tuple[float, float]:
-        w = F.pow("p", F.lit(a))
-        r = shares.agg(F.sum(w).alias("z"), F.sum(w * F.log("p")).alias("l"), F.max(F.pow("p", F.lit(a - 1.0))).alias("m")).first()
-        return math.log(r["z"]) - a * r["l"] / r["z"], budget / total["t"] / r["z"] * r["m"]
+    def measures(some: list[float]) -> dict[float, tuple[float, float]]:
+        """Of each exponent: the weights' entropy and the most repeats; one job for all of them."""
+        a = F.col("a")
+        w = F.pow("p", a)
+        r = (shares.select("p", F.explode(F.lit(some)).alias("a")).groupBy("a")
+             .agg(F.sum(w).alias("z"), F.sum(w * F.log("p")).alias("l"), F.max(F.pow("p", a - 1.0)).alias("m")).collect())
+        return {x["a"]: (math.log(x["z"]) - x["a"] * x["l"] / x["z"], budget / total["t"] / x["z"] * x["m"]) for x in r}
 
-    found, _ = measures(1.0)
-    uniform, _ = measures(0.0)
+    ends = measures([0.0, 1.0])
+    found, uniform = ends[1.0][0], ends[0.0][0]
     target = found + entropy_gain * (uniform - found)
     low, high = 0.0, 1.0  # at ``high`` the limits hold (or cannot hold for any exponent)
+    known: dict[float, tuple[float, float]] = {}
     for _ in range(STEPS):
         mid = (low + high) / 2
-        h, repeats = measures(mid)
+        if mid not in known:  # this step's exponent and those that the next ones may ask for
+            parts = 1 << AHEAD
+            known = measures([low + (high - low) * k / parts for k in range(1, parts)])
+        h, repeats = known[mid]
         if h <= target and repeats <= max_repeats:
             high = mid
         else:

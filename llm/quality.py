@@ -158,18 +158,23 @@ def fit_rules(x: np.ndarray, y: np.ndarray, trees: int = 30, depth: int = 3, pen
     paths = list(found)
     if not paths:
         return Rules(base, ())
-    m = np.empty((len(y), len(paths)))
-    for j, path in enumerate(paths):
+    seen, kept = set(), []
+    for path in paths:  # of rules that hold on the same rows, the first
         hold = np.ones(len(y), dtype=bool)
         for f, greater, cut in path:
             hold &= (x[:, f] > cut) == greater
-        m[:, j] = hold
-    _, keep = np.unique(m, axis=1, return_index=True)
-    keep = np.sort(keep)
-    m, paths = m[:, keep], [paths[j] for j in keep]
-    mean, scale = m.mean(0), np.maximum(m.std(0), 0.05)
-    z = (m - mean) / scale
-    step = 4 * len(y) / max(np.linalg.norm(z, 2) ** 2, 1e-9)
+        key = np.packbits(hold).tobytes()
+        if key not in seen:
+            seen.add(key)
+            kept.append((path, hold))
+    paths, z = [path for path, _ in kept], np.empty((len(y), len(kept)))
+    for j, (_, hold) in enumerate(kept):
+        z[:, j] = hold
+    mean, scale = z.mean(0), np.array([max(hold.std(), 0.05) for _, hold in kept])
+    del kept, seen
+    z -= mean
+    z /= scale  # the only matrix of rows and rules: this runs in the driver
+    step = 4 * len(y) / max(float(np.linalg.eigvalsh(z.T @ z)[-1]), 1e-9)
     w = v = np.zeros(len(paths))
     b, t = base, 1.0
     for _ in range(400):

@@ -6,6 +6,7 @@ import json
 import math
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 
 import corpus_pipeline
 from llm import (
+    common,
     decontaminate,
     embedding_dedup,
     html_extract,
@@ -27,7 +29,7 @@ from llm import (
     substring_dedup,
     words,
 )
-from llm.common import components, fold
+from llm.common import Bitmap, components, fold
 from llm.words import ALNUM, SPACED, SPACED_LOWER, Words
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, score double, component_id string, id string, key int"
@@ -633,3 +635,70 @@ def test_texts_are_handed_on_by_slices():
     out = list(caught.value.args[0](iter([batch])))
     assert [t for b in out for t in b["text"].to_pylist()] == [*texts[:-2], "[secret]", None]
     assert len(out) > 3 and max(b.nbytes for b in out) < 2 << 20  # of a batch of 5 MB
+
+
+def _jobs(spark, group, run):
+    """What run() returns, and the number of Spark jobs it took."""
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        return run(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_rules_are_fitted_in_the_memory_of_one_matrix():
+    rng = np.random.default_rng(3)
+    x = rng.random((quality.MAX_ROWS, len(quality.STATS)))
+    y = (x[:, 0] + x[:, 1] * x[:, 2] + 0.3 * rng.random(len(x)) > 0.9).astype(float)
+    tracemalloc.start()
+    try:
+        rules = quality.fit_rules(x, y)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(rules.rules) > 50
+    assert peak < 100e6  # 30 trees of 14 paths: 67 MB for 20,000 rows
+
+
+def test_settled_components_take_no_round(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(common, "checkpointed", lambda df, f=common.checkpointed: kept.append(df) or f(df))
+    stars = spark.createDataFrame([(1, i) for i in range(2, 30)] + [(i, 40) for i in range(41, 60)], "a bigint, b bigint")
+    assert {(r["id"], r["component"]) for r in components(stars).collect()} == {(i, 1) for i in range(2, 30)} | {(i, 40) for i in range(41, 60)}
+    assert len(kept) == 1
+    rng, edges, low = random.Random(8), [], {i: i for i in range(300)}
+    for _ in range(260):
+        a, b = rng.randrange(300), rng.randrange(300)
+        edges.append((a, b))
+        low = {i: min(low[a], low[b]) if low[i] in (low[a], low[b]) else low[i] for i in low}
+    got = {r["id"]: r["component"] for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert all(got.get(i, i) == low[i] for i in low)
+
+
+def test_bitmaps_reach_the_driver_as_one(spark):
+    values = common.checkpointed(spark.range(0, 3_000, 3, 20))
+    flags, jobs = _jobs(spark, "bitmap", lambda: Bitmap.of(values, 16))
+    assert flags.may_hold(np.arange(0, 3_000, 3)).all() and flags.may_hold(np.arange(10_000, 20_000)).sum() < 500
+    assert jobs <= 4  # one for each exchange; eight more when the driver asked task by task
+    assert not Bitmap.of(values.where("id < 0"), 16).may_hold(np.arange(100)).any()
+
+
+def test_exponent_answers_several_steps_a_job(spark):
+    tokens = [5, 70, 900, 12_000]
+    sources = common.checkpointed(spark.createDataFrame([(str(t), t) for t in tokens], "_llm_source string, tokens bigint"))
+    total = sum(tokens)
+    for budget, gain, most in ((total, 0.5, 4.0), (total, 0.9, 100.0), (3 * total, 0.2, 3.5)):
+        def measures(a, budget=budget):
+            z = sum((t / total) ** a for t in tokens)
+            w = [(t / total) ** a / z for t in tokens]
+            return -sum(x * math.log(x) for x in w), max(x * budget / t for x, t in zip(w, tokens))
+
+        low, high = 0.0, 1.0
+        target = measures(1.0)[0] + gain * (measures(0.0)[0] - measures(1.0)[0])
+        while high - low >= 1e-7:
+            mid = (low + high) / 2
+            h, repeats = measures(mid)
+            low, high = (low, mid) if h <= target and repeats <= most else (mid, high)
+        got, jobs = _jobs(spark, f"exponent {budget} {gain}", lambda b=budget, g=gain, m=most: mixing.exponent(sources, b, g, m))
+        assert abs(got - high) < 2e-7
+        assert jobs < 25
