@@ -702,3 +702,18 @@ def test_exponent_answers_several_steps_a_job(spark):
         got, jobs = _jobs(spark, f"exponent {budget} {gain}", lambda b=budget, g=gain, m=most: mixing.exponent(sources, b, g, m))
         assert abs(got - high) < 2e-7
         assert jobs < 25
+
+
+def test_salted_component_ids_are_not_broadcast(spark, monkeypatch):
+    plans = []
+
+    def seen(df, f=jaccard_join.checkpointed):
+        out = f(df)
+        if "_salt" in (plan := df._jdf.queryExecution().executedPlan().toString()):
+            plans.append(plan)
+        return out
+
+    monkeypatch.setattr(jaccard_join, "checkpointed", seen)
+    rows = [(i, f"some words that stand in the copies of text {i % 40}", "en", "s") for i in range(200)]
+    assert {r["doc_id"] for r in jaccard_join.without_copies(docs(spark, rows)).collect()} == set(range(40))
+    assert plans and all("SortMergeJoin" in x and "BroadcastHashJoin" not in x for x in plans)
